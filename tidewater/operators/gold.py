@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import MONEY_TYPE
 from .joins import lookup_join
 
-CENT = F.lit(0.01).cast(MONEY_TYPE)
+ONE_CENT = "0.01"
 
 
 def reconcile_invoices(faturas: DataFrame, pedidos: DataFrame,
@@ -29,7 +29,7 @@ def reconcile_invoices(faturas: DataFrame, pedidos: DataFrame,
     diff = (F.col("valor_faturado") - F.col("valor_total")).cast(MONEY_TYPE)
     return j.select("fatura_id", "pedido_id", "valor_total", "valor_faturado",
                     diff.alias("divergencia_valor"),
-                    (F.abs(diff) > CENT).alias("divergente"),
+                    (F.abs(diff) > F.lit(ONE_CENT).cast(MONEY_TYPE)).alias("divergente"),
                     "data_faturamento")
 
 

@@ -59,27 +59,37 @@ def trusted(bronze: DataFrame, spec: TableSpec, on_error: str = "quarantine") ->
     return c.where(F.size(REASONS) == 0).drop(REASONS)
 
 
-def latest_by_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+def latest_by_key(df: DataFrame, key: str, order: list[str] | None = None,
+                  keep: Column | None = None) -> DataFrame:
     """One row per non-null ``key``: the greatest by ``order``, then by all columns.
 
     Ingest columns come first in the order, so the newest arrival wins; the
     remaining columns make the pick total and deterministic. Implemented as
-    ``max(struct(...))`` per key: partial aggregation before the shuffle.
+    ``max(struct(...))`` per key: partial aggregation before the shuffle, so a
+    key holding a third of all rows costs one row per input partition.
+    ``keep`` restricts the candidates inside the aggregate (rows failing it
+    are ignored; keys with no candidate disappear) without a pre-filter that
+    Catalyst would push under the projection and evaluate twice.
     """
     rest = [c for c in df.columns if c != key]
     order = [c for c in (order or []) if c in rest]
     ordered = order + [c for c in rest if c not in order]
-    best = (df.where(F.col(key).isNotNull()).groupBy(key)
-              .agg(F.max(F.struct(*[F.col(c) for c in ordered])).alias("_best")))
+    candidate = F.struct(*[F.col(c) for c in ordered])
+    if keep is not None:
+        candidate = F.when(keep, candidate)
+    best = (df.groupBy(key).agg(F.max(candidate).alias("_best"))
+              .where(F.col(key).isNotNull() & F.col("_best").isNotNull()))
     return best.select(key, *[F.col(f"_best.{c}").alias(c) for c in rest])
 
 
 def silver(bronze: DataFrame, spec: TableSpec, on_error: str = "quarantine") -> DataFrame:
     """Trusted, typed, one row per business key (latest ingest wins)."""
-    t = trusted(bronze, spec, on_error)
-    order = [SILVER_PARTITION_COLUMN] if SILVER_PARTITION_COLUMN in t.columns else []
-    out = latest_by_key(t, spec.key, order)
-    return out.select(*[c for c in t.columns])
+    c = cleanse(bronze, spec, on_error)
+    cols = [x for x in c.columns if x != REASONS]
+    order = [SILVER_PARTITION_COLUMN] if SILVER_PARTITION_COLUMN in cols else []
+    out = latest_by_key(c.select(*cols, (F.size(REASONS) == 0).alias("_ok")).drop(REASONS),
+                        spec.key, order, keep=F.col("_ok"))
+    return out.select(*cols)
 
 
 def quarantine(bronze: DataFrame, spec: TableSpec) -> DataFrame:

@@ -306,12 +306,20 @@ SEED_ROWS: dict[str, list[tuple]] = {
 
 
 def seed_bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Seed as landed text. Customers derive from the driver's customer table."""
+    """Seed as landed text. Customers derive from the driver's customer table.
+
+    The fixed catalogues become a SQL inline table (a local relation planned
+    on the JVM, with exact size statistics), not a Python-side RDD.
+    """
     spec = SEEDS[name]
     if name == "crm_clientes":
         return clientes(spark, sf_dir)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in spec.columns])
-    return spark.createDataFrame(SEED_ROWS[name], schema)
+
+    def lit(v):
+        return "'" + str(v).replace("'", "''") + "'"
+
+    rows = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in SEED_ROWS[name])
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(spec.columns)})")
 
 
 def clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
