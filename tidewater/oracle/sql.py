@@ -291,3 +291,44 @@ def with_fixtures(body: str, extra: list[tuple[str, str]] | None = None) -> str:
     names = _needed(text)
     parts = [f"{n} AS ({CTES[n]})" for n in names] + [f"{n} AS ({sql})" for n, sql in (extra or [])]
     return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+
+
+RUNS_SQL = """SELECT item || '-' || strftime(d, '%Y-%m-%d') AS execucao_id, 'gerar_dados' AS pipeline, item,
+ CASE WHEN item = 'financeiro' AND isodow(d) IN (6, 7) THEN 'dia_nao_operacional'
+      WHEN item = 'tms' AND isodow(d) = 7 THEN 'dia_nao_operacional'
+      WHEN item = 'tms' AND day(d) = 10 THEN 'falha' ELSE 'sucesso' END AS status,
+ '{"modo_execucao":"' || CASE WHEN item = 'tms' AND day(d) = 11 THEN 'reprocessamento' ELSE 'diario' END || '"}' AS detalhes,
+ strftime(d, '%Y-%m-%d') AS data_referencia,
+ CAST(d AS TIMESTAMP) + to_seconds(21600 + (CASE item WHEN 'financeiro' THEN 0 WHEN 'tms' THEN 1 ELSE 2 END) * 600) AS started_at,
+ CAST(d AS TIMESTAMP) + to_seconds(21600 + (CASE item WHEN 'financeiro' THEN 0 WHEN 'tms' THEN 1 ELSE 2 END) * 600
+   + (dayofyear(d) * 37 + (CASE item WHEN 'financeiro' THEN 0 WHEN 'tms' THEN 1 ELSE 2 END) * 101) % 1000 + 120) AS ended_at
+ FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) days,
+      (VALUES ('financeiro'), ('tms'), ('crm')) items(item)
+ WHERE NOT (month(d) % 3 = 0 AND day(d) IN (9, 17))"""
+
+CTES["bz_runs"] = RUNS_SQL
+
+
+def operates_sql(system: str, day: str) -> str:
+    """Oracle twin of ``functions.calendar.operates_on``."""
+    from ..spec import SYSTEM_CALENDARS
+
+    whens = " ".join(f"WHEN '{s}' THEN isodow({day}) IN ({', '.join(map(str, d))})"
+                     for s, d in SYSTEM_CALENDARS.items())
+    return f"(CASE {system} {whens} END)"
+
+
+def days_sql(start: str, end: str) -> str:
+    return f"CAST(unnest(generate_series(CAST({start} AS DATE), CAST({end} AS DATE), INTERVAL 1 DAY)) AS DATE)"
+
+
+# Months from the first finance run up to the month before the last run day.
+FIN_MONTHS = """SELECT CAST(unnest(generate_series(CAST(date_trunc('month', min(dia)) AS DATE),
+   CAST(date_trunc('month', max(dia)) - INTERVAL 1 MONTH AS DATE), INTERVAL 1 MONTH)) AS DATE) AS mes
+ FROM (SELECT CAST(data_referencia AS DATE) AS dia FROM bz_runs WHERE pipeline = 'gerar_dados' AND item = 'financeiro')"""
+
+BUSINESS_DAYS = f"""SELECT mes, dia FROM (SELECT mes, {days_sql('mes', 'last_day(mes)')} AS dia FROM ({FIN_MONTHS}))
+ WHERE {operates_sql("'financeiro'", 'dia')}"""
+
+MISSING_DAYS = f"""SELECT mes, dia FROM ({BUSINESS_DAYS}) WHERE dia NOT IN
+ (SELECT CAST(data_referencia AS DATE) FROM bz_runs WHERE pipeline = 'gerar_dados' AND item = 'financeiro' AND status = 'sucesso')"""

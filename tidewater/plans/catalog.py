@@ -369,3 +369,237 @@ def gold_summary_df(spark, d):
  WHEN taxa = 1 THEN 'cem_suspeito' ELSE 'plausivel' END AS veredito FROM (""" + GOLD_SUMMARY_SQL + ")")
 def q_kpi_plausibility(spark, d):
     return rules.kpi_plausibility(gold_summary_df(spark, d))
+
+
+# ---- run log, calendar, completeness, close (R, M, K17, V3, V5, L3) ---------
+
+from ..functions import calendar as cal  # noqa: E402
+from ..operators import alerts as al  # noqa: E402
+from ..operators import close as cl  # noqa: E402
+from ..operators import runs as rn  # noqa: E402
+from ..spec import SYSTEM_CALENDARS  # noqa: E402
+
+
+def RUNS(spark, d):
+    return fixtures.runs(spark, d)
+
+
+@query("business_days", f"SELECT strftime(mes, '%Y-%m') AS mes_referencia, count(*) AS dias_uteis FROM ({O.BUSINESS_DAYS}) GROUP BY mes")
+def q_business_days(spark, d):
+    months = cl.closable_months(RUNS(spark, d))
+    return (cl.business_days(months).groupBy(cal.month_label("mes").alias("mes_referencia"))
+              .agg(F.count(F.lit(1)).alias("dias_uteis")))
+
+
+@query("missing_run_days", f"SELECT strftime(mes, '%Y-%m') AS mes_referencia, dia FROM ({O.MISSING_DAYS})")
+def q_missing_run_days(spark, d):
+    runs = RUNS(spark, d)
+    return cl.missing_run_days(runs, cl.closable_months(runs)) \
+        .select(cal.month_label("mes").alias("mes_referencia"), "dia")
+
+
+MONTHLY_CLOSE_SQL = f"""SELECT strftime(m.mes, '%Y-%m') AS mes_referencia,
+ CAST(coalesce(t.fat, 0) AS DECIMAL(18,2)) AS total_faturado, CAST(coalesce(t.rec, 0) AS DECIMAL(18,2)) AS total_recebido,
+ CAST(coalesce(t.fat, 0) - coalesce(t.rec, 0) AS DECIMAL(18,2)) AS total_em_aberto,
+ coalesce(t.n, 0) AS total_faturas, coalesce(t.ndiv, 0) AS total_divergentes,
+ CAST(to_json(coalesce(x.faltando, CAST([] AS VARCHAR[]))) AS VARCHAR) AS dias_faltando,
+ len(coalesce(x.faltando, CAST([] AS VARCHAR[]))) = 0 AS fechamento_valido
+ FROM ({O.FIN_MONTHS}) m
+ LEFT JOIN (SELECT CAST(date_trunc('month', r.data_faturamento) AS DATE) AS mes, sum(r.valor_faturado) AS fat,
+     sum(CASE WHEN p.recebido THEN r.valor_faturado END) AS rec, count(*) AS n, count(*) FILTER (WHERE r.divergente) AS ndiv
+   FROM ({RECONCILE_SQL}) r
+   LEFT JOIN (SELECT fatura_id, max(status_conta = 'recebido') AS recebido FROM sv_financeiro_contas_receber GROUP BY fatura_id) p
+   USING (fatura_id) GROUP BY 1) t ON t.mes = m.mes
+ LEFT JOIN (SELECT mes, list_sort(list(strftime(dia, '%Y-%m-%d'))) AS faltando FROM ({O.MISSING_DAYS}) GROUP BY mes) x
+   ON x.mes = m.mes"""
+
+
+def monthly_close_df(spark, d):
+    return cl.monthly_close(reconciliation(spark, d), S(spark, d, "financeiro_contas_receber"), RUNS(spark, d))
+
+
+@query("monthly_close", MONTHLY_CLOSE_SQL)
+def q_monthly_close(spark, d):
+    return monthly_close_df(spark, d)
+
+
+def _alert_sql(tipo, origem, sev, periodo, msg, det, src):
+    return (f"SELECT sha256('{tipo}' || '|' || '{origem}' || '|' || {periodo}) AS alerta_id, '{tipo}' AS tipo_evento, "
+            f"'{origem}' AS origem, '{sev}' AS severidade, {periodo} AS periodo, {msg} AS mensagem, "
+            f"CAST({det} AS VARCHAR) AS detalhes FROM ({src})")
+
+
+CLOSE_ALERTS_SQL = _alert_sql(
+    "fechamento_invalido", "fechar_mes", "alta", "mes_referencia",
+    "'Fechamento de ' || mes_referencia || ' inválido — ' || CAST(json_array_length(dias_faltando) AS VARCHAR) || ' dia(s) sem execução registrada'",
+    "json_object('mes_referencia', mes_referencia, 'dias_faltando', CAST(dias_faltando AS JSON))",
+    f"SELECT * FROM ({MONTHLY_CLOSE_SQL}) WHERE NOT fechamento_valido")
+
+
+@query("close_alerts", CLOSE_ALERTS_SQL)
+def q_close_alerts(spark, d):
+    return cl.close_alerts(monthly_close_df(spark, d))
+
+
+RUN_STATUS_ITEMS = fixtures.RUN_ITEMS
+
+
+@query("run_day_status", f"""SELECT g.sistema, g.dia, {O.operates_sql('g.sistema', 'g.dia')} AS dia_operacional,
+ CASE WHEN b.rk IS NOT NULL THEN (CASE b.rk WHEN 3 THEN 'sucesso' WHEN 2 THEN 'dia_nao_operacional' WHEN 1 THEN 'falha' ELSE 'outro' END)
+      WHEN {O.operates_sql('g.sistema', 'g.dia')} THEN 'ausente' ELSE 'dia_nao_operacional' END AS situacao
+ FROM (SELECT dia, sistema FROM (SELECT {O.days_sql('min(CAST(data_referencia AS DATE))', 'max(CAST(data_referencia AS DATE))')} AS dia
+        FROM bz_runs WHERE pipeline = 'gerar_dados'), (VALUES {', '.join(f"('{s}')" for s in RUN_STATUS_ITEMS)}) s(sistema)) g
+ LEFT JOIN (SELECT item AS sistema, CAST(data_referencia AS DATE) AS dia,
+   max(CASE status WHEN 'sucesso' THEN 3 WHEN 'dia_nao_operacional' THEN 2 WHEN 'falha' THEN 1 ELSE 0 END) AS rk
+   FROM bz_runs WHERE pipeline = 'gerar_dados' GROUP BY 1, 2) b ON b.sistema = g.sistema AND b.dia = g.dia""")
+def q_run_day_status(spark, d):
+    return rn.run_day_status(RUNS(spark, d), RUN_STATUS_ITEMS)
+
+
+def evidence_df(spark, d):
+    """Days with landed files per system, from every event table's partition."""
+    out = None
+    for t, spec in EVENT_TABLES.items():
+        e = B(spark, d, t).select(F.lit(spec.system).alias("sistema"), F.to_date("data").alias("dia")).distinct()
+        out = e if out is None else out.unionByName(e)
+    return out
+
+
+EVIDENCE_SQL = " UNION ".join(
+    f"SELECT DISTINCT '{spec.system}' AS sistema, CAST(data AS DATE) AS dia FROM bz_{t}" for t, spec in EVENT_TABLES.items())
+
+
+@query("rebuild_run_log", f"""SELECT g.sistema || '-' || strftime(g.dia, '%Y-%m-%d') AS execucao_id, 'gerar_dados' AS pipeline,
+ g.sistema AS item, st AS status,
+ CAST(json_object('sistema', g.sistema, 'data_referencia', strftime(g.dia, '%Y-%m-%d'), 'status', st,
+   'reconstrucao_retroativa', true) AS VARCHAR) AS detalhes, strftime(g.dia, '%Y-%m-%d') AS data_referencia
+ FROM (SELECT g.*, CASE WHEN e.sistema IS NOT NULL THEN 'sucesso' WHEN NOT {O.operates_sql('g.sistema', 'g.dia')}
+   THEN 'dia_nao_operacional' ELSE 'sem_evidencia' END AS st
+  FROM (SELECT dia, sistema FROM (SELECT {O.days_sql('min(dia)', 'max(dia)')} AS dia FROM ({EVIDENCE_SQL})),
+        (VALUES {', '.join(f"('{s}')" for s in SYSTEM_CALENDARS)}) s(sistema)) g
+  LEFT JOIN (SELECT DISTINCT sistema, dia FROM ({EVIDENCE_SQL})) e ON e.sistema = g.sistema AND e.dia = g.dia) g""")
+def q_rebuild_run_log(spark, d):
+    return rn.rebuild_run_log(evidence_df(spark, d))
+
+
+@query("calendar_reconciliation", f"""SELECT g.sistema, count(*) FILTER (WHERE e.dia IS NOT NULL) AS dias_com_arquivo,
+ count(*) FILTER (WHERE {O.operates_sql('g.sistema', 'g.dia')}) AS dias_esperados,
+ count(*) FILTER (WHERE e.dia IS NOT NULL AND NOT {O.operates_sql('g.sistema', 'g.dia')}) AS dias_fora_calendario,
+ count(*) FILTER (WHERE e.dia IS NULL AND {O.operates_sql('g.sistema', 'g.dia')}) AS dias_faltando
+ FROM (SELECT sistema, {O.days_sql('min(dia)', 'max(dia)')} AS dia FROM ({EVIDENCE_SQL}) GROUP BY sistema) g
+ LEFT JOIN (SELECT DISTINCT sistema, dia FROM ({EVIDENCE_SQL})) e ON e.sistema = g.sistema AND e.dia = g.dia
+ GROUP BY g.sistema""")
+def q_calendar_reconciliation(spark, d):
+    return rn.calendar_reconciliation(evidence_df(spark, d))
+
+
+@query("partition_day_counts", " UNION ALL ".join(
+    f"SELECT '{t}' AS tabela, count(DISTINCT data) AS dias_particao, count(*) AS linhas FROM bz_{t}" for t in EVENT_TABLES))
+def q_partition_day_counts(spark, d):
+    out = None
+    for t in EVENT_TABLES:
+        p = B(spark, d, t).agg(F.lit(t).alias("tabela"), F.count_distinct("data").alias("dias_particao"),
+                               F.count(F.lit(1)).alias("linhas"))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+RUN_SECONDS = "(epoch(ended_at) - epoch(started_at))"
+
+
+@query("run_sla_breach", f"""SELECT execucao_id, pipeline, item, data_referencia, CAST({RUN_SECONDS} AS BIGINT) AS duracao_segundos
+ FROM bz_runs WHERE {RUN_SECONDS} > 900""")
+def q_run_sla_breach(spark, d):
+    return rn.run_sla_breach(RUNS(spark, d))
+
+
+@query("runs_by_status", "SELECT pipeline, status, count(*) AS execucoes FROM bz_runs GROUP BY ALL")
+def q_runs_by_status(spark, d):
+    return rn.runs_by_status(RUNS(spark, d))
+
+
+@query("runs_by_mode", """SELECT coalesce(json_extract_string(detalhes, '$.modo_execucao'), 'desconhecido') AS modo_execucao,
+ count(*) AS execucoes FROM bz_runs GROUP BY 1""")
+def q_runs_by_mode(spark, d):
+    return rn.runs_by_mode(RUNS(spark, d))
+
+
+@query("latest_runs", """SELECT * FROM bz_runs WHERE pipeline = 'gerar_dados' AND item = 'tms'
+ ORDER BY started_at DESC, execucao_id DESC LIMIT 10""")
+def q_latest_runs(spark, d):
+    return rn.latest_runs(RUNS(spark, d), "gerar_dados", "tms")
+
+
+@query("run_log", """SELECT sha256('construir_gold|' || tabela || '|') AS execucao_id, 'construir_gold' AS pipeline,
+ tabela AS item, 'sucesso' AS status,
+ CAST(json_object('total_linhas', total_linhas, 'sinalizadas', sinalizadas) AS VARCHAR) AS detalhes,
+ CAST(NULL AS VARCHAR) AS data_referencia FROM (""" + GOLD_SUMMARY_SQL + ")")
+def q_run_log(spark, d):
+    s = gold_summary_df(spark, d).select(F.col("tabela").alias("item"), F.lit("sucesso").alias("status"),
+                                         "total_linhas", "sinalizadas")
+    return rn.run_records(s, "construir_gold")
+
+
+# ---- alerts (R2-R4, M6, V1, T10) ----------------------------------------------
+
+COLD_ALERT_SQL = _alert_sql(
+    "cadeia_fria", "observability_cadeia_fria", "alta", "'total'",
+    "CAST(n AS VARCHAR) || ' remessas com veículo incorreto para produto de cadeia fria'",
+    "json_object('total_violacoes', n)",
+    f"SELECT count(*) FILTER (WHERE tipo_violacao = 'veiculo_incorreto') AS n FROM ({COLD_SQL}) HAVING n > 0")
+
+RECON_ALERT_SQL = _alert_sql(
+    "reconciliacao", "gold_reconciliacao_financeira", "media", "mes",
+    "CAST(n AS VARCHAR) || ' de ' || CAST(total AS VARCHAR) || ' faturas divergentes em ' || mes",
+    "json_object('mes_referencia', mes, 'divergentes', n, 'total_faturas', total)",
+    f"""SELECT strftime(data_faturamento, '%Y-%m') AS mes, count(*) FILTER (WHERE divergente) AS n, count(*) AS total
+        FROM ({RECONCILE_SQL}) GROUP BY 1 HAVING count(*) FILTER (WHERE divergente) > 0""")
+
+SLA_ALERT_SQL = _alert_sql(
+    "sla_execucao", "pipeline_runs", "media", "(pipeline || '|' || item || '|' || data_referencia)",
+    "pipeline || '/' || item || ' levou ' || CAST(duracao_segundos AS VARCHAR) || ' s em ' || data_referencia",
+    "json_object('execucao_id', execucao_id, 'duracao_segundos', duracao_segundos)",
+    f"""SELECT execucao_id, pipeline, item, data_referencia, CAST({RUN_SECONDS} AS BIGINT) AS duracao_segundos
+        FROM bz_runs WHERE {RUN_SECONDS} > 900""")
+
+ALERTS_SQL = " UNION ALL ".join(f"SELECT * FROM ({s})" for s in
+                                (COLD_ALERT_SQL, RECON_ALERT_SQL, SLA_ALERT_SQL, CLOSE_ALERTS_SQL))
+
+
+def alerts_df(spark, d):
+    return al.all_alerts(al.cold_chain_alerts(cold_chain_df(spark, d)),
+                         al.reconciliation_alerts(reconciliation(spark, d)),
+                         al.run_sla_alerts(rn.run_sla_breach(RUNS(spark, d))),
+                         cl.close_alerts(monthly_close_df(spark, d)))
+
+
+@query("cold_chain_alerts", COLD_ALERT_SQL)
+def q_cold_chain_alerts(spark, d):
+    return al.cold_chain_alerts(cold_chain_df(spark, d))
+
+
+@query("alerts", ALERTS_SQL)
+def q_alerts(spark, d):
+    return alerts_df(spark, d)
+
+
+@query("recent_alerts", f"SELECT * FROM ({ALERTS_SQL}) ORDER BY periodo DESC, alerta_id ASC LIMIT 10")
+def q_recent_alerts(spark, d):
+    return al.recent_alerts(alerts_df(spark, d))
+
+
+@query("alerts_by_type", f"SELECT * FROM ({ALERTS_SQL}) WHERE tipo_evento = 'fechamento_invalido'")
+def q_alerts_by_type(spark, d):
+    return alerts_df(spark, d).filter("tipo_evento = 'fechamento_invalido'")
+
+
+@query("billed_by_day", f"""SELECT data_faturamento, faturado_dia,
+ sum(faturado_dia) OVER (ORDER BY data_faturamento ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS faturado_acumulado
+ FROM (SELECT data_faturamento, sum(valor_faturado) AS faturado_dia FROM ({RECONCILE_SQL}) GROUP BY 1)""")
+def q_billed_by_day(spark, d):
+    from pyspark.sql import Window
+
+    daily = reconciliation(spark, d).groupBy("data_faturamento").agg(F.sum("valor_faturado").alias("faturado_dia"))
+    # One row per day: the running total's single-partition window is bounded by the number of days.
+    w = Window.orderBy("data_faturamento").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return daily.withColumn("faturado_acumulado", F.sum("faturado_dia").over(w))

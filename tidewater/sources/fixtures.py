@@ -336,3 +336,41 @@ def clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.concat(F.lit("contato"), k.cast("string"), F.lit("@cliente.example")).alias("email_contato"),
                      F.col("r_name").alias("regiao"),
                      F.when(k % 20 == 0, F.lit("bloqueado")).otherwise(F.lit("ativo")).alias("status_cliente")))
+
+
+# ---- run log ---------------------------------------------------------------
+
+# Systems whose daily generation runs are logged in the fixture.
+RUN_ITEMS = ("financeiro", "tms", "crm")
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run log of the daily generation job: one run per order day and system.
+
+    Finance is off on weekends and TMS on Sundays; TMS fails on day 10 and is
+    reprocessed on day 11; days 9 and 17 of every third month were never
+    logged. Durations vary by day so some runs break the 900 s SLA.
+    """
+    o = read_table(spark, sf_dir, "orders")
+    d = F.col("d")
+    days = o.select(F.to_date("o_orderdate").alias("d")).distinct()
+    x = days.select("d", F.explode(F.array(*[F.lit(i) for i in RUN_ITEMS])).alias("item"))
+    item, dow, dom = F.col("item"), F.weekday(d) + 1, F.dayofmonth(d)
+    x = x.where(~((F.month(d) % 3 == 0) & dom.isin(9, 17)))
+    status = (F.when((item == "financeiro") & dow.isin(6, 7), F.lit("dia_nao_operacional"))
+              .when((item == "tms") & (dow == 7), F.lit("dia_nao_operacional"))
+              .when((item == "tms") & (dom == 10), F.lit("falha")).otherwise(F.lit("sucesso")))
+    mode = F.when((item == "tms") & (dom == 11), F.lit("reprocessamento")).otherwise(F.lit("diario"))
+    idx = F.when(item == "financeiro", 0).when(item == "tms", 1).otherwise(2)
+    start = F.unix_date(d).cast("bigint") * 86400 + 21600 + idx * 600
+    duration = (F.dayofyear(d) * 37 + idx * 101) % 1000 + 120
+    return x.select(
+        F.concat(item, F.lit("-"), iso(d)).alias("execucao_id"),
+        F.lit("gerar_dados").alias("pipeline"),
+        item.alias("item"),
+        status.alias("status"),
+        F.concat(F.lit('{"modo_execucao":"'), mode, F.lit('"}')).alias("detalhes"),
+        iso(d).alias("data_referencia"),
+        F.timestamp_seconds(start).alias("started_at"),
+        F.timestamp_seconds(start + duration).alias("ended_at"),
+    )
