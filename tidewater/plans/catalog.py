@@ -603,3 +603,190 @@ def q_billed_by_day(spark, d):
     # One row per day: the running total's single-partition window is bounded by the number of days.
     w = Window.orderBy("data_faturamento").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return daily.withColumn("faturado_acumulado", F.sum("faturado_dia").over(w))
+
+
+# ---- sources, streaming, sinks (S1-S15, T2, T4, Q3, M5, P1-P3) ---------------
+
+from ..operators import retention as rt  # noqa: E402
+from ..session import fresh_path  # noqa: E402
+from ..sources import landing as ld  # noqa: E402
+from ..sources import tables as tb  # noqa: E402
+from ..spec import SEEDS  # noqa: E402
+from ..streaming import ingest as ig  # noqa: E402
+from . import daily  # noqa: E402
+
+NOTAS, POSICOES = "erp_notas_expedicao", "erp_posicoes_estoque"
+
+
+def _landed(spark, d, tables_):
+    """A fresh landing zone holding the given fixture tables (by their system)."""
+    root = fresh_path(spark, "landing")
+    paths = ig.IngestPaths(f"{root}/landing", f"{root}/bronze", f"{root}/checkpoints")
+    for t in tables_:
+        ld.write_landing(spark, B(spark, d, t), paths.landing, EVENT_TABLES[t].system, t)
+    return paths
+
+
+@query("bronze_ingest", f"SELECT {', '.join(EVENT_TABLES[NOTAS].columns)}, data FROM bz_{NOTAS}")
+def q_bronze_ingest(spark, d):
+    """Stream one table out of a shared system folder into bronze (all text)."""
+    paths = _landed(spark, d, [NOTAS, POSICOES])
+    ig.ingest_table(spark, paths, NOTAS)
+    return ig.read_bronze(spark, paths, NOTAS).select(*EVENT_TABLES[NOTAS].columns, "data")
+
+
+@query("ingest_metrics", f"""SELECT 1 AS execucao, '{NOTAS}' AS tabela, 'sucesso' AS status,
+ count(DISTINCT data) AS arquivos_processados, count(*) AS linhas_processadas FROM bz_{NOTAS}
+ UNION ALL SELECT 2, '{NOTAS}', 'sem_dado_novo', 0, 0""")
+def q_ingest_metrics(spark, d):
+    """Run the stream twice: the second run finds nothing new."""
+    paths = _landed(spark, d, [NOTAS, POSICOES])
+    first = ig.ingest_table(spark, paths, NOTAS)
+    second = ig.ingest_table(spark, paths, NOTAS)
+    m = ig.ingest_metrics(spark, paths, [first, second])
+    m1 = tb.materialize(spark, ig.ingest_metrics(spark, paths, [first]).withColumn("execucao", F.lit(1)), "metrics")
+    m2 = ig.ingest_metrics(spark, paths, [second]).withColumn("execucao", F.lit(2))
+    del m
+    return m1.unionByName(m2).select("execucao", "tabela", "status", "arquivos_processados", "linhas_processadas")
+
+
+@query("seed_promote", "SELECT * FROM sd_crm_clientes")
+def q_seed_promote(spark, d):
+    """Seed to landing _seed folder, batch read as text, bronze copy, typed silver."""
+    root = fresh_path(spark, "seeds")
+    spec = SEEDS["crm_clientes"]
+    ld.write_seed(spark, fixtures.seed_bronze(spark, d, "crm_clientes"), f"{root}/landing", spec.system, spec.name)
+    raw = spark.read.schema(ld.bronze_schema(spec.columns)).json(
+        f"{root}/landing/{spec.system}/{ld.SEED_DIR}/{spec.name}.json").drop("data")
+    tb.overwrite(sv.bronze_copy(raw), f"{root}/bronze/{spec.name}")
+    tb.overwrite(sv.promote_seed(spark.read.parquet(f"{root}/bronze/{spec.name}"), spec), f"{root}/silver/{spec.name}")
+    return spark.read.parquet(f"{root}/silver/{spec.name}")
+
+
+@query("read_or_empty", """SELECT 'orders' AS fonte, count(*) AS linhas FROM orders
+ UNION ALL SELECT 'financeiro_faturas_ausente', 0""")
+def q_read_or_empty(spark, d):
+    """A same-day cross-system read of a file that does not exist is empty, not an error."""
+    from pyspark.sql import types as T
+
+    present = tb.read_or_empty(spark, f"{d}/orders.parquet", fixtures.read_table(spark, d, "orders").schema, "parquet")
+    missing = tb.read_or_empty(spark, f"{d}/financeiro_faturas_ausente.json",
+                               T.StructType([T.StructField("fatura_id", T.StringType())]))
+    return (present.agg(F.lit("orders").alias("fonte"), F.count(F.lit(1)).alias("linhas"))
+            .unionByName(missing.agg(F.lit("financeiro_faturas_ausente").alias("fonte"),
+                                     F.count(F.lit(1)).alias("linhas"))))
+
+
+def _path_only(c):
+    """Comparable file path: URI scheme and authority dropped."""
+    return F.regexp_replace(F.col(c), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+
+
+RETENTION_DAYS, RETENTION_REF = 30, "2000-01-01"
+
+
+@query("retention_plan", f"""SELECT 'data=' || data AS particao, CAST(data AS DATE) AS dia,
+ CAST(DATE '{RETENTION_REF}' - INTERVAL {RETENTION_DAYS} DAY AS DATE) AS data_corte, count(*) AS arquivos,
+ count(*) FILTER (WHERE t = 'p') AS arquivos_nao_ingeridos,
+ CASE WHEN CAST(data AS DATE) >= CAST(DATE '{RETENTION_REF}' - INTERVAL {RETENTION_DAYS} DAY AS DATE) THEN 'manter'
+      WHEN count(*) FILTER (WHERE t = 'p') > 0 THEN 'bloqueado_nao_ingerido' ELSE 'remover' END AS acao
+ FROM (SELECT DISTINCT data, 'n' AS t FROM bz_{NOTAS} UNION ALL SELECT DISTINCT data, 'p' AS t FROM bz_{POSICOES})
+ GROUP BY data""")
+def q_retention_plan(spark, d):
+    """Stock positions landed but never ingested: their days must not be deleted."""
+    paths = _landed(spark, d, [NOTAS, POSICOES])
+    ig.ingest_table(spark, paths, NOTAS)
+    files = rt.landing_files(spark, ld.system_dir(paths.landing, "distribution")) \
+        .select(_path_only("arquivo").alias("arquivo"), "data")
+    in_bronze = ig.read_bronze(spark, paths, NOTAS).select(_path_only(ig.SOURCE_FILE).alias("arquivo"))
+    return rt.retention_plan(files, in_bronze, RETENTION_DAYS, RETENTION_REF)
+
+
+UPSERT_RESULT_SQL = """SELECT pedido_id, cliente_id, representante_id, data_pedido,
+ CASE WHEN status_pedido = 'cancelado' THEN CAST(0 AS DECIMAL(18,2)) ELSE valor_total END AS valor_total,
+ status_pedido, data_particao_ingestao FROM sv_crm_pedidos"""
+
+
+def _order_increment(silver_orders):
+    """Day-2 feed: open orders arrive (inserts), cancelled ones are re-sent at zero (updates)."""
+    st = F.col("status_pedido")
+    return (silver_orders.where(st.isin("aberto", "cancelado"))
+            .withColumn("valor_total", F.when(st == "cancelado", F.lit(0).cast("decimal(18,2)"))
+                        .otherwise(F.col("valor_total"))))
+
+
+@query("silver_upsert", UPSERT_RESULT_SQL)
+def q_silver_upsert(spark, d):
+    path = fresh_path(spark, "silver-crm_pedidos")
+    orders = tb.materialize(spark, S(spark, d, "crm_pedidos"), "orders-silver")
+    tb.upsert(spark, orders.where(F.col("status_pedido") != "aberto"), path, "pedido_id")
+    tb.upsert(spark, _order_increment(orders), path, "pedido_id")
+    return tb.read_table(spark, path)
+
+
+@query("upsert_twice", f"""SELECT e AS execucao, count(*) AS total_linhas, sum(valor_total) AS soma_valor
+ FROM ({UPSERT_RESULT_SQL}), (VALUES (1), (2)) x(e) GROUP BY e""")
+def q_upsert_twice(spark, d):
+    """Applying the same increment twice leaves the table unchanged."""
+    path = fresh_path(spark, "silver-crm_pedidos")
+    orders = tb.materialize(spark, S(spark, d, "crm_pedidos"), "orders-silver")
+    tb.upsert(spark, orders.where(F.col("status_pedido") != "aberto"), path, "pedido_id")
+    out = []
+    for run in (1, 2):
+        tb.upsert(spark, _order_increment(orders), path, "pedido_id")
+        totals = tb.read_table(spark, path).agg(F.lit(run).alias("execucao"), F.count(F.lit(1)).alias("total_linhas"),
+                                                F.sum("valor_total").alias("soma_valor"))
+        out.append(tb.materialize(spark, totals, f"upsert-run{run}"))
+    return out[0].unionByName(out[1])
+
+
+@query("monthly_close_upsert", MONTHLY_CLOSE_SQL)
+def q_monthly_close_upsert(spark, d):
+    """Close the early months, then re-close everything: merge by month, no duplicates."""
+    path = fresh_path(spark, "gold_fechamento_mensal")
+    close = tb.materialize(spark, monthly_close_df(spark, d), "close")
+    tb.upsert(spark, close.where(F.col("mes_referencia") <= "1998-12"), path, "mes_referencia", buckets=8)
+    tb.upsert(spark, close, path, "mes_referencia", buckets=8)
+    return tb.read_table(spark, path)
+
+
+BACKFILL_START, BACKFILL_END = "1996-01-01", "1996-12-31"
+BACKFILL_TABLES = {"crm": ["crm_pedidos"], "financeiro": ["financeiro_faturas"]}
+
+
+@query("backfill_range", " UNION ALL ".join(
+    f"SELECT '{t}' AS tabela, count(*) AS linhas, count(DISTINCT data) AS dias FROM bz_{t} "
+    f"WHERE data BETWEEN '{BACKFILL_START}' AND '{BACKFILL_END}'" for ts in BACKFILL_TABLES.values() for t in ts))
+def q_backfill_range(spark, d):
+    """Landed history for two systems, one range-filtered load per table in dependency order."""
+    paths = _landed(spark, d, [t for ts in BACKFILL_TABLES.values() for t in ts])
+    daily.backfill_range(spark, paths.landing, paths.bronze, BACKFILL_START, BACKFILL_END, BACKFILL_TABLES)
+    out = None
+    for ts in BACKFILL_TABLES.values():
+        for t in ts:
+            b = spark.read.parquet(f"{paths.bronze}/{t}").agg(
+                F.lit(t).alias("tabela"), F.count(F.lit(1)).alias("linhas"), F.count_distinct("data").alias("dias"))
+            out = b if out is None else out.unionByName(b)
+    return out
+
+
+REPROCESS_DAY = "1996-06-14"
+_PED = EVENT_TABLES["crm_pedidos"]
+
+
+@query("reprocess_day", f"""SELECT {', '.join(c if c != 'status_pedido' else
+ f"CASE WHEN data = '{REPROCESS_DAY}' THEN lower(trim(status_pedido)) ELSE status_pedido END AS status_pedido"
+ for c in _PED.columns)}, data FROM bz_crm_pedidos""")
+def q_reprocess_day(spark, d):
+    """A corrected file replaces one landed day; only that bronze partition is rewritten."""
+    from ..sources.tables import _fs
+
+    paths = _landed(spark, d, ["crm_pedidos"])
+    daily.backfill_range(spark, paths.landing, paths.bronze, "0000-01-01", "9999-12-31", {"crm": ["crm_pedidos"]})
+    fixed = B(spark, d, "crm_pedidos").where(F.col("data") == REPROCESS_DAY) \
+        .withColumn("status_pedido", F.lower(F.trim("status_pedido")))
+    fs, p = _fs(spark, f"{ld.system_dir(paths.landing, 'crm')}/data={REPROCESS_DAY}")
+    fs.delete(p, True)
+    ld.write_landing(spark, fixed, paths.landing, "crm", "crm_pedidos")
+    daily.reprocess_day(spark, paths.landing, paths.bronze, "crm_pedidos", REPROCESS_DAY)
+    return spark.read.parquet(f"{paths.bronze}/crm_pedidos").select(*_PED.columns, "data")
