@@ -790,3 +790,219 @@ def q_reprocess_day(spark, d):
     ld.write_landing(spark, fixed, paths.landing, "crm", "crm_pedidos")
     daily.reprocess_day(spark, paths.landing, paths.bronze, "crm_pedidos", REPROCESS_DAY)
     return spark.read.parquet(f"{paths.bronze}/crm_pedidos").select(*_PED.columns, "data")
+
+
+# ---- documented KPIs and rules (K1-K16, J7, J9) --------------------------------
+
+from ..operators import kpis as kp  # noqa: E402
+from ..operators import quality as qa  # noqa: E402
+
+
+def hot_lots(spark, d):
+    return hot_keys(spark, d, "erp_notas_expedicao", "lote_id")
+
+
+@query("dso", """SELECT strftime(f.data_faturamento, '%Y-%m') AS mes,
+ round(avg(CASE WHEN c.status_conta = 'recebido' AND c.data_recebimento IS NOT NULL
+   THEN datediff('day', f.data_faturamento, c.data_recebimento) END), 4) AS dso_dias,
+ count(*) FILTER (WHERE c.status_conta = 'recebido' AND c.data_recebimento IS NOT NULL) AS faturas_recebidas,
+ count(*) FILTER (WHERE NOT coalesce(c.status_conta = 'recebido' AND c.data_recebimento IS NOT NULL, false)) AS faturas_em_aberto
+ FROM sv_financeiro_contas_receber c JOIN sv_financeiro_faturas f USING (fatura_id) GROUP BY 1""")
+def q_dso(spark, d):
+    return kp.dso(S(spark, d, "financeiro_faturas"), S(spark, d, "financeiro_contas_receber"))
+
+
+@query("reconciled_pct", f"""SELECT strftime(data_faturamento, '%Y-%m') AS mes, count(*) AS faturas,
+ count(*) FILTER (WHERE NOT divergente) AS sem_divergencia, count(*) FILTER (WHERE divergente IS NULL) AS sem_veredito,
+ round(avg(CAST(NOT divergente AS DOUBLE)), 6) AS pct_conciliado FROM ({RECONCILE_SQL}) GROUP BY 1""")
+def q_reconciled_pct(spark, d):
+    return kp.reconciled_pct(reconciliation(spark, d))
+
+
+@query("missing_cost_center", """SELECT fatura_id, centro_custo_id,
+ CASE WHEN centro_custo_id IS NULL THEN 'sem_centro'
+      WHEN centro_custo_id NOT IN (SELECT centro_custo_id FROM sd_financeiro_centros_custo) THEN 'centro_desconhecido'
+      ELSE 'ok' END AS situacao FROM sv_financeiro_faturas""")
+def q_missing_cost_center(spark, d):
+    return kp.missing_cost_center(S(spark, d, "financeiro_faturas"), SEED(spark, d, "financeiro_centros_custo"))
+
+
+@query("delivery_without_pod", """SELECT comprovante_id, remessa_id, status_entrega, data_entrega_real
+ FROM sv_tms_comprovantes_entrega WHERE pod_confirmado IS NULL""")
+def q_delivery_without_pod(spark, d):
+    return kp.delivery_without_pod(S(spark, d, "tms_comprovantes_entrega"))
+
+
+@query("invoice_before_delivery", """SELECT fatura_id, remessa_id, data_faturamento FROM sv_financeiro_faturas f
+ WHERE NOT EXISTS (SELECT 1 FROM sv_tms_comprovantes_entrega c WHERE c.pod_confirmado AND c.remessa_id = f.remessa_id)""")
+def q_invoice_before_delivery(spark, d):
+    return kp.invoice_before_delivery(S(spark, d, "financeiro_faturas"), S(spark, d, "tms_comprovantes_entrega"))
+
+
+@query("blocked_customer_orders", """SELECT pedido_id, cliente_id, data_pedido, valor_total, status_pedido
+ FROM sv_crm_pedidos WHERE cliente_id IN (SELECT cliente_id FROM sd_crm_clientes WHERE status_cliente = 'bloqueado')""")
+def q_blocked_customer_orders(spark, d):
+    return kp.blocked_customer_orders(S(spark, d, "crm_pedidos"), SEED(spark, d, "crm_clientes"))
+
+
+@query("unreleased_lot_dispatch", """SELECT n.nota_expedicao_id, n.lote_id, l.status_qc,
+ CASE WHEN l.lote_id IS NULL THEN 'lote_inexistente' WHEN l.status_qc = 'aprovado' THEN 'liberado' ELSE 'nao_liberado' END AS categoria
+ FROM sv_erp_notas_expedicao n LEFT JOIN sv_erp_lotes_producao l ON l.lote_id = n.lote_id""")
+def q_unreleased_lot_dispatch(spark, d):
+    return kp.unreleased_lot_dispatch(S(spark, d, "erp_notas_expedicao"), S(spark, d, "erp_lotes_producao"),
+                                      hot_lots(spark, d))
+
+
+@query("fefo_compliance", """SELECT n.nota_expedicao_id, n.lote_id, l.produto_id, n.centro_distribuicao_id, n.data_expedicao,
+ l.data_validade, a.validade_minima_disponivel,
+ CASE WHEN l.lote_id IS NULL THEN 'lote_inexistente' WHEN a.validade_minima_disponivel IS NULL THEN 'sem_posicao_estoque'
+      WHEN l.data_validade <= a.validade_minima_disponivel THEN 'conforme' ELSE 'fora_fefo' END AS situacao
+ FROM sv_erp_notas_expedicao n LEFT JOIN sv_erp_lotes_producao l ON l.lote_id = n.lote_id
+ LEFT JOIN (SELECT p.centro_distribuicao_id, l2.produto_id, p.data_posicao AS dia, min(l2.data_validade) AS validade_minima_disponivel
+   FROM sv_erp_posicoes_estoque p JOIN sv_erp_lotes_producao l2 ON l2.lote_id = p.lote_id
+   WHERE p.quantidade > 0 AND l2.status_qc = 'aprovado' GROUP BY 1, 2, 3) a
+   ON a.centro_distribuicao_id = n.centro_distribuicao_id AND a.produto_id = l.produto_id AND a.dia = n.data_expedicao""")
+def q_fefo_compliance(spark, d):
+    return kp.fefo_compliance(S(spark, d, "erp_notas_expedicao"), S(spark, d, "erp_lotes_producao"),
+                              S(spark, d, "erp_posicoes_estoque"), hot_lots(spark, d))
+
+
+@query("pick_cycle_time", """SELECT n.centro_distribuicao_id, count(*) AS expedicoes,
+ round(avg(datediff('day', p.data_pedido, n.data_expedicao)), 4) AS ciclo_medio_dias,
+ quantile_cont(datediff('day', p.data_pedido, n.data_expedicao), 0.5) AS ciclo_mediano_dias,
+ max(datediff('day', p.data_pedido, n.data_expedicao)) AS ciclo_maximo_dias
+ FROM sv_erp_notas_expedicao n JOIN sv_crm_pedidos p USING (pedido_id) GROUP BY 1""")
+def q_pick_cycle_time(spark, d):
+    return kp.pick_cycle_time(S(spark, d, "erp_notas_expedicao"), S(spark, d, "crm_pedidos"))
+
+
+@query("transit_time_by_route", """SELECT r.rota_id, t.regiao_destino,
+ CAST(ceil(t.tempo_transito_padrao_horas / 24) AS INTEGER) AS transito_padrao_dias, count(*) AS entregas,
+ round(avg(datediff('day', r.data_expedicao, c.data_entrega_real)), 4) AS transito_medio_dias,
+ count(*) FILTER (WHERE datediff('day', r.data_expedicao, c.data_entrega_real) > ceil(t.tempo_transito_padrao_horas / 24)) AS acima_do_padrao
+ FROM sv_tms_comprovantes_entrega c JOIN sv_tms_remessas r USING (remessa_id) LEFT JOIN sd_tms_rotas t USING (rota_id)
+ GROUP BY 1, 2, 3""")
+def q_transit_time_by_route(spark, d):
+    return kp.transit_time_by_route(S(spark, d, "tms_remessas"), S(spark, d, "tms_comprovantes_entrega"),
+                                    SEED(spark, d, "tms_rotas"))
+
+
+@query("sla_breach", """SELECT c.remessa_id, r.data_entrega_prevista, c.data_entrega_real,
+ datediff('day', r.data_entrega_prevista, c.data_entrega_real) AS atraso_dias,
+ c.data_entrega_real > r.data_entrega_prevista AS violou_sla
+ FROM sv_tms_comprovantes_entrega c JOIN sv_tms_remessas r USING (remessa_id)""")
+def q_sla_breach(spark, d):
+    return kp.sla_breach(S(spark, d, "tms_comprovantes_entrega"), S(spark, d, "tms_remessas"))
+
+
+@query("orders_by_region", """SELECT coalesce(c.regiao, 'desconhecida') AS regiao, count(*) AS pedidos,
+ sum(p.valor_total) AS valor_total FROM sv_crm_pedidos p LEFT JOIN sd_crm_clientes c USING (cliente_id) GROUP BY 1""")
+def q_orders_by_region(spark, d):
+    return kp.orders_by_region(S(spark, d, "crm_pedidos"), SEED(spark, d, "crm_clientes"))
+
+
+@query("complaints_per_lot", """SELECT c.lote_id, c.reclamacoes, l.quantidade_produzida,
+ round(CASE WHEN l.quantidade_produzida IS NULL OR l.quantidade_produzida = 0 THEN NULL
+   ELSE c.reclamacoes * 1000.0 / l.quantidade_produzida END, 6) AS reclamacoes_por_mil_unidades,
+ l.quantidade_produzida IS NOT NULL AS lote_conhecido
+ FROM (SELECT lote_id, count(*) AS reclamacoes FROM sv_crm_atendimento
+       WHERE tipo_interacao = 'reclamacao' AND lote_id IS NOT NULL GROUP BY 1) c
+ LEFT JOIN sv_erp_lotes_producao l USING (lote_id)""")
+def q_complaints_per_lot(spark, d):
+    return kp.complaints_per_lot(S(spark, d, "crm_atendimento"), S(spark, d, "erp_lotes_producao"))
+
+
+@query("lot_trace", """SELECT n.lote_id, n.nota_expedicao_id, r.remessa_id, n.pedido_id, p.cliente_id
+ FROM sv_erp_notas_expedicao n JOIN (SELECT DISTINCT lote_id FROM sv_erp_lotes_producao WHERE status_qc = 'reprovado') l USING (lote_id)
+ LEFT JOIN sv_tms_remessas r ON r.nota_expedicao_id = n.nota_expedicao_id
+ LEFT JOIN sv_crm_pedidos p ON p.pedido_id = n.pedido_id""")
+def q_lot_trace(spark, d):
+    rejected = S(spark, d, "erp_lotes_producao").where(F.col("status_qc") == "reprovado")
+    return kp.lot_trace(rejected, S(spark, d, "erp_notas_expedicao"), S(spark, d, "tms_remessas"),
+                        S(spark, d, "crm_pedidos"), hot_lots(spark, d))
+
+
+@query("lot_release_time", """SELECT lote_id, centro_producao_id, produto_id, status_qc,
+ datediff('day', data_fabricacao, data_liberacao) AS dias_ate_liberacao FROM sv_erp_lotes_producao""")
+def q_lot_release_time(spark, d):
+    return kp.lot_release_time(S(spark, d, "erp_lotes_producao"))
+
+
+@query("billable_deliveries", """SELECT c.remessa_id, r.pedido_id, c.comprovante_id, c.data_entrega_real
+ FROM sv_tms_comprovantes_entrega c JOIN sv_tms_remessas r USING (remessa_id) WHERE c.pod_confirmado""")
+def q_billable_deliveries(spark, d):
+    return kp.billable_deliveries(S(spark, d, "tms_comprovantes_entrega"), S(spark, d, "tms_remessas"))
+
+
+@query("lot_cold_flag", """SELECT l.lote_id, l.produto_id, p.exige_cadeia_fria
+ FROM sv_erp_lotes_producao l LEFT JOIN sd_erp_produtos p USING (produto_id)""")
+def q_lot_cold_flag(spark, d):
+    return kp.lot_cold_flag(S(spark, d, "erp_lotes_producao"), SEED(spark, d, "erp_produtos"))
+
+
+# ---- quality reports (Q1, Q5, Q6) -------------------------------------------------
+
+_SQL_TYPES = {"dates": "date", "integers": "bigint", "money": "decimal(18,2)", "measures": "double",
+              "texts": "string", "nullable_fks": "string", "booleans": "boolean", "timestamps": "timestamp",
+              "plain": "string"}
+
+
+def _profile_sql(t):
+    spec = EVENT_TABLES[t]
+    cols = list(spec.columns) + ["data_particao_ingestao"]
+    vals = ", ".join(f"('{c}', {i + 1}, '{_SQL_TYPES[spec.category(c)] if c in spec.columns else 'string'}')"
+                     for i, c in enumerate(cols))
+    return (f"SELECT '{t}' AS tabela, coluna, posicao, tipo, (SELECT count(*) FROM sv_{t}) AS total_linhas "
+            f"FROM (VALUES {vals}) v(coluna, posicao, tipo)")
+
+
+@query("table_profile", " UNION ALL ".join(_profile_sql(t) for t in EVENT_TABLES))
+def q_table_profile(spark, d):
+    out = None
+    for t in EVENT_TABLES:
+        p = qa.table_profile(S(spark, d, t), t)
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+# Data rules checked on silver (Spark SQL predicates, valid in DuckDB too).
+DATA_RULES = {
+    "crm_pedidos": [
+        rules.Rule("valor_nao_positivo", "valor_total <= 0", "alta"),
+        rules.Rule("valor_ausente", "valor_total IS NULL", "media"),
+        rules.Rule("data_pedido_ausente", "data_pedido IS NULL", "media"),
+    ],
+    "tms_remessas": [
+        rules.Rule("entrega_prevista_antes_da_expedicao", "data_entrega_prevista < data_expedicao", "alta"),
+        rules.Rule("veiculo_fora_da_frota", "veiculo_id NOT IN ('VEI-001', 'VEI-002', 'VEI-003', 'VEI-004', 'VEI-005', 'VEI-006')", "media"),
+        rules.Rule("sla_acima_de_um_dia", "sla_horas_contratado > 24", "baixa"),
+    ],
+}
+
+
+@query("rule_violations", " UNION ALL ".join(
+    f"SELECT '{t}' AS tabela, {EVENT_TABLES[t].key} AS chave, '{r.name}' AS regra, '{r.severity}' AS severidade "
+    f"FROM sv_{t} WHERE coalesce({r.predicate}, false)" for t, rs in DATA_RULES.items() for r in rs))
+def q_rule_violations(spark, d):
+    out = None
+    for t, rs in DATA_RULES.items():
+        v = rules.rule_violations(S(spark, d, t), t, EVENT_TABLES[t].key, rs)
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+VOLUME_TABLES = ("crm_pedidos", "tms_remessas", "financeiro_faturas")
+
+
+@query("volume_anomaly", " UNION ALL ".join(f"""SELECT tabela, data, linhas, round(m, 4) AS media_movel, round(s, 4) AS desvio_movel,
+ CASE WHEN s IS NULL OR s = 0 THEN false ELSE round(abs(linhas - m), 6) > round(s * 3.0, 6) END AS anomalia
+ FROM (SELECT '{t}' AS tabela, data, linhas,
+   avg(linhas) OVER (ORDER BY data ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS m,
+   stddev_samp(linhas) OVER (ORDER BY data ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS s
+   FROM (SELECT data, count(*) AS linhas FROM bz_{t} GROUP BY data))""" for t in VOLUME_TABLES))
+def q_volume_anomaly(spark, d):
+    out = None
+    for t in VOLUME_TABLES:
+        v = qa.daily_volume(B(spark, d, t), t)
+        out = v if out is None else out.unionByName(v)
+    return qa.volume_anomaly(out)
