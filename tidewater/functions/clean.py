@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 # Spellings of "no value" (compared trimmed and lower-cased).
 NULL_SPELLINGS = ("", "n/a", "null", "none")
 
-# Accepted date layouts, day-first then ISO.
-DATE_FORMATS = ("d/M/yyyy", "yyyy-M-d")
+# Accepted date layouts, day-first (d/M/yyyy) then ISO (yyyy-M-d).
+ISO_DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
 # Brazilian number layout. Thousands with '.', decimals with ','.
 # Either grouped thousands or a plain digit run, optional sign and decimals.
@@ -28,8 +28,14 @@ UNACCENTED = "aaaaaaeeeeiiiiooooouuuucnyyAAAAAAEEEEIIIIOOOOOUUUUCNY"
 
 MONEY_TYPE = "decimal(18,2)"
 
-# Leading/trailing whitespace including Unicode separators (no-break space).
-_EDGE_SPACE = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
+# Whitespace trimmed at both ends, as code points: the ASCII
+# whitespace set (tab, line feed, vertical tab, form feed, carriage return,
+# space) and every Unicode space separator (no-break space, ogham space,
+# en quad .. hair space, line and paragraph separators, narrow no-break space,
+# medium mathematical space, ideographic space).
+EDGE_SPACE_CODES = (9, 10, 11, 12, 13, 32, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198,
+                    8199, 8200, 8201, 8202, 8232, 8233, 8239, 8287, 12288)
+EDGE_SPACE = "".join(chr(c) for c in EDGE_SPACE_CODES)
 
 
 def _c(c) -> Column:
@@ -37,8 +43,12 @@ def _c(c) -> Column:
 
 
 def strip(c) -> Column:
-    """Trim whitespace and Unicode space separators at both ends."""
-    return F.regexp_replace(_c(c), _EDGE_SPACE, "")
+    """Trim whitespace and Unicode space separators at both ends.
+
+    A native trim over a fixed character set: plain ``trim`` keeps a
+    no-break space, and a regex would decode every value to a Java string.
+    """
+    return F.trim(_c(c), F.lit(EDGE_SPACE))
 
 
 def is_null_variant(c) -> Column:
@@ -47,10 +57,48 @@ def is_null_variant(c) -> Column:
     return c.isNull() | F.lower(strip(c)).isin(*NULL_SPELLINGS)
 
 
+# Parsers from already stripped text (the table cleaner strips each column once).
+
+def date_from_stripped(s: Column) -> Column:
+    """Day-first or ISO text -> date, without exceptions.
+
+    ``d/M/yyyy`` is reordered to ISO with native string functions and both go
+    through the string-to-date cast, guarded by a full-shape match (the cast
+    alone would accept partial dates such as ``2026`` or trailing text).
+    Impossible days (31/02) and two-digit years give NULL.
+    """
+    day_first = F.concat(F.substring_index(s, "/", -1), F.lit("-"),
+                         F.substring_index(F.substring_index(s, "/", 2), "/", -1), F.lit("-"),
+                         F.substring_index(s, "/", 1))
+    iso = F.when(F.instr(s, "/") > 0, day_first).otherwise(s)
+    return F.when(iso.rlike(ISO_DATE_PATTERN), iso.try_cast("date"))
+
+
+def number_from_stripped(s: Column, to: str = MONEY_TYPE) -> Column:
+    canonical = F.translate(s, ",.", ".")        # ',' -> '.', thousands '.' dropped
+    return F.when(s.rlike(BR_NUMBER_PATTERN), canonical.try_cast(to))
+
+
+def text_from_stripped(s: Column) -> Column:
+    return F.lower(s)
+
+
+def boolean_from_stripped(s: Column) -> Column:
+    return F.lower(s) == F.lit("true")
+
+
+def timestamp_from_stripped(s: Column) -> Column:
+    return s.try_cast("timestamp")
+
+
+def null_variant_from_stripped(raw: Column, s: Column) -> Column:
+    return raw.isNull() | F.lower(s).isin(*NULL_SPELLINGS)
+
+
+# Column -> column cleaners (each strips its own input).
+
 def parse_date(c) -> Column:
-    s = strip(c)
-    parsed = F.coalesce(*[F.try_to_date(s, fmt) for fmt in DATE_FORMATS])
-    return F.when(~is_null_variant(c), parsed)
+    return F.when(~is_null_variant(c), date_from_stripped(strip(c)))
 
 
 def parse_date_bad(c) -> Column:
@@ -59,9 +107,7 @@ def parse_date_bad(c) -> Column:
 
 def parse_number(c, to: str = MONEY_TYPE) -> Column:
     """Brazilian number text -> decimal. Guarded: ``1250.5``, ``nan``, ``1d`` fail."""
-    s = strip(c)
-    canonical = F.regexp_replace(F.regexp_replace(s, r"\.", ""), ",", ".")
-    return F.when(~is_null_variant(c) & s.rlike(BR_NUMBER_PATTERN), canonical.try_cast(to))
+    return F.when(~is_null_variant(c), number_from_stripped(strip(c), to))
 
 
 def parse_number_bad(c, to: str = MONEY_TYPE) -> Column:
@@ -90,11 +136,11 @@ def null_if_variant(c) -> Column:
 
 def parse_boolean(c) -> Column:
     """Null spelling -> NULL; 'true' in any case -> true; anything else -> false."""
-    return F.when(~is_null_variant(c), F.lower(strip(c)) == F.lit("true"))
+    return F.when(~is_null_variant(c), boolean_from_stripped(strip(c)))
 
 
 def parse_timestamp(c) -> Column:
-    return F.when(~is_null_variant(c), F.try_to_timestamp(strip(c)))
+    return F.when(~is_null_variant(c), timestamp_from_stripped(strip(c)))
 
 
 def parse_timestamp_bad(c) -> Column:
@@ -119,15 +165,14 @@ def add_days(d, n) -> Column:
     return F.date_add(_c(d), _c(n).cast("int"))
 
 
-# Category -> (parser, bad-value predicate or None). Used by the table cleaner.
-CATEGORY_PARSERS = {
-    "dates": (parse_date, parse_date_bad),
-    "integers": (parse_integer, parse_number_bad),
-    "money": (parse_number, parse_number_bad),
-    "measures": (parse_measure, parse_number_bad),
-    "texts": (clean_text, None),
-    "nullable_fks": (null_if_variant, None),
-    "booleans": (parse_boolean, None),
-    "timestamps": (parse_timestamp, parse_timestamp_bad),
-    "plain": (lambda c: _c(c), None),
+# Category -> (parser from stripped text, can the value be unparseable?).
+# The table cleaner strips each column once and reuses it.
+STRIPPED_PARSERS = {
+    "dates": (date_from_stripped, True),
+    "integers": (lambda s: number_from_stripped(s).cast("bigint"), True),
+    "money": (number_from_stripped, True),
+    "measures": (lambda s: number_from_stripped(s).cast("double"), True),
+    "texts": (text_from_stripped, False),
+    "booleans": (boolean_from_stripped, False),
+    "timestamps": (timestamp_from_stripped, True),
 }

@@ -123,12 +123,11 @@ def rule_violations(df: DataFrame, table: str, key: str, rules: list[Rule]) -> D
     All rules are evaluated in one projection; violated ones are exploded out
     of an array, so the table is scanned once whatever the number of rules.
     """
-    hits = F.array_compact(F.array(*[
+    hits = F.array(*[
         F.when(r.column(), F.struct(F.lit(r.name).alias("regra"), F.lit(r.severity).alias("severidade")))
-        for r in rules]))
-    return (df.select(F.col(key).alias("chave"), hits.alias("_hits"))
-              .where(F.size("_hits") > 0)
-              .select(F.lit(table).alias("tabela"), "chave", F.explode("_hits").alias("_h"))
+        for r in rules])
+    return (df.select(F.lit(table).alias("tabela"), F.col(key).alias("chave"), F.explode(hits).alias("_h"))
+              .where(F.col("_h").isNotNull())
               .select("tabela", "chave", "_h.regra", "_h.severidade"))
 
 

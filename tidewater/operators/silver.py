@@ -1,8 +1,8 @@
 """Bronze -> silver: typed cleaning, quarantine, one row per business key.
 
-* :func:`cleanse` turns an all-string bronze frame into typed columns in one
-  ``select`` driven by a :class:`~tidewater.spec.TableSpec`, plus ``_motivos``
-  (array of reasons a row cannot be trusted: unparseable value, null key).
+* :func:`cleanse` turns an all-string bronze frame into typed columns driven
+  by a :class:`~tidewater.spec.TableSpec`, plus ``_motivos`` (comma-separated
+  reasons a row cannot be trusted: unparseable value, null key; '' if none).
 * :func:`silver` keeps the trusted rows and picks the latest row per key.
 * :func:`quarantine` keeps the rest, with the raw record as JSON.
 * :func:`latest_by_key` is an aggregate (``max`` of a struct), not a window:
@@ -21,15 +21,42 @@ from ..spec import PARTITION_COLUMN, SILVER_PARTITION_COLUMN, SeedSpec, TableSpe
 REASONS = "_motivos"
 
 
-def _typed_and_reasons(spec: TableSpec) -> tuple[list[Column], list[Column]]:
-    typed, reasons = [], []
+def _reasoned(bronze: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> DataFrame:
+    """Typed columns + ``_motivos``, computed in three stages.
+
+    Spark does not share subexpressions inside CASE branches, so building
+    "parsed value" and "is it bad" straight from the raw text would strip and
+    parse every value several times. Here each column is stripped once
+    (stage 1), null-checked and parsed once (stage 2), and the typed value
+    and the reasons read those results (stage 3). Catalyst keeps the stages
+    apart (their outputs are used more than once) and fuses them into one
+    codegen stage. ``carry`` names extra bronze columns passed through as is.
+    """
+    carry = [c for c in (carry or [])]
+    part = [PARTITION_COLUMN] if PARTITION_COLUMN in bronze.columns else []
+    s1, s2, typed, reasons = [], [], [], []
     for name in spec.columns:
-        parser, bad = clean.CATEGORY_PARSERS[spec.category(name)]
-        typed.append(parser(name).alias(name))
-        if bad is not None:
-            reasons.append(F.when(bad(name), F.lit(f"{name}:{spec.category(name)}")))
-    reasons.append(F.when(clean.is_null_variant(spec.key), F.lit(f"{spec.key}:chave_nula")))
-    return typed, reasons
+        cat = spec.category(name)
+        if cat in clean.STRIPPED_PARSERS:
+            parse, can_fail = clean.STRIPPED_PARSERS[cat]
+            r, st, nv, pv = f"_r_{name}", f"_s_{name}", f"_nv_{name}", f"_p_{name}"
+            s1 += [F.col(name).alias(r), clean.strip(name).alias(st)]
+            s2 += [clean.null_variant_from_stripped(F.col(r), F.col(st)).alias(nv), parse(F.col(st)).alias(pv)]
+            typed.append(F.when(~F.col(nv), F.col(pv)).alias(name))
+            if can_fail:
+                reasons.append(F.when(~F.col(nv) & F.col(pv).isNull(), F.lit(f"{name}:{cat}")))
+        else:
+            s1.append(F.col(name))
+            s2.append((clean.null_if_variant(name) if cat == "nullable_fks" else F.col(name)).alias(name))
+            typed.append(F.col(name))
+    s1.append(clean.is_null_variant(spec.key).alias("_nv_key"))
+    s2.append(F.col("_nv_key"))
+    reasons.append(F.when(F.col("_nv_key"), F.lit(f"{spec.key}:chave_nula")))
+    passthrough = [F.col(c) for c in part + carry]
+    staged = bronze.select(*s1, *passthrough).select(*s2, *passthrough)
+    # concat_ws skips NULLs and stays in codegen (array_compact is a lambda
+    # function that would push the whole projection out of codegen).
+    return staged.select(*typed, *passthrough, F.concat_ws(",", *reasons).alias(REASONS))
 
 
 def cleanse(bronze: DataFrame, spec: TableSpec, on_error: str = "quarantine") -> DataFrame:
@@ -38,25 +65,22 @@ def cleanse(bronze: DataFrame, spec: TableSpec, on_error: str = "quarantine") ->
     ``on_error="fail"`` raises on the first bad value (the reference's
     behaviour); ``"quarantine"`` only records the reasons.
     """
-    typed, reasons = _typed_and_reasons(spec)
-    motivos = F.array_compact(F.array(*reasons))
+    out = _reasoned(bronze, spec)
+    if PARTITION_COLUMN in out.columns:
+        out = out.withColumnRenamed(PARTITION_COLUMN, SILVER_PARTITION_COLUMN)
     if on_error == "fail":
-        motivos = F.when(F.size(motivos) > 0,
-                         F.raise_error(F.concat(F.lit(f"{spec.name}: bad value "),
-                                                F.array_join(motivos, ","))
-                                       ).cast("array<string>")).otherwise(motivos)
+        m = F.col(REASONS)
+        out = out.withColumn(REASONS, F.when(m != "", F.raise_error(
+            F.concat(F.lit(f"{spec.name}: bad value "), m)).cast("string")).otherwise(m))
     elif on_error != "quarantine":
         raise ValueError("on_error must be 'quarantine' or 'fail'")
-    extra = []
-    if PARTITION_COLUMN in bronze.columns:
-        extra.append(F.col(PARTITION_COLUMN).alias(SILVER_PARTITION_COLUMN))
-    return bronze.select(*typed, *extra, motivos.alias(REASONS))
+    return out
 
 
 def trusted(bronze: DataFrame, spec: TableSpec, on_error: str = "quarantine") -> DataFrame:
     """Cleaned rows with no reason against them (duplicates not yet resolved)."""
     c = cleanse(bronze, spec, on_error)
-    return c.where(F.size(REASONS) == 0).drop(REASONS)
+    return c.where(F.col(REASONS) == "").drop(REASONS)
 
 
 def latest_by_key(df: DataFrame, key: str, order: list[str] | None = None,
@@ -87,21 +111,24 @@ def silver(bronze: DataFrame, spec: TableSpec, on_error: str = "quarantine") ->
     c = cleanse(bronze, spec, on_error)
     cols = [x for x in c.columns if x != REASONS]
     order = [SILVER_PARTITION_COLUMN] if SILVER_PARTITION_COLUMN in cols else []
-    out = latest_by_key(c.select(*cols, (F.size(REASONS) == 0).alias("_ok")).drop(REASONS),
+    out = latest_by_key(c.select(*cols, (F.col(REASONS) == "").alias("_ok")),
                         spec.key, order, keep=F.col("_ok"))
     return out.select(*cols)
 
 
 def quarantine(bronze: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows that cannot be trusted: key, reasons, and the raw record as JSON."""
-    _, reasons = _typed_and_reasons(spec)
-    motivos = F.array_compact(F.array(*reasons))
-    raw = [c for c in bronze.columns]
-    return (bronze.select(F.lit(spec.name).alias("tabela"), F.col(spec.key).alias("chave"),
-                          motivos.alias(REASONS), *raw)
-                  .where(F.size(REASONS) > 0)
-                  .select("tabela", "chave", F.array_join(REASONS, ",").alias("motivos"),
-                          F.to_json(F.struct(*raw), {"ignoreNullFields": "false"}).alias("registro_bruto")))
+    """Rows that cannot be trusted: key, reasons, and the raw record as JSON.
+
+    The raw columns ride along untouched; the JSON is built only for the
+    (rare) rows that fail.
+    """
+    raw = list(bronze.columns)
+    carried = bronze.select(*raw, *[F.col(c).alias(f"_q_{c}") for c in raw])
+    r = _reasoned(carried, spec, carry=[f"_q_{c}" for c in raw])
+    record = F.to_json(F.struct(*[F.col(f"_q_{c}").alias(c) for c in raw]), {"ignoreNullFields": "false"})
+    return (r.where(F.col(REASONS) != "")
+             .select(F.lit(spec.name).alias("tabela"), F.col(f"_q_{spec.key}").alias("chave"),
+                     F.col(REASONS).alias("motivos"), record.alias("registro_bruto")))
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

@@ -167,7 +167,10 @@ _NULLS = ", ".join(f"'{v}'" for v in NULL_SPELLINGS)
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
+    from ..functions.clean import EDGE_SPACE_CODES
+
+    chars = " || ".join(f"chr({c})" for c in EDGE_SPACE_CODES)
+    return f"trim({x}, {chars})"
 
 
 def nv(x: str) -> str:
