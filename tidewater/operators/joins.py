@@ -75,4 +75,8 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
                                                   F.sequence(F.lit(0), F.lit(salts - 1)))
                                            .otherwise(F.array(F.lit(0)))))
             .drop("_hot"))
-    return f.join(d, [key, "_salt"], how).drop("_salt")
+    # hash(key) leads the join keys: the sort-merge join then sorts on a long
+    # prefix instead of string keys that share their first bytes.
+    f = f.withColumn("_h", F.xxhash64(key))
+    d = d.withColumn("_h", F.xxhash64(key))
+    return f.join(d, ["_h", key, "_salt"], how).drop("_salt", "_h")

@@ -101,7 +101,10 @@ def latest_by_key(df: DataFrame, key: str, order: list[str] | None = None,
     candidate = F.struct(*[F.col(c) for c in ordered])
     if keep is not None:
         candidate = F.when(keep, candidate)
-    best = (df.groupBy(key).agg(F.max(candidate).alias("_best"))
+    # Grouping by (hash(key), key) gives the sort-based aggregate a long sort
+    # prefix; business keys such as 'PED-000000123' share their first bytes,
+    # which makes a plain string-key sort compare whole strings.
+    best = (df.groupBy(F.xxhash64(key).alias("_h"), key).agg(F.max(candidate).alias("_best"))
               .where(F.col(key).isNotNull() & F.col("_best").isNotNull()))
     return best.select(key, *[F.col(f"_best.{c}").alias(c) for c in rest])
 
