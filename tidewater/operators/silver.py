@@ -123,15 +123,21 @@ def quarantine(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows that cannot be trusted: key, reasons, and the raw record as JSON.
 
     The raw columns ride along untouched; the JSON is built only for the
-    (rare) rows that fail.
+    (rare) rows that fail. Failing rows are emitted by exploding a one-or-zero
+    element array rather than by a filter: Catalyst would push a filter on
+    the reasons down through every projection and evaluate the parsing (and
+    whatever produced the raw text) again inside it.
     """
     raw = list(bronze.columns)
     carried = bronze.select(*raw, *[F.col(c).alias(f"_q_{c}") for c in raw])
     r = _reasoned(carried, spec, carry=[f"_q_{c}" for c in raw])
     record = F.to_json(F.struct(*[F.col(f"_q_{c}").alias(c) for c in raw]), {"ignoreNullFields": "false"})
-    return (r.where(F.col(REASONS) != "")
-             .select(F.lit(spec.name).alias("tabela"), F.col(f"_q_{spec.key}").alias("chave"),
-                     F.col(REASONS).alias("motivos"), record.alias("registro_bruto")))
+    failing = F.when(F.col(REASONS) != "", F.array(F.struct(F.col(REASONS).alias("motivos"),
+                                                             record.alias("registro_bruto"))))
+    return (r.select(F.lit(spec.name).alias("tabela"), F.col(f"_q_{spec.key}").alias("chave"),
+                     F.explode(F.coalesce(failing, F.array().cast(
+                         "array<struct<motivos:string,registro_bruto:string>>"))).alias("_f"))
+             .select("tabela", "chave", "_f.motivos", "_f.registro_bruto"))
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

@@ -126,6 +126,8 @@ def daily_job(spark: SparkSession, landing: str, root: str, day: str | None = No
                     r = ingest_table(spark, paths, t)
                     facts.update({"linhas_processadas": r["linhas_processadas"]})
                     facts["status"] = "sucesso" if r["linhas_processadas"] else "sem_dado_novo"
+                if not r["linhas_processadas"]:
+                    continue                       # nothing new: silver is already current
                 with ctx.step(f"silver:{t}"):
                     since = F.lit(r["inicio_epoch"]).cast("timestamp")
                     inc = read_bronze(spark, paths, t).where(F.col("_ingerido_em") >= since)

@@ -59,7 +59,8 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, key: str,
     """
     src = latest_by_key(source, key, order).withColumn(BUCKET, bucket_of(key, buckets))
     if not path_exists(spark, path):
-        src.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        # One writer task per bucket: one file per bucket, not one per task and bucket.
+        src.repartition(buckets, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
         return {"modo": "primeira_carga", "baldes": buckets}
     # Touched buckets: at most `buckets` values, a bounded list.
     touched = [r[0] for r in src.select(BUCKET).distinct().collect()]
@@ -67,7 +68,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, key: str,
     kept = target.join(src.select(key), key, "left_anti")
     merged = kept.unionByName(src, allowMissingColumns=allow_new_columns)
     staging = fresh_path(spark, "upsert-staging")
-    merged.write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
+    merged.repartition(buckets, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
     (spark.read.parquet(staging).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
     return {"modo": "merge", "baldes_reescritos": len(touched), "baldes": buckets}
