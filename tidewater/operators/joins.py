@@ -3,7 +3,7 @@
 * :func:`sized_broadcast` broadcasts a side only after proving it small by a
   bounded count (``limit(n + 1)``), else leaves it to a shuffle join.
 * :func:`heavy_hitters` finds the top-K keys of a large side with a map-side
-  combined aggregate, so a bounded set (at most K rows) can be broadcast.
+  combined aggregate: a bounded set (at most K keys).
 * :func:`lookup_join` joins a large fact to a side that is unique on the key.
   Hot keys and NULL keys (which never match but would all hash to one
   reducer) get a salt spread over ``salts`` partitions; the unique side is
@@ -52,29 +52,27 @@ def heavy_hitters(df: DataFrame, key: str, top: int = DEFAULT_HOT_KEYS,
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
-                hot: DataFrame | None = None, salts: int = DEFAULT_SALTS) -> DataFrame:
+                hot: DataFrame | list | None = None, salts: int = DEFAULT_SALTS) -> DataFrame:
     """``fact JOIN dim USING (key)`` where ``dim`` is unique on ``key``.
 
     ``hot`` is a bounded key set (from :func:`heavy_hitters`, possibly computed
-    on a base table upstream of ``fact``); if omitted it is computed on
-    ``fact``. Rows with a hot or NULL key are spread over ``salts`` buckets.
+    on a base table upstream of ``fact``, or a list); if omitted it is
+    computed on ``fact``. The set has at most ``DEFAULT_HOT_KEYS`` entries, so
+    it is fetched once and applied as a literal set: rows with a hot or NULL
+    key are spread over ``salts`` buckets and only the hot keys' dimension
+    rows are replicated.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     if hot is None:
         hot = heavy_hitters(fact, key)
-    hot = F.broadcast(hot.select(key, "_hot"))          # <= top rows, proven bound
-    payload = [c for c in fact.columns]
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in payload]), F.lit(salts))
-    f = (fact.join(hot, key, "left")
-             .withColumn("_salt", F.when(F.col(key).isNull() | F.col("_hot").isNotNull(), spread)
-                                   .otherwise(F.lit(0)))
-             .drop("_hot"))
-    d = (dim.join(hot, key, "left")
-            .withColumn("_salt", F.explode(F.when(F.col("_hot").isNotNull(),
-                                                  F.sequence(F.lit(0), F.lit(salts - 1)))
-                                           .otherwise(F.array(F.lit(0)))))
-            .drop("_hot"))
+    keys = hot if isinstance(hot, list) else [r[0] for r in hot.select(key).limit(DEFAULT_HOT_KEYS).collect()]
+    k = F.col(key)
+    is_hot = k.isin(*keys) if keys else F.lit(False)
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts))
+    f = fact.withColumn("_salt", F.when(k.isNull() | is_hot, spread).otherwise(F.lit(0)))
+    zero, last = F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")
+    d = dim.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(zero, last)).otherwise(F.array(zero))))
     # hash(key) leads the join keys: the sort-merge join then sorts on a long
     # prefix instead of string keys that share their first bytes.
     f = f.withColumn("_h", F.xxhash64(key))
