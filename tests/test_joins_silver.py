@@ -90,3 +90,19 @@ def test_read_or_empty(spark, tmp_path):
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("a", T.StringType())])
     assert tb.read_or_empty(spark, str(tmp_path / "nope.json"), schema).count() == 0
+
+
+def test_flagship_unchanged_when_hot_keys_are_salted(spark, sf):
+    """LOTE-X holds a seventh of all dispatch notes: force it through the salted path."""
+    from tidewater.operators.joins import HOT_ROWS_SETTING
+    from tidewater.plans.catalog import QUERIES, hot_lots
+
+    assert [r.lote_id for r in hot_lots(spark, sf).collect()] == []        # below the default threshold
+    plain = sorted(map(tuple, QUERIES["cold_chain"](spark, sf).collect()), key=str)
+    spark.conf.set(HOT_ROWS_SETTING, "5")
+    try:
+        assert "LOTE-X" in [r.lote_id for r in hot_lots(spark, sf).collect()]
+        salted = sorted(map(tuple, QUERIES["cold_chain"](spark, sf).collect()), key=str)
+    finally:
+        spark.conf.unset(HOT_ROWS_SETTING)
+    assert salted == plain

@@ -71,16 +71,21 @@ def work_dir(spark: SparkSession) -> str:
             d = spark.sparkContext.getCheckpointDir()
         except Exception:  # Spark Connect: no SparkContext
             d = None
+    if not d:
+        d = _LOCAL_WORK_DIRS.get(id(spark))
     if not d:
         d = tempfile.mkdtemp(prefix="tidewater-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        _LOCAL_WORK_DIRS[id(spark)] = d
         try:
             spark.sparkContext.setCheckpointDir(d)
-        except Exception:
+        except Exception:  # core settings may be read-only at runtime
             pass
     return d.rstrip("/")
 
 
+_LOCAL_WORK_DIRS: dict[int, str] = {}
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared work folder."""
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -3,7 +3,7 @@
 Each view carries the shape and the dirt of one source table (mixed date
 layouts, Brazilian numbers, case/space noise, null spellings, orphan keys,
 hot keys) onto the TPC-H-like driver tables, by key arithmetic only, so the
-same rows can be produced by DuckDB (``tidewater.oracle.fixtures_sql``) for
+same rows can be produced by DuckDB (``tidewater.oracle.sql``) for
 an independent check. Every view is plain text, like bronze, plus the ingest
 partition column ``data``. Their size grows with the driver tables.
 
