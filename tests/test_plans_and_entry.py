@@ -62,3 +62,10 @@ def test_oracle_parity_on_smoke_data(spark, sf):
                 rows_of([tuple(r) for r in df.collect()], df.columns) != rows_of(cur.fetchall(), dcols):
             bad.append(name)
     assert bad == []
+
+
+def test_dedup_is_combined_map_side(spark, sf):
+    """latest_by_key is a partial + final aggregate (hot keys collapse before the shuffle), not a window."""
+    df = queries()["latest_by_key"](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "Window" not in plan
