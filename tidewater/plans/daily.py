@@ -113,25 +113,26 @@ def silver_refresh(spark: SparkSession, bronze: DataFrame, table: str, silver_pa
 
 def daily_job(spark: SparkSession, landing: str, root: str, day: str | None = None) -> RunContext:
     """Ingest every table, refresh silver, log each step (success or failure)."""
-    from ..streaming.ingest import IngestPaths, ingest_table, read_bronze
+    from ..streaming.ingest import IngestPaths, ingest_tables, read_bronze
 
     paths = IngestPaths(landing, f"{root}/bronze", f"{root}/checkpoints")
     ctx = RunContext("diario", day)
+    ordered = [t for system in SYSTEM_ORDER for t, spec in EVENT_TABLES.items() if spec.system == system]
     try:
-        for system in SYSTEM_ORDER:
-            for t, spec in EVENT_TABLES.items():
-                if spec.system != system:
-                    continue
-                with ctx.step(f"ingest:{t}") as facts:
-                    r = ingest_table(spark, paths, t)
-                    facts.update({"linhas_processadas": r["linhas_processadas"]})
-                    facts["status"] = "sucesso" if r["linhas_processadas"] else "sem_dado_novo"
-                if not r["linhas_processadas"]:
-                    continue                       # nothing new: silver is already current
-                with ctx.step(f"silver:{t}"):
-                    since = F.lit(r["inicio_epoch"]).cast("timestamp")
-                    inc = read_bronze(spark, paths, t).where(F.col("_ingerido_em") >= since)
-                    silver_refresh(spark, inc, t, f"{root}/silver/{t}", f"{root}/quarentena")
+        # All streams run together; one log record per table once they finish.
+        with ctx.step("ingest"):
+            results = ingest_tables(spark, paths, ordered)
+        for r in results:
+            t = r["tabela"]
+            with ctx.step(f"ingest:{t}") as facts:
+                facts.update({"linhas_processadas": r["linhas_processadas"], "lotes": r["lotes"]})
+                facts["status"] = "sucesso" if r["linhas_processadas"] else "sem_dado_novo"
+            if not r["linhas_processadas"]:
+                continue                       # nothing new: silver is already current
+            with ctx.step(f"silver:{t}"):
+                since = F.lit(r["inicio_epoch"]).cast("timestamp")
+                inc = read_bronze(spark, paths, t).where(F.col("_ingerido_em") >= since)
+                silver_refresh(spark, inc, t, f"{root}/silver/{t}", f"{root}/quarentena")
     finally:
         ctx.flush(spark, f"{root}/pipeline_runs")
     return ctx
