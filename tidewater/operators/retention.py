@@ -14,11 +14,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import tune_file_listing
 from ..spec import PARTITION_COLUMN
 
 
 def landing_files(spark: SparkSession, system_path: str) -> DataFrame:
     """Every landed file of a system: path and its ``data`` partition (text)."""
+    tune_file_listing(spark)
     return (spark.read.format("binaryFile").load(system_path)
             .select(F.col("path").alias("arquivo"), F.col(PARTITION_COLUMN)))
 

@@ -89,3 +89,22 @@ _LOCAL_WORK_DIRS: dict[int, str] = {}
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared work folder."""
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def tune_file_listing(spark: SparkSession) -> None:
+    """A landing zone has one folder per day: list them with a few tasks per core.
+
+    Spark's default launches up to one listing task per folder (10000); for
+    thousands of small day folders the task overhead dominates. A value the
+    user has set is left alone.
+    """
+    if spark.conf.get(LISTING_PARALLELISM, "10000") != "10000":
+        return
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: no SparkContext
+        return
+    spark.conf.set(LISTING_PARALLELISM, str(max(8, cores * 4)))
