@@ -106,3 +106,16 @@ def test_flagship_unchanged_when_hot_keys_are_salted(spark, sf):
     finally:
         spark.conf.unset(HOT_ROWS_SETTING)
     assert salted == plain
+
+
+def test_fefo_unchanged_when_centre_days_are_salted(spark, sf):
+    from tidewater.operators.joins import HOT_ROWS_SETTING
+    from tidewater.plans.catalog import QUERIES
+
+    plain = sorted(map(tuple, QUERIES["fefo_compliance"](spark, sf).collect()), key=str)
+    spark.conf.set(HOT_ROWS_SETTING, "1")           # every repeated (centre, day) and lot becomes hot
+    try:
+        salted = sorted(map(tuple, QUERIES["fefo_compliance"](spark, sf).collect()), key=str)
+    finally:
+        spark.conf.unset(HOT_ROWS_SETTING)
+    assert salted == plain

@@ -52,7 +52,8 @@ def heavy_hitters(df: DataFrame, key: str, top: int = DEFAULT_HOT_KEYS,
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
-                hot: DataFrame | list | None = None, salts: int = DEFAULT_SALTS) -> DataFrame:
+                hot: DataFrame | list | None = None, salts: int = DEFAULT_SALTS,
+                hot_part=None) -> DataFrame:
     """``fact JOIN dim USING (key)`` where ``dim`` is unique on ``key``.
 
     ``hot`` is a bounded key set (from :func:`heavy_hitters`, possibly computed
@@ -60,7 +61,9 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
     computed on ``fact``. The set has at most ``DEFAULT_HOT_KEYS`` entries, so
     it is fetched once and applied as a literal set: rows with a hot or NULL
     key are spread over ``salts`` buckets and only the hot keys' dimension
-    rows are replicated.
+    rows are replicated. ``hot_part`` maps the key column to the part the
+    hot set is expressed in (e.g. a prefix of a composite key), for when hot
+    groups are detected on a cheaper, coarser key upstream.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -68,7 +71,8 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
         hot = heavy_hitters(fact, key)
     keys = hot if isinstance(hot, list) else [r[0] for r in hot.select(key).limit(DEFAULT_HOT_KEYS).collect()]
     k = F.col(key)
-    is_hot = k.isin(*keys) if keys else F.lit(False)
+    probe = hot_part(k) if hot_part is not None else k
+    is_hot = probe.isin(*keys) if keys else F.lit(False)
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts))
     f = fact.withColumn("_salt", F.when(k.isNull() | is_hot, spread).otherwise(F.lit(0)))
     zero, last = F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")

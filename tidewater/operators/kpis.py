@@ -84,7 +84,7 @@ def unreleased_lot_dispatch(notas: DataFrame, lotes: DataFrame, hot_lots: DataFr
 
 
 def fefo_compliance(notas: DataFrame, lotes: DataFrame, posicoes: DataFrame,
-                    hot_lots: DataFrame | None = None) -> DataFrame:
+                    hot_lots: DataFrame | None = None, hot_centre_days: list | None = None) -> DataFrame:
     """First-expire-first-out per dispatch.
 
     Available stock = positions with quantity > 0 of approved lots, per
@@ -92,7 +92,11 @@ def fefo_compliance(notas: DataFrame, lotes: DataFrame, posicoes: DataFrame,
     it expires no later than the earliest-expiring available lot of the same
     product at the same centre on the dispatch day. The minimum per
     (centre, product, day) is an aggregate, joined back on that composite
-    key (equi-join, no range join, no pairs).
+    key (equi-join, no range join, no pairs). The key is ordered
+    ``centre|day|product``: a hot composite key implies a hot (centre, day)
+    among the dispatch notes, so ``hot_centre_days`` ('centre|yyyy-MM-dd',
+    from :func:`centre_days_hot`) salts by the key's first two parts without
+    materialising the dispatch-lot join twice.
     """
     lots = lotes.select("lote_id", "produto_id", "status_qc", "data_validade")
     avail = (posicoes.where(F.col("quantidade") > 0)
@@ -100,14 +104,17 @@ def fefo_compliance(notas: DataFrame, lotes: DataFrame, posicoes: DataFrame,
              .join(lots.where(F.col("status_qc") == "aprovado"), "lote_id")
              .groupBy("centro_distribuicao_id", "produto_id", F.col("data_posicao").alias("dia"))
              .agg(F.min("data_validade").alias("validade_minima_disponivel")))
-    key = F.concat_ws("|", "centro_distribuicao_id", "produto_id", F.date_format("dia", "yyyy-MM-dd"))
+    key = F.concat_ws("|", "centro_distribuicao_id", F.date_format("dia", "yyyy-MM-dd"), "produto_id")
     avail = avail.select(key.alias("_k"), "validade_minima_disponivel")
     disp = lookup_join(notas.select("nota_expedicao_id", "lote_id", "centro_distribuicao_id", "data_expedicao"),
                        lots.select("lote_id", "produto_id", "data_validade", F.lit(True).alias("_achado")),
                        "lote_id", "left", hot_lots)
-    disp = disp.withColumn("_k", F.concat_ws("|", "centro_distribuicao_id", "produto_id",
-                                             F.date_format("data_expedicao", "yyyy-MM-dd")))
-    j = lookup_join(disp, avail, "_k", "left")
+    disp = disp.withColumn("_k", F.concat_ws("|", "centro_distribuicao_id",
+                                             F.date_format("data_expedicao", "yyyy-MM-dd"), "produto_id"))
+    if hot_centre_days is None:
+        hot_centre_days = centre_days_hot(notas)
+    j = lookup_join(disp, avail, "_k", "left", hot_centre_days,
+                    hot_part=lambda k: F.substring_index(k, "|", 2))
     verdict = (F.when(F.col("_achado").isNull(), "lote_inexistente")
                .when(F.col("validade_minima_disponivel").isNull(), "sem_posicao_estoque")
                .when(F.col("data_validade") <= F.col("validade_minima_disponivel"), "conforme")
@@ -116,6 +123,15 @@ def fefo_compliance(notas: DataFrame, lotes: DataFrame, posicoes: DataFrame,
                     "data_validade", "validade_minima_disponivel", verdict.alias("situacao"))
 
 
+def centre_days_hot(notas: DataFrame, top: int = 64) -> list:
+    """Hot (centre, dispatch day) pairs of the dispatch notes, as 'centre|yyyy-MM-dd'."""
+    from .joins import heavy_hitters
+
+    pairs = notas.select(F.concat_ws("|", "centro_distribuicao_id",
+                                     F.date_format("data_expedicao", "yyyy-MM-dd")).alias("_cd"))
+    return [r[0] for r in heavy_hitters(pairs, "_cd", top).collect()]
+
+
 def pick_cycle_time(notas: DataFrame, pedidos: DataFrame) -> DataFrame:
     """Order -> dispatch days per distribution centre: mean, median, max."""
     j = notas.select("pedido_id", "centro_distribuicao_id", "data_expedicao") \

@@ -863,8 +863,12 @@ def q_unreleased_lot_dispatch(spark, d):
    WHERE p.quantidade > 0 AND l2.status_qc = 'aprovado' GROUP BY 1, 2, 3) a
    ON a.centro_distribuicao_id = n.centro_distribuicao_id AND a.produto_id = l.produto_id AND a.dia = n.data_expedicao""")
 def q_fefo_compliance(spark, d):
+    # Hot (centre, day) pairs from the cleaned bronze notes: a narrow scan, no dedup, no join.
+    b = B(spark, d, "erp_notas_expedicao").select(
+        clean.clean_text("centro_distribuicao_id").alias("centro_distribuicao_id"),
+        clean.parse_date("data_expedicao").alias("data_expedicao"))
     return kp.fefo_compliance(S(spark, d, "erp_notas_expedicao"), S(spark, d, "erp_lotes_producao"),
-                              S(spark, d, "erp_posicoes_estoque"), hot_lots(spark, d))
+                              S(spark, d, "erp_posicoes_estoque"), hot_lots(spark, d), kp.centre_days_hot(b))
 
 
 @query("pick_cycle_time", """SELECT n.centro_distribuicao_id, count(*) AS expedicoes,
