@@ -18,6 +18,12 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lz_fingerprint import compare_with_next
+
+    return compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import format_turns, read_back
 
@@ -46,5 +52,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op7_chat_format, op9_hilbert_shards, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op6_lz_fingerprint, op7_chat_format, op9_hilbert_shards, op10_line_dedup)}
 ORACLE = dict(oracles.SQL)
