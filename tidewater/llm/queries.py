@@ -18,6 +18,16 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op6_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lz_fingerprint import compare_with_next
 
@@ -52,5 +62,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op6_lz_fingerprint, op7_chat_format, op9_hilbert_shards, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_decontaminate, op6_lz_fingerprint, op7_chat_format, op9_hilbert_shards, op10_line_dedup)}
 ORACLE = dict(oracles.SQL)
