@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
@@ -28,3 +31,12 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared work folder and read back."""
     return materialize(spark, df, f"llm-{name}")
+
+
+def share(spark: SparkSession, value):
+    """A broadcast of an object of this package; bytes, so that workers need no copy of the package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared(broadcast):
+    return pickle.loads(broadcast.value)

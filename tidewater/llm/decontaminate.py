@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import share, shared, small_batches
 from .words import Scanner, alnum_table, pieces
 
 WINDOW = 10                     # words; an item of fewer words is one phrase
@@ -235,7 +235,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     docs = docs.drop("n_words", "n_hit", "spans", "items")
     result = None
     for part in _parts(benchmark):
-        phrases = spark.sparkContext.broadcast(Phrases([r["item_id"] for r in part], [r["text"] for r in part], window))
+        phrases = share(spark, Phrases([r["item_id"] for r in part], [r["text"] for r in part], window))
         result = _one_pass(docs if result is None else result, phrases, result is not None)
     return result
 
@@ -253,7 +253,7 @@ def _one_pass(docs: DataFrame, phrases, again: bool) -> DataFrame:
     at = docs.columns.index("text")
 
     def work(batches):
-        scanner, p = Scanner(alnum_table()), phrases.value
+        scanner, p = Scanner(alnum_table()), shared(phrases)
         for batch in batches:
             texts = batch.column(at)
             n_words, n_hit, spans, items = [], [], [], []

@@ -28,6 +28,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_score import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lz_fingerprint import compare_with_next
 
@@ -62,5 +68,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_decontaminate, op6_lz_fingerprint, op7_chat_format, op9_hilbert_shards, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_decontaminate, op4_lm_score, op6_lz_fingerprint, op7_chat_format, op9_hilbert_shards, op10_line_dedup)}
 ORACLE = dict(oracles.SQL)
