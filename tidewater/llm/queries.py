@@ -34,6 +34,13 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import similar_classes
+
+    classes = similar_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return classes.select("doc_id", "class_id", "n_links", "n_copies")
+
+
 def op6_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lz_fingerprint import compare_with_next
 
@@ -68,5 +75,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_decontaminate, op4_lm_score, op6_lz_fingerprint, op7_chat_format, op9_hilbert_shards, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_decontaminate, op4_lm_score, op5_jaccard_join, op6_lz_fingerprint, op7_chat_format, op9_hilbert_shards, op10_line_dedup)}
 ORACLE = dict(oracles.SQL)
