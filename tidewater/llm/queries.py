@@ -18,6 +18,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import fit_quality, score_quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "quality_score", "text_score", "meta_score", "keep")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
 
@@ -75,5 +83,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_decontaminate, op4_lm_score, op5_jaccard_join, op6_lz_fingerprint, op7_chat_format, op9_hilbert_shards, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_quality, op3_decontaminate, op4_lm_score, op5_jaccard_join, op6_lz_fingerprint, op7_chat_format, op9_hilbert_shards, op10_line_dedup)}
 ORACLE = dict(oracles.SQL)
