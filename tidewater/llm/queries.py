@@ -65,6 +65,13 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_turns(turns))
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract_pages
+
+    found = extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import hilbert_shards
 
@@ -83,5 +90,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_quality, op3_decontaminate, op4_lm_score, op5_jaccard_join, op6_lz_fingerprint, op7_chat_format, op9_hilbert_shards, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_quality, op3_decontaminate, op4_lm_score, op5_jaccard_join, op6_lz_fingerprint, op7_chat_format, op8_html_extract, op9_hilbert_shards, op10_line_dedup)}
 ORACLE = dict(oracles.SQL)
