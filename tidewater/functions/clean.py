@@ -16,8 +16,14 @@ from pyspark.sql import functions as F
 NULL_SPELLINGS = ("", "n/a", "null", "none")
 
 # Accepted date layouts, day-first (d/M/yyyy) then ISO (yyyy-M-d).
+DAY_FIRST_PATTERN = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
 ISO_DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
+# Accepted timestamp layout, a whole date with an optional time
+# of day and zone. A bare time of day is not one (it would mean "today").
+TIMESTAMP_PATTERN = (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+                     r"([T ][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$")
+
 # Brazilian number layout. Thousands with '.', decimals with ','.
 # Either grouped thousands or a plain digit run, optional sign and decimals.
 BR_NUMBER_PATTERN = r"^[+-]?([0-9]{1,3}(\.[0-9]{3})*|[0-9]+)(,[0-9]+)?$"
@@ -30,10 +36,10 @@ MONEY_TYPE = "decimal(18,2)"
 
 # Whitespace trimmed at both ends, as code points: the ASCII
 # whitespace set (tab, line feed, vertical tab, form feed, carriage return,
-# space) and every Unicode space separator (no-break space, ogham space,
+# space), the information separators, next line, and every Unicode space separator (no-break space, ogham space,
 # en quad .. hair space, line and paragraph separators, narrow no-break space,
 # medium mathematical space, ideographic space).
-EDGE_SPACE_CODES = (9, 10, 11, 12, 13, 32, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198,
+EDGE_SPACE_CODES = (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198,
                     8199, 8200, 8201, 8202, 8232, 8233, 8239, 8287, 12288)
 EDGE_SPACE = "".join(chr(c) for c in EDGE_SPACE_CODES)
 
@@ -62,16 +68,17 @@ def is_null_variant(c) -> Column:
 def date_from_stripped(s: Column) -> Column:
     """Day-first or ISO text -> date, without exceptions.
 
-    ``d/M/yyyy`` is reordered to ISO with native string functions and both go
-    through the string-to-date cast, guarded by a full-shape match (the cast
-    alone would accept partial dates such as ``2026`` or trailing text).
-    Impossible days (31/02) and two-digit years give NULL.
+    A text of the whole shape ``d/M/yyyy`` is reordered to ISO with native
+    string functions; both layouts go through the string-to-date cast, guarded
+    by a full-shape match (the cast alone would accept partial dates such as
+    ``2026`` or trailing text). Impossible days (31/02), two-digit years and
+    extra parts (``1/2/3/2026``) give NULL.
     """
     day_first = F.concat(F.substring_index(s, "/", -1), F.lit("-"),
                          F.substring_index(F.substring_index(s, "/", 2), "/", -1), F.lit("-"),
                          F.substring_index(s, "/", 1))
-    iso = F.when(F.instr(s, "/") > 0, day_first).otherwise(s)
-    return F.when(iso.rlike(ISO_DATE_PATTERN), iso.try_cast("date"))
+    iso = F.when(s.rlike(DAY_FIRST_PATTERN), day_first).when(s.rlike(ISO_DATE_PATTERN), s)
+    return iso.try_cast("date")
 
 
 def number_from_stripped(s: Column, to: str = MONEY_TYPE) -> Column:
@@ -79,6 +86,16 @@ def number_from_stripped(s: Column, to: str = MONEY_TYPE) -> Column:
     return F.when(s.rlike(BR_NUMBER_PATTERN), canonical.try_cast(to))
 
 
+def integer_from_stripped(s: Column) -> Column:
+    """The part before the decimal comma: truncation toward zero of the exact value, no rounding first."""
+    return F.when(s.rlike(BR_NUMBER_PATTERN), F.substring_index(F.translate(s, ".", ""), ",", 1).try_cast("bigint"))
+
+
+def measure_from_stripped(s: Column) -> Column:
+    """All decimals of a sensor value, as a double."""
+    return number_from_stripped(s, "double")
+
+
 def text_from_stripped(s: Column) -> Column:
     return F.lower(s)
 
@@ -88,7 +105,7 @@ def boolean_from_stripped(s: Column) -> Column:
 
 
 def timestamp_from_stripped(s: Column) -> Column:
-    return s.try_cast("timestamp")
+    return F.when(s.rlike(TIMESTAMP_PATTERN), s.try_cast("timestamp"))
 
 
 def null_variant_from_stripped(raw: Column, s: Column) -> Column:
@@ -116,12 +133,12 @@ def parse_number_bad(c, to: str = MONEY_TYPE) -> Column:
 
 def parse_integer(c) -> Column:
     """Number text -> bigint, truncating toward zero like an int cast."""
-    return parse_number(c).cast("bigint")
+    return F.when(~is_null_variant(c), integer_from_stripped(strip(c)))
 
 
 def parse_measure(c) -> Column:
-    """Number text -> double for sensor values (parsed exactly, then widened)."""
-    return parse_number(c).cast("double")
+    """Number text -> double for sensor values, with all its decimals."""
+    return F.when(~is_null_variant(c), measure_from_stripped(strip(c)))
 
 
 def clean_text(c) -> Column:
@@ -161,17 +178,13 @@ def hours_to_days(c) -> Column:
     return F.ceil(_c(c) / F.lit(24)).cast("int")
 
 
-def add_days(d, n) -> Column:
-    return F.date_add(_c(d), _c(n).cast("int"))
-
-
 # Category -> (parser from stripped text, can the value be unparseable?).
 # The table cleaner strips each column once and reuses it.
 STRIPPED_PARSERS = {
     "dates": (date_from_stripped, True),
-    "integers": (lambda s: number_from_stripped(s).cast("bigint"), True),
+    "integers": (integer_from_stripped, True),
     "money": (number_from_stripped, True),
-    "measures": (lambda s: number_from_stripped(s).cast("double"), True),
+    "measures": (measure_from_stripped, True),
     "texts": (text_from_stripped, False),
     "booleans": (boolean_from_stripped, False),
     "timestamps": (timestamp_from_stripped, True),

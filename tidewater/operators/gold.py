@@ -71,19 +71,31 @@ def worst_quality_groups(quality: DataFrame, n: int = 20) -> DataFrame:
     return quality.orderBy(F.desc("taxa_rejeicao"), "centro_producao_id", "produto_id").limit(n)
 
 
-def gold_summary(reconciliation: DataFrame, otif_df: DataFrame, sku: DataFrame,
-                 stock: DataFrame) -> DataFrame:
-    """Row counts and flagged shares of the gold/audit tables, one pass each.
-
-    Rates use a zero-safe division: an empty table gives NULL, not an error.
+def gold_summary(reconciliation: DataFrame, otif_df: DataFrame, quality: DataFrame, cold: DataFrame,
+                 sku: DataFrame, stock: DataFrame) -> DataFrame:
+    """Row counts and flagged shares of the gold and audit tables, one pass each.
+
+    A share is taken over the rows that can be judged: confirmed deliveries
+    for on-time delivery, lots for production quality (``sinalizadas`` counts
+    lots there), verifiable cold-chain shipments for the cold chain. Rates use
+    a zero-safe division: nothing to judge gives NULL, not an error.
     """
-    def one(df, name, flag):
-        return df.agg(F.lit(name).alias("tabela"),
-                      F.count(F.lit(1)).alias("total_linhas"),
-                      F.count_if(flag).alias("sinalizadas")) \
-                 .withColumn("taxa", F.try_divide(F.col("sinalizadas").cast("double"), F.col("total_linhas")))
-
-    return (one(reconciliation, "gold_reconciliacao_financeira", F.col("divergente"))
-            .unionByName(one(otif_df, "gold_otif", F.col("no_prazo")))
-            .unionByName(one(sku, "observability_qualidade_sku", ~F.col("sku_valido")))
-            .unionByName(one(stock, "observability_estoque_negativo", F.col("estoque_invalido"))))
+    def one(df, name, flagged, judged=None):
+        return df.agg(F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("total_linhas"), flagged.alias("sinalizadas"),
+                      (F.count(F.lit(1)) if judged is None else judged).alias("_de")) \
+                 .withColumn("taxa", F.try_divide(F.col("sinalizadas").cast("double"), F.col("_de"))).drop("_de")
+
+    verdict = F.col("tipo_violacao")
+    violated = verdict.isin("veiculo_incorreto", "falha_equipamento")
+    rows = [
+        one(reconciliation, "gold_reconciliacao_financeira", F.count_if(F.col("divergente"))),
+        one(otif_df, "gold_otif", F.count_if(F.col("no_prazo")), F.count_if(F.col("pod_confirmado"))),
+        one(quality, "gold_qualidade_producao", F.coalesce(F.sum("lotes_reprovados"), F.lit(0)), F.sum("total_lotes")),
+        one(cold, "observability_cadeia_fria", F.count_if(violated), F.count_if(violated | (verdict == "conforme"))),
+        one(sku, "observability_qualidade_sku", F.count_if(~F.col("sku_valido"))),
+        one(stock, "observability_estoque_negativo", F.count_if(F.col("estoque_invalido"))),
+    ]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out

@@ -104,13 +104,14 @@ def fefo_compliance(notas: DataFrame, lotes: DataFrame, posicoes: DataFrame,
              .join(lots.where(F.col("status_qc") == "aprovado"), "lote_id")
              .groupBy("centro_distribuicao_id", "produto_id", F.col("data_posicao").alias("dia"))
              .agg(F.min("data_validade").alias("validade_minima_disponivel")))
-    key = F.concat_ws("|", "centro_distribuicao_id", F.date_format("dia", "yyyy-MM-dd"), "produto_id")
+    # concat, not concat_ws: a key with a NULL part is NULL and matches nothing.
+    key = F.concat(F.col("centro_distribuicao_id"), F.lit("|"), F.date_format("dia", "yyyy-MM-dd"), F.lit("|"), F.col("produto_id"))
     avail = avail.select(key.alias("_k"), "validade_minima_disponivel")
     disp = lookup_join(notas.select("nota_expedicao_id", "lote_id", "centro_distribuicao_id", "data_expedicao"),
                        lots.select("lote_id", "produto_id", "data_validade", F.lit(True).alias("_achado")),
                        "lote_id", "left", hot_lots)
-    disp = disp.withColumn("_k", F.concat_ws("|", "centro_distribuicao_id",
-                                             F.date_format("data_expedicao", "yyyy-MM-dd"), "produto_id"))
+    disp = disp.withColumn("_k", F.concat(F.col("centro_distribuicao_id"), F.lit("|"), F.date_format("data_expedicao", "yyyy-MM-dd"),
+                                          F.lit("|"), F.col("produto_id")))
     if hot_centre_days is None:
         hot_centre_days = centre_days_hot(notas)
     j = lookup_join(disp, avail, "_k", "left", hot_centre_days,

@@ -60,7 +60,7 @@ FIXTURES: dict[str, str] = {
     "crm_itens_pedido": f"""SELECT 'ITEM-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS item_pedido_id,
  {padded('PED-', 'l_orderkey')} AS pedido_id,
  CASE WHEN (l_orderkey + l_linenumber) % 33 = 0 THEN 'PROD-999' ELSE 'PROD-00' || CAST(l_partkey % 3 + 1 AS VARCHAR) END AS produto_id,
- {num('l_quantity', 0)} AS quantidade,
+ CASE WHEN (l_orderkey + l_linenumber) % 40 = 3 THEN {num('l_quantity', 0)} || ',996' ELSE {num('l_quantity', 0)} END AS quantidade,
  CASE WHEN (l_orderkey + l_linenumber) % 250 = 11 THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)
       ELSE {num('l_extendedprice')} END AS preco_unitario,
  {iso('CAST(l_shipdate AS DATE)')} AS data FROM lineitem""",
@@ -75,7 +75,7 @@ FIXTURES: dict[str, str] = {
  {iso(plus_days("DATE '1995-01-01'", 'p_partkey % 365'))} AS data FROM part""",
     "erp_notas_expedicao": f"""SELECT {tagged('NOTA-', K)} AS nota_expedicao_id, {padded('PED-', K)} AS pedido_id,
  CASE WHEN {K} % 7 = 0 THEN 'LOTE-X' ELSE {tagged('LOTE-', 'o_custkey')} END AS lote_id,
- {caps(f"CASE WHEN {K} % 3 = 0 THEN 'CD01' ELSE 'CD02' END", K)} AS centro_distribuicao_id,
+ CASE WHEN {K} % 53 = 9 THEN 'N/A' ELSE {caps(f"CASE WHEN {K} % 3 = 0 THEN 'CD01' ELSE 'CD02' END", K)} END AS centro_distribuicao_id,
  {num(f'{K} % 50 + 1', 0)} AS quantidade_expedida,
  {mixed(plus_days(DAY, '1'), K)} AS data_expedicao,
  {iso(plus_days(DAY, '1'))} AS data FROM orders""",
@@ -87,8 +87,8 @@ FIXTURES: dict[str, str] = {
  {mixed(plus_days(DAY, '3'), K)} AS data_entrega_prevista,
  {iso(plus_days(DAY, '1'))} AS data FROM orders""",
     "tms_leituras_temperatura": f"""SELECT {tagged('LEIT-', 'event_id')} AS leitura_id, {padded('REM-', 'event_id')} AS remessa_id,
- strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp_leitura,
- {num('CASE WHEN event_id % 20 = 4 THEN (event_id % 60) / 10 + 9 ELSE (event_id % 60) / 10 + 2 END')} AS temperatura_celsius,
+ CASE WHEN event_id % 90 = 11 THEN '10:30' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS timestamp_leitura,
+ CASE event_id % 80 WHEN 7 THEN '8,004' WHEN 27 THEN '1,996' WHEN 47 THEN '-0,004' ELSE {num('CASE WHEN event_id % 20 = 4 THEN (event_id % 60) / 10 + 9 ELSE (event_id % 60) / 10 + 2 END')} END AS temperatura_celsius,
  {iso('CAST(ts AS DATE)')} AS data FROM events""",
     "tms_comprovantes_entrega": f"""SELECT {tagged('POD-', K)} AS comprovante_id, {padded('REM-', K)} AS remessa_id,
  {mixed(plus_days(DAY, f'CASE WHEN {K} % 19 = 0 THEN 6 WHEN {K} % 19 < 4 THEN 4 ELSE 3 END'), K)} AS data_entrega_real,
@@ -108,15 +108,15 @@ FIXTURES: dict[str, str] = {
  {caps(f"CASE WHEN {K} % 5 < 3 THEN 'recebido' ELSE 'em aberto' END", K)} AS status_conta,
  {iso(plus_days(DAY, f'{K} % 3 + 3'))} AS data FROM orders WHERE {K} % 14 <> 0""",
     "erp_posicoes_estoque": f"""SELECT {tagged('POS-', 'c_custkey')} AS posicao_id, {tagged('LOTE-', 'c_custkey')} AS lote_id,
- {caps("CASE WHEN c_custkey % 2 = 0 THEN 'CD01' ELSE 'CD02' END", 'c_custkey')} AS centro_distribuicao_id,
+ CASE WHEN c_custkey % 29 = 3 THEN '' ELSE {caps("CASE WHEN c_custkey % 2 = 0 THEN 'CD01' ELSE 'CD02' END", 'c_custkey')} END AS centro_distribuicao_id,
  {num('floor(c_acctbal)', 0)} AS quantidade,
- {mixed(plus_days("DATE '1998-01-01'", 'c_custkey % 28'), 'c_custkey')} AS data_posicao,
- {iso(plus_days("DATE '1998-01-01'", 'c_custkey % 28'))} AS data FROM customer""",
+ {mixed(plus_days("DATE '1996-01-01'", 'c_custkey * 5 % 700'), 'c_custkey')} AS data_posicao,
+ {iso(plus_days("DATE '1996-01-01'", 'c_custkey * 5 % 700'))} AS data FROM customer""",
     "crm_atendimento": f"""SELECT {tagged('INT-', 'event_id')} AS interacao_id, {tagged('CLI-', 'user_id')} AS cliente_id,
  CASE WHEN event_id % 10 = 0 THEN {tagged('LOTE-', 'user_id')} WHEN event_id % 3 = 0 THEN 'N/A' ELSE '' END AS lote_id,
  {caps("CASE event_type WHEN 'error' THEN 'reclamacao' WHEN 'view' THEN 'duvida' WHEN 'purchase' THEN 'elogio' ELSE 'solicitacao' END", 'event_id')} AS tipo_interacao,
  props AS descricao,
- CASE WHEN event_id % 250 = 13 THEN 'ontem' ELSE {mixed('CAST(ts AS DATE)', 'event_id')} END AS data_interacao,
+ CASE event_id % 250 WHEN 13 THEN 'ontem' WHEN 63 THEN '01/02/99/2026' WHEN 113 THEN '1/2/3/2026' WHEN 163 THEN '31/02/2026' ELSE {mixed('CAST(ts AS DATE)', 'event_id')} END AS data_interacao,
  {iso('CAST(ts AS DATE)')} AS data FROM events""",
 }
 
@@ -190,11 +190,16 @@ def c_money(x: str) -> str:
 
 
 def c_int(x: str) -> str:
-    return f"CAST(trunc({c_money(x)}) AS BIGINT)"
+    # Truncation toward zero: what stands before the decimal comma.
+    s = strip(x)
+    return (f"(CASE WHEN NOT {nv(x)} AND regexp_full_match({s}, '{BR_NUMBER_PATTERN}') THEN "
+            f"TRY_CAST(replace(split_part({s}, ',', 1), '.', '') AS BIGINT) END)")
 
 
 def c_measure(x: str) -> str:
-    return f"CAST({c_money(x)} AS DOUBLE)"
+    s = strip(x)
+    return (f"(CASE WHEN NOT {nv(x)} AND regexp_full_match({s}, '{BR_NUMBER_PATTERN}') THEN "
+            f"TRY_CAST(replace(replace({s}, '.', ''), ',', '.') AS DOUBLE) END)")
 
 
 def c_text(x: str) -> str:
@@ -210,7 +215,8 @@ def c_bool(x: str) -> str:
 
 
 def c_ts(x: str) -> str:
-    return f"(CASE WHEN NOT {nv(x)} THEN TRY_CAST({strip(x)} AS TIMESTAMP) END)"
+    # Year first: a bare time of day is no timestamp.
+    return f"(CASE WHEN NOT {nv(x)} AND {strip(x)} LIKE '____-%' THEN TRY_CAST({strip(x)} AS TIMESTAMP) END)"
 
 
 _PARSERS = {"dates": c_date, "integers": c_int, "money": c_money, "measures": c_measure,

@@ -345,7 +345,14 @@ SELECT 'gold_reconciliacao_financeira' AS tabela, count(*) AS total_linhas, coun
  CAST(count(*) FILTER (WHERE divergente) AS DOUBLE) / nullif(count(*), 0) AS taxa FROM ({RECONCILE_SQL})
 UNION ALL
 SELECT 'gold_otif', count(*), count(*) FILTER (WHERE no_prazo),
- CAST(count(*) FILTER (WHERE no_prazo) AS DOUBLE) / nullif(count(*), 0) FROM ({OTIF_SQL})
+ CAST(count(*) FILTER (WHERE no_prazo) AS DOUBLE) / nullif(count(*) FILTER (WHERE pod_confirmado), 0) FROM ({OTIF_SQL})
+UNION ALL
+SELECT 'gold_qualidade_producao', count(*), CAST(coalesce(sum(lotes_reprovados), 0) AS BIGINT),
+ CAST(sum(lotes_reprovados) AS DOUBLE) / nullif(sum(total_lotes), 0) FROM ({QUALITY_SQL})
+UNION ALL
+SELECT 'observability_cadeia_fria', count(*), count(*) FILTER (WHERE tipo_violacao IN ('veiculo_incorreto', 'falha_equipamento')),
+ CAST(count(*) FILTER (WHERE tipo_violacao IN ('veiculo_incorreto', 'falha_equipamento')) AS DOUBLE)
+ / nullif(count(*) FILTER (WHERE tipo_violacao IN ('veiculo_incorreto', 'falha_equipamento', 'conforme')), 0) FROM ({COLD_SQL})
 UNION ALL
 SELECT 'observability_qualidade_sku', count(*), count(*) FILTER (WHERE NOT sku_valido),
  CAST(count(*) FILTER (WHERE NOT sku_valido) AS DOUBLE) / nullif(count(*), 0) FROM ({SKU_SQL})
@@ -361,6 +368,7 @@ def q_gold_summary(spark, d):
 
 def gold_summary_df(spark, d):
     return gold.gold_summary(reconciliation(spark, d), otif_df(spark, d),
+                             gold.production_quality(S(spark, d, "erp_lotes_producao")), cold_chain_df(spark, d),
                              rules.sku_validity(S(spark, d, "crm_itens_pedido"), SEED(spark, d, "erp_produtos")),
                              rules.negative_stock(S(spark, d, "erp_posicoes_estoque")))
 

@@ -52,8 +52,8 @@ class RunContext:
             yield facts
         except Exception as e:  # recorded, then re-raised
             status = "falha"
-            facts["erro"] = f"{type(e).__name__}: {e}"[:2000]
-            facts["traceback"] = traceback.format_exc()[-2000:]
+            facts["erro"] = f"{type(e).__name__}: {e}"
+            facts["traceback"] = traceback.format_exc()
             raise
         finally:
             import json
@@ -137,6 +137,3 @@ def daily_job(spark: SparkSession, landing: str, root: str, day: str | None = No
         ctx.flush(spark, f"{root}/pipeline_runs")
     return ctx
 
-
-def elapsed(t0: float) -> float:
-    return round(time.time() - t0, 3)

@@ -9,6 +9,7 @@ knobs alone.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -18,6 +19,9 @@ from pyspark.sql import SparkSession
 RESULT_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Skewed shuffle joins are split and small sides broadcast by measured size.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
     # Partition values such as data=2026-07-01 stay text, exactly as landed.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
@@ -74,6 +78,10 @@ def work_dir(spark: SparkSession) -> str:
     if not d:
         d = _LOCAL_WORK_DIRS.get(id(spark))
     if not d:
+        master = spark.conf.get("spark.master", "local")
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share: "
+                               f"a machine-local one can't be used with master {master}")
         d = tempfile.mkdtemp(prefix="tidewater-")
         _LOCAL_WORK_DIRS[id(spark)] = d
         try:

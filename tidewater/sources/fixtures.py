@@ -91,7 +91,9 @@ def itens_pedido(spark: SparkSession, sf_dir: str) -> DataFrame:
         padded("PED-", order).alias("pedido_id"),
         F.when(s % 33 == 0, F.lit("PROD-999"))
          .otherwise(F.concat(F.lit("PROD-00"), (F.col("l_partkey") % 3 + 1).cast("string"))).alias("produto_id"),
-        num(F.col("l_quantity"), 0).alias("quantidade"),
+        # Fractions are cut off, not rounded.
+        F.when(s % 40 == 3, F.concat(num(F.col("l_quantity"), 0), F.lit(",996")))
+         .otherwise(num(F.col("l_quantity"), 0)).alias("quantidade"),
         # US layout on a few lines: not a Brazilian number, so quarantined.
         F.when(s % 250 == 11, F.col("l_extendedprice").cast("decimal(18,2)").cast("string"))
          .otherwise(num(F.col("l_extendedprice"))).alias("preco_unitario"),
@@ -126,7 +128,9 @@ def notas_expedicao(spark: SparkSession, sf_dir: str) -> DataFrame:
         padded("PED-", k).alias("pedido_id"),
         # LOTE-X: one unknown lot on a seventh of all notes -> a hot join key.
         F.when(k % 7 == 0, F.lit("LOTE-X")).otherwise(tagged("LOTE-", F.col("o_custkey"))).alias("lote_id"),
-        caps(F.when(k % 3 == 0, F.lit("CD01")).otherwise(F.lit("CD02")), k).alias("centro_distribuicao_id"),
+        # No centre: a NULL part of a composite key must match nothing.
+        F.when(k % 53 == 9, F.lit("N/A"))
+         .otherwise(caps(F.when(k % 3 == 0, F.lit("CD01")).otherwise(F.lit("CD02")), k)).alias("centro_distribuicao_id"),
         num(k % 50 + 1, 0).alias("quantidade_expedida"),
         mixed(plus_days(day, 1), k).alias("data_expedicao"),
         iso(plus_days(day, 1)).alias("data"),
@@ -156,8 +160,11 @@ def leituras_temperatura(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         tagged("LEIT-", k).alias("leitura_id"),
         padded("REM-", k).alias("remessa_id"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp_leitura"),
-        num(F.when(k % 20 == 4, base + 9).otherwise(base + 2)).alias("temperatura_celsius"),
+        # A time of day without a date is not a timestamp.
+        F.when(k % 90 == 11, F.lit("10:30")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("timestamp_leitura"),
+        # Three decimals just outside the band, which rounding would move inside it.
+        F.when(k % 80 == 7, F.lit("8,004")).when(k % 80 == 27, F.lit("1,996")).when(k % 80 == 47, F.lit("-0,004"))
+         .otherwise(num(F.when(k % 20 == 4, base + 9).otherwise(base + 2))).alias("temperatura_celsius"),
         iso(F.to_date("ts")).alias("data"),
     )
 
@@ -213,11 +220,12 @@ def contas_receber(spark: SparkSession, sf_dir: str) -> DataFrame:
 def posicoes_estoque(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    d = plus_days(F.lit("1998-01-01").cast("date"), k % 28)
+    d = plus_days(F.lit("1996-01-01").cast("date"), k * 5 % 700)
     return c.select(
         tagged("POS-", k).alias("posicao_id"),
         tagged("LOTE-", k).alias("lote_id"),
-        caps(F.when(k % 2 == 0, F.lit("CD01")).otherwise(F.lit("CD02")), k).alias("centro_distribuicao_id"),
+        F.when(k % 29 == 3, F.lit("")).otherwise(caps(F.when(k % 2 == 0, F.lit("CD01")).otherwise(F.lit("CD02")), k))
+         .alias("centro_distribuicao_id"),
         num(F.floor("c_acctbal"), 0).alias("quantidade"),
         mixed(d, k).alias("data_posicao"),
         iso(d).alias("data"),
@@ -238,8 +246,10 @@ def atendimento(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(k % 3 == 0, F.lit("N/A")).otherwise(F.lit("")).alias("lote_id"),
         caps(kind, k).alias("tipo_interacao"),
         F.col("props").alias("descricao"),
-        # 'ontem' is junk, not a date: quarantined.
-        F.when(k % 250 == 13, F.lit("ontem")).otherwise(mixed(d, k)).alias("data_interacao"),
+        # Junk, not dates: quarantined.
+        F.when(k % 250 == 13, F.lit("ontem")).when(k % 250 == 63, F.lit("01/02/99/2026"))
+         .when(k % 250 == 113, F.lit("1/2/3/2026")).when(k % 250 == 163, F.lit("31/02/2026"))
+         .otherwise(mixed(d, k)).alias("data_interacao"),
         iso(d).alias("data"),
     )
 
