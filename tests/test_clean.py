@@ -84,3 +84,22 @@ def test_locale_format_round_trips(spark):
 def test_hours_to_days_is_a_ceiling(spark):
     df = spark.createDataFrame([(8,), (24,), (25,), (30,)], "h int")
     assert [r[0] for r in df.select(clean.hours_to_days("h")).collect()] == [1, 1, 2, 2]
+
+
+@pytest.mark.parametrize("bad", ["01/02/99/2026", "1/2/3/2026", "/1/2026", "2026-07-01 x", "2026"])
+def test_only_whole_date_shapes_parse(spark, bad):
+    assert one(spark, clean.parse_date, [bad]) == [None]
+
+
+def test_measures_keep_all_decimals_and_integers_are_cut(spark):
+    assert one(spark, clean.parse_measure, ["8,004", "1,996", "-0,004", "1.234,5678"]) == [8.004, 1.996, -0.004, 1234.5678]
+    assert one(spark, clean.parse_integer, ["1,999", "0,996", "-1,999", "9.007.199.254.740.993,5"]) == [1, 0, -1, 9007199254740993]
+
+
+def test_a_time_of_day_is_not_a_timestamp(spark):
+    assert one(spark, clean.parse_timestamp, ["10:30", "T10:30", "2026"]) == [None] * 3
+    assert one(spark, clean.parse_timestamp, ["2026-07-01T10:30:05", "2026-07-01"]) == [dt.datetime(2026, 7, 1, 10, 30, 5), dt.datetime(2026, 7, 1)]
+
+
+def test_separators_and_next_line_are_trimmed(spark):
+    assert one(spark, clean.clean_text, ["\x1cA\x1f", "\x85b\x85"]) == ["a", "b"]

@@ -1,41 +1,141 @@
-"""The daily job: ingest -> silver upsert per table, with a run log that is always written."""
+"""The daily job: every step logged, no row lost by a failure, corrections reach silver, gold published whole."""
+
+import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidewater.plans import daily
 from tidewater.session import fresh_path
+from tidewater.sources import fixtures, layers, tables
 from tidewater.sources import landing as ld
-from tidewater.sources import layers
-from tidewater.spec import EVENT_TABLES
+from tidewater.spec import EVENT_TABLES, SEEDS
+
+T = "crm_pedidos"
+
+
+def land(path, rows):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.writelines(json.dumps(r) + "\n" for r in rows)
+
+
+def order(i, value="10,00", **kw):
+    return {"pedido_id": f"PED-{i}", "cliente_id": "CLI-1", "representante_id": "REP-001", "data_pedido": "01/07/2026",
+            "valor_total": value, "status_pedido": "aberto", **kw}
+
+
+@pytest.fixture
+def job(spark):
+    root = fresh_path(spark, "job")
+    return daily.JobPaths(f"{root}/landing", root)
+
+
+def orders(spark, paths):
+    return {r.pedido_id: float(r.valor_total) for r in daily.read_silver(spark, paths, T).collect()}
+
+
+def runs(spark, paths):
+    return [(r.item, r.status) for r in spark.read.parquet(paths.runs).orderBy("started_at").collect()]
 
 
-def test_daily_job_logs_every_step_and_fills_silver(spark, sf):
+def test_daily_job_end_to_end(spark, sf):
     root = fresh_path(spark, "daily")
-    landing = f"{root}/landing"
-    for t in ("crm_pedidos", "financeiro_faturas"):
-        ld.write_landing(spark, layers.bronze(spark, sf, t), landing, EVENT_TABLES[t].system, t)
-    ctx = daily.daily_job(spark, landing, root, day="2026-07-01")
-    runs = spark.read.parquet(f"{root}/pipeline_runs")
-    by_item = {r.item: r.status for r in runs.collect()}
-    assert by_item["ingest:crm_pedidos"] == "sucesso"
-    assert by_item["ingest:tms_remessas"] == "sem_dado_novo"          # nothing landed for TMS
-    assert all(s != "falha" for s in by_item.values())
-    assert runs.where(F.col("ended_at") < F.col("started_at")).count() == 0
-    silver = spark.read.parquet(f"{root}/silver/crm_pedidos").drop("_bucket")
-    assert silver.count() == layers.silver(spark, sf, "crm_pedidos").count()
-    # a second run finds nothing new and leaves silver unchanged
-    daily.daily_job(spark, landing, root, day="2026-07-02")
-    assert spark.read.parquet(f"{root}/silver/crm_pedidos").count() == silver.count()
-    assert len(ctx.records) == 0                                        # flushed
-
-
-def test_failed_step_is_logged_as_falha(spark):
+    paths = daily.JobPaths(f"{root}/landing", root)
+    few = {"erp_lotes_producao", "erp_notas_expedicao", "crm_pedidos", "tms_remessas", "tms_comprovantes_entrega", "financeiro_faturas"}
+    for t in few:
+        df = layers.bronze(spark, sf, t)
+        ld.write_landing(spark, df.withColumn("data", F.concat(F.substring("data", 1, 5), F.lit("01-01"))), paths.landing, EVENT_TABLES[t].system, t)
+    for n in ("erp_produtos", "tms_veiculos"):
+        ld.write_seed(spark, fixtures.seed_bronze(spark, sf, n), paths.landing, SEEDS[n].system, n)
+    ctx = daily.daily_job(spark, paths.landing, root, day="2026-07-01")
+    log = dict(runs(spark, paths))
+    assert log["ingest:crm_pedidos"] == "sucesso" and log["ingest:crm_itens_pedido"] == "sem_dado_novo"
+    assert log["silver:tms_remessas"] == "sucesso" and log["alertas"] == "sucesso" and "falha" not in log.values()
+    assert {i for i in log if i.startswith("gold:")} == {"gold:resumo", *(f"gold:{t}" for t in (
+        "gold_reconciliacao_financeira", "gold_otif", "gold_qualidade_producao", "observability_cadeia_fria",
+        "observability_qualidade_sku", "observability_estoque_negativo"))}
+    assert not ctx.records                                                                  # flushed
+    want = layers.silver(spark, sf, T)
+    assert daily.read_silver(spark, paths, T).select(*EVENT_TABLES[T].columns).exceptAll(want.select(*EVENT_TABLES[T].columns)).count() == 0
+    summary = {r.tabela: r for r in tables.read_table(spark, paths.gold("resumo")).collect()}
+    assert len(summary) == 6 and summary["observability_estoque_negativo"].total_linhas == 0 and summary["gold_otif"].total_linhas > 0
+    first = tables.read_table(spark, paths.alerts).collect()
+    assert first and len({a.alerta_id for a in first}) == len(first)
+    # A second run finds nothing new, changes no row, raises the same alerts again under their ids, and adds its own log.
+    before = daily.read_silver(spark, paths, T).count()
+    daily.daily_job(spark, paths.landing, root, day="2026-07-02")
+    again = tables.read_table(spark, paths.alerts).collect()
+    assert daily.read_silver(spark, paths, T).count() == before
+    assert {a.alerta_id for a in again} == {a.alerta_id for a in first} and min(a.timestamp_alerta for a in again) > max(a.timestamp_alerta for a in first)
+    all_runs = spark.read.parquet(paths.runs)
+    assert all_runs.select("execucao_id").distinct().count() == all_runs.count() == 2 * len(log)
+    assert all_runs.where(F.col("ended_at") < F.col("started_at")).count() == 0
+
+
+def test_rows_of_a_failed_silver_step_come_with_the_next_run(spark, job, monkeypatch):
+    land(f"{job.landing}/crm/data=2026-07-01/{T}.json", [order(1), order(2), {**order(3), "valor_total": "bad"}])
+    daily.ingest_tables(spark, job.ingest, [T])
+    real = tables.upsert
+    monkeypatch.setattr(tables, "upsert", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        daily.silver_refresh(spark, job, T)
+    monkeypatch.setattr(tables, "upsert", real)
+    daily.ingest_tables(spark, job.ingest, [T])                                             # nothing new landed
+    daily.silver_refresh(spark, job, T)
+    land(f"{job.landing}/crm/data=2026-07-02/{T}.json", [order(4)])
+    daily.ingest_tables(spark, job.ingest, [T])
+    daily.silver_refresh(spark, job, T)
+    assert orders(spark, job) == {"PED-1": 10.0, "PED-2": 10.0, "PED-4": 10.0}
+    # The bad row was written by both tries and counts once.
+    assert spark.read.parquet(f"{job.root}/quarentena").count() == 1
+    assert daily.silver_refresh(spark, job, T)["status"] == "sem_dado_novo"
+
+
+def test_one_failing_table_stops_no_other(spark, job, monkeypatch):
+    land(f"{job.landing}/crm/data=2026-07-01/{T}.json", [order(1)])
+    land(f"{job.landing}/crm/data=2026-07-01/crm_atendimento.json", [{"interacao_id": "I1"}])
+    real = daily.silver_refresh
+    monkeypatch.setattr(daily, "silver_refresh", lambda s, p, t: 1 / 0 if t == T else real(s, p, t))
+    with pytest.raises(ZeroDivisionError):
+        daily.daily_job(spark, job.landing, job.root)
+    log = dict(runs(spark, job))
+    assert log[f"silver:{T}"] == "falha" and log["silver:crm_atendimento"] == "sucesso"
+    assert not any(i.startswith("gold:") for i in log)
+    monkeypatch.setattr(daily, "silver_refresh", real)
+    daily.daily_job(spark, job.landing, job.root)
+    assert orders(spark, job) == {"PED-1": 10.0}
+
+
+def test_reprocessed_day_replaces_streamed_rows(spark, job):
+    day = f"{job.landing}/crm/data=2026-07-01/{T}.json"
+    land(day, [order(1), order(2)])
+    land(f"{job.landing}/crm/data=2026-07-02/{T}.json", [order(2, "20,00"), order(3)])
+    daily.ingest_tables(spark, job.ingest, [T])
+    daily.silver_refresh(spark, job, T)
+    assert orders(spark, job) == {"PED-1": 10.0, "PED-2": 20.0, "PED-3": 10.0}
+    land(day, [order(1, "11,00"), order(2, "12,00")])       # a correction that arrives last wins, also over later days
+    daily.reprocess_day(spark, job.ingest, T, "2026-07-01")
+    daily.silver_refresh(spark, job, T)
+    want = {"PED-1": 11.0, "PED-2": 12.0, "PED-3": 10.0}
+    assert orders(spark, job) == want
+    assert daily.read_bronze(spark, job.ingest, T).count() == 4
+    land(day, [order(1, "11,00")])                                                          # PED-2 gone from that day
+    daily.backfill_range(spark, job.ingest, "2026-07-01", "2026-07-01", {"crm": [T]})
+    daily.silver_refresh(spark, job, T)
+    assert orders(spark, job) == want                                                       # a merge deletes nothing
+    daily.silver_rebuild(spark, job, T)
+    assert orders(spark, job) == {"PED-1": 11.0, "PED-2": 20.0, "PED-3": 10.0}
+    assert daily.silver_refresh(spark, job, T)["status"] == "sem_dado_novo"
+
+
+def test_failed_step_is_logged_whole(spark):
     root = fresh_path(spark, "daily-fail")
     ctx = daily.RunContext("teste", "2026-07-01")
-    with pytest.raises(ZeroDivisionError):
+    with pytest.raises(ValueError):
         with ctx.step("quebra"):
-            1 / 0
+            raise ValueError("x" * 9000)
     ctx.flush(spark, f"{root}/runs")
     r = spark.read.parquet(f"{root}/runs").first()
-    assert r.status == "falha" and "ZeroDivisionError" in r.detalhes
+    assert r.status == "falha" and "x" * 9000 in json.loads(r.detalhes)["erro"] and "traceback" in json.loads(r.detalhes)

@@ -116,3 +116,16 @@ def test_fefo(spark):
                                 "lote_id string, centro_distribuicao_id string, quantidade bigint, data_posicao date")
     out = dict((r.nota_expedicao_id, r.situacao) for r in kpis.fefo_compliance(notas, lotes, pos).collect())
     assert out == {"N1": "conforme", "N2": "fora_fefo", "N3": "lote_inexistente", "N4": "sem_posicao_estoque"}
+
+
+def test_fefo_null_parts_match_nothing(spark):
+    from tidewater.operators.kpis import fefo_compliance
+    import datetime as dt
+    day = dt.date(2026, 7, 1)
+    notas = spark.createDataFrame([("N1", "L1", None, day), ("N2", "L1", "cd01", day)],
+                                  "nota_expedicao_id string, lote_id string, centro_distribuicao_id string, data_expedicao date")
+    lotes = spark.createDataFrame([("L1", "P1", "aprovado", day)], "lote_id string, produto_id string, status_qc string, data_validade date")
+    pos = spark.createDataFrame([("L1", None, 5, day), ("L1", "cd01", 5, day)],
+                                "lote_id string, centro_distribuicao_id string, quantidade long, data_posicao date")
+    got = {r.nota_expedicao_id: r.situacao for r in fefo_compliance(notas, lotes, pos, [], []).collect()}
+    assert got == {"N1": "sem_posicao_estoque", "N2": "conforme"}

@@ -40,16 +40,6 @@ def month_label(d) -> Column:
     return F.date_format(_c(d), "yyyy-MM")
 
 
-def previous_month_start(d) -> Column:
-    """First day of the month before ``d`` (the default month to close)."""
-    return F.add_months(F.trunc(_c(d), "MM"), -1)
-
-
 def days_between(df: DataFrame, start: str, end: str, out: str = "dia") -> DataFrame:
     """One row per day in [start, end] for each input row (a calendar)."""
     return df.select("*", F.explode(F.sequence(F.col(start), F.col(end))).alias(out))
-
-
-def month_starts_between(df: DataFrame, start: str, end: str, out: str = "mes") -> DataFrame:
-    return df.select("*", F.explode(F.sequence(F.trunc(F.col(start), "MM"), F.trunc(F.col(end), "MM"),
-                                               F.expr("INTERVAL 1 MONTH"))).alias(out))

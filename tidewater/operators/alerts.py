@@ -11,31 +11,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ALERT_COLUMNS = ("alerta_id", "tipo_evento", "origem", "severidade", "periodo", "mensagem", "detalhes")
+ALERT_COLUMNS = ("alerta_id", "tipo_evento", "origem", "severidade", "periodo", "mensagem", "detalhes",
+                 "timestamp_alerta")
 
 
 def alert_rows(df: DataFrame, tipo: str, origem: str, severidade: str, periodo: Column,
-               mensagem: Column, detalhes: Column) -> DataFrame:
+               mensagem: Column, detalhes: Column, quando: Column | None = None) -> DataFrame:
+    """Rows of the alert table; ``quando`` is the time of the alert (now, if not given)."""
+    quando = F.current_timestamp() if quando is None else quando
     return df.select(
         F.sha2(F.concat_ws("|", F.lit(tipo), F.lit(origem), periodo), 256).alias("alerta_id"),
         F.lit(tipo).alias("tipo_evento"), F.lit(origem).alias("origem"),
         F.lit(severidade).alias("severidade"), periodo.alias("periodo"),
-        mensagem.alias("mensagem"), detalhes.alias("detalhes"))
+        mensagem.alias("mensagem"), detalhes.alias("detalhes"), quando.cast("timestamp").alias("timestamp_alerta"))
 
 
-def cold_chain_alerts(cold: DataFrame) -> DataFrame:
+def cold_chain_alerts(cold: DataFrame, quando: Column | None = None) -> DataFrame:
     """Alert when any shipment of a cold-chain product rode a non-refrigerated vehicle."""
     n = cold.agg(F.count_if(F.col("tipo_violacao") == "veiculo_incorreto").alias("n")).where(F.col("n") > 0)
     return alert_rows(
         n, tipo="cadeia_fria", origem="observability_cadeia_fria", severidade="alta",
         periodo=F.lit("total"),
-        mensagem=F.concat(F.col("n").cast("string"),
-                          F.lit(" remessas com veículo incorreto para produto de cadeia fria")),
-        detalhes=F.to_json(F.struct(F.col("n").alias("total_violacoes"))))
+        mensagem=F.concat(F.lit("Cadeia fria: remessas em veículo sem refrigeração: "), F.col("n").cast("string")),
+        detalhes=F.to_json(F.struct(F.col("n").alias("total_violacoes"))), quando=quando)
 
 
-def reconciliation_alerts(reconciliation: DataFrame) -> DataFrame:
-    """One alert per invoicing month with divergent invoices."""
+def month_end(month: Column) -> Column:
+    """First instant after a month given as yyyy-MM."""
+    return F.add_months(F.to_date(F.concat(month, F.lit("-01"))), 1).cast("timestamp")
+
+
+def reconciliation_alerts(reconciliation: DataFrame, quando: Column | None = None) -> DataFrame:
+    """One alert per invoicing month with divergent invoices, dated (unless told) at the month's end."""
     m = (reconciliation.groupBy(F.date_format("data_faturamento", "yyyy-MM").alias("mes"))
          .agg(F.count_if(F.col("divergente")).alias("n"), F.count(F.lit(1)).alias("total"))
          .where(F.col("n") > 0))
@@ -45,17 +52,19 @@ def reconciliation_alerts(reconciliation: DataFrame) -> DataFrame:
         mensagem=F.concat(F.col("n").cast("string"), F.lit(" de "), F.col("total").cast("string"),
                           F.lit(" faturas divergentes em "), F.col("mes")),
         detalhes=F.to_json(F.struct(F.col("mes").alias("mes_referencia"), F.col("n").alias("divergentes"),
-                                    F.col("total").alias("total_faturas"))))
+                                    F.col("total").alias("total_faturas"))),
+        quando=month_end(F.col("mes")) if quando is None else quando)
 
 
 def run_sla_alerts(breaches: DataFrame) -> DataFrame:
-    """One alert per run that exceeded the duration threshold."""
+    """One alert per run that exceeded the duration threshold, dated at the run's end."""
     return alert_rows(
         breaches, tipo="sla_execucao", origem="pipeline_runs", severidade="media",
         periodo=F.concat_ws("|", F.col("pipeline"), F.col("item"), F.col("data_referencia")),
         mensagem=F.concat(F.col("pipeline"), F.lit("/"), F.col("item"), F.lit(" levou "),
                           F.col("duracao_segundos").cast("string"), F.lit(" s em "), F.col("data_referencia")),
-        detalhes=F.to_json(F.struct("execucao_id", "duracao_segundos")))
+        detalhes=F.to_json(F.struct("execucao_id", "duracao_segundos")),
+        quando=F.col("ended_at") if "ended_at" in breaches.columns else None)
 
 
 def all_alerts(*parts: DataFrame) -> DataFrame:
@@ -67,4 +76,5 @@ def all_alerts(*parts: DataFrame) -> DataFrame:
 
 
 def recent_alerts(alerts: DataFrame, n: int = 10) -> DataFrame:
-    return alerts.orderBy(F.desc("periodo"), F.asc("alerta_id")).limit(n)
+    """The latest alerts by time; ids break ties."""
+    return alerts.orderBy(F.desc("timestamp_alerta"), F.asc("alerta_id")).limit(n)

@@ -84,13 +84,14 @@ def monthly_close(reconciliation: DataFrame, receivables: DataFrame, runs: DataF
 
 def close_alerts(close: DataFrame) -> DataFrame:
     """One high-severity alert per invalid month, with a deterministic id."""
-    from .alerts import alert_rows
+    from .alerts import alert_rows, month_end
 
     bad = close.where(~F.col("fechamento_valido"))
     dias = F.from_json("dias_faltando", "array<string>")
     return alert_rows(
         bad, tipo="fechamento_invalido", origem="fechar_mes", severidade="alta",
         periodo=F.col("mes_referencia"),
-        mensagem=F.concat(F.lit("Fechamento de "), F.col("mes_referencia"), F.lit(" inválido — "),
-                          F.size(dias).cast("string"), F.lit(" dia(s) sem execução registrada")),
-        detalhes=F.to_json(F.struct(F.col("mes_referencia"), dias.alias("dias_faltando"))))
+        mensagem=F.concat(F.lit("Mês "), F.col("mes_referencia"), F.lit(" não pode ser fechado: faltam execuções de "),
+                          F.size(dias).cast("string"), F.lit(" dia(s)")),
+        detalhes=F.to_json(F.struct(F.col("mes_referencia"), dias.alias("dias_faltando"))),
+        quando=month_end(F.col("mes_referencia")))

@@ -113,7 +113,7 @@ def run_durations(runs: DataFrame) -> DataFrame:
 def run_sla_breach(runs: DataFrame, limit_seconds: int = RUN_SLA_SECONDS) -> DataFrame:
     d = run_durations(runs)
     return d.where(F.col("duracao_segundos") > limit_seconds).select(
-        "execucao_id", "pipeline", "item", "data_referencia", "duracao_segundos")
+        "execucao_id", "pipeline", "item", "data_referencia", "ended_at", "duracao_segundos")
 
 
 def runs_by_status(runs: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean
-from ..spec import PARTITION_COLUMN, SILVER_PARTITION_COLUMN, SeedSpec, TableSpec
+from ..spec import INGESTED_AT, PARTITION_COLUMN, SILVER_PARTITION_COLUMN, SeedSpec, TableSpec
 
 REASONS = "_motivos"
 
@@ -65,7 +65,7 @@ def cleanse(bronze: DataFrame, spec: TableSpec, on_error: str = "quarantine") ->
     ``on_error="fail"`` raises on the first bad value (the reference's
     behaviour); ``"quarantine"`` only records the reasons.
     """
-    out = _reasoned(bronze, spec)
+    out = _reasoned(bronze, spec, carry=[c for c in (INGESTED_AT,) if c in bronze.columns])
     if PARTITION_COLUMN in out.columns:
         out = out.withColumnRenamed(PARTITION_COLUMN, SILVER_PARTITION_COLUMN)
     if on_error == "fail":
@@ -110,10 +110,10 @@ def latest_by_key(df: DataFrame, key: str, order: list[str] | None = None,
 
 
 def silver(bronze: DataFrame, spec: TableSpec, on_error: str = "quarantine") -> DataFrame:
-    """Trusted, typed, one row per business key (latest ingest wins)."""
+    """Trusted, typed, one row per business key: the latest by ingest stamp (where stored), then landing day."""
     c = cleanse(bronze, spec, on_error)
     cols = [x for x in c.columns if x != REASONS]
-    order = [SILVER_PARTITION_COLUMN] if SILVER_PARTITION_COLUMN in cols else []
+    order = [x for x in (INGESTED_AT, SILVER_PARTITION_COLUMN) if x in cols]
     out = latest_by_key(c.select(*cols, (F.col(REASONS) == "").alias("_ok")),
                         spec.key, order, keep=F.col("_ok"))
     return out.select(*cols)

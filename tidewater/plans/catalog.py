@@ -431,17 +431,21 @@ def q_monthly_close(spark, d):
     return monthly_close_df(spark, d)
 
 
-def _alert_sql(tipo, origem, sev, periodo, msg, det, src):
+# Month-based alerts are dated at the first instant after their month.
+MONTH_END_SQL = "CAST(CAST({m} || '-01' AS DATE) + INTERVAL 1 MONTH AS TIMESTAMP)"
+
+
+def _alert_sql(tipo, origem, sev, periodo, msg, det, src, quando):
     return (f"SELECT sha256('{tipo}' || '|' || '{origem}' || '|' || {periodo}) AS alerta_id, '{tipo}' AS tipo_evento, "
             f"'{origem}' AS origem, '{sev}' AS severidade, {periodo} AS periodo, {msg} AS mensagem, "
-            f"CAST({det} AS VARCHAR) AS detalhes FROM ({src})")
+            f"CAST({det} AS VARCHAR) AS detalhes, {quando} AS timestamp_alerta FROM ({src})")
 
 
 CLOSE_ALERTS_SQL = _alert_sql(
     "fechamento_invalido", "fechar_mes", "alta", "mes_referencia",
-    "'Fechamento de ' || mes_referencia || ' inválido — ' || CAST(json_array_length(dias_faltando) AS VARCHAR) || ' dia(s) sem execução registrada'",
+    "'Mês ' || mes_referencia || ' não pode ser fechado: faltam execuções de ' || CAST(json_array_length(dias_faltando) AS VARCHAR) || ' dia(s)'",
     "json_object('mes_referencia', mes_referencia, 'dias_faltando', CAST(dias_faltando AS JSON))",
-    f"SELECT * FROM ({MONTHLY_CLOSE_SQL}) WHERE NOT fechamento_valido")
+    f"SELECT * FROM ({MONTHLY_CLOSE_SQL}) WHERE NOT fechamento_valido", MONTH_END_SQL.format(m="mes_referencia"))
 
 
 @query("close_alerts", CLOSE_ALERTS_SQL)
@@ -515,7 +519,7 @@ def q_partition_day_counts(spark, d):
 RUN_SECONDS = "(epoch(ended_at) - epoch(started_at))"
 
 
-@query("run_sla_breach", f"""SELECT execucao_id, pipeline, item, data_referencia, CAST({RUN_SECONDS} AS BIGINT) AS duracao_segundos
+@query("run_sla_breach", f"""SELECT execucao_id, pipeline, item, data_referencia, ended_at, CAST({RUN_SECONDS} AS BIGINT) AS duracao_segundos
  FROM bz_runs WHERE {RUN_SECONDS} > 900""")
 def q_run_sla_breach(spark, d):
     return rn.run_sla_breach(RUNS(spark, d))
@@ -552,30 +556,38 @@ def q_run_log(spark, d):
 
 COLD_ALERT_SQL = _alert_sql(
     "cadeia_fria", "observability_cadeia_fria", "alta", "'total'",
-    "CAST(n AS VARCHAR) || ' remessas com veículo incorreto para produto de cadeia fria'",
+    "'Cadeia fria: remessas em veículo sem refrigeração: ' || CAST(n AS VARCHAR)",
     "json_object('total_violacoes', n)",
-    f"SELECT count(*) FILTER (WHERE tipo_violacao = 'veiculo_incorreto') AS n FROM ({COLD_SQL}) HAVING n > 0")
+    f"SELECT count(*) FILTER (WHERE tipo_violacao = 'veiculo_incorreto') AS n FROM ({COLD_SQL}) HAVING n > 0",
+    "(SELECT max(ended_at) FROM bz_runs)")
 
 RECON_ALERT_SQL = _alert_sql(
     "reconciliacao", "gold_reconciliacao_financeira", "media", "mes",
     "CAST(n AS VARCHAR) || ' de ' || CAST(total AS VARCHAR) || ' faturas divergentes em ' || mes",
     "json_object('mes_referencia', mes, 'divergentes', n, 'total_faturas', total)",
     f"""SELECT strftime(data_faturamento, '%Y-%m') AS mes, count(*) FILTER (WHERE divergente) AS n, count(*) AS total
-        FROM ({RECONCILE_SQL}) GROUP BY 1 HAVING count(*) FILTER (WHERE divergente) > 0""")
+        FROM ({RECONCILE_SQL}) GROUP BY 1 HAVING count(*) FILTER (WHERE divergente) > 0""",
+    MONTH_END_SQL.format(m="mes"))
 
 SLA_ALERT_SQL = _alert_sql(
     "sla_execucao", "pipeline_runs", "media", "(pipeline || '|' || item || '|' || data_referencia)",
     "pipeline || '/' || item || ' levou ' || CAST(duracao_segundos AS VARCHAR) || ' s em ' || data_referencia",
     "json_object('execucao_id', execucao_id, 'duracao_segundos', duracao_segundos)",
-    f"""SELECT execucao_id, pipeline, item, data_referencia, CAST({RUN_SECONDS} AS BIGINT) AS duracao_segundos
-        FROM bz_runs WHERE {RUN_SECONDS} > 900""")
+    f"""SELECT execucao_id, pipeline, item, data_referencia, ended_at, CAST({RUN_SECONDS} AS BIGINT) AS duracao_segundos
+        FROM bz_runs WHERE {RUN_SECONDS} > 900""", "ended_at")
 
 ALERTS_SQL = " UNION ALL ".join(f"SELECT * FROM ({s})" for s in
                                 (COLD_ALERT_SQL, RECON_ALERT_SQL, SLA_ALERT_SQL, CLOSE_ALERTS_SQL))
 
 
+def cold_alerts_df(spark, d):
+    """Cold-chain alerts dated at the end of the last logged run."""
+    last = RUNS(spark, d).agg(F.max("ended_at").alias("m")).first()["m"]
+    return al.cold_chain_alerts(cold_chain_df(spark, d), F.lit(last))
+
+
 def alerts_df(spark, d):
-    return al.all_alerts(al.cold_chain_alerts(cold_chain_df(spark, d)),
+    return al.all_alerts(cold_alerts_df(spark, d),
                          al.reconciliation_alerts(reconciliation(spark, d)),
                          al.run_sla_alerts(rn.run_sla_breach(RUNS(spark, d))),
                          cl.close_alerts(monthly_close_df(spark, d)))
@@ -583,7 +595,7 @@ def alerts_df(spark, d):
 
 @query("cold_chain_alerts", COLD_ALERT_SQL)
 def q_cold_chain_alerts(spark, d):
-    return al.cold_chain_alerts(cold_chain_df(spark, d))
+    return cold_alerts_df(spark, d)
 
 
 @query("alerts", ALERTS_SQL)
@@ -591,7 +603,7 @@ def q_alerts(spark, d):
     return alerts_df(spark, d)
 
 
-@query("recent_alerts", f"SELECT * FROM ({ALERTS_SQL}) ORDER BY periodo DESC, alerta_id ASC LIMIT 10")
+@query("recent_alerts", f"SELECT * FROM ({ALERTS_SQL}) ORDER BY timestamp_alerta DESC, alerta_id ASC LIMIT 10")
 def q_recent_alerts(spark, d):
     return al.recent_alerts(alerts_df(spark, d))
 
@@ -630,11 +642,15 @@ def _landed(spark, d, tables_):
     """A fresh landing zone holding the given fixture tables (by their system)."""
     root = fresh_path(spark, "landing")
     paths = ig.IngestPaths(f"{root}/landing", f"{root}/bronze", f"{root}/checkpoints")
-    for t in tables_:
-        ld.write_landing(spark, B(spark, d, t), paths.landing, EVENT_TABLES[t].system, t)
+    _land(spark, d, tables_, paths.landing)
     return paths
 
 
+def _land(spark, d, tables_, landing):
+    for t in tables_:
+        ld.write_landing(spark, B(spark, d, t), landing, EVENT_TABLES[t].system, t)
+
+
 @query("bronze_ingest", f"SELECT {', '.join(EVENT_TABLES[NOTAS].columns)}, data FROM bz_{NOTAS}")
 def q_bronze_ingest(spark, d):
     """Stream one table out of a shared system folder into bronze (all text)."""
@@ -649,13 +665,9 @@ def q_bronze_ingest(spark, d):
 def q_ingest_metrics(spark, d):
     """Run the stream twice: the second run finds nothing new."""
     paths = _landed(spark, d, [NOTAS, POSICOES])
-    first = ig.ingest_table(spark, paths, NOTAS)
-    second = ig.ingest_table(spark, paths, NOTAS)
-    m = ig.ingest_metrics(spark, paths, [first, second])
-    m1 = tb.materialize(spark, ig.ingest_metrics(spark, paths, [first]).withColumn("execucao", F.lit(1)), "metrics")
-    m2 = ig.ingest_metrics(spark, paths, [second]).withColumn("execucao", F.lit(2))
-    del m
-    return m1.unionByName(m2).select("execucao", "tabela", "status", "arquivos_processados", "linhas_processadas")
+    first, second = ig.ingest_table(spark, paths, NOTAS), ig.ingest_table(spark, paths, NOTAS)
+    one, two = ig.ingest_metrics(spark, [first]), ig.ingest_metrics(spark, [second])
+    return one.select(F.lit(1).alias("execucao"), "*").unionByName(two.select(F.lit(2).alias("execucao"), "*"))
 
 
 @query("seed_promote", "SELECT * FROM sd_crm_clientes")
@@ -763,41 +775,45 @@ BACKFILL_TABLES = {"crm": ["crm_pedidos"], "financeiro": ["financeiro_faturas"]}
 
 
 @query("backfill_range", " UNION ALL ".join(
-    f"SELECT '{t}' AS tabela, count(*) AS linhas, count(DISTINCT data) AS dias FROM bz_{t} "
-    f"WHERE data BETWEEN '{BACKFILL_START}' AND '{BACKFILL_END}'" for ts in BACKFILL_TABLES.values() for t in ts))
+    f"SELECT '{t}' AS tabela, count(*) AS linhas, count(DISTINCT data_particao_ingestao) AS dias FROM sv_{t}"
+    for ts in BACKFILL_TABLES.values() for t in ts))
 def q_backfill_range(spark, d):
-    """Landed history for two systems, one range-filtered load per table in dependency order."""
-    paths = _landed(spark, d, [t for ts in BACKFILL_TABLES.values() for t in ts])
-    daily.backfill_range(spark, paths.landing, paths.bronze, BACKFILL_START, BACKFILL_END, BACKFILL_TABLES)
+    """Streamed bronze, then a window of landed days loaded again: silver holds every row once."""
+    root = fresh_path(spark, "backfill")
+    paths = daily.JobPaths(f"{root}/landing", root)
+    names = [t for ts in BACKFILL_TABLES.values() for t in ts]
+    _land(spark, d, names, paths.landing)
+    ig.ingest_tables(spark, paths.ingest, names)
+    daily.backfill_range(spark, paths.ingest, BACKFILL_START, BACKFILL_END, BACKFILL_TABLES)
     out = None
-    for ts in BACKFILL_TABLES.values():
-        for t in ts:
-            b = spark.read.parquet(f"{paths.bronze}/{t}").agg(
-                F.lit(t).alias("tabela"), F.count(F.lit(1)).alias("linhas"), F.count_distinct("data").alias("dias"))
-            out = b if out is None else out.unionByName(b)
+    for t in names:
+        daily.silver_refresh(spark, paths, t)
+        b = daily.read_silver(spark, paths, t).agg(
+            F.lit(t).alias("tabela"), F.count(F.lit(1)).alias("linhas"), F.count_distinct("data_particao_ingestao").alias("dias"))
+        out = b if out is None else out.unionByName(b)
     return out
 
 
 REPROCESS_DAY = "1996-06-14"
 _PED = EVENT_TABLES["crm_pedidos"]
+_CORRECTED = ", ".join(c if c != "valor_total" else f"CASE WHEN data = '{REPROCESS_DAY}' THEN '1,00' ELSE valor_total END AS valor_total"
+                       for c in _PED.columns)
 
 
-@query("reprocess_day", f"""SELECT {', '.join(c if c != 'status_pedido' else
- f"CASE WHEN data = '{REPROCESS_DAY}' THEN lower(trim(status_pedido)) ELSE status_pedido END AS status_pedido"
- for c in _PED.columns)}, data FROM bz_crm_pedidos""")
+@query("reprocess_day", O.silver_sql(_PED, f"(SELECT {_CORRECTED}, data FROM bz_crm_pedidos)"))
 def q_reprocess_day(spark, d):
-    """A corrected file replaces one landed day; only that bronze partition is rewritten."""
-    from ..sources.tables import _fs
-
-    paths = _landed(spark, d, ["crm_pedidos"])
-    daily.backfill_range(spark, paths.landing, paths.bronze, "0000-01-01", "9999-12-31", {"crm": ["crm_pedidos"]})
-    fixed = B(spark, d, "crm_pedidos").where(F.col("data") == REPROCESS_DAY) \
-        .withColumn("status_pedido", F.lower(F.trim("status_pedido")))
-    fs, p = _fs(spark, f"{ld.system_dir(paths.landing, 'crm')}/data={REPROCESS_DAY}")
-    fs.delete(p, True)
+    """A corrected file replaces one landed day of streamed bronze; silver follows."""
+    root = fresh_path(spark, "reprocess")
+    paths = daily.JobPaths(f"{root}/landing", root)
+    _land(spark, d, ["crm_pedidos"], paths.landing)
+    ig.ingest_table(spark, paths.ingest, "crm_pedidos")
+    daily.silver_refresh(spark, paths, "crm_pedidos")
+    fixed = B(spark, d, "crm_pedidos").where(F.col("data") == REPROCESS_DAY).withColumn("valor_total", F.lit("1,00"))
+    tb.remove(spark, f"{ld.system_dir(paths.landing, 'crm')}/data={REPROCESS_DAY}")
     ld.write_landing(spark, fixed, paths.landing, "crm", "crm_pedidos")
-    daily.reprocess_day(spark, paths.landing, paths.bronze, "crm_pedidos", REPROCESS_DAY)
-    return spark.read.parquet(f"{paths.bronze}/crm_pedidos").select(*_PED.columns, "data")
+    daily.reprocess_day(spark, paths.ingest, "crm_pedidos", REPROCESS_DAY)
+    daily.silver_refresh(spark, paths, "crm_pedidos")
+    return daily.read_silver(spark, paths, "crm_pedidos")
 
 
 # ---- documented KPIs and rules (K1-K16, J7, J9) --------------------------------

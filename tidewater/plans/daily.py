@@ -9,7 +9,6 @@ start and end times (how long did it take is a question the log answers).
 from __future__ import annotations
 
 import datetime as dt
-import time
 import traceback
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -18,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import alerts, gold, rules
 from ..operators import silver as sv
 from ..sources import tables
-from ..sources.landing import read_landing_batch, writer_parallelism
-from ..spec import EVENT_TABLES, PARTITION_COLUMN, SILVER_PARTITION_COLUMN, SYSTEM_ORDER
+from ..sources.landing import SEED_DIR, bronze_schema, system_dir
+from ..spec import EVENT_TABLES, INGESTED_AT, PARTITION_COLUMN, SEEDS, SILVER_PARTITION_COLUMN, SYSTEM_ORDER
+from ..streaming.ingest import IngestPaths, complete_lotes, ingest_tables, read_bronze, reread_days
 
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("execucao_id", T.StringType(), False),
@@ -37,11 +38,15 @@ RUN_LOG_SCHEMA = T.StructType([
 
 @dataclass
 class RunContext:
-    """Collects one record per job item; written once, as a batch."""
+    """Collects one record per job item; written once, as a batch.
+
+    Every record has its own id: a later run never overwrites an earlier one.
+    """
     pipeline: str
     data_referencia: str | None = None
     modo: str = "diario"
     records: list = field(default_factory=list)
+    started: dt.datetime = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
 
     @contextmanager
     def step(self, item: str):
@@ -71,69 +76,196 @@ class RunContext:
             self.records = []
 
 
-def backfill_range(spark: SparkSession, landing: str, bronze_root: str, start: str, end: str,
+def backfill_range(spark: SparkSession, paths: IngestPaths, start: str, end: str,
                    tables_by_system: dict[str, list[str]] | None = None) -> list[dict]:
-    """Load every table's landed days in [start, end] into bronze, in dependency order.
+    """Read every table's landed days in [start, end] into bronze again, in dependency order.
 
     One range-filtered batch per table (partition pruning on ``data``), not a
-    loop over days; the write replaces exactly the days in the window
-    (dynamic partition overwrite), so re-running a backfill is idempotent.
+    loop over days. The new lote replaces the earlier rows of the window,
+    streamed or not, so re-running a backfill changes nothing.
     """
-    plan = tables_by_system or {}
     facts = []
     for system in SYSTEM_ORDER:
         default = [n for n, s in EVENT_TABLES.items() if s.system == system]
-        for t in (plan.get(system, []) if tables_by_system else default):
-            spec = EVENT_TABLES[t]
-            df = read_landing_batch(spark, landing, system, t, spec.columns, start, end) \
-                .withColumn("_arquivo", F.col("_metadata.file_path"))
-            # One file per landed day and table, written in parallel.
-            df = df.repartition(writer_parallelism(spark), PARTITION_COLUMN)
-            tables.overwrite(df, f"{bronze_root}/{t}", [PARTITION_COLUMN], dynamic=True)
-            facts.append({"sistema": system, "tabela": t, "inicio": start, "fim": end})
+        for t in (tables_by_system.get(system, []) if tables_by_system else default):
+            facts.append({"sistema": system, "tabela": t, "inicio": start, "fim": end, **reread_days(spark, paths, t, start, end)})
     return facts
 
 
-def reprocess_day(spark: SparkSession, landing: str, bronze_root: str, table: str, day: str) -> dict:
-    """Re-read one landed day of one table and replace only that bronze partition."""
+def reprocess_day(spark: SparkSession, paths: IngestPaths, table: str, day: str) -> dict:
+    """Read one landed day of one table again; its rows replace the day's earlier ones."""
+    return {"tabela": table, "data_referencia": day, "modo_execucao": "reprocessamento", **reread_days(spark, paths, table, day, day)}
+
+
+# ---- silver -------------------------------------------------------------------
+
+MARK_SCHEMA = T.StructType([T.StructField("lote", T.StringType()), T.StructField("fundido_em", T.TimestampType())])
+
+
+@dataclass(frozen=True)
+class JobPaths:
+    """Folders of a deployment below one root."""
+    landing: str
+    root: str
+
+    @property
+    def ingest(self) -> IngestPaths:
+        return IngestPaths(self.landing, f"{self.root}/bronze", f"{self.root}/checkpoints")
+
+    def silver(self, t: str) -> str:
+        return f"{self.root}/silver/{t}"
+
+    def marks(self, t: str) -> str:
+        return f"{self.root}/marcas/{t}"
+
+    def quarantine(self, t: str, lote: str) -> str:
+        return f"{self.root}/quarentena/tabela={t}/lote={lote}"
+
+    def gold(self, t: str) -> str:
+        return f"{self.root}/gold/{t}"
+
+    def seed(self, t: str) -> str:
+        return f"{self.root}/seeds/{t}"
+
+    @property
+    def alerts(self) -> str:
+        return f"{self.root}/alertas"
+
+    @property
+    def runs(self) -> str:
+        return f"{self.root}/pipeline_runs"
+
+
+def pending_lotes(spark: SparkSession, paths: JobPaths, table: str) -> list[str]:
+    """Complete lotes that silver hasn't merged yet, in bronze order; the marks hold one row per lote."""
+    done = {r["lote"] for r in tables.read_or_empty(spark, paths.marks(table), MARK_SCHEMA, "parquet").select("lote").collect()}
+    return [x for x in complete_lotes(spark, paths.ingest, table) if x not in done]
+
+
+def silver_refresh(spark: SparkSession, paths: JobPaths, table: str) -> dict:
+    """Merge the pending lotes of a table into silver, then mark them.
+
+    Reads only those lotes' folders. Any step may fail and be run again:
+    quarantine is written per lote over itself, the merge is idempotent, and
+    the marks come last, so no row is skipped.
+    """
     spec = EVENT_TABLES[table]
-    df = read_landing_batch(spark, landing, spec.system, table, spec.columns, day, day) \
-        .withColumn("_arquivo", F.col("_metadata.file_path"))
-    tables.overwrite(df, f"{bronze_root}/{table}", [PARTITION_COLUMN], dynamic=True)
-    return {"tabela": table, "data_referencia": day, "modo_execucao": "reprocessamento"}
+    lotes = pending_lotes(spark, paths, table)
+    if not lotes:
+        return {"status": "sem_dado_novo", "lotes": 0}
+    for x in lotes:
+        tables.overwrite(sv.quarantine(read_bronze(spark, paths.ingest, table, [x]), spec), paths.quarantine(table, x))
+    facts = tables.upsert(spark, sv.silver(read_bronze(spark, paths.ingest, table, lotes), spec), paths.silver(table), spec.key,
+                          order=[INGESTED_AT, SILVER_PARTITION_COLUMN])
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    tables.append(spark.createDataFrame([(x, now) for x in lotes], MARK_SCHEMA), paths.marks(table))
+    return {"lotes": len(lotes), **facts}
 
 
-def silver_refresh(spark: SparkSession, bronze: DataFrame, table: str, silver_path: str,
-                   quarantine_path: str) -> None:
-    """Bronze increment -> quarantine append + silver upsert (one job per table)."""
+def silver_rebuild(spark: SparkSession, paths: JobPaths, table: str) -> dict:
+    """Build a silver table again from all current bronze rows (rows deleted by a correction go)."""
     spec = EVENT_TABLES[table]
-    tables.append(sv.quarantine(bronze, spec), quarantine_path)
-    tables.upsert(spark, sv.silver(bronze, spec), silver_path, spec.key, order=[SILVER_PARTITION_COLUMN])
+    lotes = complete_lotes(spark, paths.ingest, table)
+    n = tables.replace(spark, sv.silver(read_bronze(spark, paths.ingest, table), spec), paths.silver(table)).count()
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    tables.overwrite(spark.createDataFrame([(x, now) for x in lotes], MARK_SCHEMA), paths.marks(table))
+    return {"lotes": len(lotes), "linhas": n}
+
+
+def read_silver(spark: SparkSession, paths: JobPaths, table: str) -> DataFrame:
+    """A stored silver table without its stamp; empty, with the right types, if it was never loaded."""
+    if tables.table_exists(spark, paths.silver(table)):
+        return tables.read_table(spark, paths.silver(table)).drop(INGESTED_AT)
+    return sv.silver(read_bronze(spark, paths.ingest, table, []), EVENT_TABLES[table]).drop(INGESTED_AT)
+
+
+# ---- seeds, gold, rules, alerts -------------------------------------------------
+
+def promote_seed(spark: SparkSession, paths: JobPaths, name: str) -> DataFrame:
+    """Landed seed file -> typed table; without a file the stored one stays, or an empty one is published."""
+    spec = SEEDS[name]
+    path = f"{system_dir(paths.landing, spec.system)}/{SEED_DIR}/{name}.json"
+    if not tables.path_exists(spark, path) and tables.table_exists(spark, paths.seed(name)):
+        return tables.read_table(spark, paths.seed(name))
+    raw = tables.read_or_empty(spark, path, bronze_schema(spec.columns)).drop(PARTITION_COLUMN)
+    return tables.replace(spark, sv.promote_seed(sv.bronze_copy(raw), spec), paths.seed(name))
+
+
+def build_gold(spark: SparkSession, paths: JobPaths, ctx: "RunContext") -> dict[str, DataFrame]:
+    """Publish the three gold and the three rule tables, one logged step each; each is built once and read back."""
+    s = lambda t: read_silver(spark, paths, t)                                      # noqa: E731
+    seed = lambda n: tables.read_table(spark, paths.seed(n))                        # noqa: E731
+    steps = {
+        "gold_reconciliacao_financeira": lambda: gold.reconcile_invoices(s("financeiro_faturas"), s("crm_pedidos")),
+        "gold_otif": lambda: gold.otif(s("tms_comprovantes_entrega"), s("tms_remessas")),
+        "gold_qualidade_producao": lambda: gold.production_quality(s("erp_lotes_producao")),
+        "observability_cadeia_fria": lambda: rules.cold_chain(
+            s("tms_remessas"), s("erp_notas_expedicao"), s("erp_lotes_producao"), seed("erp_produtos"), seed("tms_veiculos"),
+            s("tms_leituras_temperatura")),
+        "observability_qualidade_sku": lambda: rules.sku_validity(s("crm_itens_pedido"), seed("erp_produtos")),
+        "observability_estoque_negativo": lambda: rules.negative_stock(s("erp_posicoes_estoque")),
+    }
+    built = {}
+    for name, make in steps.items():
+        with ctx.step(f"gold:{name}") as facts:
+            built[name] = tables.replace(spark, make(), paths.gold(name))
+            facts["total_linhas"] = built[name].count()
+    return built
+
+
+def raise_alerts(spark: SparkSession, paths: JobPaths, built: dict[str, DataFrame], when: dt.datetime) -> dict:
+    """Alerts from the published tables, merged by id: an alert raised again keeps one row, with the new time."""
+    at = F.lit(when)
+    found = alerts.all_alerts(alerts.cold_chain_alerts(built["observability_cadeia_fria"], at),
+                              alerts.reconciliation_alerts(built["gold_reconciliacao_financeira"], at))
+    return tables.upsert(spark, found, paths.alerts, "alerta_id", buckets=4)
 
 
 def daily_job(spark: SparkSession, landing: str, root: str, day: str | None = None) -> RunContext:
-    """Ingest every table, refresh silver, log each step (success or failure)."""
-    from ..streaming.ingest import IngestPaths, ingest_tables, read_bronze
+    """Ingest, silver, seeds, gold, rules, alerts; every step logged, the log written whatever happens.
 
-    paths = IngestPaths(landing, f"{root}/bronze", f"{root}/checkpoints")
-    ctx = RunContext("diario", day)
+    A table that fails stops neither the other tables nor its own next run:
+    silver catches up with every lote that isn't marked. Gold is built only if
+    all of silver is current; the first error is raised at the end.
+    """
+    paths, ctx = JobPaths(landing, root), RunContext("diario", day)
     ordered = [t for system in SYSTEM_ORDER for t, spec in EVENT_TABLES.items() if spec.system == system]
+    errors: list[Exception] = []
+
+    def guarded(item, work):
+        try:
+            with ctx.step(item) as facts:
+                facts.update(work())
+        except Exception as e:
+            errors.append(e)
+
+    def ingested(r):
+        if r["erro"]:
+            raise RuntimeError(r["erro"])
+        return {**{k: r[k] for k in ("linhas_processadas", "arquivos_processados", "lotes")},
+                "status": "sucesso" if r["linhas_processadas"] else "sem_dado_novo"}
+
     try:
         # All streams run together; one log record per table once they finish.
         with ctx.step("ingest"):
-            results = ingest_tables(spark, paths, ordered)
+            results = ingest_tables(spark, paths.ingest, ordered)
         for r in results:
-            t = r["tabela"]
-            with ctx.step(f"ingest:{t}") as facts:
-                facts.update({"linhas_processadas": r["linhas_processadas"], "lotes": r["lotes"]})
-                facts["status"] = "sucesso" if r["linhas_processadas"] else "sem_dado_novo"
-            if not r["linhas_processadas"]:
-                continue                       # nothing new: silver is already current
-            with ctx.step(f"silver:{t}"):
-                since = F.lit(r["inicio_epoch"]).cast("timestamp")
-                inc = read_bronze(spark, paths, t).where(F.col("_ingerido_em") >= since)
-                silver_refresh(spark, inc, t, f"{root}/silver/{t}", f"{root}/quarentena")
+            guarded(f"ingest:{r['tabela']}", lambda r=r: ingested(r))
+        for t in ordered:
+            guarded(f"silver:{t}", lambda t=t: silver_refresh(spark, paths, t))
+        for n in SEEDS:
+            guarded(f"seed:{n}", lambda n=n: {"linhas": promote_seed(spark, paths, n).count()})
+        if not errors:
+            built = build_gold(spark, paths, ctx)
+            with ctx.step("gold:resumo") as facts:
+                summary = tables.replace(spark, gold.gold_summary(
+                    built["gold_reconciliacao_financeira"], built["gold_otif"], built["gold_qualidade_producao"],
+                    built["observability_cadeia_fria"], built["observability_qualidade_sku"],
+                    built["observability_estoque_negativo"]), paths.gold("resumo"))
+                facts["tabelas"] = summary.count()
+            guarded("alertas", lambda: raise_alerts(spark, paths, built, ctx.started))
     finally:
-        ctx.flush(spark, f"{root}/pipeline_runs")
+        ctx.flush(spark, paths.runs)
+    if errors:
+        raise errors[0]
     return ctx
-

@@ -1,17 +1,27 @@
 """Sinks and table helpers on plain parquet (no table-format jar needed).
 
-* :func:`read_or_empty` - a missing input path is an empty frame, not an error.
+A *versioned table* is a folder of immutable version folders and small manifests::
+
+    <path>/versoes/v000000007/_balde=3/part-*.parquet
+    <path>/manifesto/v000000007.json      buckets, schema, which version holds each bucket
+
+Writers put a whole new version beside the old ones and then publish it by
+renaming one manifest into place, so readers see the table before or after a
+write, never in between, and a crash leaves only an unreferenced folder.
+
 * :func:`upsert` - merge by business key, update-all / insert-all, idempotent.
-  The target is partitioned by ``_bucket = hash(key) mod B``; one run rewrites
-  only the buckets its keys hash to. The merged buckets are first written to
-  a staging table (cutting lineage: the target cannot be overwritten while it
-  is being read), then swapped in with a dynamic partition overwrite, so a
-  failed run can simply be re-run.
-* :func:`append` / :func:`overwrite` - log and derived-table sinks.
+  The bucket count is chosen by bytes at the first load and kept in the
+  manifest. The source is evaluated once (staged), and only buckets that its
+  keys hash to are rewritten.
+* :func:`replace` - publish a whole new content.
+* :func:`read_table` - the published content, with the table's full schema.
+* :func:`read_or_empty` - a missing input path is an empty frame, not an error.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,8 +29,9 @@ from pyspark.sql.types import StructType
 from ..operators.silver import latest_by_key
 from ..session import fresh_path
 
-BUCKET = "_bucket"
-DEFAULT_BUCKETS = 64
+BUCKET = "_balde"
+BUCKET_BYTES = 256 << 20        # of staged source per bucket at the first load
+KEPT_VERSIONS = 2               # older versions that running readers may still use
 
 
 def _fs(spark: SparkSession, path: str):
@@ -34,6 +45,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under ``path``, sorted; none if it is absent."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str = "json",
                   **options) -> DataFrame:
     """Read ``path`` with ``schema``; an absent path yields an empty frame.
@@ -45,39 +67,132 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str =
     return spark.read.format(fmt).schema(schema).options(**options).load(path)
 
 
+# ---- versioned tables ---------------------------------------------------------
+
+def _manifest(spark: SparkSession, path: str) -> dict | None:
+    names = [n for n in list_names(spark, f"{path}/manifesto") if n.endswith(".json")]
+    if not names:
+        return None
+    return json.loads(spark.read.text(f"{path}/manifesto/{names[-1]}", wholetext=True).first()[0])
+
+
+def _publish(spark: SparkSession, path: str, manifest: dict) -> None:
+    """Rename a finished manifest into place; a version that is already there was another writer's."""
+    fs, folder = _fs(spark, f"{path}/manifesto")
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(folder)
+    name = f"v{manifest['versao']:09d}"
+    draft, final = Path(folder, f".{name}.tmp"), Path(folder, f"{name}.json")
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(draft, final):
+        raise RuntimeError(f"{path}: version {manifest['versao']} was published by another writer")
+    _vacuum(spark, path)
+
+
+def _vacuum(spark: SparkSession, path: str) -> None:
+    """Remove manifests before the last ``KEPT_VERSIONS + 1`` and bucket folders that no kept manifest names."""
+    names = [n for n in list_names(spark, f"{path}/manifesto") if n.endswith(".json")]
+    kept = names[-(KEPT_VERSIONS + 1):]
+    used: set[str] = set()
+    for n in kept:
+        m = json.loads(spark.read.text(f"{path}/manifesto/{n}", wholetext=True).first()[0])
+        used |= {v for v in m["baldes"].values()}
+    for n in names[:-(KEPT_VERSIONS + 1)]:
+        remove(spark, f"{path}/manifesto/{n}")
+    newest = int(names[-1][1:-5])
+    for v in list_names(spark, f"{path}/versoes"):
+        if v not in used and int(v[1:10]) <= newest:
+            remove(spark, f"{path}/versoes/{v}")
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return _manifest(spark, path) is not None
+
+
+def _read_buckets(spark: SparkSession, path: str, m: dict, only: set[str] | None = None) -> DataFrame:
+    schema = StructType.fromJson(m["esquema"])
+    files = [f"{path}/versoes/{v}/{BUCKET}={b}" for b, v in sorted(m["baldes"].items()) if only is None or b in only]
+    return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The published content of a versioned table; buckets written before a column was added give NULL for it."""
+    m = _manifest(spark, path)
+    if m is None:
+        raise FileNotFoundError(f"no published table at {path}")
+    return _read_buckets(spark, path, m)
+
+
 def bucket_of(key: str, buckets: int):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("string")
 
 
+def _write_version(spark: SparkSession, df: DataFrame, path: str, version: int, parts: int) -> dict:
+    """Write ``df`` (with its bucket column) as a new version folder; which bucket it holds where."""
+    name = f"v{version:09d}"
+    remove(spark, f"{path}/versoes/{name}")         # what a crashed writer of this version left
+    df.repartition(parts, BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/versoes/{name}")
+    return {n.split("=", 1)[1]: name for n in list_names(spark, f"{path}/versoes/{name}") if n.startswith(f"{BUCKET}=")}
+
+
 def upsert(spark: SparkSession, source: DataFrame, path: str, key: str,
-           buckets: int = DEFAULT_BUCKETS, order: list[str] | None = None,
+           buckets: int | None = None, order: list[str] | None = None,
            allow_new_columns: bool = False) -> dict:
-    """Merge ``source`` into the parquet table at ``path`` by ``key``.
+    """Merge ``source`` into the versioned table at ``path`` by ``key``.
 
     Source duplicates are resolved first (latest by ``order``), null keys are
-    dropped (they can never match). Returns a small dict of run facts.
+    dropped (they can never match). Without ``order`` a source row replaces the
+    table's row; with it the later of the two by ``order`` stays, the source's
+    on a tie. ``buckets`` counts at the first load only. Returns a small dict
+    of run facts.
     """
-    src = latest_by_key(source, key, order).withColumn(BUCKET, bucket_of(key, buckets))
-    if not path_exists(spark, path):
-        # One writer task per bucket: one file per bucket, not one per task and bucket.
-        src.repartition(buckets, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-        return {"modo": "primeira_carga", "baldes": buckets}
-    # Touched buckets: at most `buckets` values, a bounded list.
-    touched = [r[0] for r in src.select(BUCKET).distinct().collect()]
-    target = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))   # partition pruning
-    kept = target.join(src.select(key), key, "left_anti")
-    merged = kept.unionByName(src, allowMissingColumns=allow_new_columns)
-    staging = fresh_path(spark, "upsert-staging")
-    merged.repartition(buckets, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
-    return {"modo": "merge", "baldes_reescritos": len(touched), "baldes": buckets}
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A bucketed table without its storage column."""
-    return spark.read.parquet(path).drop(BUCKET)
-
+    stage = fresh_path(spark, "upsert-stage")
+    latest_by_key(source, key, order).write.parquet(stage)      # the source is evaluated once
+    try:
+        src = spark.read.parquet(stage)
+        m = _manifest(spark, path)
+        if m is None:
+            fs, p = _fs(spark, stage)
+            n = buckets or max(1, -(-fs.getContentSummary(p).getLength() // BUCKET_BYTES))
+            held = _write_version(spark, src.withColumn(BUCKET, bucket_of(key, n)), path, 1, n)
+            _publish(spark, path, {"versao": 1, "total_baldes": n, "chave": key, "baldes": held, "esquema": src.schema.jsonValue()})
+            return {"modo": "primeira_carga", "baldes": n}
+        n, schema = m["total_baldes"], StructType.fromJson(m["esquema"])
+        new = [f for f in src.schema.fields if f.name not in schema.names]
+        if new and not allow_new_columns:
+            raise ValueError(f"{path}: source has new columns {[f.name for f in new]}")
+        schema = StructType(schema.fields + new)
+        src = src.withColumn(BUCKET, bucket_of(key, n))
+        touched = {r[0] for r in src.select(BUCKET).distinct().collect()}       # at most n values
+        target = _read_buckets(spark, path, m, touched)
+        if order:
+            both = target.withColumn("_novo", F.lit(0)).unionByName(src.drop(BUCKET).withColumn("_novo", F.lit(1)), allowMissingColumns=True)
+            merged = latest_by_key(both, key, [c for c in order if c in both.columns] + ["_novo"]).drop("_novo")
+        else:
+            merged = target.join(src.select(key), key, "left_anti").unionByName(src.drop(BUCKET), allowMissingColumns=True)
+        merged = merged.select(*schema.names).withColumn(BUCKET, bucket_of(key, n))
+        version = m["versao"] + 1
+        held = _write_version(spark, merged, path, version, max(1, len(touched)))
+        _publish(spark, path, {**m, "versao": version, "baldes": {**m["baldes"], **held}, "esquema": schema.jsonValue()})
+        return {"modo": "merge", "baldes_reescritos": len(touched), "baldes": n}
+    finally:
+        remove(spark, stage)
+
+
+def replace(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Publish ``df`` as the table's whole content and read it back; columns may change."""
+    m = _manifest(spark, path)
+    version = (m["versao"] if m else 0) + 1
+    name = f"v{version:09d}"
+    remove(spark, f"{path}/versoes/{name}")
+    df.write.parquet(f"{path}/versoes/{name}/{BUCKET}=0")
+    _publish(spark, path, {"versao": version, "total_baldes": 1, "chave": None, "baldes": {"0": name}, "esquema": df.schema.jsonValue()})
+    return read_table(spark, path)
+
+
+# ---- plain sinks --------------------------------------------------------------
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("append")

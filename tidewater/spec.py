@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 # Ingest partition column in bronze and its silver name.
 PARTITION_COLUMN = "data"
 SILVER_PARTITION_COLUMN = "data_particao_ingestao"
+# Ingest stamp of stored bronze and silver rows: the later arrival wins.
+INGESTED_AT = "_ingerido_em"
 
 
 @dataclass(frozen=True)
