@@ -21,13 +21,15 @@ components run as joins over written tables, nothing is collected.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import share, shared, small_batches, written
 from .words import Scanner, alnum_table, mix, pieces, seeds
 
 SHINGLE = 5
@@ -37,6 +39,7 @@ TARGET_RECALL = 0.999           # of pairs exactly at the threshold
 SMALL = 200                     # sets in a bucket that is searched whole
 CHUNK = 800                     # texts on one side of an exact comparison
 DEPTH = 3
+FILTER_BITS = 1 << 24           # of the bitmap that keeps texts of no candidate out of a shuffle: 2 MB at any input size
 SCREEN = THRESHOLD - 3.5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / T)
 
 
@@ -307,6 +310,26 @@ def _verified(groups: DataFrame) -> DataFrame:
     return ordered.mapInArrow(work, "a long, b long, links long")
 
 
+def _maybe_in(keys: DataFrame):
+    """A function of a key column that is true for every key in ``keys`` and few others (a bitmap of fixed size)."""
+    bit = F.pmod("key", F.lit(FILTER_BITS))
+    words = (keys.groupBy(F.floor(bit / 64).cast("int").alias("w"))
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(key, {FILTER_BITS}) % 64 AS int))")).alias("v")))
+    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in words.toLocalIterator():           # FILTER_BITS / 64 rows at most
+        bitmap[r["w"]] = r["v"]
+    fixed = share(keys.sparkSession, bitmap)
+
+    @F.pandas_udf("boolean")
+    def maybe(keys: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bits = shared(fixed)
+        for key in keys:
+            at = key.to_numpy() % FILTER_BITS
+            yield pd.Series((bits[at // 64] >> (at % 64)) & 1 == 1)
+
+    return maybe
+
+
 def similar_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, key, comp, class_id, n_links, n_copies) for (doc_id, text), one row per row of ``docs``.
 
@@ -345,7 +368,8 @@ def similar_classes(docs: DataFrame) -> DataFrame:
     sizes = candidate.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
     chosen = written(spark, candidate.join(sizes, "comp").join(reps.select("node", "key"), "node"), "chosen")
     # The text of one row per candidate node; rows with equal keys are equal.
-    texts = base.join(chosen, "key").dropDuplicates(["node"]).select("comp", "n", "node", "text")
+    texts = (base.where(_maybe_in(chosen)("key")).join(chosen, "key").dropDuplicates(["key"])
+             .select("comp", "n", "node", "text"))
     found = written(spark, _verified(_chunked(texts, "comp", "n", CHUNK)), "verified")
     links = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     classes = components(found.where("b IS NOT NULL").select("a", "b"), "links")
