@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from tidewater.operators import silver as sv
-from tidewater.operators.joins import heavy_hitters, lookup_join, sized_broadcast
+from tidewater.operators.joins import heavy_hitters, lookup_join
 from tidewater.session import fresh_path
 from tidewater.sources import layers
 from tidewater.sources import tables as tb
@@ -40,14 +40,6 @@ def test_salted_lookup_join_equals_plain_join(spark):
         assert got == want, how
 
 
-def test_sized_broadcast_only_when_small(spark):
-    small = spark.range(5)
-    big = spark.range(100)
-    assert "broadcast" in small.join(sized_broadcast(small, 10), "id")._jdf.queryExecution().optimizedPlan().toString().lower() \
-        or sized_broadcast(small, 10) is not small
-    assert sized_broadcast(big, 10) is big
-
-
 def test_latest_by_key_takes_newest_ingest(spark):
     df = spark.createDataFrame([("A", "2026-07-01", "old"), ("A", "2026-07-02", "new"), ("B", "2026-07-01", "only"),
                                 (None, "2026-07-03", "nokey")], "k string, d string, v string")

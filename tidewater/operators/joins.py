@@ -1,7 +1,9 @@
 """Join helpers that stay safe when one key holds a large share of the rows.
 
-* :func:`sized_broadcast` broadcasts a side only after proving it small by a
-  bounded count (``limit(n + 1)``), else leaves it to a shuffle join.
+* Catalogue sides carry no broadcast hint: Spark broadcasts a side by its
+  measured bytes (``autoBroadcastJoinThreshold``), at planning or, for a side
+  that only turns out small, at run time; else AQE splits skewed partitions of
+  the shuffle join (both settings are pinned in ``session.prepare``).
 * :func:`heavy_hitters` finds the top-K keys of a large side with a map-side
   combined aggregate: a bounded set (at most K keys).
 * :func:`lookup_join` joins a large fact to a side that is unique on the key.
@@ -23,12 +25,6 @@ DEFAULT_HOT_ROWS = 1_000_000
 HOT_ROWS_SETTING = "tidewater.skew.hotRows"
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def hot_rows_threshold(df: DataFrame, hot_rows: int | None = None) -> int:
     if hot_rows is not None:
         return hot_rows

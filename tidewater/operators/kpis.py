@@ -1,7 +1,7 @@
 """KPIs and rules the business documents but the source project never coded.
 
 Fact-to-fact lookups go through :func:`~tidewater.operators.joins.lookup_join`
-(hot keys salted), catalogue lookups through size-checked broadcasts, and
+(hot keys salted), catalogue lookups are joins that Spark broadcasts by size, and
 every per-group statistic is a map-side combined aggregate.
 """
 
@@ -11,10 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import hours_to_days
-from .joins import lookup_join, sized_broadcast
-
-CATALOG_ROWS = 100_000
-CUSTOMER_BROADCAST_ROWS = 1_000_000
+from .joins import lookup_join
 
 
 def _month(c: str):
@@ -47,8 +44,7 @@ def reconciled_pct(reconciliation: DataFrame) -> DataFrame:
 
 def missing_cost_center(faturas: DataFrame, centros: DataFrame) -> DataFrame:
     """Every invoice with its cost-centre verdict: ok / sem_centro / centro_desconhecido."""
-    known = sized_broadcast(centros.select(F.col("centro_custo_id").alias("_cc")).distinct()
-                            .withColumn("_ok", F.lit(True)), CATALOG_ROWS)
+    known = centros.select(F.col("centro_custo_id").alias("_cc")).distinct().withColumn("_ok", F.lit(True))
     j = faturas.join(known, faturas.centro_custo_id == known._cc, "left")
     verdict = (F.when(F.col("centro_custo_id").isNull(), "sem_centro")
                .when(F.col("_ok").isNull(), "centro_desconhecido").otherwise("ok"))
@@ -68,8 +64,7 @@ def invoice_before_delivery(faturas: DataFrame, comprovantes: DataFrame) -> Data
 
 
 def blocked_customer_orders(pedidos: DataFrame, clientes: DataFrame) -> DataFrame:
-    blocked = sized_broadcast(clientes.where(F.col("status_cliente") == "bloqueado").select("cliente_id"),
-                              CUSTOMER_BROADCAST_ROWS)
+    blocked = clientes.where(F.col("status_cliente") == "bloqueado").select("cliente_id")
     return pedidos.join(blocked, "cliente_id", "left_semi") \
         .select("pedido_id", "cliente_id", "data_pedido", "valor_total", "status_pedido")
 
@@ -153,7 +148,7 @@ def pick_cycle_time(notas: DataFrame, pedidos: DataFrame) -> DataFrame:
 def transit_time_by_route(remessas: DataFrame, comprovantes: DataFrame, rotas: DataFrame) -> DataFrame:
     j = (comprovantes.select("remessa_id", "data_entrega_real")
          .join(remessas.select("remessa_id", "rota_id", "data_expedicao"), "remessa_id")
-         .join(sized_broadcast(rotas, CATALOG_ROWS), "rota_id", "left"))
+         .join(rotas, "rota_id", "left"))
     days = F.datediff("data_entrega_real", "data_expedicao")
     std = hours_to_days("tempo_transito_padrao_horas")
     return j.groupBy("rota_id", "regiao_destino", std.alias("transito_padrao_dias")).agg(
@@ -170,12 +165,32 @@ def sla_breach(comprovantes: DataFrame, remessas: DataFrame) -> DataFrame:
 
 
 def orders_by_region(pedidos: DataFrame, clientes: DataFrame) -> DataFrame:
-    c = sized_broadcast(clientes.select("cliente_id", "regiao"), CUSTOMER_BROADCAST_ROWS)
+    c = clientes.select("cliente_id", "regiao")
     j = pedidos.select("pedido_id", "cliente_id", "valor_total").join(c, "cliente_id", "left")
     return j.groupBy(F.coalesce(F.col("regiao"), F.lit("desconhecida")).alias("regiao")).agg(
         F.count(F.lit(1)).alias("pedidos"), F.sum("valor_total").alias("valor_total"))
 
 
+def orders_by_representative(pedidos: DataFrame, representantes: DataFrame) -> DataFrame:
+    """Orders and value per sales representative; an unknown one keeps a NULL name."""
+    per = pedidos.groupBy("representante_id").agg(F.count(F.lit(1)).alias("pedidos"), F.sum("valor_total").alias("valor_total"))
+    return per.join(representantes.select("representante_id", "nome_representante"), "representante_id", "left") \
+        .select("representante_id", "nome_representante", "pedidos", "valor_total")
+
+
+# Payment term of an invoice, days.
+PAYMENT_DAYS = 30
+
+
+def due_date_check(contas: DataFrame, faturas: DataFrame) -> DataFrame:
+    """Every receivable with the due date its invoice implies (NULL if the invoice is unknown)."""
+    j = contas.select("conta_receber_id", "fatura_id", "data_vencimento").join(
+        faturas.select("fatura_id", "data_faturamento"), "fatura_id", "left")
+    due = F.date_add("data_faturamento", PAYMENT_DAYS)
+    return j.select("conta_receber_id", "fatura_id", "data_vencimento", due.alias("vencimento_esperado"),
+                    (F.col("data_vencimento") == due).alias("vencimento_confere"))
+
+
 def complaints_per_lot(atendimento: DataFrame, lotes: DataFrame) -> DataFrame:
     """Complaints per lot and per thousand units produced (recall trigger)."""
     c = (atendimento.where((F.col("tipo_interacao") == "reclamacao") & F.col("lote_id").isNotNull())
@@ -210,6 +225,6 @@ def billable_deliveries(comprovantes: DataFrame, remessas: DataFrame) -> DataFra
 
 
 def lot_cold_flag(lotes: DataFrame, produtos: DataFrame) -> DataFrame:
-    p = sized_broadcast(produtos.select("produto_id", "exige_cadeia_fria"), CATALOG_ROWS)
+    p = produtos.select("produto_id", "exige_cadeia_fria")
     return lotes.select("lote_id", "produto_id").join(p, "produto_id", "left") \
         .select("lote_id", "produto_id", "exige_cadeia_fria")

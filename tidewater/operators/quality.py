@@ -5,15 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..spec import PARTITION_COLUMN
+from ..spec import PARTITION_COLUMN, TableSpec
+from .silver import REASONS, cleanse
 
 
-def table_profile(df: DataFrame, name: str) -> DataFrame:
-    """One row per column: position, type, and the table's row count (one pass)."""
+def table_profile(bronze: DataFrame, spec: TableSpec) -> DataFrame:
+    """One row per silver column: position, type, and the number of silver rows.
+
+    Silver has one row per key with a trusted row, so counting distinct trusted
+    keys gives its row count: two narrow columns through a hash aggregate, with
+    no row picked and no wide shuffle.
+    """
+    c = cleanse(bronze, spec)
+    df, name = c.drop(REASONS), spec.name
+    keys = (c.select(F.col(spec.key).alias("_k"), (F.col(REASONS) == "").alias("_ok"))
+            .groupBy("_k").agg(F.max("_ok").alias("_ok")).where("_ok AND _k IS NOT NULL"))
     cols = F.array(*[F.struct(F.lit(f.name).alias("coluna"), F.lit(i + 1).alias("posicao"),
                               F.lit(f.dataType.simpleString()).alias("tipo"))
                      for i, f in enumerate(df.schema.fields)])
-    return (df.agg(F.count(F.lit(1)).alias("total_linhas"))
+    return (keys.agg(F.count(F.lit(1)).alias("total_linhas"))
               .select(F.lit(name).alias("tabela"), F.explode(cols).alias("_c"), "total_linhas")
               .select("tabela", "_c.coluna", "_c.posicao", "_c.tipo", "total_linhas"))
 

@@ -11,15 +11,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import lookup_join, sized_broadcast
+from .joins import lookup_join
 
 # Acceptable cold-chain band, degrees Celsius.
 COLD_CHAIN_MIN_C = 2.0
 COLD_CHAIN_MAX_C = 8.0
 
-# Seeds are catalogues: broadcast only while they stay under this many rows.
-SEED_BROADCAST_ROWS = 100_000
-
 
 def out_of_range_readings(leituras: DataFrame) -> DataFrame:
     """Readings outside the band; a NULL temperature is not a violation."""
@@ -42,9 +39,8 @@ def cold_chain(remessas: DataFrame, notas: DataFrame, lotes: DataFrame, produtos
         .join(notas.select("nota_expedicao_id", "lote_id"), "nota_expedicao_id", "left")
     base = lookup_join(base, lotes.select("lote_id", "produto_id"), "lote_id", "left", hot_lots)
     base = (base
-            .join(sized_broadcast(produtos.select("produto_id", "nome_produto", "exige_cadeia_fria"),
-                                  SEED_BROADCAST_ROWS), "produto_id", "left")
-            .join(sized_broadcast(veiculos.select("veiculo_id", "refrigerado"), SEED_BROADCAST_ROWS),
+            .join(produtos.select("produto_id", "nome_produto", "exige_cadeia_fria"), "produto_id", "left")
+            .join(veiculos.select("veiculo_id", "refrigerado"),
                   "veiculo_id", "left"))
     # Pre-aggregated to one row per shipment before the join.
     flagged = out_of_range_readings(leituras).select("remessa_id").distinct() \
@@ -79,8 +75,7 @@ def cold_chain_rate(cold: DataFrame) -> DataFrame:
 
 def sku_validity(itens: DataFrame, produtos: DataFrame) -> DataFrame:
     """Every order line with a flag: product id present in the catalogue."""
-    known = sized_broadcast(produtos.select(F.col("produto_id").alias("_pid")).distinct()
-                            .withColumn("_ok", F.lit(True)), SEED_BROADCAST_ROWS)
+    known = produtos.select(F.col("produto_id").alias("_pid")).distinct().withColumn("_ok", F.lit(True))
     j = itens.join(known, itens.produto_id == known._pid, "left")
     return j.select("item_pedido_id", "pedido_id", "produto_id",
                     F.coalesce(F.col("_ok"), F.lit(False)).alias("sku_valido"))

@@ -101,7 +101,7 @@ FIXTURES: dict[str, str] = {
  {num(f'CASE WHEN {K} % 25 < 2 THEN o_totalprice + 12.34 ELSE o_totalprice END')} AS valor_faturado,
  {mixed(plus_days(DAY, f'{K} % 3 + 3'), K)} AS data_faturamento,
  CASE WHEN {K} % 33 = 0 THEN 'NULL' ELSE 'CC-00' || CAST({K} % 5 + 1 AS VARCHAR) END AS centro_custo_id,
- {iso(plus_days(DAY, f'{K} % 3 + 3'))} AS data FROM orders WHERE {K} % 14 <> 0""",
+ {iso(plus_days(DAY, f'{K} % 3 + 3'))} AS data FROM orders WHERE {K} % 14 <> 0 OR {K} % 98 = 0""",
     "financeiro_contas_receber": f"""SELECT {tagged('CR-', K)} AS conta_receber_id, {tagged('FAT-', K)} AS fatura_id,
  {mixed(plus_days(DAY, '33'), K)} AS data_vencimento,
  CASE WHEN {K} % 5 < 3 THEN {mixed(plus_days(DAY, f'{K} % 11 + 28'), K)} ELSE 'N/A' END AS data_recebimento,
@@ -127,16 +127,16 @@ SEEDS: dict[str, str] = {
  ('PROD-003', 'Produto 003', 'xarope', 'false', '180'))
  t(produto_id, nome_produto, forma_farmaceutica, exige_cadeia_fria, validade_padrao_dias)""",
     "tms_veiculos": """SELECT * FROM (VALUES
- ('VEI-001', 'PLACA-001', 'van', 'false'), ('VEI-002', 'PLACA-002', 'caminhao', 'false'),
- ('VEI-003', 'PLACA-003', 'caminhao', 'true'), ('VEI-004', 'PLACA-004', 'van', 'false'),
- ('VEI-005', 'PLACA-005', 'caminhao', 'true'), ('VEI-006', 'PLACA-006', 'van', 'false'))
+ ('VEI-001', 'PLACA-001', 'furgao', 'false'), ('VEI-002', 'PLACA-002', 'carreta', 'false'),
+ ('VEI-003', 'PLACA-003', 'carreta', 'true'), ('VEI-004', 'PLACA-004', 'furgao', 'false'),
+ ('VEI-005', 'PLACA-005', 'carreta', 'true'), ('VEI-006', 'PLACA-006', 'furgao', 'false'))
  t(veiculo_id, placa, tipo_veiculo, refrigerado)""",
     "tms_rotas": """SELECT * FROM (VALUES
- ('ROTA-001', 'Sudeste', '8'), ('ROTA-002', 'Sul', '18'), ('ROTA-003', 'Nordeste', '30'),
- ('ROTA-004', 'Centro-Oeste', '16')) t(rota_id, regiao_destino, tempo_transito_padrao_horas)""",
+ ('ROTA-001', 'Litoral', '7'), ('ROTA-002', 'Serra', '20'), ('ROTA-003', 'Planalto', '31'),
+ ('ROTA-004', 'Interior', '13')) t(rota_id, regiao_destino, tempo_transito_padrao_horas)""",
     "financeiro_centros_custo": """SELECT * FROM (VALUES
- ('CC-001', 'Manufacturing'), ('CC-002', 'Distribution'), ('CC-003', 'Logistics'),
- ('CC-004', 'Commercial')) t(centro_custo_id, nome_centro_custo)""",
+ ('CC-001', 'Fábrica'), ('CC-002', 'Armazéns'), ('CC-003', 'Frota'),
+ ('CC-004', 'Vendas')) t(centro_custo_id, nome_centro_custo)""",
     "crm_representantes": """SELECT * FROM (VALUES
  ('REP-001', 'Representante 001', 'Sudeste'), ('REP-002', 'Representante 002', 'Sul'),
  ('REP-003', 'Representante 003', 'Nordeste'), ('REP-004', 'Representante 004', 'Centro-Oeste'),

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from ..functions import clean
 from ..operators import gold, rules
 from ..operators import silver as sv
-from ..operators.joins import heavy_hitters, sized_broadcast
+from ..operators.joins import heavy_hitters
 from ..oracle import sql as O
 from ..session import prepare
 from ..sources import fixtures, layers
-from ..spec import EVENT_TABLES
+from ..spec import EVENT_TABLES, SYSTEM_CALENDARS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -134,7 +134,7 @@ def q_format_number_locale(spark, d):
  FROM sv_tms_remessas r LEFT JOIN sd_tms_rotas t USING (rota_id)""")
 def q_promised_date(spark, d):
     r = S(spark, d, "tms_remessas")
-    routes = sized_broadcast(SEED(spark, d, "tms_rotas"), rules.SEED_BROADCAST_ROWS)
+    routes = SEED(spark, d, "tms_rotas")
     j = r.join(routes, "rota_id", "left")
     days = clean.hours_to_days("tempo_transito_padrao_horas")
     return j.select("remessa_id", "rota_id", "data_expedicao",
@@ -148,7 +148,7 @@ def q_promised_date(spark, d):
  FROM sv_erp_lotes_producao l LEFT JOIN sd_erp_produtos p USING (produto_id)""")
 def q_expiry_check(spark, d):
     lots = S(spark, d, "erp_lotes_producao")
-    prods = sized_broadcast(SEED(spark, d, "erp_produtos"), rules.SEED_BROADCAST_ROWS)
+    prods = SEED(spark, d, "erp_produtos")
     j = lots.join(prods.select("produto_id", "validade_padrao_dias"), "produto_id", "left")
     expected = F.date_add("data_fabricacao", F.col("validade_padrao_dias").cast("int"))
     return j.select("lote_id", "produto_id", "data_fabricacao", "data_validade",
@@ -385,7 +385,6 @@ from ..functions import calendar as cal  # noqa: E402
 from ..operators import alerts as al  # noqa: E402
 from ..operators import close as cl  # noqa: E402
 from ..operators import runs as rn  # noqa: E402
-from ..spec import SYSTEM_CALENDARS  # noqa: E402
 
 
 def RUNS(spark, d):
@@ -453,7 +452,7 @@ def q_close_alerts(spark, d):
     return cl.close_alerts(monthly_close_df(spark, d))
 
 
-RUN_STATUS_ITEMS = fixtures.RUN_ITEMS
+RUN_STATUS_ITEMS = tuple(SYSTEM_CALENDARS)
 
 
 @query("run_day_status", f"""SELECT g.sistema, g.dia, {O.operates_sql('g.sistema', 'g.dia')} AS dia_operacional,
@@ -929,6 +928,20 @@ def q_orders_by_region(spark, d):
     return kp.orders_by_region(S(spark, d, "crm_pedidos"), SEED(spark, d, "crm_clientes"))
 
 
+@query("orders_by_representative", """SELECT p.representante_id, r.nome_representante, count(*) AS pedidos,
+ sum(p.valor_total) AS valor_total FROM sv_crm_pedidos p LEFT JOIN sd_crm_representantes r USING (representante_id) GROUP BY 1, 2""")
+def q_orders_by_representative(spark, d):
+    return kp.orders_by_representative(S(spark, d, "crm_pedidos"), SEED(spark, d, "crm_representantes"))
+
+
+@query("due_date_check", """SELECT c.conta_receber_id, c.fatura_id, c.data_vencimento,
+ CAST(f.data_faturamento + 30 AS DATE) AS vencimento_esperado,
+ c.data_vencimento = CAST(f.data_faturamento + 30 AS DATE) AS vencimento_confere
+ FROM sv_financeiro_contas_receber c LEFT JOIN sv_financeiro_faturas f USING (fatura_id)""")
+def q_due_date_check(spark, d):
+    return kp.due_date_check(S(spark, d, "financeiro_contas_receber"), S(spark, d, "financeiro_faturas"))
+
+
 @query("complaints_per_lot", """SELECT c.lote_id, c.reclamacoes, l.quantidade_produzida,
  round(CASE WHEN l.quantidade_produzida IS NULL OR l.quantidade_produzida = 0 THEN NULL
    ELSE c.reclamacoes * 1000.0 / l.quantidade_produzida END, 6) AS reclamacoes_por_mil_unidades,
@@ -988,7 +1001,7 @@ def _profile_sql(t):
 def q_table_profile(spark, d):
     out = None
     for t in EVENT_TABLES:
-        p = qa.table_profile(S(spark, d, t), t)
+        p = qa.table_profile(B(spark, d, t), EVENT_TABLES[t])
         out = p if out is None else out.unionByName(p)
     return out
 
@@ -1005,6 +1018,18 @@ DATA_RULES = {
         rules.Rule("veiculo_fora_da_frota", "veiculo_id NOT IN ('VEI-001', 'VEI-002', 'VEI-003', 'VEI-004', 'VEI-005', 'VEI-006')", "media"),
         rules.Rule("sla_acima_de_um_dia", "sla_horas_contratado > 24", "baixa"),
     ],
+    "crm_itens_pedido": [rules.Rule("quantidade_nao_positiva", "quantidade <= 0", "alta"),
+                         rules.Rule("preco_acima_do_usual", "preco_unitario > 90000", "baixa")],
+    "crm_atendimento": [rules.Rule("reclamacao_sem_lote", "tipo_interacao = 'reclamacao' AND lote_id IS NULL", "media")],
+    "erp_lotes_producao": [rules.Rule("aprovado_sem_liberacao", "status_qc = 'aprovado' AND data_liberacao IS NULL", "alta"),
+                           rules.Rule("reprovado", "status_qc = 'reprovado'", "baixa")],
+    "erp_notas_expedicao": [rules.Rule("sem_centro", "centro_distribuicao_id IS NULL", "media")],
+    "erp_posicoes_estoque": [rules.Rule("quantidade_negativa", "quantidade < 0", "alta"),
+                             rules.Rule("sem_centro", "centro_distribuicao_id IS NULL", "media")],
+    "tms_leituras_temperatura": [rules.Rule("abaixo_de_zero", "temperatura_celsius < 0", "media")],
+    "tms_comprovantes_entrega": [rules.Rule("entregue_sem_confirmacao", "status_entrega = 'entregue' AND pod_confirmado IS NULL", "media")],
+    "financeiro_faturas": [rules.Rule("sem_centro_de_custo", "centro_custo_id IS NULL", "media")],
+    "financeiro_contas_receber": [rules.Rule("recebido_apos_vencimento", "data_recebimento > data_vencimento", "baixa")],
 }
 
 
@@ -1019,7 +1044,7 @@ def q_rule_violations(spark, d):
     return out
 
 
-VOLUME_TABLES = ("crm_pedidos", "tms_remessas", "financeiro_faturas")
+VOLUME_TABLES = tuple(EVENT_TABLES)
 
 
 @query("volume_anomaly", " UNION ALL ".join(f"""SELECT tabela, data, linhas, round(m, 4) AS media_movel, round(s, 4) AS desvio_movel,
