@@ -21,8 +21,3 @@ def oracle():
         names = [d[0] for d in cur.description]
         return sorted(map(str, (tuple(v for _, v in sorted(zip(names, r))) for r in cur.fetchall())))
     return run
-
-
-def same_rows(df):
-    names = df.columns
-    return sorted(map(str, (tuple(v for _, v in sorted(zip(names, r))) for r in df.collect())))

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import same_rows
+from llm_rows import same_rows
 from tidewater.llm import line_dedup, mixing, oracles, sharding
 from tidewater.llm.queries import QUERIES
 

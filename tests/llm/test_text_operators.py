@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from conftest import same_rows
+from llm_rows import same_rows
 from tidewater.llm import chat, html_extract, lm_score, lz_fingerprint, quality
 from tidewater.llm.queries import QUERIES
 
