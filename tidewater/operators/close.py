@@ -46,6 +46,28 @@ def missing_run_days(runs: DataFrame, months: DataFrame, system: str = "financei
     return business_days(months, system).join(seen, "dia", "left_anti").select("mes", "dia")
 
 
+def missing_by_system(runs: DataFrame, months: DataFrame, systems: tuple[str, ...],
+                      pipeline: str = "gerar_dados") -> DataFrame:
+    """(mes, sistema, dia): operating days of each system without a successful run."""
+    out = None
+    for s in systems:
+        m = missing_run_days(runs, months, s, pipeline).select("mes", F.lit(s).alias("sistema"), "dia")
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+def months_complete(runs: DataFrame, systems: tuple[str, ...]) -> DataFrame:
+    """Per closable month of the first system: is it complete in every system, and how many days each lacks (JSON)."""
+    months = closable_months(runs, systems[0])
+    lacks = (missing_by_system(runs, months, systems).groupBy("mes")
+             .agg(*[F.count_if(F.col("sistema") == s).alias(s) for s in systems], F.count(F.lit(1)).alias("dias_faltando")))
+    j = months.join(lacks, "mes", "left")
+    return j.select(F.date_format("mes", "yyyy-MM").alias("mes_referencia"),
+                    F.coalesce("dias_faltando", F.lit(0)).alias("dias_faltando"),
+                    F.to_json(F.struct(*[F.coalesce(F.col(s), F.lit(0)).alias(s) for s in systems])).alias("por_sistema"),
+                    F.col("dias_faltando").isNull().alias("mes_completo"))
+
+
 def monthly_close(reconciliation: DataFrame, receivables: DataFrame, runs: DataFrame,
                   system: str = "financeiro") -> DataFrame:
     """One close record per closable month.

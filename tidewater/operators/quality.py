@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.calendar import days_between, operates_on
 from ..spec import PARTITION_COLUMN, TableSpec
 from .silver import REASONS, cleanse
 
@@ -33,6 +34,33 @@ def daily_volume(bronze: DataFrame, name: str) -> DataFrame:
         .select(F.lit(name).alias("tabela"), PARTITION_COLUMN, "linhas")
 
 
+# Rows per operating day that the business expects, by table.
+VOLUME_BANDS = {
+    "erp_lotes_producao": (40, 80),
+    "erp_notas_expedicao": (150, 300),
+    "erp_posicoes_estoque": (30, 60),
+    "tms_remessas": (150, 300),
+    "crm_pedidos": (150, 300),
+    "crm_atendimento": (20, 40),
+    "financeiro_faturas": (150, 300),
+}
+
+
+def volume_bands(bronze: DataFrame, spec: TableSpec, band: tuple[int, int]) -> DataFrame:
+    """Every calendar day between a table's first and last landed day against the expected rows.
+
+    A day without rows is seen: ``sem_dado`` on an operating day of the
+    table's system, ``fora_de_operacao`` otherwise.
+    """
+    daily = bronze.groupBy(F.to_date(PARTITION_COLUMN).alias("dia")).agg(F.count(F.lit(1)).alias("linhas"))
+    span = daily.agg(F.min("dia").alias("ini"), F.max("dia").alias("fim")).where("ini IS NOT NULL")
+    n = F.coalesce(F.col("linhas"), F.lit(0))
+    verdict = (F.when((n == 0) & operates_on(F.lit(spec.system), F.col("dia")), "sem_dado").when(n == 0, "fora_de_operacao")
+               .when(n < band[0], "abaixo").when(n > band[1], "acima").otherwise("na_faixa"))
+    return (days_between(span, "ini", "fim").select("dia").join(daily, "dia", "left")
+            .select(F.lit(spec.name).alias("tabela"), "dia", n.alias("linhas"), verdict.alias("situacao")))
+
+
 def volume_anomaly(daily: DataFrame, window_days: int = 7, z: float = 3.0) -> DataFrame:
     """Daily row counts vs the trailing window mean and standard deviation.
 

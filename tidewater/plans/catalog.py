@@ -1059,3 +1059,34 @@ def q_volume_anomaly(spark, d):
         v = qa.daily_volume(B(spark, d, t), t)
         out = v if out is None else out.unionByName(v)
     return qa.volume_anomaly(out)
+
+
+@query("volume_bands", " UNION ALL ".join(f"""SELECT '{t}' AS tabela, dia, coalesce(linhas, 0) AS linhas,
+ CASE WHEN coalesce(linhas, 0) = 0 THEN (CASE WHEN {O.operates_sql(f"'{EVENT_TABLES[t].system}'", 'dia')} THEN 'sem_dado' ELSE 'fora_de_operacao' END)
+      WHEN linhas < {lo} THEN 'abaixo' WHEN linhas > {hi} THEN 'acima' ELSE 'na_faixa' END AS situacao
+ FROM (SELECT {O.days_sql('min(CAST(data AS DATE))', 'max(CAST(data AS DATE))')} AS dia FROM bz_{t})
+ LEFT JOIN (SELECT CAST(data AS DATE) AS dia, count(*) AS linhas FROM bz_{t} GROUP BY 1) USING (dia)"""
+    for t, (lo, hi) in qa.VOLUME_BANDS.items()))
+def q_volume_bands(spark, d):
+    out = None
+    for t, band in qa.VOLUME_BANDS.items():
+        v = qa.volume_bands(B(spark, d, t), EVENT_TABLES[t], band)
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+CLOSE_SYSTEMS = ("financeiro", "tms", "crm")
+
+
+def _lacking(s):
+    return (f"(SELECT count(*) FROM (SELECT {O.days_sql('m.mes', 'last_day(m.mes)')} AS dia) WHERE {O.operates_sql(repr(s), 'dia')} "
+            f"AND dia NOT IN (SELECT CAST(data_referencia AS DATE) FROM bz_runs WHERE pipeline = 'gerar_dados' AND item = '{s}' AND status = 'sucesso'))")
+
+
+@query("months_complete", f"""SELECT strftime(mes, '%Y-%m') AS mes_referencia, {' + '.join(CLOSE_SYSTEMS)} AS dias_faltando,
+ CAST(json_object({', '.join(f"'{s}', {s}" for s in CLOSE_SYSTEMS)}) AS VARCHAR) AS por_sistema,
+ {' + '.join(CLOSE_SYSTEMS)} = 0 AS mes_completo
+ FROM (SELECT m.mes, {', '.join(f'{_lacking(s)} AS {s}' for s in CLOSE_SYSTEMS)} FROM ({O.FIN_MONTHS}) m)""")
+def q_months_complete(spark, d):
+    """A month can be closed only if no system lacks a run on one of its operating days."""
+    return cl.months_complete(RUNS(spark, d), CLOSE_SYSTEMS)
