@@ -27,14 +27,22 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def salted(hashes: DataFrame) -> DataFrame:
+    """Rows of distinct line hashes, once per salt."""
+    return hashes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """(_h1, _h2) of lines on at least ``min_sites`` distinct sites, from (_h1, _h2, _site) rows."""
+    """(_h1, _h2) of lines on at least ``min_sites`` distinct sites, from (_h1, _h2, _site, _salt) rows.
+
+    ``_salt`` (0 to SALTS - 1) spreads the rows of one line in the exact recount.
+    """
     key = ["_h1", "_h2"]
     spread = (lines.groupBy(*key).agg(F.hll_sketch_agg("_site", LG_K).alias("sketch"))
               .select(*key, F.hll_sketch_estimate("sketch").alias("sites"))
               .where(F.col("sites") >= min_sites * (1 - BAND)))
     near = spread.where(F.col("sites") <= min_sites * (1 + BAND)).select(*key)
-    exact = (lines.join(near, key, "left_semi").groupBy(*key, "_site").agg(F.lit(1).alias("one"))
+    exact = (lines.join(salted(near), [*key, "_salt"], "left_semi").groupBy(*key, "_site").agg(F.lit(1).alias("one"))
              .groupBy(*key).agg(F.count("one").alias("sites")).where(F.col("sites") >= min_sites).select(*key))
     return spread.where(F.col("sites") > min_sites * (1 + BAND)).select(*key).unionByName(exact)
 
@@ -53,11 +61,10 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, key: str = "
     lines = (docs.select(row_key.alias("_row"), F.coalesce(F.col("source"), F.lit("\0null")).alias("_site"),
                          F.explode(F.array_distinct(_lines(F.col("text")))).alias("_line"))
              .where(F.trim("_line") != "")
-             .select("_row", "_site", *_hashes(F.col("_line"))))
-    bad = boilerplate_lines(lines.select("_h1", "_h2", "_site"), min_sites)
+             .select("_row", "_site", F.pmod("_row", F.lit(SALTS)).cast("int").alias("_salt"), *_hashes(F.col("_line"))))
+    bad = boilerplate_lines(lines.select("_h1", "_h2", "_site", "_salt"), min_sites)
     # Few lines are boilerplate, but one of them may be in a third of all documents: spread it by salt.
-    salted = bad.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    hits = (lines.withColumn("_salt", F.pmod("_row", F.lit(SALTS)).cast("int")).join(salted, ["_h1", "_h2", "_salt"])
+    hits = (lines.join(salted(bad), ["_h1", "_h2", "_salt"])
             .groupBy("_row").agg(F.collect_set("_h1").alias("_bad")))
     whole = docs.select(F.struct(*docs.columns).alias("_all"), row_key.alias("_row"))
     found = whole.join(hits, "_row", "left")
