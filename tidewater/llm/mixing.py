@@ -7,13 +7,15 @@ apportionment of a smaller house, and each mix shard gets its own integer
 quota. A quota is filled by whole passes over the source's blocks plus a seeded
 choice of blocks for the rest. Everything is DataFrame and SQL functions.
 
-Steps and their sizes: one row per source (targets, quotas); per source
-``BUCKETS``-fold hash buckets for the running word count, so no source, however
-hot, is ordered in one task; then the rows themselves.
+Steps and their sizes: one row per source (targets, quotas); per source hash
+buckets of bounded size for the running word count, so no source, however hot,
+is ordered in one task; then the rows themselves.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +25,8 @@ LIMIT = 2                       # a target stops at this multiple of its source
 MIX_SHARDS = 8
 BLOCKS = 256                    # blocks in the smallest positive target
 SEED = 20240607
-BUCKET_DIGITS = 2               # hex digits of the seeded order that make a bucket
+BUCKET_DIGITS = 2               # hex digits of the seeded order that make a bucket, at least
+BUCKET_ROWS = 500_000           # expected rows of a bucket, at most: more digits for more rows
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -100,8 +103,9 @@ def mix(docs: DataFrame, key: str = "doc_id", seed: int = SEED) -> DataFrame:
     docs = docs.drop("source_size", "target", "taken")
     plan = source_quotas(source_targets(docs.select("source", "size")))
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
+    digits = max(BUCKET_DIGITS, math.ceil(math.log(max(docs.count(), 1) / BUCKET_ROWS, 16)))
     keyed = (docs.select(F.struct(*docs.columns).alias("_row"), "source", "size", order.alias("_o"))
-             .withColumn("_b", F.substring("_o", 1, BUCKET_DIGITS)))
+             .withColumn("_b", F.substring("_o", 1, digits)))
     buckets = keyed.groupBy("source", "_b").agg(F.sum("size").alias("_w"))
     run = Window.partitionBy("source").orderBy("_b")
     starts = (buckets.withColumn("_s", F.sum("_w").over(run) - F.col("_w")).alias("x")
