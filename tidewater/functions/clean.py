@@ -77,7 +77,9 @@ def date_from_stripped(s: Column) -> Column:
     day_first = F.concat(F.substring_index(s, "/", -1), F.lit("-"),
                          F.substring_index(F.substring_index(s, "/", 2), "/", -1), F.lit("-"),
                          F.substring_index(s, "/", 1))
-    iso = F.when(s.rlike(DAY_FIRST_PATTERN), day_first).when(s.rlike(ISO_DATE_PATTERN), s)
+    # The slash decides the layout, so each value meets one pattern.
+    iso = (F.when(F.instr(s, "/") > 0, F.when(s.rlike(DAY_FIRST_PATTERN), day_first))
+           .when(s.rlike(ISO_DATE_PATTERN), s))
     return iso.try_cast("date")
 
 
