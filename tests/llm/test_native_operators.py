@@ -58,6 +58,22 @@ def test_targets_and_takes(spark):
     assert times["count"].max() <= 4
 
 
+def test_kept_words_of_whole_documents_meet_the_targets(spark):
+    rng = np.random.default_rng(4)
+    rows = [("tiny", int(n)) for n in (4, 6, 9)] + [(f"s{k:02}", int(n)) for k in range(10) for n in rng.integers(300, 900, 60)]
+    rows += [("hot", int(n)) for n in rng.integers(300, 900, 6000)] + [("hot", 40_000), ("s03", 5000)] + [(None, 400)] * 30 + [("none", 0)]
+    df = spark.createDataFrame([(k, s, n) for k, (s, n) in enumerate(rows)], "doc_id long, source string, size long")
+    mixed = mixing.mix(df).toPandas()
+    docs = mixing.repeat_documents(mixing.mix(df))
+    assert docs.columns == [*df.columns, "source_size", "target", "taken"]
+    kept = docs.toPandas()
+    assert kept.doc_id.value_counts().max() <= 2 and (kept["size"] > 0).all()
+    for source, own in mixed.groupby("source", dropna=False):
+        mine = kept[kept.source.isna()] if pd.isna(source) else kept[kept.source == source]
+        assert abs(mine["size"].sum() - own.target.iloc[0]) <= own["size"].max()
+    assert same_rows(docs.drop("taken")) == same_rows(mixing.repeat_documents(mixing.with_targets(df.repartition(5))))
+
+
 def test_quotas_are_highest_quotients(spark):
     targets = [("a", 0, 1000, 53.2), ("b", 1, 500, 20.1), ("c", 2, 300, 11.7), ("d", 3, 9, 9.0)]
     df = spark.createDataFrame(targets, "source string, place long, source_size long, target double")

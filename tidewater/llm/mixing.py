@@ -124,7 +124,40 @@ def mix(docs: DataFrame, key: str = "doc_id", seed: int = SEED) -> DataFrame:
     return cut.select("_row.*", "source_size", "target", taken.cast("long").alias("taken"))
 
 
-def repeat_documents(mixed: DataFrame) -> DataFrame:
-    """Rows of a mix as documents: a row appears once, twice or not at all, by the share of its words taken."""
-    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(F.lit(0)).cast("int")
-    return mixed.withColumn("_t", F.explode(F.array_repeat(F.lit(0), times))).drop("_t")
+def with_targets(docs: DataFrame) -> DataFrame:
+    """``docs`` (with ``source`` and a long ``size``) plus source_size and target: all that ``repeat_documents`` needs."""
+    plan = source_targets(docs.select("source", "size")).select(F.col("source").alias("_src"), "source_size", "target")
+    return docs.drop("source_size", "target").join(plan, F.expr("source <=> _src")).drop("_src")
+
+
+def repeat_documents(mixed: DataFrame, key: str = "doc_id", seed: int = SEED) -> DataFrame:
+    """Rows with source_size and target as whole documents: a row appears once, twice or not at all.
+
+    Systematic sampling per source, longest documents first and in seeded order
+    among equals: with a ratio of target to source_size, the first i documents
+    appear floor(i * ratio + offset) times, the offset seeded per source in
+    [0, 1). As sizes only fall along the order, the kept words of a source stay
+    within one of its longest documents of the target, and meet it on average
+    over the offsets; documents need not be short against anything. Rows of
+    size 0 go.
+    """
+    rows = mixed.where("size > 0")
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
+    digits = max(0, math.ceil(math.log(max(mixed.count(), 1) / BUCKET_ROWS, 16)))
+    keyed = (rows.select(F.struct(*mixed.columns).alias("_row"), "source", "size", (F.col("target") / F.col("source_size")).alias("_ratio"), order.alias("_o"))
+             .withColumn("_b", F.substring("_o", 1, digits)))
+    # Running numbers in three steps: sizes of a source, buckets of a size, rows of a bucket.
+    buckets = keyed.groupBy("source", "size", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = buckets.groupBy("source", "size").agg(F.sum("_n").alias("_n"))
+    longer = sizes.select(F.col("source").alias("_zs"), F.col("size").alias("_zz"),
+                          (F.sum("_n").over(Window.partitionBy("source").orderBy(F.col("size").desc())) - F.col("_n")).alias("_longer"))
+    inside = buckets.select(F.col("source").alias("_src"), F.col("size").alias("_sz"), F.col("_b").alias("_sb"),
+                            (F.sum("_n").over(Window.partitionBy("source", "size").orderBy("_b")) - F.col("_n")).alias("_before"))
+    starts = (inside.join(longer, F.expr("_src <=> _zs AND _sz = _zz"))
+              .select("_src", "_sz", "_sb", (F.col("_longer") + F.col("_before")).alias("_start")))
+    number = F.row_number().over(Window.partitionBy("source", "size", "_b").orderBy("_o"))
+    offset = F.pmod(F.xxhash64(F.lit(seed), F.col("source")), F.lit(1 << 20)) / (1 << 20)
+    placed = (keyed.withColumn("_i", number).join(starts, F.expr("source <=> _src AND size = _sz AND _b = _sb"))
+              .withColumn("_i", F.col("_start") + F.col("_i")).withColumn("_u", offset))
+    times = F.expr("CAST(floor(_i * _ratio + _u) - floor((_i - 1) * _ratio + _u) AS INT)")
+    return placed.select("_row", F.explode(F.array_repeat(F.lit(0), times)).alias("_t")).select("_row.*")
