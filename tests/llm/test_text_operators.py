@@ -106,6 +106,26 @@ def test_lm_probabilities_sum_to_one():
     assert np.exp(model.log_probabilities(one, np.arange(lm_score.CLASSES))).sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_lm_learns_from_every_training_token(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(lm_score, "FAN_IN", 3)
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(k, " ".join(rng.choice(["a", "bb", "cc", "de", "fgh"], 40))) for k in range(2200)], "doc_id long, text string")
+    trained, real = [], lm_score._trained
+
+    def seen(encoded, blocks, model, seed):
+        assert blocks > lm_score.FAN_IN
+        trained.append(sum(len(r["classes"]) for r in encoded.collect()))
+        before = model.packed()
+        after = real(encoded, blocks, model, seed)
+        assert np.isfinite(after.packed()).all() and not np.array_equal(before, after.packed())
+        return after
+
+    monkeypatch.setattr(lm_score, "_trained", seen)
+    out = lm_score.lm_scores(df).toPandas()
+    assert trained == [41 * int((~out.held_out).sum())] * lm_score.EPOCHS == [out.train_tokens[0]] * lm_score.EPOCHS
+
+
 def test_lm_edges_and_many_blocks(spark, monkeypatch):
     rows = [(1, None), (2, ""), (3, "A a a"), (3, "A a a"), (None, "b " * 9000), (5, "ü a"), (4, "only held out")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 h")

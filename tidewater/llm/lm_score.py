@@ -7,8 +7,9 @@ word belongs to one of ``SHAPES`` classes by its last two bytes. The neural
 part predicts the class of a token from the classes of the ``CONTEXT`` tokens
 before it: the context's vectors, each scaled by a vector of its position, add
 up to a predicted vector, whose products with the class vectors plus a bias are
-the scores. It is trained by noise-contrastive estimation in numpy on a bounded
-sample of training documents; scoring normalises over all classes. Within a
+the scores. It is trained by noise-contrastive estimation in numpy on every
+training token, ``EPOCHS`` times: the blocks of a pass all start from the same
+parameters, which are then averaged by tokens. Scoring normalises over all classes. Within a
 shape class a word has its share of the smoothed corpus counts, with one part
 for words never seen, so the log-probabilities are normalised over the whole
 vocabulary.
@@ -36,9 +37,9 @@ CLASSES = SHORTLIST + 1 + SHAPES
 DIM = 24
 CONTEXT = 5
 NOISE = 20                      # noise classes per training token
-SAMPLE_DOCS = 1500              # training documents that the neural part learns from
-SAMPLE_TOKENS = 600_000
 EPOCHS = 3
+CHUNK_TOKENS = 4 << 20          # tokens of a block whose contexts are held at once
+FAN_IN = 32                     # blocks' parameters that one task adds up
 BATCH = 2048
 RATE = 0.05
 BLOCK_BYTES = 24 << 20
@@ -94,6 +95,9 @@ def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+NAMES = ("r", "c", "q", "b")
+
+
 class LogBilinear:
     """Context vectors R, position vectors C, class vectors Q and biases b."""
 
@@ -104,44 +108,57 @@ class LogBilinear:
         self.q = rng.normal(0, 0.1, (CLASSES, DIM)).astype(np.float32)
         self.prior = prior
         self.b = np.log(prior).astype(np.float32)
+        self.past = {k: np.full_like(getattr(self, k), 1e-6) for k in NAMES}
 
-    def train(self, context: np.ndarray, target: np.ndarray, seed: int = 6) -> None:
+    def train(self, context: np.ndarray, target: np.ndarray, seed: int = 6, epochs: int = EPOCHS) -> None:
         """Tell each token from NOISE classes drawn from the prior (Adagrad steps on shuffled batches)."""
         rng = np.random.default_rng(seed)
         edges = np.cumsum(self.prior)
         log_noise = np.log(NOISE * self.prior).astype(np.float32)
-        past = {k: np.full_like(getattr(self, k), 1e-6) for k in ("r", "c", "q", "b")}
+        dims = np.arange(DIM)
+
+        def step(name, grad):
+            self.past[name] += grad * grad
+            getattr(self, name)[...] -= RATE * grad / np.sqrt(self.past[name])
 
-        def step(name, grad, rows=slice(None)):
-            past[name][rows] += grad * grad
-            getattr(self, name)[rows] -= RATE * grad / np.sqrt(past[name][rows])
+        def summed(classes, grad, n):
+            """Rows of ``grad`` added up by class."""
+            return np.bincount((classes[:, None] * DIM + dims).ravel(), grad.ravel(), n * DIM).reshape(n, DIM).astype(np.float32)
 
-        for _ in range(EPOCHS):
+        for _ in range(epochs):
             order = rng.permutation(len(target))
             for at in range(0, len(order), BATCH):
                 rows = order[at:at + BATCH]
-                ctx, t = context[rows], target[rows]
+                ctx, t = context[rows].astype(np.int64), target[rows].astype(np.int64)
                 vec = self.r[ctx]                                       # batch, CONTEXT, DIM
                 hat = (vec * self.c).sum(1)
                 # One set of noise classes per batch: its scores are one matrix product.
                 noise = np.minimum(np.searchsorted(edges, rng.random(NOISE * 8) * edges[-1]), CLASSES - 1)
                 weight = 1.0 / 8                                        # NOISE * 8 draws count as NOISE per token
                 s_t = (hat * self.q[t]).sum(1) + self.b[t] - log_noise[t]
-                s_n = hat @ self.q[noise].T + self.b[noise] - log_noise[noise]
+                s_n = hat @ self.q[noise].T + (self.b[noise] - log_noise[noise])
                 g_t = 1 / (1 + np.exp(-s_t)) - 1
-                g_n = weight / (1 + np.exp(-s_n))
+                g_n = np.float32(weight) / (1 + np.exp(-s_n))
                 g_hat = g_t[:, None] * self.q[t] + g_n @ self.q[noise]
-                gq = np.zeros_like(self.q)
-                np.add.at(gq, t, g_t[:, None] * hat)
-                np.add.at(gq, noise, g_n.T @ hat)
+                gq = summed(t, g_t[:, None] * hat, CLASSES) + summed(noise, g_n.T @ hat, CLASSES)
                 gb = np.bincount(t, g_t, CLASSES) + np.bincount(noise, g_n.sum(0), CLASSES)
-                gr = np.zeros_like(self.r)
-                np.add.at(gr, ctx.ravel(), (g_hat[:, None, :] * self.c).reshape(-1, DIM))
-                gc = np.einsum("bkd,bd->kd", vec, g_hat)
+                gr = summed(ctx.ravel(), (g_hat[:, None, :] * self.c).reshape(-1, DIM), CLASSES + 1)
+                gc = (vec * g_hat[:, None, :]).sum(0)
                 n = len(rows)
                 for name, g in (("q", gq), ("b", gb.astype(np.float32)), ("r", gr), ("c", gc)):
                     step(name, g / n)
 
+    def packed(self) -> np.ndarray:
+        """Parameters and the running squares of their steps in one array."""
+        return np.concatenate([x.ravel() for k in NAMES for x in (getattr(self, k), self.past[k])]).astype(np.float64)
+
+    def unpack(self, values: np.ndarray) -> None:
+        at = 0
+        for k in NAMES:
+            for x in (getattr(self, k), self.past[k]):
+                x[...] = values[at:at + x.size].reshape(x.shape)
+                at += x.size
+
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target class, normalised over all classes."""
         tables = [self.r * c for c in self.c]
@@ -208,23 +225,79 @@ def _counts(docs: DataFrame) -> DataFrame:
     return docs.select("block", "text", F.expr("NOT held_out").alias("train")).mapInArrow(work, schema)
 
 
-def _sample(docs: DataFrame, scanner: Scanner, classes: Classes):
-    """Contexts and classes of a bounded sample of training documents, those with the smallest id hash."""
-    rank = F.xxhash64(F.lit("sample"), "doc_id", "text")
-    ranked = docs.where(~F.col("held_out")).select(rank.alias("k"))
-    last = ranked.orderBy("k").limit(SAMPLE_DOCS).agg(F.max("k").alias("k")).first()["k"]
-    if last is None:
-        return None
-    rows = docs.where(~F.col("held_out") & (rank <= last)).select("text").limit(SAMPLE_DOCS).collect()
-    ctx, target, total = [], [], 0
-    for _, _, hashes, shape, first in _documents(pa.array([r["text"] for r in rows], pa.large_string()), scanner):
-        c = classes(hashes, shape)
-        ctx.append(contexts(c, first).astype(np.int16))
-        target.append(c.astype(np.int16))
-        total += len(c)
-        if total >= SAMPLE_TOKENS:
-            break
-    return np.concatenate(ctx).astype(np.int64), np.concatenate(target).astype(np.int64)
+def _encoded(docs: DataFrame, parts: int, fixed) -> DataFrame:
+    """(block, classes): every training document as a byte per token, in a fixed order within its block."""
+    def work(batches):
+        scanner, classes = Scanner(space_table()), shared(fixed)
+        for batch in batches:
+            out = []
+            for _, n, hashes, shape, first in _documents(batch.column(2), scanner):
+                c = classes(hashes, shape).astype(np.uint8)
+                out += [c[first[i]:first[i + 1]].tobytes() for i in range(n)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["block", "k", "classes"])
+
+    rows = docs.where(~F.col("held_out")).select("block", F.xxhash64("doc_id", "text").alias("k"), "text")
+    return (rows.mapInArrow(work, "block int, k long, classes binary")
+            .repartitionById(parts, F.col("block") % parts).sortWithinPartitions("block", "k", "classes").select("block", "classes"))
+
+
+def _trained(encoded: DataFrame, blocks: int, model: LogBilinear, seed: int) -> LogBilinear:
+    """One pass over all training tokens: each block learns from ``model``, the results are averaged by tokens.
+
+    Sums go up in steps of FAN_IN blocks, so at most FAN_IN sets of parameters reach the driver.
+    """
+    names, schema = ["block", "n", "sums"], "block int, n long, sums binary"
+    start = share(encoded.sparkSession, model)
+
+    def row(block, n, sums):
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([n], pa.int64()), pa.array([sums.tobytes()], pa.binary())], names=names)
+
+    def learn(batches):
+        block, own, n, held, size = None, None, 0, [], 0
+
+        def chunk():
+            c = np.frombuffer(b"".join(held), np.uint8).astype(np.int16)
+            first = np.append(0, np.cumsum([len(x) for x in held]))
+            own.train(contexts(c, first).astype(np.int16), c, seed * 1_000_003 + block, 1)
+
+        for batch in batches:
+            for at, doc in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if at != block:
+                    if held:
+                        chunk()
+                    if block is not None:
+                        yield row(block, n, own.packed() * n)
+                    block, own, n, held, size = at, shared(start), 0, [], 0
+                held.append(doc)
+                n += len(doc)
+                size += len(doc)
+                if size >= CHUNK_TOKENS:
+                    chunk()
+                    held, size = [], 0
+        if held:
+            chunk()
+        if block is not None:
+            yield row(block, n, own.packed() * n)
+
+    def add(batches):
+        block, n, sums = None, 0, 0.0
+        for batch in batches:
+            for at, m, x in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if block is not None and at != block:
+                    yield row(block, n, sums)
+                    n, sums = 0, 0.0
+                block, n, sums = at, n + m, sums + np.frombuffer(x)
+        if block is not None:
+            yield row(block, n, sums)
+
+    rows = encoded.mapInArrow(learn, schema)
+    while blocks > FAN_IN:
+        blocks = -(-blocks // FAN_IN)
+        rows = (rows.select((F.col("block") % blocks).cast("int").alias("block"), F.col("block").alias("_from"), "n", "sums")
+                .repartitionById(blocks, "block").sortWithinPartitions("block", "_from").select("block", "n", "sums").mapInArrow(add, schema))
+    parts = sorted(rows.collect(), key=lambda r: (r["block"], r["n"]))
+    model.unpack(sum(np.frombuffer(r["sums"]) for r in parts) / sum(r["n"] for r in parts))
+    return model
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
@@ -268,9 +341,11 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     seen[SHORTLIST] = max([r["all"] for r in sums if r["shape"] == -1], default=0)
     model = LogBilinear((seen + 0.5) / (seen + 0.5).sum())
     classes = Classes(shortlist)
-    sample = _sample(base, Scanner(space_table()), classes)
-    if sample is not None:
-        model.train(*sample)
+    if n_all:
+        block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
+        encoded = written(spark, _encoded(base.withColumn("block", block), parts, share(spark, classes)), "class-documents")
+        for epoch in range(EPOCHS):
+            model = _trained(encoded, blocks, model, epoch)
     return _scored(dealt, own, parts, share(spark, (model, classes, rare, n_all, v_all)))
 
 
