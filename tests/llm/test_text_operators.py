@@ -236,6 +236,16 @@ def test_container_found_by_slots_without_semantic_tags():
     assert wrapper.extract(odd) == "only this" and wrapper.extract("") == "" and wrapper.extract("plain & simple") == "plain & simple"
 
 
+def test_container_keeps_what_stands_beside_the_longest_part():
+    long = "word " * 60
+    for body, want in (("<div id=content><h1>Title {k}</h1><p>Lead {k}</p><div class=entry>" + long + "{k}</div></div>", "Title {k} Lead {k} " + long + "{k}"),
+                       ("<div id=content><section class=a>" + long + "{k}</section><section class=b>short {k}</section></div>", long + "{k} short {k}"),
+                       ("<div id=content><p>post {k}</p><table><tr><td>" + long + "{k}</table></div>", "post {k} " + long + "{k}")):
+        pages = [page(k, body.format(k=k)) for k in range(5)]
+        wrapper = html_extract.Wrapper(html_extract.induce(pages))
+        assert [wrapper.extract(p) for p in pages] == [want.format(k=k) for k in range(5)]
+
+
 def test_tree_matching_counts_common_nodes():
     a = html_extract.Shape([html_extract.parse("<div><h1>x</h1><p>y</p><ul><li>1</ul></div>")])
     b = html_extract.Shape([html_extract.parse("<div><p>y</p><p>z</p><table></table><ul><li>1</ul></div>")])

@@ -6,7 +6,8 @@ matching: two nodes match if their keys (tag, first class or id) are equal, and
 the children of matched nodes are matched in order for the largest common tree.
 Runs of equal siblings count as one repeated node. A template node whose text
 is the same on all pages it matches is constant, others are slots. The wrapper
-of the host is the path to the container that holds most of the slots' text;
+of the host is the path to the lowest container that holds all the slots' text
+(all in article and main elements, if these hold a quarter);
 menus, adverts, forms and the like hold none of it. It is a few hundred bytes.
 
 Every page is then read with its host's wrapper: the container is followed by
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 from .common import small_batches, written
 
 SAMPLES = 5                     # pages per host that its wrapper is induced from
-SHARE = 0.5                     # of a container's slot text that one child must hold to be the narrower container
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>?|[^<]+|<", re.S)
 MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -203,18 +203,30 @@ def _weight(shape: Shape, slots_only: bool) -> float:
     return own + sum(_weight(c, slots_only) for c in shape.children)
 
 
+def _landmarks(shape: Shape) -> list[Shape]:
+    """The topmost article and main elements."""
+    return [shape] if shape.tag in ("article", "main") else [x for c in shape.children for x in _landmarks(c)]
+
+
 def container(top: Shape) -> list[Shape]:
-    """The way from the top to the container that holds most slot text; it ends at an article or main element."""
+    """The way from the top to the lowest container of all slot text, or of all in article and main elements if they hold a quarter."""
     slots = _weight(top, True) > 0              # if nothing varies (copies of one page), all text counts
+    total = _weight(top, slots)
+    marked = _landmarks(top)
+    held = sum(_weight(x, slots) for x in marked)
+    only = bool(marked) and held * 4 >= total
+
+    def goal(x: Shape) -> float:
+        return sum(_weight(m, slots) for m in _landmarks(x)) if only else _weight(x, slots)
+
     way = [top]
     while way[-1].tag not in ("article", "main"):
-        total = _weight(way[-1], slots)
-        inner = [(c, _weight(c, slots)) for c in way[-1].children if c.tag in CONTAINERS or c.tag == "#root"]
-        inner = [(c, w) for c, w in inner if total > 0 and w >= SHARE * total or c.tag in ("html", "body") or
-                 c.tag in ("article", "main") and w * 4 >= total]
+        whole = goal(way[-1])
+        inner = [c for c in way[-1].children if c.tag in CONTAINERS
+                 and (c.tag in ("html", "body") or whole > 0 and goal(c) >= whole * (1 - 1e-9))]
         if not inner:
             break
-        way.append(max(inner, key=lambda x: (x[0].tag in ("html", "body"), x[1]))[0])
+        way.append(max(inner, key=lambda x: (x.tag in ("html", "body"), goal(x))))
     return way
 
 
