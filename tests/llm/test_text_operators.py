@@ -246,6 +246,18 @@ def test_container_keeps_what_stands_beside_the_longest_part():
         assert [wrapper.extract(p) for p in pages] == [want.format(k=k) for k in range(5)]
 
 
+def test_forms_and_names_around_the_article_are_not_aside():
+    side = "<div class=sidebar>Look {k}</div><section id=comments><article><p>first! {k}</p></article></section>"
+    for opening, closing in (("<form id=aspnetForm>", "</form>"), ("<div class='widget content'>", "</div>"), ("<div class='menu-open page'>", "</div>")):
+        for body in ("<article><p>long text {k}</p></article>" + side, "<h1>Title</h1><p>long text {k}</p>"):
+            pages = [f"<html><body>{opening}{body.format(k=k)}{closing}</body></html>" for k in range(5)]
+            wrapper = html_extract.Wrapper(html_extract.induce(pages))
+            assert [wrapper.extract(p) for p in pages] == [("Title " if "h1" in body else "") + f"long text {k}" for k in range(5)]
+    plain = [f"<html><body><form>{'word ' * 20}{k}</form><div class=share>send</div></body></html>" for k in range(5)]
+    wrapper = html_extract.Wrapper(html_extract.induce(plain))
+    assert [wrapper.extract(p) for p in plain] == ["word " * 20 + str(k) for k in range(5)]
+
+
 def test_tree_matching_counts_common_nodes():
     a = html_extract.Shape([html_extract.parse("<div><h1>x</h1><p>y</p><ul><li>1</ul></div>")])
     b = html_extract.Shape([html_extract.parse("<div><p>y</p><p>z</p><table></table><ul><li>1</ul></div>")])

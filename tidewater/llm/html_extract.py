@@ -59,14 +59,16 @@ STATES = frozenset("no has with without is".split())
 
 
 class Node:
-    __slots__ = ("tag", "key", "aside", "children")
+    __slots__ = ("tag", "key", "aside", "children", "doubt")
 
-    def __init__(self, tag: str, key: str, aside: bool):
+    def __init__(self, tag: str, key: str, aside: bool, doubt: bool = False):
         self.tag, self.key, self.aside, self.children = tag, key, aside, []
+        self.doubt = doubt              # aside only by its name or as a form: may still hold the article
 
 
 def _open(tag: str, attrs: str, stack: list) -> Node:
     key, aside = tag, tag in ASIDE_TAGS
+    sure = aside and tag != "form"
     if attrs and "=" in attrs:
         for m in MARK.finditer(attrs):
             value = (m[2] or m[3] or m[4] or "").lower()
@@ -76,10 +78,44 @@ def _open(tag: str, attrs: str, stack: list) -> Node:
             if key == tag and tokens and m[1].lower() != "role":
                 key = f"{tag}.{tokens[0][0]}"
     if tag == "header" and not any(n.tag in ("article", "main") for n in stack):
-        aside = True
+        aside = sure = True
     if tag in ("body", "html", "article", "main"):
         aside = False
-    return Node(tag, key, aside)
+    return Node(tag, key, aside, aside and not sure)
+
+
+def _settle(root: Node) -> None:
+    """Doubtful nodes around the article are not aside.
+
+    The article is the page's first article or main element. Without one it is
+    in the nodes with an h1; without those, in the nodes with over half the text.
+    """
+    doubts, marks = [], {}                      # (node, nodes above it in doubt); tag -> doubtful nodes around each
+
+    def walk(x: Node, above: tuple) -> int:
+        size = 0
+        for c in x.children:
+            if isinstance(c, str):
+                size += len(SPACE.sub(" ", c).strip())
+            elif not c.aside or c.doubt:
+                around = above + (c,) if c.doubt else above
+                if c.tag in ("article", "main", "h1"):
+                    marks.setdefault("h1" if c.tag == "h1" else "article", []).append(around)
+                n = walk(c, around)
+                if c.doubt:
+                    doubts.append((c, n))
+                size += n
+        return size
+
+    total = walk(root, ())
+    if "article" in marks:
+        held = marks["article"][0]
+    elif "h1" in marks:
+        held = [c for around in marks["h1"] for c in around]
+    else:
+        held = [c for c, n in doubts if n * 2 > total]
+    for c in held:
+        c.aside = False
 
 
 def parse(source: str) -> Node:
@@ -119,6 +155,7 @@ def parse(source: str) -> Node:
             at = end.end() if end else n        # raw text is never the article
         elif tag not in VOID and not m[3].rstrip().endswith("/"):
             stack.append(node)
+    _settle(root)
     return root
 
 
