@@ -1,4 +1,4 @@
-"""Training-data operators (ten operators and the queries that apply them).
+"""Training-data operators and the queries that apply them.
 
 Nothing outside this package imports it, except the guarded lookup in
 ``__spark_entry__.py``. Functions that run in Python workers are shipped by

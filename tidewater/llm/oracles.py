@@ -110,5 +110,91 @@ x AS (SELECT page_id, url, trim(regexp_replace(plain, '[ \t\n\r\f]+', ' ', 'g'),
 SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM x
 """
 
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT rid, doc_id, k, md5(array_to_string(w[k:k + 49], ' ')) AS h
+      FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 48)) AS k FROM d WHERE len(w) >= 50)),
+m AS (SELECT h, min(doc_id) AS low FROM x GROUP BY h),
+g AS (SELECT rid, list(DISTINCT pos) AS gone FROM (
+        SELECT rid, unnest(range(k, k + 50)) AS pos FROM x JOIN m USING (h) WHERE x.doc_id > m.low) GROUP BY rid),
+p AS (SELECT rid, pos, w[pos] AS word FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS pos FROM d)),
+q AS (SELECT rid, unnest(gone) AS pos FROM g),
+j AS (SELECT rid, string_agg(word, ' ' ORDER BY pos) AS kept FROM p ANTI JOIN q USING (rid, pos) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g USING (rid) LEFT JOIN j USING (rid)
+"""
+
+
+
+def _crc32(text: str) -> str:
+    """crc32 of a short ASCII text: bytes and, after each, eight single-bit steps (-1) folded into the register."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [unicode(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return (f"xor(4294967295, list_reduce([4294967295::BIGINT] || {steps}, "
+            "lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))")
+
+
+OP12 = rf"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {_crc32("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND pos <= h
+      UNION ALL SELECT c.conv_id, pos, role, text FROM c JOIN t USING (conv_id) WHERE pos > h),
+s AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS d,
+             length(role) || ':' || role || length(text) || ':' || text AS turn, length(text) AS size FROM r),
+p AS (SELECT a.conv_id, a.d, any_value(a.size) AS size, md5(string_agg(b.turn, '' ORDER BY b.d)) AS key
+      FROM s a JOIN s b ON a.conv_id = b.conv_id AND b.d <= a.d GROUP BY a.conv_id, a.d
+      UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+n AS (SELECT d, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size FROM p GROUP BY d, key),
+up AS (SELECT DISTINCT a.d, a.key, b.key AS above FROM p a JOIN p b ON a.conv_id = b.conv_id AND b.d = a.d - 1),
+kids AS (SELECT d - 1 AS d, above AS key, count(*) AS n_children FROM up GROUP BY ALL),
+below AS (SELECT DISTINCT a.d, a.key, b.d AS bd, b.key AS bkey FROM p a JOIN p b ON a.conv_id = b.conv_id AND b.d >= a.d),
+sums AS (SELECT below.d, below.key, count(*) FILTER (kids.key IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.size) AS saved_tokens
+         FROM below JOIN n ON n.d = bd AND n.key = bkey LEFT JOIN kids ON kids.d = bd AND kids.key = bkey GROUP BY below.d, below.key),
+ends AS (SELECT d, key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends
+         FROM (SELECT * FROM p QUALIFY d = max(d) OVER (PARTITION BY conv_id)) GROUP BY d, key)
+SELECT n.conv_id, n.d AS depth, par.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM n JOIN sums ON sums.d = n.d AND sums.key = n.key
+LEFT JOIN kids ON kids.d = n.d AND kids.key = n.key LEFT JOIN ends ON ends.d = n.d AND ends.key = n.key
+LEFT JOIN up ON up.d = n.d AND up.key = n.key LEFT JOIN n par ON par.d = up.d - 1 AND par.key = up.above
+"""
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0} END"
+_HEAD = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+OP13 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, sha256({_HEAD} || {_FIELD.format("text")}) AS leaf,
+         sha256({_HEAD} || {_FIELD.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) AS lower_leaf,
+         coalesce({_crc32("doc_id::VARCHAR")} % 5 = 0, false) AS tampered FROM documents),
+s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS s, count(*) AS n FROM d GROUP BY source),
+l AS (SELECT d.*, s, n, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+node AS (
+  SELECT 0 AS lv, s, rank, n, leaf AS digest FROM l
+  UNION ALL
+  SELECT lv + 1, s, rank // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY rank)) FROM node WHERE n > 1 GROUP BY lv, s, rank // 16, n),
+sub AS (SELECT s, lv AS height, digest AS subroot FROM node WHERE n = 1),
+top AS (
+  SELECT 0 AS lv, s AS rank, (SELECT count(*) FROM sub) AS n, subroot AS digest FROM sub
+  UNION ALL
+  SELECT lv + 1, rank // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY rank)) FROM top WHERE n > 1 GROUP BY lv, rank // 16, n),
+every AS (SELECT lv, s, rank, n, digest, 0 AS part FROM node UNION ALL SELECT lv, -1, rank, n, digest, 1 FROM top),
+mine AS (SELECT rid, part, lv, s, pl FROM (
+  SELECT rid, 0 AS part, lv, s, rank // (16 ** lv)::BIGINT AS pl FROM l JOIN sub USING (s), range(0, 20) AS x(lv) WHERE lv < height
+  UNION ALL
+  SELECT rid, 1, lv, -1, s // (16 ** lv)::BIGINT FROM l, range(0, 20) AS x(lv) WHERE lv < (SELECT max(lv) FROM top))),
+seg AS (SELECT rid, m.part, m.lv, coalesce(string_agg(digest, '' ORDER BY rank) FILTER (rank < pl), '') AS l,
+               coalesce(string_agg(digest, '' ORDER BY rank) FILTER (rank > pl), '') AS r
+        FROM mine m JOIN every e ON e.part = m.part AND e.lv = m.lv AND e.s = m.s AND e.rank // 16 = pl // 16 GROUP BY rid, m.part, m.lv),
+path AS (SELECT rid, string_agg(l || r, '' ORDER BY part, lv) AS proof, list(l ORDER BY part, lv) AS ls, list(r ORDER BY part, lv) AS rs FROM seg GROUP BY rid),
+up AS (
+  SELECT rid, 0 AS k, CASE WHEN tampered THEN lower_leaf ELSE leaf END AS pl, coalesce(ls, []) AS ls, coalesce(rs, []) AS rs FROM l LEFT JOIN path USING (rid)
+  UNION ALL SELECT rid, k + 1, sha256(ls[k + 1] || pl || rs[k + 1]), ls, rs FROM up WHERE k < len(ls)),
+done AS (SELECT rid, pl AS folded_root FROM up WHERE k = len(ls))
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM l JOIN sub USING (s) LEFT JOIN path USING (rid) JOIN done USING (rid), (SELECT digest AS root FROM top WHERE n = 1) x
+"""
+
 SQL = {"op1_mix_sources": OP1, "op3_decontaminate": OP3, "op5_jaccard_join": OP5, "op7_chat_format": OP7,
-       "op8_html_extract": OP8, "op10_line_dedup": OP10}
+       "op8_html_extract": OP8, "op10_line_dedup": OP10, "op11_substring_dedup": OP11, "op12_conversation_trie": OP12,
+       "op13_merkle_manifest": OP13}

@@ -90,5 +90,36 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_quality, op3_decontaminate, op4_lm_score, op5_jaccard_join, op6_lz_fingerprint, op7_chat_format, op8_html_extract, op9_hilbert_shards, op10_line_dedup)}
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import remove_repeats
+
+    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversation_trie import prefix_trie, rebuilt, sequences
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    nodes = prefix_trie(rebuilt(written(spark, sequences(turns), "sequences")))
+    return nodes.withColumn("depth", F.col("depth").cast("long"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import build, fold, proofs, row_digest, siblings
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = row_digest([*fields, F.col("text")])
+    shown = F.when(tampered, row_digest([*fields, F.translate("text", upper, upper.lower())])).otherwise(leaf)
+    tree = build(docs.select("doc_id", "source", leaf.alias("leaf"), shown.alias("shown")))
+    folded = proofs(tree).select(F.col("row.doc_id"), F.col("row.leaf"), "subroot", F.lit(tree.root).cast("string").alias("root"),
+                                 F.sha2(siblings(F.col("path")).cast("binary"), 256).alias("proof_sha256"),
+                                 fold(F.col("row.shown"), F.col("path")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_quality, op3_decontaminate, op4_lm_score, op5_jaccard_join, op6_lz_fingerprint, op7_chat_format, op8_html_extract, op9_hilbert_shards, op10_line_dedup, op11_substring_dedup, op12_conversation_trie, op13_merkle_manifest)}
 ORACLE = dict(oracles.SQL)
