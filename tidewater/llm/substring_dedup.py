@@ -21,8 +21,8 @@ How it runs:
 
 Nothing depends on the number of documents that share a window but the count
 of blocks. A bucket holds the windows of about ``BUCKET_BYTES`` of text. With
-both sizes at 8 MB a (block, bucket) cell has about 64e12 / 6 / corpus bytes
-entries; beyond some 100 GB of text raise both sizes with the square root of
+both sizes as below a (block, bucket) cell has about 5e12 / corpus bytes
+entries; beyond some 50 GB of text raise both sizes with the square root of
 the corpus, so that cells stay worth their row.
 
 Two windows count as equal when ``64 + 8 * CHECK_BYTES`` hash bits agree: with
@@ -46,7 +46,7 @@ from .common import small_batches
 from .words import Scanner, mix, pieces
 
 WINDOW = 50                     # words of a window
-BLOCK_BYTES = 8 << 20           # of text per block (one document at least)
+BLOCK_BYTES = 4 << 20           # of text per block (one document at least): a worker holds about 40 times as much while it hashes one
 BUCKET_BYTES = 8 << 20          # of text whose windows meet in one bucket, on average
 CHECK_BYTES = 1                 # of a second hash, beside 64 bits of the first
 ADDED = ("n_words", "n_removed", "spans", "kept")
@@ -99,14 +99,16 @@ def _block_windows(scanner: Scanner, texts, ids, width: int) -> tuple[Windows, l
         words = scanner.scan(offsets, data)
         r, at, h, c = _hash_windows(scanner, words, width)
         ok = known[lo + r]
+        words.hash = None           # no longer needed
         parts.append((lo, offsets, data, words))
         rows.append(lo + r[ok]); starts.append(base + at[ok]); keys.append(h[ok]); checks.append(c[ok])
         base += len(words.start)
-    cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)                  # noqa: E731
-    rows, keys, w = cat(rows, np.int64), cat(keys, np.uint64), Windows()
-    check = (cat(checks, np.uint64) & np.uint64((1 << (8 * CHECK_BYTES)) - 1)) if CHECK_BYTES else np.zeros(len(keys), np.uint64)
-    w.start, w.id = cat(starts, np.int64), ids[rows]
-    order = np.lexsort((check, keys)) if CHECK_BYTES else np.argsort(keys, kind="stable")
+    w = Windows()
+    rows, w.start, keys, check = (np.concatenate(x) if x else np.zeros(0, t) for x, t in (
+        (rows, np.int64), (starts, np.int64), (keys, np.uint64), (checks, np.uint64)))
+    check &= np.uint64((1 << (8 * CHECK_BYTES)) - 1)
+    w.id = ids[rows]
+    order = np.lexsort((check, keys))
     k, c = keys[order], check[order]
     new = np.ones(len(k), bool)
     new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
@@ -207,7 +209,7 @@ def _compare(cells: pa.Table) -> pa.Table:
         lows.append(_unplanes(c["low"], c["n"]).astype(np.int64) + c["base"])
         counts.append(c["n"])
     keys, checks, lows = np.concatenate(keys), np.concatenate(checks), np.concatenate(lows)
-    order = np.lexsort((checks, keys)) if CHECK_BYTES else np.argsort(keys, kind="stable")
+    order = np.lexsort((checks, keys))
     k, c = keys[order], checks[order]
     new = np.ones(len(k), bool)
     new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
