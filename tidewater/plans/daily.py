@@ -166,7 +166,7 @@ def silver_rebuild(spark: SparkSession, paths: JobPaths, table: str) -> dict:
     """Build a silver table again from all current bronze rows (rows deleted by a correction go)."""
     spec = EVENT_TABLES[table]
     lotes = complete_lotes(spark, paths.ingest, table)
-    n = tables.replace(spark, sv.silver(read_bronze(spark, paths.ingest, table), spec), paths.silver(table)).count()
+    n = tables.replace(spark, sv.silver(read_bronze(spark, paths.ingest, table), spec), paths.silver(table), spec.key).count()
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     tables.overwrite(spark.createDataFrame([(x, now) for x in lotes], MARK_SCHEMA), paths.marks(table))
     return {"lotes": len(lotes), "linhas": n}
