@@ -19,6 +19,7 @@ from ..functions import clean
 from ..spec import INGESTED_AT, PARTITION_COLUMN, SILVER_PARTITION_COLUMN, SeedSpec, TableSpec
 
 REASONS = "_motivos"
+RAW_LINE = "_linha"             # column of a bronze row whose line could not be read
 
 
 def _reasoned(bronze: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> DataFrame:
@@ -119,25 +120,30 @@ def silver(bronze: DataFrame, spec: TableSpec, on_error: str = "quarantine") ->
     return out.select(*cols)
 
 
-def quarantine(bronze: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows that cannot be trusted: key, reasons, and the raw record as JSON.
+def quarantine(bronze: DataFrame, spec: TableSpec, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Rows that cannot be trusted: key, reasons, and the raw record as JSON, or the line itself where it is no JSON.
 
     The raw columns ride along untouched; the JSON is built only for the
     (rare) rows that fail. Failing rows are emitted by exploding a one-or-zero
     element array rather than by a filter: Catalyst would push a filter on
     the reasons down through every projection and evaluate the parsing (and
-    whatever produced the raw text) again inside it.
+    whatever produced the raw text) again inside it. ``carry`` names columns of
+    ``bronze`` to keep beside the record.
     """
     raw = list(bronze.columns)
     carried = bronze.select(*raw, *[F.col(c).alias(f"_q_{c}") for c in raw])
     r = _reasoned(carried, spec, carry=[f"_q_{c}" for c in raw])
     record = F.to_json(F.struct(*[F.col(f"_q_{c}").alias(c) for c in raw]), {"ignoreNullFields": "false"})
-    failing = F.when(F.col(REASONS) != "", F.array(F.struct(F.col(REASONS).alias("motivos"),
-                                                             record.alias("registro_bruto"))))
-    return (r.select(F.lit(spec.name).alias("tabela"), F.col(f"_q_{spec.key}").alias("chave"),
+    reasons = F.col(REASONS)
+    if RAW_LINE in raw:
+        line = F.col(f"_q_{RAW_LINE}")
+        record = F.coalesce(line, record)
+        reasons = F.when(line.isNotNull(), F.lit("linha:malformada")).otherwise(reasons)
+    failing = F.when(F.col(REASONS) != "", F.array(F.struct(reasons.alias("motivos"), record.alias("registro_bruto"))))
+    return (r.select(F.lit(spec.name).alias("tabela"), F.col(f"_q_{spec.key}").alias("chave"), *[F.col(f"_q_{c}").alias(c) for c in carry],
                      F.explode(F.coalesce(failing, F.array().cast(
                          "array<struct<motivos:string,registro_bruto:string>>"))).alias("_f"))
-             .select("tabela", "chave", "_f.motivos", "_f.registro_bruto"))
+             .select("tabela", "chave", "_f.motivos", "_f.registro_bruto", *carry))
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

@@ -22,7 +22,7 @@ from ..operators import silver as sv
 from ..sources import tables
 from ..sources.landing import SEED_DIR, bronze_schema, system_dir
 from ..spec import EVENT_TABLES, INGESTED_AT, PARTITION_COLUMN, SEEDS, SILVER_PARTITION_COLUMN, SYSTEM_ORDER
-from ..streaming.ingest import IngestPaths, complete_lotes, ingest_tables, read_bronze, reread_days
+from ..streaming.ingest import IngestPaths, _ledger, complete_lotes, current_rows, ingest_tables, read_bronze, reread_days
 
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("execucao_id", T.StringType(), False),
@@ -154,7 +154,7 @@ def silver_refresh(spark: SparkSession, paths: JobPaths, table: str) -> dict:
     if not lotes:
         return {"status": "sem_dado_novo", "lotes": 0}
     for x in lotes:
-        tables.overwrite(sv.quarantine(read_bronze(spark, paths.ingest, table, [x]), spec), paths.quarantine(table, x))
+        tables.overwrite(sv.quarantine(read_bronze(spark, paths.ingest, table, [x]), spec, (PARTITION_COLUMN, INGESTED_AT)), paths.quarantine(table, x))
     facts = tables.upsert(spark, sv.silver(read_bronze(spark, paths.ingest, table, lotes), spec), paths.silver(table), spec.key,
                           order=[INGESTED_AT, SILVER_PARTITION_COLUMN])
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -172,6 +172,19 @@ def silver_rebuild(spark: SparkSession, paths: JobPaths, table: str) -> dict:
     return {"lotes": len(lotes), "linhas": n}
 
 
+QUARANTINE = f"tabela string, chave string, motivos string, registro_bruto string, {PARTITION_COLUMN} string, {INGESTED_AT} timestamp"
+
+
+def read_quarantine(spark: SparkSession, paths: JobPaths, table: str) -> DataFrame:
+    """The table's rows that still wait for a correction: those of days read again since are gone."""
+    root = f"{paths.root}/quarentena/tabela={table}"
+    if not tables.path_exists(spark, root):
+        return spark.createDataFrame([], QUARANTINE)
+    stored = spark.read.schema(QUARANTINE).option("basePath", root).parquet(*[f"{root}/{n}" for n in tables.list_names(spark, root)])
+    names = [c.split()[0] for c in QUARANTINE.split(", ")]
+    return current_rows(stored.select(F.lit(table).alias("tabela"), *names[1:]), _ledger(spark, paths.ingest, table))
+
+
 def read_silver(spark: SparkSession, paths: JobPaths, table: str) -> DataFrame:
     """A stored silver table without its stamp; empty, with the right types, if it was never loaded."""
     if tables.table_exists(spark, paths.silver(table)):
