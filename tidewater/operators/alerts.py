@@ -75,6 +75,18 @@ def all_alerts(*parts: DataFrame) -> DataFrame:
     return out
 
 
+def tracked(found: DataFrame, stored: DataFrame | None, at: Column) -> DataFrame:
+    """Rows to merge into the alert table: what holds now is open, what was open and holds no longer is resolved.
+
+    A resolved alert keeps its text and time; one that comes back is open again.
+    """
+    now = found.select(*ALERT_COLUMNS, F.lit("aberto").alias("situacao"), F.lit(None).cast("timestamp").alias("resolvido_em"))
+    if stored is None:
+        return now
+    gone = stored.where(F.col("situacao") == "aberto").join(found.select("alerta_id"), "alerta_id", "left_anti")
+    return now.unionByName(gone.select(*ALERT_COLUMNS, F.lit("resolvido").alias("situacao"), at.cast("timestamp").alias("resolvido_em")))
+
+
 def recent_alerts(alerts: DataFrame, n: int = 10) -> DataFrame:
     """The latest alerts by time; ids break ties."""
     return alerts.orderBy(F.desc("timestamp_alerta"), F.asc("alerta_id")).limit(n)

@@ -9,7 +9,7 @@ driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import days_between, operates_on
@@ -69,14 +69,16 @@ def months_complete(runs: DataFrame, systems: tuple[str, ...]) -> DataFrame:
 
 
 def monthly_close(reconciliation: DataFrame, receivables: DataFrame, runs: DataFrame,
-                  system: str = "financeiro") -> DataFrame:
-    """One close record per closable month.
+                  systems: tuple[str, ...] = ("financeiro",)) -> DataFrame:
+    """One close record per closable month of the first system.
 
     total_faturado, total_recebido (receivable status ``recebido``),
     total_em_aberto, total_faturas, total_divergentes, dias_faltando (JSON
-    list of missing business days) and fechamento_valido.
+    list of the first system's missing business days), por_sistema (JSON: how
+    many days each system lacks) and fechamento_valido: no system lacks a run
+    on one of its operating days.
     """
-    months = closable_months(runs, system)
+    months = closable_months(runs, systems[0])
     paid = (receivables.groupBy("fatura_id")
             .agg(F.max(F.col("status_conta") == "recebido").alias("_recebido")))
     inv = (reconciliation.select("fatura_id", "valor_faturado", "divergente",
@@ -87,33 +89,73 @@ def monthly_close(reconciliation: DataFrame, receivables: DataFrame, runs: DataF
         F.sum(F.when(F.col("_recebido"), F.col("valor_faturado"))).alias("_rec"),
         F.count(F.lit(1)).alias("total_faturas"),
         F.count_if(F.col("divergente")).alias("total_divergentes"))
-    # At most one row per business day of the month: a bounded list per group.
-    missing = (missing_run_days(runs, months, system)
-               .groupBy("mes").agg(F.array_sort(F.collect_list(F.date_format("dia", "yyyy-MM-dd")))
-                                    .alias("_faltando")))
+    # At most one row per system and day of the month: a bounded list per group.
+    first = F.col("sistema") == systems[0]
+    missing = (missing_by_system(runs, months, systems).groupBy("mes").agg(
+        F.array_sort(F.collect_list(F.when(first, F.date_format("dia", "yyyy-MM-dd")))).alias("_faltando"),
+        *[F.count_if(F.col("sistema") == s).alias(f"_n_{s}") for s in systems], F.count(F.lit(1)).alias("_lacks")))
     j = months.join(totals, "mes", "left").join(missing, "mes", "left")
     fat = F.coalesce(F.col("_fat"), F.lit(0)).cast(MONEY)
     rec = F.coalesce(F.col("_rec"), F.lit(0)).cast(MONEY)
-    faltando = F.coalesce(F.col("_faltando"), F.array().cast("array<string>"))
     return j.select(
         F.date_format("mes", "yyyy-MM").alias("mes_referencia"),
         fat.alias("total_faturado"), rec.alias("total_recebido"), (fat - rec).cast(MONEY).alias("total_em_aberto"),
         F.coalesce(F.col("total_faturas"), F.lit(0)).alias("total_faturas"),
         F.coalesce(F.col("total_divergentes"), F.lit(0)).alias("total_divergentes"),
-        F.to_json(faltando).alias("dias_faltando"),
-        (F.size(faltando) == 0).alias("fechamento_valido"))
+        F.to_json(F.coalesce(F.col("_faltando"), F.array().cast("array<string>"))).alias("dias_faltando"),
+        F.to_json(F.struct(*[F.coalesce(F.col(f"_n_{s}"), F.lit(0)).alias(s) for s in systems])).alias("por_sistema"),
+        F.col("_lacks").isNull().alias("fechamento_valido"))
+
+
+# ---- a month's states -----------------------------------------------------------
+#
+#   (none) -> aberto -> fechado | invalido -> reaberto -> fechado | invalido ...
+#
+# Opening and closing are two writes, so a job that dies between them leaves months
+# open; the next run closes them. A closed month reopens when what it was closed on
+# has changed: a missing run has landed, or an amount was corrected.
 
+OPEN = ("aberto", "reaberto")
+MEASURES = ("total_faturado", "total_recebido", "total_em_aberto", "total_faturas", "total_divergentes", "dias_faltando", "por_sistema",
+            "fechamento_valido")
+STATE = ("estado", "reaberturas", "atualizado_em")
 
-def close_alerts(close: DataFrame) -> DataFrame:
-    """One high-severity alert per invalid month, with a deterministic id."""
+
+def months_to_open(now: DataFrame, stored: DataFrame, at: Column) -> DataFrame:
+    """Rows of the close table that have to be written to open months: new ones, and closed ones that no longer hold.
+
+    ``now`` are close records as they would be today, ``stored`` the close table.
+    """
+    was = stored.select("mes_referencia", F.struct(*MEASURES).alias("_was"), "estado", "reaberturas")
+    j = now.select("mes_referencia", F.struct(*MEASURES).alias("_now")).join(was, "mes_referencia", "left")
+    new = F.col("estado").isNull()
+    changed = ~F.col("estado").isin(*OPEN) & ~F.col("_now").eqNullSafe(F.col("_was"))
+    return j.where(new | changed).select(
+        "mes_referencia", *[F.col(f"_was.{c}").alias(c) for c in MEASURES],
+        F.when(new, OPEN[0]).otherwise(OPEN[1]).alias("estado"),
+        F.when(new, F.lit(0)).otherwise(F.col("reaberturas") + 1).cast("int").alias("reaberturas"), at.cast("timestamp").alias("atualizado_em"))
+
+
+def months_to_close(now: DataFrame, stored: DataFrame, at: Column) -> DataFrame:
+    """Rows that close every open month of the close table with its numbers of today."""
+    waiting = stored.where(F.col("estado").isin(*OPEN)).select("mes_referencia", "reaberturas")
+    return now.join(waiting, "mes_referencia").select(
+        "mes_referencia", *MEASURES, F.when(F.col("fechamento_valido"), "fechado").otherwise("invalido").alias("estado"), "reaberturas",
+        at.cast("timestamp").alias("atualizado_em"))
+
+
+def close_alerts(close: DataFrame, quando: Column | None = None) -> DataFrame:
+    """One high-severity alert per invalid month, with a deterministic id, dated (unless told) at the month's end."""
     from .alerts import alert_rows, month_end
 
     bad = close.where(~F.col("fechamento_valido"))
     dias = F.from_json("dias_faltando", "array<string>")
+    lacks = F.aggregate(F.map_values(F.from_json("por_sistema", "map<string,bigint>")), F.lit(0).cast("bigint"), lambda a, x: a + x)
     return alert_rows(
         bad, tipo="fechamento_invalido", origem="fechar_mes", severidade="alta",
         periodo=F.col("mes_referencia"),
         mensagem=F.concat(F.lit("Mês "), F.col("mes_referencia"), F.lit(" não pode ser fechado: faltam execuções de "),
-                          F.size(dias).cast("string"), F.lit(" dia(s)")),
-        detalhes=F.to_json(F.struct(F.col("mes_referencia"), dias.alias("dias_faltando"))),
-        quando=month_end(F.col("mes_referencia")))
+                          lacks.cast("string"), F.lit(" dia(s)")),
+        detalhes=F.to_json(F.struct(F.col("mes_referencia"), dias.alias("dias_faltando"),
+                                    F.from_json("por_sistema", "map<string,bigint>").alias("por_sistema"))),
+        quando=month_end(F.col("mes_referencia")) if quando is None else quando)

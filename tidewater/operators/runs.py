@@ -20,24 +20,40 @@ RUN_COLUMNS = ("execucao_id", "pipeline", "item", "status", "detalhes", "data_re
 RUN_SLA_SECONDS = 900
 
 
-def run_records(results: DataFrame, pipeline: str, run_key: Column | None = None) -> DataFrame:
+def run_records(results: DataFrame, pipeline: str, run_key: Column, started_at: Column, ended_at: Column) -> DataFrame:
     """Turn per-item job results into run-log rows, as one batch.
 
     ``results`` has ``item``, ``status`` and any metric columns; the metrics
     become the ``detalhes`` JSON. One append per job, not one file per item.
-    ``execucao_id`` is deterministic (hash of pipeline, item and run key) so
-    a re-run of the same job overwrites instead of duplicating.
+    ``execucao_id`` is deterministic (hash of pipeline, item, run key and start)
+    so writing the same run again doubles nothing, and another run, of the same
+    day too, has ids of its own.
     """
-    metrics = [c for c in results.columns if c not in ("item", "status", "data_referencia",
-                                                        "started_at", "ended_at")]
+    metrics = [c for c in results.columns if c not in ("item", "status", "data_referencia")]
     ref = F.col("data_referencia") if "data_referencia" in results.columns else F.lit(None).cast("string")
-    key = run_key if run_key is not None else F.lit("")
+    start = started_at.cast("timestamp")
     return results.select(
-        F.sha2(F.concat_ws("|", F.lit(pipeline), F.col("item"), key), 256).alias("execucao_id"),
+        F.sha2(F.concat_ws("|", F.lit(pipeline), F.col("item"), run_key, F.date_format(start, "yyyy-MM-dd HH:mm:ss")), 256).alias("execucao_id"),
         F.lit(pipeline).alias("pipeline"), "item", "status",
         F.to_json(F.struct(*[F.col(c) for c in metrics])).alias("detalhes"),
-        ref.alias("data_referencia"),
-    )
+        ref.alias("data_referencia"), start.alias("started_at"), ended_at.cast("timestamp").alias("ended_at"))
+
+
+def system_runs(log: DataFrame, system_of: dict[str, str], job: str = "diario", pipeline: str = "gerar_dados") -> DataFrame:
+    """Runs per system and day, from a log of per-table ingest steps and of the systems' own runs.
+
+    A system has run on a day if the last try of each of its tables on that day
+    succeeded, with new data or without; rows of ``pipeline`` are taken as they are.
+    """
+    step = F.regexp_extract("item", "^ingest:(.+)$", 1)
+    tables = F.create_map(*[F.lit(x) for t, s in system_of.items() for x in (t, s)])
+    steps = (log.where((F.col("pipeline") == job) & (step != "") & F.col("data_referencia").isNotNull())
+             .select(tables[step].alias("item"), step.alias("_tabela"), "data_referencia", F.struct("started_at", "status").alias("_try")))
+    last = steps.groupBy("item", "data_referencia", "_tabela").agg(F.max("_try").alias("_try"))
+    ran = last.groupBy("item", "data_referencia").agg(
+        F.min(F.col("_try.status").isin("sucesso", "sem_dado_novo")).alias("_ok"))
+    return (ran.select(F.lit(pipeline).alias("pipeline"), "item", F.when(F.col("_ok"), "sucesso").otherwise("falha").alias("status"), "data_referencia")
+            .unionByName(log.where(F.col("pipeline") == pipeline).select("pipeline", "item", "status", "data_referencia")))
 
 
 def run_day_status(runs: DataFrame, systems: tuple[str, ...], pipeline: str = "gerar_dados") -> DataFrame:

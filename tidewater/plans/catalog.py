@@ -405,13 +405,22 @@ def q_missing_run_days(spark, d):
         .select(cal.month_label("mes").alias("mes_referencia"), "dia")
 
 
+CLOSE_SYSTEMS = ("financeiro", "tms", "crm")
+
+
+def _lacking(s):
+    return (f"(SELECT count(*) FROM (SELECT {O.days_sql('m.mes', 'last_day(m.mes)')} AS dia) WHERE {O.operates_sql(repr(s), 'dia')} "
+            f"AND dia NOT IN (SELECT CAST(data_referencia AS DATE) FROM bz_runs WHERE pipeline = 'gerar_dados' AND item = '{s}' AND status = 'sucesso'))")
+
+
 MONTHLY_CLOSE_SQL = f"""SELECT strftime(m.mes, '%Y-%m') AS mes_referencia,
  CAST(coalesce(t.fat, 0) AS DECIMAL(18,2)) AS total_faturado, CAST(coalesce(t.rec, 0) AS DECIMAL(18,2)) AS total_recebido,
  CAST(coalesce(t.fat, 0) - coalesce(t.rec, 0) AS DECIMAL(18,2)) AS total_em_aberto,
  coalesce(t.n, 0) AS total_faturas, coalesce(t.ndiv, 0) AS total_divergentes,
  CAST(to_json(coalesce(x.faltando, CAST([] AS VARCHAR[]))) AS VARCHAR) AS dias_faltando,
- len(coalesce(x.faltando, CAST([] AS VARCHAR[]))) = 0 AS fechamento_valido
- FROM ({O.FIN_MONTHS}) m
+ CAST(json_object({', '.join(f"'{s}', m.{s}" for s in CLOSE_SYSTEMS)}) AS VARCHAR) AS por_sistema,
+ {' + '.join(f'm.{s}' for s in CLOSE_SYSTEMS)} = 0 AS fechamento_valido
+ FROM (SELECT m.mes, {', '.join(f'{_lacking(s)} AS {s}' for s in CLOSE_SYSTEMS)} FROM ({O.FIN_MONTHS}) m) m
  LEFT JOIN (SELECT CAST(date_trunc('month', r.data_faturamento) AS DATE) AS mes, sum(r.valor_faturado) AS fat,
      sum(CASE WHEN p.recebido THEN r.valor_faturado END) AS rec, count(*) AS n, count(*) FILTER (WHERE r.divergente) AS ndiv
    FROM ({RECONCILE_SQL}) r
@@ -422,7 +431,7 @@ MONTHLY_CLOSE_SQL = f"""SELECT strftime(m.mes, '%Y-%m') AS mes_referencia,
 
 
 def monthly_close_df(spark, d):
-    return cl.monthly_close(reconciliation(spark, d), S(spark, d, "financeiro_contas_receber"), RUNS(spark, d))
+    return cl.monthly_close(reconciliation(spark, d), S(spark, d, "financeiro_contas_receber"), RUNS(spark, d), CLOSE_SYSTEMS)
 
 
 @query("monthly_close", MONTHLY_CLOSE_SQL)
@@ -442,8 +451,8 @@ def _alert_sql(tipo, origem, sev, periodo, msg, det, src, quando):
 
 CLOSE_ALERTS_SQL = _alert_sql(
     "fechamento_invalido", "fechar_mes", "alta", "mes_referencia",
-    "'Mês ' || mes_referencia || ' não pode ser fechado: faltam execuções de ' || CAST(json_array_length(dias_faltando) AS VARCHAR) || ' dia(s)'",
-    "json_object('mes_referencia', mes_referencia, 'dias_faltando', CAST(dias_faltando AS JSON))",
+    "'Mês ' || mes_referencia || ' não pode ser fechado: faltam execuções de ' || CAST((" + ' + '.join(f"CAST(json_extract(por_sistema, '$.{x}') AS BIGINT)" for x in CLOSE_SYSTEMS) + ") AS VARCHAR) || ' dia(s)'",
+    "json_object('mes_referencia', mes_referencia, 'dias_faltando', CAST(dias_faltando AS JSON), 'por_sistema', CAST(por_sistema AS JSON))",
     f"SELECT * FROM ({MONTHLY_CLOSE_SQL}) WHERE NOT fechamento_valido", MONTH_END_SQL.format(m="mes_referencia"))
 
 
@@ -541,14 +550,20 @@ def q_latest_runs(spark, d):
     return rn.latest_runs(RUNS(spark, d), "gerar_dados", "tms")
 
 
-@query("run_log", """SELECT sha256('construir_gold|' || tabela || '|') AS execucao_id, 'construir_gold' AS pipeline,
- tabela AS item, 'sucesso' AS status,
+RUN_LOG_DAY = "(SELECT max(data_referencia) FROM bz_runs)"
+RUN_LOG_START, RUN_LOG_END = "(SELECT max(started_at) FROM bz_runs)", "(SELECT max(ended_at) FROM bz_runs)"
+
+
+@query("run_log", f"""SELECT sha256('construir_gold|' || tabela || '|' || {RUN_LOG_DAY} || '|' || strftime({RUN_LOG_START}, '%Y-%m-%d %H:%M:%S')) AS execucao_id,
+ 'construir_gold' AS pipeline, tabela AS item, 'sucesso' AS status,
  CAST(json_object('total_linhas', total_linhas, 'sinalizadas', sinalizadas) AS VARCHAR) AS detalhes,
- CAST(NULL AS VARCHAR) AS data_referencia FROM (""" + GOLD_SUMMARY_SQL + ")")
+ {RUN_LOG_DAY} AS data_referencia, {RUN_LOG_START} AS started_at, {RUN_LOG_END} AS ended_at FROM ({GOLD_SUMMARY_SQL})""")
 def q_run_log(spark, d):
+    """Records of a gold build as part of the last logged day's run: its day and start make the ids."""
+    last = RUNS(spark, d).agg(F.max("data_referencia").alias("dia"), F.max("started_at").alias("ini"), F.max("ended_at").alias("fim")).first()
     s = gold_summary_df(spark, d).select(F.col("tabela").alias("item"), F.lit("sucesso").alias("status"),
-                                         "total_linhas", "sinalizadas")
-    return rn.run_records(s, "construir_gold")
+                                         "total_linhas", "sinalizadas", F.lit(last["dia"]).alias("data_referencia"))
+    return rn.run_records(s, "construir_gold", F.lit(last["dia"]), F.lit(last["ini"]), F.lit(last["fim"]))
 
 
 # ---- alerts (R2-R4, M6, V1, T10) ----------------------------------------------
@@ -586,10 +601,11 @@ def cold_alerts_df(spark, d):
 
 
 def alerts_df(spark, d):
-    return al.all_alerts(cold_alerts_df(spark, d),
-                         al.reconciliation_alerts(reconciliation(spark, d)),
-                         al.run_sla_alerts(rn.run_sla_breach(RUNS(spark, d))),
-                         cl.close_alerts(monthly_close_df(spark, d)))
+    """All four families; the reconciliation is built once and read twice, as the daily job does."""
+    rec = tb.materialize(spark, reconciliation(spark, d), "alerts-reconciliation")
+    close = cl.monthly_close(rec, S(spark, d, "financeiro_contas_receber"), RUNS(spark, d), CLOSE_SYSTEMS)
+    return al.all_alerts(cold_alerts_df(spark, d), al.reconciliation_alerts(rec),
+                         al.run_sla_alerts(rn.run_sla_breach(RUNS(spark, d))), cl.close_alerts(close))
 
 
 @query("cold_chain_alerts", COLD_ALERT_SQL)
@@ -646,8 +662,16 @@ def _landed(spark, d, tables_):
 
 
 def _land(spark, d, tables_, landing):
-    for t in tables_:
-        ld.write_landing(spark, B(spark, d, t), landing, EVENT_TABLES[t].system, t)
+    """Systems land side by side; the tables of one share its day folders and land one after the other."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def land(system):
+        for t in tables_:
+            if EVENT_TABLES[t].system == system:
+                ld.write_landing(spark, B(spark, d, t), landing, system, t)
+
+    with ThreadPoolExecutor(len(SYSTEM_CALENDARS)) as pool:
+        list(pool.map(land, sorted({EVENT_TABLES[t].system for t in tables_})))
 
 
 @query("bronze_ingest", f"SELECT {', '.join(EVENT_TABLES[NOTAS].columns)}, data FROM bz_{NOTAS}")
@@ -696,29 +720,25 @@ def q_read_or_empty(spark, d):
                                      F.count(F.lit(1)).alias("linhas"))))
 
 
-def _path_only(c):
-    """Comparable file path: URI scheme and authority dropped."""
-    return F.regexp_replace(F.col(c), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-
-
 RETENTION_DAYS, RETENTION_REF = 30, "2000-01-01"
+#: A table of every system, ingested; the stock positions land too, but have not been ingested.
+RETENTION_TABLES = ("erp_lotes_producao", NOTAS, "crm_pedidos", "tms_remessas", "financeiro_faturas")
 
 
-@query("retention_plan", f"""SELECT 'data=' || data AS particao, CAST(data AS DATE) AS dia,
+@query("retention_plan", f"""SELECT sistema, 'data=' || data AS particao, CAST(data AS DATE) AS dia,
  CAST(DATE '{RETENTION_REF}' - INTERVAL {RETENTION_DAYS} DAY AS DATE) AS data_corte, count(*) AS arquivos,
  count(*) FILTER (WHERE t = 'p') AS arquivos_nao_ingeridos,
  CASE WHEN CAST(data AS DATE) >= CAST(DATE '{RETENTION_REF}' - INTERVAL {RETENTION_DAYS} DAY AS DATE) THEN 'manter'
       WHEN count(*) FILTER (WHERE t = 'p') > 0 THEN 'bloqueado_nao_ingerido' ELSE 'remover' END AS acao
- FROM (SELECT DISTINCT data, 'n' AS t FROM bz_{NOTAS} UNION ALL SELECT DISTINCT data, 'p' AS t FROM bz_{POSICOES})
- GROUP BY data""")
+ FROM ({' UNION ALL '.join(f"SELECT DISTINCT '{EVENT_TABLES[t].system}' AS sistema, data, '{'p' if t == POSICOES else 'n'}' AS t FROM bz_{t}"
+                           for t in (*RETENTION_TABLES, POSICOES))})
+ GROUP BY sistema, data""")
 def q_retention_plan(spark, d):
-    """Stock positions landed but never ingested: their days must not be deleted."""
-    paths = _landed(spark, d, [NOTAS, POSICOES])
-    ig.ingest_table(spark, paths, NOTAS)
-    files = rt.landing_files(spark, ld.system_dir(paths.landing, "distribution")) \
-        .select(_path_only("arquivo").alias("arquivo"), "data")
-    in_bronze = ig.read_bronze(spark, paths, NOTAS).select(_path_only(ig.SOURCE_FILE).alias("arquivo"))
-    return rt.retention_plan(files, in_bronze, RETENTION_DAYS, RETENTION_REF)
+    """All five systems. Stock positions landed but never ingested: their days must not be deleted."""
+    paths = _landed(spark, d, [*RETENTION_TABLES, POSICOES])
+    ig.ingest_tables(spark, paths, list(RETENTION_TABLES))
+    files = rt.landing_files(spark, paths.landing, tuple(SYSTEM_CALENDARS))
+    return rt.retention_plan(files, ig.file_ledger(spark, paths), RETENTION_DAYS, RETENTION_REF)
 
 
 UPSERT_RESULT_SQL = """SELECT pedido_id, cliente_id, representante_id, data_pedido,
@@ -1075,14 +1095,6 @@ def q_volume_bands(spark, d):
     return out
 
 
-CLOSE_SYSTEMS = ("financeiro", "tms", "crm")
-
-
-def _lacking(s):
-    return (f"(SELECT count(*) FROM (SELECT {O.days_sql('m.mes', 'last_day(m.mes)')} AS dia) WHERE {O.operates_sql(repr(s), 'dia')} "
-            f"AND dia NOT IN (SELECT CAST(data_referencia AS DATE) FROM bz_runs WHERE pipeline = 'gerar_dados' AND item = '{s}' AND status = 'sucesso'))")
-
-
 @query("months_complete", f"""SELECT strftime(mes, '%Y-%m') AS mes_referencia, {' + '.join(CLOSE_SYSTEMS)} AS dias_faltando,
  CAST(json_object({', '.join(f"'{s}', {s}" for s in CLOSE_SYSTEMS)}) AS VARCHAR) AS por_sistema,
  {' + '.join(CLOSE_SYSTEMS)} = 0 AS mes_completo

@@ -1,7 +1,7 @@
 """Jobs composed from the operators: daily run, backfill, reprocess.
 
-Order: ingest -> silver -> seeds -> gold -> rules -> alerts -> run log. The
-run log is written in a ``finally`` block, so a failed step is recorded as
+Order: ingest -> silver -> seeds -> gold -> rules -> close -> alerts -> retention
+-> run log. The run log is written in a ``finally`` block, so a failed step is recorded as
 ``falha`` with its error instead of silently missing; every record carries
 start and end times (how long did it take is a question the log answers).
 """
@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import alerts, gold, rules
+from ..operators import alerts, close, gold, retention, rules, runs
 from ..operators import silver as sv
 from ..sources import tables
 from ..sources.landing import SEED_DIR, bronze_schema, system_dir
 from ..spec import EVENT_TABLES, INGESTED_AT, PARTITION_COLUMN, SEEDS, SILVER_PARTITION_COLUMN, SYSTEM_ORDER
-from ..streaming.ingest import IngestPaths, _ledger, complete_lotes, current_rows, ingest_tables, read_bronze, reread_days
+from ..streaming.ingest import IngestPaths, _ledger, complete_lotes, current_rows, file_ledger, ingest_tables, read_bronze, reread_days
 
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("execucao_id", T.StringType(), False),
@@ -226,16 +226,64 @@ def build_gold(spark: SparkSession, paths: JobPaths, ctx: "RunContext") -> dict[
     return built
 
 
+CLOSE_TABLE = "gold_fechamento_mensal"
+
+
+def read_runs(spark: SparkSession, paths: JobPaths) -> DataFrame:
+    return tables.read_or_empty(spark, paths.runs, RUN_LOG_SCHEMA, "parquet")
+
+
+def close_months(spark: SparkSession, paths: JobPaths, built: dict[str, DataFrame], when: dt.datetime,
+                 systems: tuple[str, ...] = tuple(SYSTEM_ORDER)) -> dict:
+    """Open what has to be closed, then close it: two merges by month, so a run that dies between them is taken up by the next.
+
+    A month is judged by the runs of every system, on its own calendar; the
+    finance system's months lead. A closed month whose missing run has landed,
+    or whose amounts have changed, reopens and is closed again.
+    """
+    ordered = ("financeiro", *[s for s in systems if s != "financeiro"])
+    log = runs.system_runs(read_runs(spark, paths), {t: spec.system for t, spec in EVENT_TABLES.items()})
+    now = tables.materialize(spark, close.monthly_close(built["gold_reconciliacao_financeira"], read_silver(spark, paths, "financeiro_contas_receber"),
+                                                        log, ordered), "close")
+    path, at = paths.gold(CLOSE_TABLE), F.lit(when)
+    stored = tables.read_table(spark, path) if tables.table_exists(spark, path) else _no_months(now)
+    tables.upsert(spark, close.months_to_open(now, stored, at), path, "mes_referencia")
+    due = tables.materialize(spark, close.months_to_close(now, tables.read_table(spark, path), at), "close-due")
+    tables.upsert(spark, due, path, "mes_referencia")
+    return {r["estado"]: r["n"] for r in due.groupBy("estado").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _no_months(now: DataFrame) -> DataFrame:
+    return now.withColumn("estado", F.lit("")).withColumn("reaberturas", F.lit(0)).withColumn("atualizado_em", F.lit(None).cast("timestamp")).limit(0)
+
+
 def raise_alerts(spark: SparkSession, paths: JobPaths, built: dict[str, DataFrame], when: dt.datetime) -> dict:
-    """Alerts from the published tables, merged by id: an alert raised again keeps one row, with the new time."""
+    """All four families from the published tables and the run log, merged by id.
+
+    An alert raised again keeps one row, with the new time; one whose cause is
+    gone is resolved.
+    """
     at = F.lit(when)
     found = alerts.all_alerts(alerts.cold_chain_alerts(built["observability_cadeia_fria"], at),
-                              alerts.reconciliation_alerts(built["gold_reconciliacao_financeira"], at))
-    return tables.upsert(spark, found, paths.alerts, "alerta_id", buckets=4)
+                              alerts.reconciliation_alerts(built["gold_reconciliacao_financeira"], at),
+                              alerts.run_sla_alerts(runs.run_sla_breach(read_runs(spark, paths))),
+                              close.close_alerts(tables.read_table(spark, paths.gold(CLOSE_TABLE)), at))
+    found = tables.materialize(spark, found, "alerts")
+    stored = tables.read_table(spark, paths.alerts) if tables.table_exists(spark, paths.alerts) else None
+    return tables.upsert(spark, alerts.tracked(found, stored, at), paths.alerts, "alerta_id")
+
+
+def apply_retention(spark: SparkSession, paths: JobPaths, days: int, day: str | None = None, dry_run: bool = True) -> dict:
+    """Plan retention over every system from the listing and the file ledger; remove what may go unless dry_run."""
+    plan = tables.materialize(spark, retention.retention_plan(
+        retention.landing_files(spark, paths.landing, tuple(SYSTEM_ORDER)), file_ledger(spark, paths.ingest), days, day), "retention")
+    counts = {r["acao"]: r["n"] for r in plan.groupBy("acao").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {**counts, "dry_run": dry_run, "particoes": retention.apply_retention(spark, paths.landing, plan, dry_run)}
 
 
-def daily_job(spark: SparkSession, landing: str, root: str, day: str | None = None) -> RunContext:
-    """Ingest, silver, seeds, gold, rules, alerts; every step logged, the log written whatever happens.
+def daily_job(spark: SparkSession, landing: str, root: str, day: str | None = None, retention_days: int = 30,
+              remove_old: bool = False) -> RunContext:
+    """Ingest, silver, seeds, gold, rules, close, alerts, retention; every step logged, the log written whatever happens.
 
     A table that fails stops neither the other tables nor its own next run:
     silver catches up with every lote that isn't marked. Gold is built only if
@@ -276,7 +324,10 @@ def daily_job(spark: SparkSession, landing: str, root: str, day: str | None = No
                     built["observability_cadeia_fria"], built["observability_qualidade_sku"],
                     built["observability_estoque_negativo"]), paths.gold("resumo"))
                 facts["tabelas"] = summary.count()
+            ctx.flush(spark, paths.runs)        # the close and the alerts read today's records too
+            guarded("fechamento", lambda: close_months(spark, paths, built, ctx.started))
             guarded("alertas", lambda: raise_alerts(spark, paths, built, ctx.started))
+            guarded("retencao", lambda: apply_retention(spark, paths, retention_days, day, dry_run=not remove_old))
     finally:
         ctx.flush(spark, paths.runs)
     if errors:
