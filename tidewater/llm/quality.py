@@ -15,8 +15,11 @@ the smallest id hashes); scoring reads every whole text where it lies.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -223,12 +226,26 @@ def fit_quality(docs: DataFrame, labels: DataFrame):
                 names=["doc_id", "t", "m"])
 
     picked = docs.where(F.col("doc_id").isin(list(chosen)))
+    # Rows of one id: the one with the smallest features, so the model doesn't depend on the partitioning.
     rows = (_inputs(picked, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(work, "doc_id long, t binary, m binary")
-            .dropDuplicates(["doc_id"]).orderBy("doc_id").collect())
-    text = np.stack([np.frombuffer(r["t"], np.float32) for r in rows])
-    meta = np.stack([np.frombuffer(r["m"], np.float32) for r in rows])
-    y = np.array([chosen[r["doc_id"]] for r in rows])
-    return CoTrained().fit(text[y >= 0], meta[y >= 0], y[y >= 0], text[y < 0], meta[y < 0])
+            .groupBy("doc_id").agg(F.min(F.struct("t", "m")).alias("x")).select("doc_id", "x.t", "x.m"))
+    fitted = rows.repartition(1).sortWithinPartitions("doc_id").mapInArrow(_fit_task(chosen), "model binary")
+    return pickle.loads(fitted.first()["model"])
+
+
+def _fit_task(chosen: dict):
+    """All chosen rows, LABELLED + POOL at most, in one task -> the fitted model: the driver's memory stays free of them."""
+    def run(batches):
+        ids, text, meta = [], [], []
+        for batch in batches:
+            ids += batch.column("doc_id").to_pylist()
+            text += [np.frombuffer(r, np.float32) for r in batch.column("t").to_pylist()]
+            meta += [np.frombuffer(r, np.float32) for r in batch.column("m").to_pylist()]
+        y = np.array([chosen[i] for i in ids])
+        text, meta = np.stack(text), np.stack(meta)
+        model = CoTrained().fit(text[y >= 0], meta[y >= 0], y[y >= 0], text[y < 0], meta[y < 0])
+        yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(model)], pa.binary())], names=["model"])
+    return run
 
 
 def score_quality(docs: DataFrame, model) -> DataFrame:
