@@ -36,12 +36,13 @@ SHAPES = 64
 CLASSES = SHORTLIST + 1 + SHAPES
 DIM = 24
 CONTEXT = 5
-NOISE = 20                      # noise classes per training token
-EPOCHS = 3
+NOISE = 20                      # noise classes that a training token counts against
+DRAWS = 80                      # noise classes drawn per batch; each counts NOISE / DRAWS times per token
+EPOCHS = 1
 CHUNK_TOKENS = 4 << 20          # tokens of a block whose contexts are held at once
 FAN_IN = 32                     # blocks' parameters that one task adds up
 BATCH = 2048
-RATE = 0.05
+RATE = 0.1
 BLOCK_BYTES = 24 << 20
 MAX_PARTITIONS = 50_000
 END = np.uint64(0xE0D0E0D0E0D0E0D1)     # stands for the end token; words hash elsewhere
@@ -115,36 +116,47 @@ class LogBilinear:
         rng = np.random.default_rng(seed)
         edges = np.cumsum(self.prior)
         log_noise = np.log(NOISE * self.prior).astype(np.float32)
-        dims = np.arange(DIM)
+        place = np.arange(CONTEXT) * (CLASSES + 1)
 
         def step(name, grad):
             self.past[name] += grad * grad
             getattr(self, name)[...] -= RATE * grad / np.sqrt(self.past[name])
 
-        def summed(classes, grad, n):
-            """Rows of ``grad`` added up by class."""
-            return np.bincount((classes[:, None] * DIM + dims).ravel(), grad.ravel(), n * DIM).reshape(n, DIM).astype(np.float32)
+        def summed(keys, rows, n):
+            """Rows added up by key: sorted once, then summed run by run."""
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            out = np.zeros((n, rows.shape[1]), np.float32)
+            out[keys[first]] = np.add.reduceat(rows[order % len(rows)], first, axis=0)
+            return out
 
         for _ in range(epochs):
             order = rng.permutation(len(target))
             for at in range(0, len(order), BATCH):
                 rows = order[at:at + BATCH]
-                ctx, t = context[rows].astype(np.int64), target[rows].astype(np.int64)
-                vec = self.r[ctx]                                       # batch, CONTEXT, DIM
-                hat = (vec * self.c).sum(1)
+                ctx, t, n = context[rows].astype(np.int64), target[rows].astype(np.int64), len(rows)
+                # A context's prediction is a sum over positions, so one table per position serves all tokens.
+                tables = (self.r * self.c[:, None, :]).reshape(-1, DIM)
+                keys = (ctx + place).T                                  # CONTEXT, batch
+                hat = tables[keys[0]]
+                for k in range(1, CONTEXT):
+                    hat += tables[keys[k]]
                 # One set of noise classes per batch: its scores are one matrix product.
-                noise = np.minimum(np.searchsorted(edges, rng.random(NOISE * 8) * edges[-1]), CLASSES - 1)
-                weight = 1.0 / 8                                        # NOISE * 8 draws count as NOISE per token
+                noise = np.minimum(np.searchsorted(edges, rng.random(DRAWS) * edges[-1]), CLASSES - 1)
                 s_t = (hat * self.q[t]).sum(1) + self.b[t] - log_noise[t]
-                s_n = hat @ self.q[noise].T + (self.b[noise] - log_noise[noise])
+                s_n = hat @ self.q[noise].T
+                s_n += self.b[noise] - log_noise[noise]
                 g_t = 1 / (1 + np.exp(-s_t)) - 1
-                g_n = np.float32(weight) / (1 + np.exp(-s_n))
+                np.negative(s_n, out=s_n)
+                np.exp(s_n, out=s_n)
+                s_n += 1
+                g_n = np.divide(np.float32(NOISE / DRAWS), s_n, out=s_n)
                 g_hat = g_t[:, None] * self.q[t] + g_n @ self.q[noise]
                 gq = summed(t, g_t[:, None] * hat, CLASSES) + summed(noise, g_n.T @ hat, CLASSES)
                 gb = np.bincount(t, g_t, CLASSES) + np.bincount(noise, g_n.sum(0), CLASSES)
-                gr = summed(ctx.ravel(), (g_hat[:, None, :] * self.c).reshape(-1, DIM), CLASSES + 1)
-                gc = (vec * g_hat[:, None, :]).sum(0)
-                n = len(rows)
+                by = summed(keys.ravel().astype(np.uint16), g_hat, CONTEXT * (CLASSES + 1)).reshape(CONTEXT, CLASSES + 1, DIM)
+                gr, gc = (by * self.c[:, None, :]).sum(0), (by * self.r).sum(1)
                 for name, g in (("q", gq), ("b", gb.astype(np.float32)), ("r", gr), ("c", gc)):
                     step(name, g / n)
 
