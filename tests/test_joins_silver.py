@@ -24,20 +24,48 @@ def _dim(spark):
     return spark.createDataFrame([("HOT", "h")] + [(f"K{i}", f"v{i}") for i in range(50)], "k string, v string")
 
 
-def test_heavy_hitters_bounded(spark):
-    hot = heavy_hitters(_fact(spark), "k", top=2, hot_rows=50)
-    assert [r.k for r in hot.collect()] == ["HOT"]
+def test_heavy_hitters_by_share_of_a_partition(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = {r.k: r._salts for r in heavy_hitters(_fact(spark), "k").collect()}
+    assert hot == {"HOT": -(-300 // (920 * 0.5 / parts))}                     # K0..K49 hold 10 rows each, NULL is no key
+    every = heavy_hitters(_fact(spark), "k", share=0.05).collect()            # a piece of less than 6 rows
+    assert len(every) == 52 < parts / 0.05
 
 
 def test_salted_lookup_join_equals_plain_join(spark):
     f, d = _fact(spark), _dim(spark)
-    hot = heavy_hitters(f, "k", hot_rows=10)          # force the salted path
-    for how in ("left", "inner", "left_anti", "left_semi"):
-        got = sorted(map(tuple, lookup_join(f, d, "k", how, hot, salts=7).select(*sorted(
-            lookup_join(f, d, "k", how, hot, salts=7).columns)).collect()), key=str)
-        want_df = f.join(d, "k", how)
-        want = sorted(map(tuple, want_df.select(*sorted(want_df.columns)).collect()), key=str)
-        assert got == want, how
+    for share in (0.5, 0.05):
+        hot = heavy_hitters(f, "k", share)
+        for how in ("left", "inner", "left_anti", "left_semi"):
+            got = lookup_join(f, d, "k", how, hot)
+            want = f.join(d, "k", how)
+            cols = sorted(want.columns)
+            assert sorted(map(tuple, got.select(*cols).collect()), key=str) == sorted(map(tuple, want.select(*cols).collect()), key=str), (share, how)
+
+
+def test_two_hundred_hot_keys_make_no_large_task(spark):
+    """Each of 200 keys holds more than a fair partition's share; no task of the join gets twice the median."""
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(400_000).select("id", F.when(F.col("id") % 4 < 3, F.concat(F.lit("H"), F.pmod(F.xxhash64("id"), F.lit(200)).cast("string")))
+                                           .otherwise(F.concat(F.lit("K"), F.col("id").cast("string"))).alias("k"))
+        dim = fact.select("k").distinct().withColumn("v", F.lit(1))
+        hot = heavy_hitters(fact, "k", share=0.1)
+        assert hot.where("k LIKE 'H%'").count() == 200 and hot.count() == 200
+        joined = lookup_join(fact, dim, "k", "left", hot)
+        per = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert sum(per) == 400_000 and len(per) == 64 and per[-1] <= 2 * per[len(per) // 2]
+        jobs = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup("planning", "planning")
+        lookup_join(fact, dim, "k", "left", heavy_hitters(fact, "k"))
+        assert jobs.getJobIdsForGroup("planning") == []                       # nothing is counted to make the plan
+    finally:
+        spark.sparkContext.setJobGroup("after", "after")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_latest_by_key_takes_newest_ingest(spark):
@@ -85,29 +113,29 @@ def test_read_or_empty(spark, tmp_path):
 
 
 def test_flagship_unchanged_when_hot_keys_are_salted(spark, sf):
-    """LOTE-X holds a seventh of all dispatch notes: force it through the salted path."""
-    from tidewater.operators.joins import HOT_ROWS_SETTING
+    """LOTE-X holds a seventh of all dispatch notes: it is hot at any size; salting more keys changes nothing."""
+    from tidewater.operators.joins import SHARE_SETTING
     from tidewater.plans.catalog import QUERIES, hot_lots
 
-    assert [r.lote_id for r in hot_lots(spark, sf).collect()] == []        # below the default threshold
+    assert [r.lote_id for r in hot_lots(spark, sf).collect()] == ["LOTE-X"]
     plain = sorted(map(tuple, QUERIES["cold_chain"](spark, sf).collect()), key=str)
-    spark.conf.set(HOT_ROWS_SETTING, "5")
+    spark.conf.set(SHARE_SETTING, "0.001")
     try:
-        assert "LOTE-X" in [r.lote_id for r in hot_lots(spark, sf).collect()]
+        assert hot_lots(spark, sf).count() > 5
         salted = sorted(map(tuple, QUERIES["cold_chain"](spark, sf).collect()), key=str)
     finally:
-        spark.conf.unset(HOT_ROWS_SETTING)
+        spark.conf.unset(SHARE_SETTING)
     assert salted == plain
 
 
 def test_fefo_unchanged_when_centre_days_are_salted(spark, sf):
-    from tidewater.operators.joins import HOT_ROWS_SETTING
+    from tidewater.operators.joins import SHARE_SETTING
     from tidewater.plans.catalog import QUERIES
 
     plain = sorted(map(tuple, QUERIES["fefo_compliance"](spark, sf).collect()), key=str)
-    spark.conf.set(HOT_ROWS_SETTING, "1")           # every repeated (centre, day) and lot becomes hot
+    spark.conf.set(SHARE_SETTING, "0.001")          # every repeated (centre, day) and lot becomes hot
     try:
         salted = sorted(map(tuple, QUERIES["fefo_compliance"](spark, sf).collect()), key=str)
     finally:
-        spark.conf.unset(HOT_ROWS_SETTING)
+        spark.conf.unset(SHARE_SETTING)
     assert salted == plain

@@ -4,12 +4,16 @@
   measured bytes (``autoBroadcastJoinThreshold``), at planning or, for a side
   that only turns out small, at run time; else AQE splits skewed partitions of
   the shuffle join (both settings are pinned in ``session.prepare``).
-* :func:`heavy_hitters` finds the top-K keys of a large side with a map-side
-  combined aggregate: a bounded set (at most K keys).
+* :func:`heavy_hitters` finds the keys of a large side that hold more than a
+  share of a fair partition's rows, whatever the size of the table, with a
+  map-side combined aggregate. There can be no more such keys than partitions
+  divided by that share, so the set is small by proof and is never collected:
+  it stays a step of the plan that uses it.
 * :func:`lookup_join` joins a large fact to a side that is unique on the key.
-  Hot keys and NULL keys (which never match but would all hash to one
-  reducer) get a salt spread over ``salts`` partitions; the unique side is
-  replicated only for the hot keys. The result equals a plain join.
+  A hot key gets as many salts as it holds fair partitions, and the unique side
+  is replicated as often for it; NULL keys (which never match but would all
+  hash to one reducer) are spread over all partitions. The result equals a
+  plain join.
 """
 
 from __future__ import annotations
@@ -17,62 +21,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_KEYS = 64
-DEFAULT_SALTS = 32
-# A key is hot when it holds more rows than this; override per call or with
-# the session setting below. Tests lower it to exercise the salted path.
-DEFAULT_HOT_ROWS = 1_000_000
-HOT_ROWS_SETTING = "tidewater.skew.hotRows"
+# A key is hot when it holds more than this share of rows / shuffle partitions.
+HOT_SHARE = 0.5
+SHARE_SETTING = "tidewater.skew.share"
 
 
-def hot_rows_threshold(df: DataFrame, hot_rows: int | None = None) -> int:
-    if hot_rows is not None:
-        return hot_rows
-    v = df.sparkSession.conf.get(HOT_ROWS_SETTING, None)
-    return int(v) if v else DEFAULT_HOT_ROWS
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def heavy_hitters(df: DataFrame, key: str, top: int = DEFAULT_HOT_KEYS,
-                  hot_rows: int | None = None) -> DataFrame:
-    """At most ``top`` keys holding more than ``hot_rows`` rows each.
+def heavy_hitters(df: DataFrame, key: str, share: float | None = None) -> DataFrame:
+    """(key, _salts): keys with more than ``share`` of a fair partition's rows, and how many pieces to cut each into.
 
-    The count is partially aggregated before the shuffle, so a key with a
-    third of all rows costs one row per input partition; the top-K step is a
-    distributed TakeOrderedAndProject. The result is bounded by ``top`` rows.
+    Lazy and bounded: n keys with more than share * rows / partitions rows each
+    need n < partitions / share. The count is partially aggregated before the
+    shuffle, so a key with a third of all rows costs one row per input partition.
     """
-    threshold = hot_rows_threshold(df, hot_rows)
-    return (df.where(F.col(key).isNotNull()).groupBy(key).count()
-              .where(F.col("count") > threshold)
-              .orderBy(F.desc("count"), F.asc(key)).limit(top)
-              .select(key, F.lit(True).alias("_hot")))
+    share = share or float(df.sparkSession.conf.get(SHARE_SETTING, str(HOT_SHARE)))
+    parts = _partitions(df)
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    piece = counts.agg(F.sum("_n")).scalar() * F.lit(share / parts)
+    return (counts.where(F.col(key).isNotNull() & (F.col("_n") > piece))
+            .select(key, F.least(F.ceil(F.col("_n") / piece), F.lit(4 * parts)).cast("int").alias("_salts")))
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
-                hot: DataFrame | list | None = None, salts: int = DEFAULT_SALTS,
-                hot_part=None) -> DataFrame:
+                hot: DataFrame | None = None, hot_part=None) -> DataFrame:
     """``fact JOIN dim USING (key)`` where ``dim`` is unique on ``key``.
 
-    ``hot`` is a bounded key set (from :func:`heavy_hitters`, possibly computed
-    on a base table upstream of ``fact``, or a list); if omitted it is
-    computed on ``fact``. The set has at most ``DEFAULT_HOT_KEYS`` entries, so
-    it is fetched once and applied as a literal set: rows with a hot or NULL
-    key are spread over ``salts`` buckets and only the hot keys' dimension
-    rows are replicated. ``hot_part`` maps the key column to the part the
-    hot set is expressed in (e.g. a prefix of a composite key), for when hot
-    groups are detected on a cheaper, coarser key upstream.
+    ``hot`` are the hot keys (from :func:`heavy_hitters`, possibly on a base
+    table upstream of ``fact``); if omitted they are found on ``fact``.
+    ``hot_part`` maps the key column to the part that ``hot`` is expressed in
+    (e.g. a prefix of a composite key), for when hot groups are detected on a
+    cheaper, coarser key upstream.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    if hot is None:
-        hot = heavy_hitters(fact, key)
-    keys = hot if isinstance(hot, list) else [r[0] for r in hot.select(key).limit(DEFAULT_HOT_KEYS).collect()]
-    k = F.col(key)
-    probe = hot_part(k) if hot_part is not None else k
-    is_hot = probe.isin(*keys) if keys else F.lit(False)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts))
-    f = fact.withColumn("_salt", F.when(k.isNull() | is_hot, spread).otherwise(F.lit(0)))
-    zero, last = F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")
-    d = dim.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(zero, last)).otherwise(F.array(zero))))
+    parts = _partitions(fact)
+    hot = heavy_hitters(fact, key) if hot is None else hot
+    hot = F.broadcast(hot.select(F.col(hot.columns[0]).alias("_hk"), "_salts"))     # fewer rows than partitions / share
+    probe = (hot_part or (lambda k: k))(F.col(key))
+    salts = F.coalesce("_salts", F.lit(1))
+    spread = F.xxhash64(*[F.col(c) for c in fact.columns])
+    salt = F.when(F.col(key).isNull(), F.pmod(spread, F.lit(parts))).otherwise(F.pmod(spread, salts)).cast("int")
+    f = fact.join(hot, probe == F.col("_hk"), "left").withColumn("_salt", salt).drop("_hk", "_salts")
+    d = dim.join(hot, probe == F.col("_hk"), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_hk", "_salts")
     # hash(key) leads the join keys: the sort-merge join then sorts on a long
     # prefix instead of string keys that share their first bytes.
     f = f.withColumn("_h", F.xxhash64(key))

@@ -79,7 +79,7 @@ def unreleased_lot_dispatch(notas: DataFrame, lotes: DataFrame, hot_lots: DataFr
 
 
 def fefo_compliance(notas: DataFrame, lotes: DataFrame, posicoes: DataFrame,
-                    hot_lots: DataFrame | None = None, hot_centre_days: list | None = None) -> DataFrame:
+                    hot_lots: DataFrame | None = None, hot_centre_days: DataFrame | None = None) -> DataFrame:
     """First-expire-first-out per dispatch.
 
     Available stock = positions with quantity > 0 of approved lots, per
@@ -119,13 +119,13 @@ def fefo_compliance(notas: DataFrame, lotes: DataFrame, posicoes: DataFrame,
                     "data_validade", "validade_minima_disponivel", verdict.alias("situacao"))
 
 
-def centre_days_hot(notas: DataFrame, top: int = 64) -> list:
+def centre_days_hot(notas: DataFrame) -> DataFrame:
     """Hot (centre, dispatch day) pairs of the dispatch notes, as 'centre|yyyy-MM-dd'."""
     from .joins import heavy_hitters
 
     pairs = notas.select(F.concat_ws("|", "centro_distribuicao_id",
                                      F.date_format("data_expedicao", "yyyy-MM-dd")).alias("_cd"))
-    return [r[0] for r in heavy_hitters(pairs, "_cd", top).collect()]
+    return heavy_hitters(pairs, "_cd")
 
 
 def pick_cycle_time(notas: DataFrame, pedidos: DataFrame) -> DataFrame:
