@@ -113,12 +113,14 @@ class Logistic:
         return n / (n + self.short)
 
     def fit(self, x: np.ndarray, y: np.ndarray, weight: float = 1e-3, steps: int = 250) -> "Logistic":
-        mean, scale, root = x.mean(0), 1 / (x.std(0) + 0.02), np.sqrt(x.shape[1])
-        z = (x - mean) * scale / root * self.trust(x)[:, None]
-        w, b, vw, vb, rate = np.zeros(z.shape[1]), np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)), 0.0, 0.0, 2.0
+        mean, scale, root = x.mean(0), 1 / (x.std(0) + 0.02), float(np.sqrt(x.shape[1]))
+        z = x - mean                            # one copy, in single precision
+        z *= scale / np.float32(root)
+        z *= self.trust(x).astype(np.float32)[:, None]
+        w, b, vw, vb, rate = np.zeros(z.shape[1], np.float32), np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)), 0.0, 0.0, 2.0
         for _ in range(steps):
-            g = 1 / (1 + np.exp(-np.clip(z @ w + b, -30, 30))) - y
-            vw = 0.9 * vw - rate * (z.T @ g / len(y) + weight * w)
+            g = (1 / (1 + np.exp(-np.clip(z @ w + b, -30, 30))) - y).astype(np.float32)
+            vw = (0.9 * vw - rate * (z.T @ g / len(y) + weight * w)).astype(np.float32)
             vb = 0.9 * vb - rate * g.mean()
             w, b = w + vw, b + vb
         self.w, self.b, self.a, self.c = (w * scale / root).astype(np.float32), float(b), 1.0, 0.0
@@ -242,8 +244,10 @@ def _fit_task(chosen: dict):
             text += [np.frombuffer(r, np.float32) for r in batch.column("t").to_pylist()]
             meta += [np.frombuffer(r, np.float32) for r in batch.column("m").to_pylist()]
         y = np.array([chosen[i] for i in ids])
-        text, meta = np.stack(text), np.stack(meta)
-        model = CoTrained().fit(text[y >= 0], meta[y >= 0], y[y >= 0], text[y < 0], meta[y < 0])
+        split = lambda rows, which: np.array([r for r, w in zip(rows, which) if w], np.float32).reshape(int(which.sum()), -1)
+        views = [split(v, which) for which in (y >= 0, y < 0) for v in (text, meta)]
+        del text, meta, batches
+        model = CoTrained().fit(views[0], views[1], y[y >= 0], views[2], views[3])
         yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(model)], pa.binary())], names=["model"])
     return run
 
