@@ -244,8 +244,8 @@ def _fit_task(chosen: dict):
             text += [np.frombuffer(r, np.float32) for r in batch.column("t").to_pylist()]
             meta += [np.frombuffer(r, np.float32) for r in batch.column("m").to_pylist()]
         y = np.array([chosen[i] for i in ids])
-        split = lambda rows, which: np.array([r for r, w in zip(rows, which) if w], np.float32).reshape(int(which.sum()), -1)
-        views = [split(v, which) for which in (y >= 0, y < 0) for v in (text, meta)]
+        split = lambda rows, which, dim: np.array([r for r, w in zip(rows, which) if w], np.float32).reshape(-1, dim)
+        views = [split(v, which, dim) for which in (y >= 0, y < 0) for v, dim in ((text, TEXT_DIM), (meta, META_DIM))]
         del text, meta, batches
         model = CoTrained().fit(views[0], views[1], y[y >= 0], views[2], views[3])
         yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(model)], pa.binary())], names=["model"])
