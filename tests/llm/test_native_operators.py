@@ -124,6 +124,37 @@ def test_shard_edges(spark, monkeypatch):
     check_law(sharding.hilbert_shards(df.limit(3), 8, F.length("text"), F.col("text")).toPandas(), 3)
 
 
+def test_places_are_those_of_a_plain_sort_by_curve_index(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_SLICE", 3)
+    rng = np.random.default_rng(9)
+    names = [f"https://site{k:02}.example" for k in range(16)] + [None, "é", ""]
+    rows = [(k, rng.choice(["de", "en", "fr"]), names[min(int(rng.integers(0, 30)), 18)], "w" * int(rng.integers(0, 400))) for k in range(900)]
+    rows += [(10**14, "en", names[3], "an outlying id")] + [rows[5]] * 4
+    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").repartition(5)
+    out = sharding.hilbert_shards(df, 8, F.length("text"), F.col("text")).toPandas()
+    n, side = len(rows), 1 << sharding.BITS
+
+    def text_levels(values):
+        values = [(v or "").encode() for v in values]
+        start = {v: sum(w < v for w in values) * side // n for v in set(values)}
+        dense = {level: i for i, level in enumerate(sorted({0, *start.values()}))}
+        return [dense[start[v]] for v in values]
+
+    def number_levels(values):
+        cuts = {sorted(values)[-(-i * n // side) - 1] for i in range(1, side)}
+        return [sum(c < v for c in cuts) for v in values]
+
+    ids, langs, sources, texts = zip(*rows)
+    curve = sharding.hilbert_order(sharding.BITS, 4)
+    cells = zip(text_levels(langs), text_levels(sources), number_levels([len(t) for t in texts]), number_levels(ids))
+    want = sorted((curve[((a * side + b) * side + c) * side + d], i, t) for (a, b, c, d), i, t in zip(cells, ids, texts))
+    got = out.sort_values("_place")
+    assert list(got._place) == list(range(n))
+    assert list(zip(got.doc_id, got.text)) == [(i, t) for _, i, t in want]
+    # Sources with a common prefix still prune: few shards hold all of them.
+    assert out.groupby("shard").source.nunique().median() < out.source.nunique()
+
+
 def test_line_dedup_edges(spark, oracle):
     rows = [(k, f"s{k % 14}", f"own line {k}\nshared by all\n\n  \nby few" if k % 14 < 9 else f"own line {k}\nshared by all", 1) for k in range(60)]
     rows += [(100, None, None, 1), (101, None, "", 1), (102, "s1", "shared by all", 1), (102, "s1", "shared by all", 1),

@@ -1,7 +1,9 @@
 """Sharding along a Hilbert curve over metadata columns.
 
-Four metadata columns are quantised to 2**BITS levels each, at approximate
-quantiles found in one mergeable aggregate. A row's cell in that grid gets its
+Four metadata columns are quantised to 2**BITS levels each: numbers at
+approximate quantiles found in one mergeable aggregate, texts at cuts between
+whole values, by the running row counts of their distinct values in byte order
+(values that share a long prefix still get levels of their own). A row's cell in that grid gets its
 place on the Hilbert curve; rows sort by (curve place, id) and the sorted
 sequence is cut into ``n_shards`` runs whose counts differ by at most one (law
 ``rows``). Neighbours on the curve are close in every dimension, so the files
@@ -21,6 +23,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 BITS = 4                        # levels per dimension: 2**BITS
 DIMENSIONS = 4                  # lang, source, size, id: the cell table has 2**(BITS*DIMENSIONS) rows
 ROWS_PER_SLICE = 200_000        # expected rows of an average slice of a fully loaded grid line
@@ -62,16 +66,37 @@ def hilbert_order(bits: int, dims: int) -> np.ndarray:
     return place
 
 
-def text_code(c: Column) -> Column:
-    """The first six UTF-8 bytes as a number: keeps byte order, fits a double exactly."""
-    return F.conv(F.rpad(F.hex(F.substring(F.coalesce(c, F.lit("")).cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+def text_cuts(rows: DataFrame, columns: list[str]) -> list[list[str]]:
+    """Per text column, the whole values (fewer than 2**BITS) that begin a new level; null counts as ''.
+
+    A value's level is the share of rows with smaller values. Distinct values
+    lie in ranges of their own order, so running counts meet in no one task,
+    however many values there are; only the cuts come to the driver.
+    """
+    spark = rows.sparkSession
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("_dim"), F.coalesce(F.col(c), F.lit("")).alias("_value")) for i, c in enumerate(columns)]))
+    counts = rows.select(each.alias("_e")).select("_e.*").groupBy("_dim", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    dealt = (counts.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "_dim", "_value")
+             .withColumn("_range", F.spark_partition_id()))
+    dealt = written(spark, dealt, "values")
+    ranges = dealt.groupBy("_dim", "_range").agg(F.sum("_n").alias("_rn"))          # one row per range and column at most
+    of_dim = Window.partitionBy("_dim")
+    starts = ranges.select("_dim", "_range", (F.sum("_rn").over(of_dim.orderBy("_range")) - F.col("_rn")).alias("_start"),
+                           F.sum("_rn").over(of_dim).alias("_total"))
+    inside = F.sum("_n").over(Window.partitionBy("_dim", "_range").orderBy("_value")) - F.col("_n")
+    levels = (dealt.withColumn("_inside", inside).join(starts, ["_dim", "_range"])
+              .withColumn("_level", F.floor((F.col("_start") + F.col("_inside")) * F.lit(1 << BITS) / F.col("_total"))))
+    cuts: list[list[str]] = [[] for _ in columns]
+    for r in levels.where("_level > 0").groupBy("_dim", "_level").agg(F.min("_value").alias("_value")).collect():
+        cuts[r["_dim"]].append(r["_value"])
+    return [sorted(x) for x in cuts]
 
 
-def level(code: Column, cuts: list[float]) -> Column:
-    """How many cuts lie below ``code``; null is level 0."""
+def level(value: Column, cuts: list, inclusive: bool = False) -> Column:
+    """How many cuts lie below ``value`` (or at it, if ``inclusive``); null is level 0."""
     total = F.lit(0)
     for c in cuts:
-        total = total + F.when(code > F.lit(float(c)), 1).otherwise(0)
+        total = total + F.when(value >= F.lit(c) if inclusive else value > F.lit(c), 1).otherwise(0)
     return total
 
 
@@ -86,27 +111,36 @@ def hilbert_shards(docs: DataFrame, n_shards: int, size: Column, tie: Column,
     """
     spark = docs.sparkSession
     docs = docs.drop("_place", "shard", "slot")
-    dims = [text_code(F.col(lang)), text_code(F.col(source)), size.cast("double"),
-            F.col(key).cast("double")]
-    coded = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).alias("_id"), F.struct(*[d.alias(f"d{i}") for i, d in enumerate(dims)]).alias("_dims"),
+    coded = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).alias("_id"),
+                        F.struct(F.col(lang).alias("d0"), F.col(source).alias("d1"), size.cast("double").alias("d2"),
+                                 F.col(key).cast("double").alias("d3")).alias("_dims"),
                         tie.alias("_tie"))
-    parts = [i / (1 << BITS) for i in range(1, 1 << BITS)]
+    side = 1 << BITS
+    parts = [i / side for i in range(1, side)]
     stats = coded.agg(F.count(F.lit(1)).alias("n"), F.min("_dims.d3").alias("lo"), F.max("_dims.d3").alias("hi"),
-                      *[F.percentile_approx(f"_dims.d{i}", parts, ACCURACY).alias(f"q{i}")
-                        for i in range(DIMENSIONS)]).first()
-    n, lo, hi = stats["n"], stats["lo"] or 0.0, stats["hi"] or 0.0
+                      *[F.percentile_approx(f"_dims.{d}", parts, ACCURACY).alias(d) for d in ("d2", "d3")]).first()
+    n = stats["n"]
+    sizes, ids = ([float(v) for v in sorted(set(stats[d] or []))] for d in ("d2", "d3"))
+    texts = text_cuts(docs, [lang, source])
+    levels = [level(F.coalesce(F.col(f"_dims.d{i}"), F.lit("")), texts[i], inclusive=True) for i in range(2)]
+    levels += [level(F.col("_dims.d2"), sizes), level(F.col("_dims.d3"), ids)]
     cell = F.lit(0)
-    for i in range(DIMENSIONS):
-        cell = cell * (1 << BITS) + level(F.col(f"_dims.d{i}"), sorted(set(stats[f"q{i}"] or [])))
-    # Slices of the id range: monotone in the id, so slices and ids give one order. Null ids spread by the tie.
-    slices = (1 << BITS) * max(1, -(-n // (ROWS_PER_SLICE * (1 << BITS))))
-    slice_ = F.coalesce(F.floor((F.col("_dims.d3") - lo) / (hi - lo + 1.0) * slices),
-                        -1 - F.pmod(F.xxhash64("_tie"), F.lit(slices)))
+    for x in levels:
+        cell = cell * side + x
+    # Slices of the id range: monotone in the id, so slices and ids give one order. They are linear between the id's
+    # quantiles, so an outlying id stretches no slice but those of the last level. Null ids spread by the tie.
+    fine = max(1, -(-n // (ROWS_PER_SLICE * side)))
+    edges = [stats["lo"] or 0.0, *ids, stats["hi"] or 0.0]
+    at = F.get(F.array(*[F.lit(float(e)) for e in edges[:-1]]), F.col("_idlevel"))
+    span = F.get(F.array(*[F.lit(max(b - a, 0.0) + 1.0) for a, b in zip(edges, edges[1:])]), F.col("_idlevel"))
+    slice_ = F.coalesce(F.col("_idlevel") * fine + F.floor((F.col("_dims.d3") - at) / span * fine),
+                        -1 - F.pmod(F.xxhash64("_tie"), F.lit(side * fine)))
     # A fixed table of 2**(BITS*DIMENSIONS) rows: small enough to broadcast at any input size.
     order = spark.createDataFrame(
         [(c, int(p)) for c, p in enumerate(hilbert_order(BITS, DIMENSIONS))], "_cell int, _curve int")
-    placed = (coded.withColumn("_cell", cell.cast("int")).withColumn("_slice", slice_.cast("long"))
-              .join(F.broadcast(order), "_cell").drop("_cell", "_dims"))
+    placed = (coded.withColumn("_cell", cell.cast("int")).withColumn("_idlevel", levels[3].cast("int"))
+              .withColumn("_slice", slice_.cast("long"))
+              .join(F.broadcast(order), "_cell").drop("_cell", "_idlevel", "_dims"))
     counts = placed.groupBy("_curve", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     cells = (counts.groupBy("_curve").agg(F.sum("_n").alias("_cn"))
              .select("_curve", (F.sum("_cn").over(Window.orderBy("_curve")) - F.col("_cn")).alias("_base")))
