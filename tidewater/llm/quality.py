@@ -2,15 +2,19 @@
 
 View one is the text's content: hashed words, transitions between character
 classes, repetition. View two is the page's metadata: source, language, length
-and line layout. Both are logistic models. In each round either one labels a
-pool of unlabelled documents, and what it is sure of (by its calibrated
-probability) joins the other one's training rows. At last each view's scores
-are calibrated on rows kept out of training, and their log-odds add up over the
-prior. A view that knows nothing calibrates to the prior and so neither passes
-labels on nor moves the result.
-
-Fitting uses bounded samples (``LABELLED`` and ``POOL`` documents, those with
-the smallest id hashes); scoring reads every whole text where it lies.
+and line layout. Both are logistic models. In each round either one labels all
+unlabelled documents, and what it is sure of (by its calibrated probability)
+trains the other one. Texts stay where they lie: a round is one pass that sums
+the other model's gradient over the rows passed to it, per class, which is all
+that comes back. A model then minimises its loss on the labelled rows together
+with that of the passed rows, whose gradient is exact and whose curvature is
+taken from the labelled rows. Each view's scores are calibrated on rows kept out
+of training, and at last their log-odds add up over the prior. A view that knows
+nothing calibrates to the prior and so neither passes labels on nor moves the result.
+
+Only labelled rows are sampled (``LABELLED`` documents at most, those with the
+smallest id hashes; labelled ones beyond them count as unlabelled); the exchange
+and the scores read every whole text.
 """
 
 from __future__ import annotations
@@ -23,14 +27,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import share, shared, small_batches
+from .common import share, shared, small_batches, written
 from .words import Scanner, mix, pieces, space_table
 
 LABELLED = 4000                 # labelled documents that the models are fitted on, at most
-POOL = 3000                     # unlabelled documents for the exchange, at most
-ROUNDS = 4
+ROUNDS = 2                      # of the exchange, each a pass over all unlabelled documents
 SURE = 0.97                     # calibrated confidence of a label that is passed on
-PER_ROUND = 300                 # labels passed on per round, view and class, at most
+EXCHANGE = 0.5                  # weight of the passed rows beside the labelled rows
+PULL = 0.01                     # of a model to where the passed rows' gradient was taken
 KEEP = 0.5                      # probability of good quality below which a document is rejected
 SHORT = 12                      # words at which a text's content counts half: shorter texts say little
 WORD_DIM, KINDS = 512, 16
@@ -112,19 +116,45 @@ class Logistic:
         n = np.expm1(x[:, -1].astype(np.float64) * 10)
         return n / (n + self.short)
 
-    def fit(self, x: np.ndarray, y: np.ndarray, weight: float = 1e-3, steps: int = 250) -> "Logistic":
-        mean, scale, root = x.mean(0), 1 / (x.std(0) + 0.02), float(np.sqrt(x.shape[1]))
-        z = x - mean                            # one copy, in single precision
-        z *= scale / np.float32(root)
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        z = x - self.mean                       # one copy, in single precision
+        z *= self.unit
         z *= self.trust(x).astype(np.float32)[:, None]
-        w, b, vw, vb, rate = np.zeros(z.shape[1], np.float32), np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)), 0.0, 0.0, 2.0
+        return z
+
+    def slope(self, x: np.ndarray, label: int) -> np.ndarray:
+        """Rows, and the sums over them of the loss's derivatives by offset and weights, all rows being of one class."""
+        if not len(x):
+            return np.zeros(len(self.mean) + 2)
+        z = self.standard(x)
+        g = 1 / (1 + np.exp(-np.clip(z @ self.z_w + self.b, -30, 30))) - label
+        return np.concatenate([[len(x), g.sum()], g.astype(np.float32) @ z])
+
+    def fit(self, x: np.ndarray, y: np.ndarray, passed=None, weight: float = 1e-3, steps: int = 250) -> "Logistic":
+        """The loss on labelled rows; from the second fit on also that on ``passed`` rows, given by their ``slope`` per class.
+
+        A class of few passed rows counts by n/(n + labelled rows), so that a handful doesn't outweigh the labels.
+        """
+        if passed is None:
+            self.mean, self.unit = x.mean(0), (1 / (x.std(0) + 0.02) / np.sqrt(x.shape[1])).astype(np.float32)
+            self.z_w, self.b = np.zeros(x.shape[1], np.float32), float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
+        drift = np.zeros(x.shape[1] + 1)
+        for label, theirs in enumerate(passed if passed is not None else ()):
+            mine = self.slope(x[y == label], label)
+            if theirs[0] and mine[0]:
+                drift += EXCHANGE * mine[0] / len(y) * theirs[0] / (theirs[0] + len(y)) * (theirs[1:] / theirs[0] - mine[1:] / mine[0])
+        gain, pull = (1.0, 0.0) if passed is None else (1 + EXCHANGE, PULL)
+        z, slow, quick = self.standard(x), drift[1:].astype(np.float32), drift[0]
+        at_w, at_b = self.z_w, self.b
+        w, b, vw, vb, rate = at_w, at_b, 0.0, 0.0, 2.0 / gain
         for _ in range(steps):
             g = (1 / (1 + np.exp(-np.clip(z @ w + b, -30, 30))) - y).astype(np.float32)
-            vw = (0.9 * vw - rate * (z.T @ g / len(y) + weight * w)).astype(np.float32)
-            vb = 0.9 * vb - rate * g.mean()
+            vw = (0.9 * vw - rate * (gain * (z.T @ g) / len(y) + slow + weight * w + pull * (w - at_w))).astype(np.float32)
+            vb = 0.9 * vb - rate * (gain * g.mean() + quick + pull * (b - at_b))
             w, b = w + vw, b + vb
-        self.w, self.b, self.a, self.c = (w * scale / root).astype(np.float32), float(b), 1.0, 0.0
-        self.middle = float(mean @ self.w)
+        self.z_w, self.b, self.a, self.c = w, float(b), 1.0, 0.0
+        self.w = (w * self.unit).astype(np.float32)
+        self.middle = float(self.mean @ self.w)
         return self
 
     def raw(self, x: np.ndarray) -> np.ndarray:
@@ -151,35 +181,33 @@ class Logistic:
 
 
 class CoTrained:
-    """Both views' models and the prior log-odds; ``fit`` runs the rounds of exchange."""
+    """Both views' models and the prior log-odds: ``learn``, then rounds of ``exchange`` and ``learn``."""
 
-    def fit(self, text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray,
-            seed: int = 9) -> "CoTrained":
+    def learn(self, text: np.ndarray, meta: np.ndarray, y: np.ndarray, passed=None, seed: int = 9) -> "CoTrained":
+        """Fit both views to labelled rows, and to what :meth:`exchange` passed to them."""
         kept = np.random.default_rng(seed).random(len(y)) < 0.25        # for calibration only
+        if kept.all():
+            kept[:] = False
         self.prior = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
-        views, pools = (text, meta), (pool_text, pool_meta)
-        own = [(v[~kept], y[~kept]) for v in views]
-        free = [np.ones(len(pool_text), bool) for _ in views]
-        check = (lambda v: (v[kept], y[kept])) if kept.any() and 0 < y[kept].sum() < kept.sum() else (lambda v: (v, y))
-        for round_ in range(ROUNDS + 1):
-            models = [Logistic(short).fit(*rows).calibrate(*check(v)) for rows, v, short in zip(own, views, (SHORT, 0))]
-            if round_ == ROUNDS or not len(pool_text):
-                break
-            passed = False
-            for k, model in enumerate(models):
-                other = 1 - k
-                p = 1 / (1 + np.exp(-model.odds(pools[k])))
-                for label, sure in ((1, p), (0, 1 - p)):
-                    best = np.flatnonzero(free[other] & (sure >= SURE))
-                    best = best[np.argsort(-sure[best], kind="stable")][:PER_ROUND]
-                    if len(best):
-                        free[other][best] = False
-                        own[other] = (np.concatenate([own[other][0], pools[other][best]]),
-                                      np.concatenate([own[other][1], np.full(len(best), label)]))
-                        passed = True
-            if not passed:
-                break
-        self.text, self.meta = models
+        check = kept if kept.any() and 0 < y[kept].sum() < kept.sum() else np.ones(len(y), bool)
+        if passed is None:
+            self.text, self.meta = Logistic(SHORT), Logistic()
+        for k, (model, x) in enumerate(((self.text, text), (self.meta, meta))):
+            model.fit(x[~kept], y[~kept], passed and passed[k]).calibrate(x[check], y[check])
+        return self
+
+    def exchange(self, text: np.ndarray, meta: np.ndarray) -> list[np.ndarray]:
+        """Per view, its gradient sums over the rows of each class that the other view is sure of."""
+        limit, out = float(np.log(SURE / (1 - SURE))), []
+        for model, x, other in ((self.text, text, self.meta.odds(meta)), (self.meta, meta, self.text.odds(text))):
+            out.append(np.stack([model.slope(x[other <= -limit], 0), model.slope(x[other >= limit], 1)]))
+        return out
+
+    def fit(self, text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray) -> "CoTrained":
+        """All rounds over rows at hand."""
+        self.learn(text, meta, y)
+        for _ in range(ROUNDS):
+            self.learn(text, meta, y, self.exchange(pool_text, pool_meta))
         return self
 
     def scores(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -213,10 +241,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame):
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").cast("int").alias("_y"))
     rank = F.xxhash64(F.lit("quality"), "doc_id")
     ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    with_label = ids.join(known, "doc_id").orderBy(rank).limit(LABELLED)
-    without = ids.join(known, "doc_id", "left_anti").withColumn("_y", F.lit(-1)).orderBy(rank).limit(POOL)
-    chosen = {r["doc_id"]: r["_y"] for r in with_label.unionByName(without).collect()}      # LABELLED + POOL ids at most
-    if len(set(chosen.values()) - {-1}) < 2:
+    chosen = {r["doc_id"]: r["_y"] for r in ids.join(known, "doc_id").orderBy(rank).limit(LABELLED).collect()}
+    if len(set(chosen.values())) < 2:
         return None
 
     def work(batches):
@@ -227,16 +253,22 @@ def fit_quality(docs: DataFrame, labels: DataFrame):
                 [batch.column("doc_id"), pa.array([r.tobytes() for r in text], pa.binary()), pa.array([r.tobytes() for r in meta], pa.binary())],
                 names=["doc_id", "t", "m"])
 
-    picked = docs.where(F.col("doc_id").isin(list(chosen)))
+    picked = F.coalesce(F.col("doc_id").isin(list(chosen)), F.lit(False))
     # Rows of one id: the one with the smallest features, so the model doesn't depend on the partitioning.
-    rows = (_inputs(picked, F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(work, "doc_id long, t binary, m binary")
+    rows = (_inputs(docs.where(picked), F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(work, "doc_id long, t binary, m binary")
             .groupBy("doc_id").agg(F.min(F.struct("t", "m")).alias("x")).select("doc_id", "x.t", "x.m"))
-    fitted = rows.repartition(1).sortWithinPartitions("doc_id").mapInArrow(_fit_task(chosen), "model binary")
-    return pickle.loads(fitted.first()["model"])
-
-
-def _fit_task(chosen: dict):
-    """All chosen rows, LABELLED + POOL at most, in one task -> the fitted model: the driver's memory stays free of them."""
+    rows = written(spark, rows, "labelled")
+    model, passed = None, None
+    for round_ in range(ROUNDS + 1):
+        fitted = rows.repartition(1).sortWithinPartitions("doc_id").mapInArrow(_fit_task(chosen, model, passed), "model binary")
+        model = pickle.loads(fitted.first()["model"])
+        if round_ < ROUNDS:
+            passed = _exchange(docs.where(~picked), model)
+    return model
+
+
+def _fit_task(chosen: dict, model: CoTrained | None, passed: list | None):
+    """The labelled rows, LABELLED at most, in one task -> the model fitted once more: the driver's memory stays free of them."""
     def run(batches):
         ids, text, meta = [], [], []
         for batch in batches:
@@ -244,14 +276,34 @@ def _fit_task(chosen: dict):
             text += [np.frombuffer(r, np.float32) for r in batch.column("t").to_pylist()]
             meta += [np.frombuffer(r, np.float32) for r in batch.column("m").to_pylist()]
         y = np.array([chosen[i] for i in ids])
-        split = lambda rows, which, dim: np.array([r for r, w in zip(rows, which) if w], np.float32).reshape(-1, dim)
-        views = [split(v, which, dim) for which in (y >= 0, y < 0) for v, dim in ((text, TEXT_DIM), (meta, META_DIM))]
-        del text, meta, batches
-        model = CoTrained().fit(views[0], views[1], y[y >= 0], views[2], views[3])
-        yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(model)], pa.binary())], names=["model"])
+        fitted = (model or CoTrained()).learn(np.array(text), np.array(meta), y, passed)
+        yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(fitted)], pa.binary())], names=["model"])
     return run
 
 
+def _exchange(docs: DataFrame, model: CoTrained) -> list[np.ndarray]:
+    """``CoTrained.exchange`` over all rows: a task sums its rows, Spark sums the tasks; about 1,700 numbers come back."""
+    fixed = share(docs.sparkSession, model)
+    shapes = [(2, TEXT_DIM + 2), (2, META_DIM + 2)]
+    first = [0, shapes[0][0] * shapes[0][1]]
+
+    def work(batches):
+        scanner, kinds, model = Scanner(space_table()), _kinds(), shared(fixed)
+        total = [np.zeros(shape) for shape in shapes]
+        for batch in batches:
+            for mine, more in zip(total, model.exchange(*_views(batch, scanner, kinds))):
+                mine += more
+        flat = np.concatenate([t.ravel() for t in total])
+        at = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(flat[at], pa.float64())], names=["at", "value"])
+
+    flat = np.zeros(sum(a * b for a, b in shapes))
+    for r in _inputs(docs).mapInArrow(work, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
+        flat[r["at"]] = r["value"]
+    fixed.unpersist()
+    return [flat[start:start + a * b].reshape(a, b) for start, (a, b) in zip(first, shapes)]
+
+
 def score_quality(docs: DataFrame, model) -> DataFrame:
     """``docs`` plus quality_score, text_score, meta_score (double) and keep (boolean).
 
