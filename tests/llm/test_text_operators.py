@@ -258,6 +258,42 @@ def test_forms_and_names_around_the_article_are_not_aside():
     assert [wrapper.extract(p) for p in plain] == ["word " * 20 + str(k) for k in range(5)]
 
 
+def test_constant_blocks_are_template_wherever_they_are():
+    def body(k):
+        own = "".join(f"<p>part {j} of {k} " + "word " * 20 + "</p>" for j in range(k + 1))
+        return ("<p>Register free to read all our stories</p><h1>Title</h1>" + own + f"<div class=note>Written {k}</div>"
+                "<p>Copyright <b>Example</b> Press, all rights kept</p>")
+    want = ["Title " + "".join(f"part {j} of {k} " + "word " * 20 for j in range(k + 1)) + f"Written {k}" for k in range(6)]
+    for opening, closing in (("<div id=c>", "</div>"), ("<article>", "</article>"), ("<table><tr><td><a>Home</a> <a>World</a><td>", "</table>")):
+        pages = [f"<html><body><div class=top>The Site</div>{opening}{body(k)}{closing}<div class=legal>About us</div></body></html>" for k in range(6)]
+        wrapper = html_extract.Wrapper(html_extract.induce(pages[:5]))
+        assert [wrapper.extract(p) for p in pages] == want
+        # Too few pages are no evidence, nor are near copies of one page.
+        two = html_extract.Wrapper(html_extract.induce(pages[:2] + pages[:2]))
+        assert two.extract(pages[0]).startswith("Register free" if "td" not in opening else "Home World Register free")
+    copies = [f"<html><body><div id=c><p>{'the same article ' * 20}</p><p>more of it</p><p>read {k} times</p></div></body></html>" for k in range(5)]
+    wrapper = html_extract.Wrapper(html_extract.induce(copies))
+    assert wrapper.extract(copies[3]) == "the same article " * 20 + "more of it read 3 times"
+
+
+def test_a_second_layout_is_read_by_itself():
+    first = [f"<body><div class=top>The Site</div><div id=content><p>{f'article {k} ' * 30}</p></div></body>" for k in range(5)]
+    second = f"<body><div class=top>The Site</div><div id=content>teaser</div><div class=story><h1>T</h1><p>{'story ' * 50}</p></div></body>"
+    wrapper = html_extract.Wrapper(html_extract.induce(first))
+    assert wrapper.path[-1] == "div.content"
+    assert wrapper.extract(second) == "teaser T " + ("story " * 50).strip() and wrapper.extract(first[2]) == ("article 2 " * 30).strip()
+
+
+@pytest.mark.parametrize("tag", ["b", "div", "form", "header", "section class=menu", "p", "li", "td", "article"])
+def test_very_deep_pages(tag):
+    deep = "<body><div id=c>before" + f"<{tag}>" * 100_000 + "inside</i>" + "</q>" * 1000 + "<h1>end</h1>"
+    pages = [deep] + [f"<body><div id=c><p>text {k}</p></div></body>" for k in range(3)]
+    wrapper = html_extract.Wrapper(html_extract.induce(pages))
+    want = "before" if tag == "header" else "beforeinside end" if tag == "b" else "before inside end"
+    assert wrapper.extract(deep) == ("inside end" if tag == "article" else want)
+    assert html_extract.Wrapper(html_extract.induce(pages[1:])).extract(deep) == want
+
+
 def test_tree_matching_counts_common_nodes():
     a = html_extract.Shape([html_extract.parse("<div><h1>x</h1><p>y</p><ul><li>1</ul></div>")])
     b = html_extract.Shape([html_extract.parse("<div><p>y</p><p>z</p><table></table><ul><li>1</ul></div>")])

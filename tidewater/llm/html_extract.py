@@ -8,11 +8,15 @@ Runs of equal siblings count as one repeated node. A template node whose text
 is the same on all pages it matches is constant, others are slots. The wrapper
 of the host is the path to the lowest container that holds all the slots' text
 (all in article and main elements, if these hold a quarter);
-menus, adverts, forms and the like hold none of it. It is a few hundred bytes.
+menus, adverts, forms and the like hold none of it. Blocks whose text stands on
+all of at least ``EVIDENCE`` different pages are constant too and are left out,
+wherever they are; headings are not, nor is anything if over half the container's text
+would go (then the pages are near copies). A wrapper is a few hundred bytes and its constants.
 
 Every page is then read with its host's wrapper: the container is followed by
 its path, or by aligning the page with the template where the path fails, and
-all its text is taken in page order. Wrappers are joined to the pages, so
+all its text is taken in page order. A page with more text beside the container
+than in it has another layout and is read by itself. Wrappers are joined to the pages, so
 Spark chooses by size whether to broadcast them; a host with a third of the
 pages is split like any hot join key.
 """
@@ -30,6 +34,9 @@ from pyspark.sql import functions as F
 from .common import small_batches, written
 
 SAMPLES = 5                     # pages per host that its wrapper is induced from
+EVIDENCE = 3                    # different pages that have to show a constant
+DEPTH = 100                     # levels of a tree that are aligned; what is deeper counts as text of the last one
+PIECES = 100                    # nodes and texts in a constant, at most; larger ones are left out by their parts
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>?|[^<]+|<", re.S)
 MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -55,6 +62,7 @@ ASIDE_NAMES = frozenset("ad ads advert adverts advertisement banner breadcrumb b
                         "popup promo promoted related replies reply search share sharing sidebar signup social sponsor sponsored "
                         "subscribe toolbar widget complementary contentinfo alert gdpr".split())
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 STATES = frozenset("no has with without is".split())
 
 
@@ -66,7 +74,7 @@ class Node:
         self.doubt = doubt              # aside only by its name or as a form: may still hold the article
 
 
-def _open(tag: str, attrs: str, stack: list) -> Node:
+def _open(tag: str, attrs: str, in_article: bool) -> Node:
     key, aside = tag, tag in ASIDE_TAGS
     sure = aside and tag != "form"
     if attrs and "=" in attrs:
@@ -77,7 +85,7 @@ def _open(tag: str, attrs: str, stack: list) -> Node:
             aside = aside or any((t[0] in ASIDE_NAMES or t[-1] in ASIDE_NAMES) and t[0] not in STATES for t in tokens)
             if key == tag and tokens and m[1].lower() != "role":
                 key = f"{tag}.{tokens[0][0]}"
-    if tag == "header" and not any(n.tag in ("article", "main") for n in stack):
+    if tag == "header" and not in_article:
         aside = sure = True
     if tag in ("body", "html", "article", "main"):
         aside = False
@@ -90,38 +98,49 @@ def _settle(root: Node) -> None:
     The article is the page's first article or main element. Without one it is
     in the nodes with an h1; without those, in the nodes with over half the text.
     """
-    doubts, marks = [], {}                      # (node, nodes above it in doubt); tag -> doubtful nodes around each
-
-    def walk(x: Node, above: tuple) -> int:
-        size = 0
-        for c in x.children:
-            if isinstance(c, str):
-                size += len(SPACE.sub(" ", c).strip())
-            elif not c.aside or c.doubt:
-                around = above + (c,) if c.doubt else above
-                if c.tag in ("article", "main", "h1"):
-                    marks.setdefault("h1" if c.tag == "h1" else "article", []).append(around)
-                n = walk(c, around)
-                if c.doubt:
-                    doubts.append((c, n))
-                size += n
-        return size
-
-    total = walk(root, ())
-    if "article" in marks:
-        held = marks["article"][0]
-    elif "h1" in marks:
-        held = [c for around in marks["h1"] for c in around]
-    else:
-        held = [c for c, n in doubts if n * 2 > total]
-    for c in held:
-        c.aside = False
+    doubts, marks, total = [], {}, 0            # (node, its text); tag -> chains (doubtful node, chain around it)
+    frames = [[root, None, 0, 0]]               # node, doubtful nodes around its children, next child, text so far
+    while frames:
+        frame = frames[-1]
+        x, around, at, size = frame
+        if at == len(x.children):
+            frames.pop()
+            if x.doubt:
+                doubts.append((x, size))
+            if frames:
+                frames[-1][3] += size
+            else:
+                total = size
+            continue
+        frame[2] += 1
+        c = x.children[at]
+        if isinstance(c, str):
+            frame[3] += len(SPACE.sub(" ", c).strip())
+        elif not c.aside or c.doubt:
+            inner = (c, around) if c.doubt else around
+            if c.tag in ("article", "main", "h1"):
+                marks.setdefault("h1" if c.tag == "h1" else "article", []).append(inner)
+            frames.append([c, inner, 0, 0])
+    if not marks:
+        for c, n in doubts:
+            c.aside = c.aside and n * 2 <= total
+    for chain in marks["article"][:1] if "article" in marks else marks.get("h1", ()):
+        while chain and chain[0].aside:         # nodes around one that is settled are settled
+            chain[0].aside = False
+            chain = chain[1]
 
 
 def parse(source: str) -> Node:
     """A DOM tree; tolerant of missing and stray end tags."""
     root = Node("#root", "#root", False)
     stack, at, n = [root], 0, len(source)
+    open_: dict = {}                            # open elements by tag
+
+    def close(k: int) -> None:
+        for x in stack[k:]:
+            open_[x.tag] -= 1
+        del stack[k:]
+
     while at < n:
         m = TOKEN.match(source, at)
         at = m.end()
@@ -133,59 +152,91 @@ def parse(source: str) -> Node:
             continue
         tag = tag.lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if open_.get(tag) else ():
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in SCOPE and tag in INLINE:
                     break
             continue
-        closed = CLOSES.get(tag) or ({"p"} if tag in P_CLOSERS else None)
-        if closed:
+        closed = CLOSES.get(tag) or ({"p"} if tag in P_CLOSERS else ())
+        if any(open_.get(t) for t in closed):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in closed:
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in SCOPE:
                     break
-        node = _open(tag, m[3], stack)
+        node = _open(tag, m[3], bool(open_.get("article") or open_.get("main")))
         stack[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(source, at)
             at = end.end() if end else n        # raw text is never the article
         elif tag not in VOID and not m[3].rstrip().endswith("/"):
             stack.append(node)
+            open_[tag] = open_.get(tag, 0) + 1
     _settle(root)
     return root
 
 
-def node_text(node: Node) -> str:
-    """All text below ``node`` that is not aside: blocks and breaks become one space, white space runs too."""
+def node_text(node: Node, constants: dict | None = None) -> str:
+    """All text below ``node`` that is neither aside nor constant: blocks and breaks become one space, white space runs too."""
     out: list = []
-
-    def walk(x: Node) -> None:
-        for c in x.children:
-            if isinstance(c, str):
-                out.append(c)
-            elif not c.aside:
-                block = c.tag not in INLINE
-                if block:
-                    out.append(" ")
-                walk(c)
-                if block:
-                    out.append(" ")
-
-    walk(node)
+    todo = node.children[::-1]
+    while todo:
+        c = todo.pop()
+        if isinstance(c, str):
+            out.append(c)
+        elif not c.aside and not (constants and is_constant(c, constants)):
+            if c.tag not in INLINE:
+                out.append(" ")
+                todo.append(" ")                # comes after the children
+            todo += c.children[::-1]
     return SPACE.sub(" ", "".join(out)).strip(" ")
 
 
+def block_text(node: Node) -> str | None:
+    """The node's text if it is a block of few pieces that may be a constant."""
+    if node.tag in INLINE or node.tag in HEADINGS:
+        return None
+    if len(node.children) > PIECES:
+        return None
+    out, todo, seen = [], node.children[::-1], 0
+    while todo:
+        c = todo.pop()
+        seen += 1
+        if seen > PIECES:
+            return None
+        if isinstance(c, str):
+            out.append(c)
+        elif c.tag in HEADINGS:
+            return None
+        elif not c.aside:
+            if len(c.children) > PIECES:
+                return None
+            if c.tag not in INLINE:
+                out.append(" ")
+                todo.append(" ")
+            todo += c.children[::-1]
+    text = SPACE.sub(" ", "".join(out)).strip(" ")
+    return text if any(map(str.isalnum, text)) else None
+
+
+def is_constant(node: Node, constants: dict) -> bool:
+    known = constants.get(node.key)
+    return bool(known) and block_text(node) in known
+
+
 class Shape:
     """A node for alignment: key, repeated siblings folded into one, members in the page."""
 
     __slots__ = ("key", "tag", "children", "members", "texts")
 
-    def __init__(self, members: list):
+    def __init__(self, members: list, depth: int = 0):
         self.members, self.key, self.tag = members, members[0].key, members[0].tag
+        if depth == DEPTH:
+            self.texts, self.children = [" ".join(map(node_text, members))], []
+            return
         self.texts = [SPACE.sub(" ", "".join(c for m in members for c in m.children if isinstance(c, str))).strip()]
         inner = [c for m in members for c in m.children if not isinstance(c, str) and not c.aside]
         runs: list = []
@@ -194,15 +245,15 @@ class Shape:
                 runs[-1].append(c)
             else:
                 runs.append([c])
-        self.children = [Shape(r) for r in runs] if len(members) == 1 else self._fold(runs)
+        self.children = [Shape(r, depth + 1) for r in (runs if len(members) == 1 else self._fold(runs))]
 
     @staticmethod
     def _fold(runs: list) -> list:
-        """Children of repeated siblings: one shape per key."""
+        """Children of repeated siblings: one run per key."""
         by: dict = {}
         for r in runs:
             by.setdefault(r[0].key, []).extend(r)
-        return [Shape(r) for r in by.values()]
+        return list(by.values())
 
 
 def match(a: Shape, b: Shape) -> tuple[int, list]:
@@ -268,15 +319,37 @@ def container(top: Shape) -> list[Shape]:
 
 
 def induce(pages: list[str]) -> str:
-    """The wrapper of pages of one host, as JSON: the keys down to the container, and the template's skeleton."""
-    shapes = [Shape([parse(p)]) for p in pages]
+    """The wrapper of pages of one host, as JSON: the keys down to the container, the template's skeleton, constants."""
+    shapes = [Shape([parse(p)]) for p in dict.fromkeys(pages)]
     template = max(shapes, key=lambda s: sum(1 for _ in _walk(s)))
+    peers: dict = {}                            # template node -> its members on each page that has it
     for s in shapes:
-        if s is not template:
-            for t, x in match(template, s)[1]:
+        for t, x in match(template, s)[1]:
+            peers.setdefault(id(t), []).append(x.members)
+            if x is not t:
                 t.texts += x.texts
     way = container(template)
-    return json.dumps({"path": [s.key for s in way[1:]], "skeleton": _skeleton(template, way[-1])}, separators=(",", ":"))
+    marked = any(s.tag in ("article", "main") for s in _walk(template))
+    return json.dumps({"path": [s.key for s in way[1:]], "skeleton": _skeleton(template, way[-1]), "marked": marked,
+                       "constants": _constants(template, way[-1], peers)}, separators=(",", ":"))
+
+
+def _constants(template: Shape, goal: Shape, peers: dict) -> dict[str, list[str]]:
+    """Key -> texts of the blocks that stand on all pages with their place in the template, at least EVIDENCE of them."""
+    found: dict = {}
+    todo = list(template.children)
+    while todo:
+        t = todo.pop()
+        pages = peers.get(id(t), [])
+        if len(pages) >= EVIDENCE and t.tag not in INLINE:
+            same = set.intersection(*[{block_text(x) for x in members} for members in pages]) - {None}
+            if same:
+                found.setdefault(t.key, set()).update(same)
+            if all(block_text(x) in same for x in t.members):
+                continue
+        todo += t.children
+    whole, left = (sum(len(node_text(x, c)) for x in goal.members if not (c and is_constant(x, c))) for c in (None, found))
+    return {k: sorted(v) for k, v in sorted(found.items())} if left * 2 >= whole else {}
 
 
 def _walk(s: Shape):
@@ -294,7 +367,8 @@ class Wrapper:
 
     def __init__(self, text: str):
         d = json.loads(text)
-        self.path, self.goal = d["path"], None
+        self.path, self.goal, self.marked = d["path"], None, d["marked"]
+        self.constants = {k: set(v) for k, v in d["constants"].items()}
         self.template = self._shape(d["skeleton"])
 
     def _shape(self, d) -> Shape:
@@ -307,14 +381,19 @@ class Wrapper:
 
     def extract(self, source: str) -> str:
         """The page's main text."""
-        root = parse(source)
+        root, fixed = parse(source), self.constants
         nodes = [root]
         for key in self.path:
-            nodes = [c for x in nodes for c in x.children if not isinstance(c, str) and not c.aside and c.key == key]
+            nodes = [c for x in nodes for c in x.children
+                     if not isinstance(c, str) and not c.aside and c.key == key and not is_constant(c, fixed)]
         if not nodes:
             own = Shape([root])
             nodes = next((b.members for a, b in match(self.template, own)[1] if a is self.goal), None) or container(own)[-1].members
-        return SPACE.sub(" ", " ".join(node_text(x) for x in nodes)).strip(" ")
+        text = SPACE.sub(" ", " ".join(node_text(x, fixed) for x in nodes)).strip(" ")
+        if not self.marked and nodes != [root] and len(node_text(root, fixed)) > 2 * len(text):
+            own = container(Shape([root]))[-1].members          # another layout
+            text = SPACE.sub(" ", " ".join(node_text(x, fixed) for x in own)).strip(" ")
+        return text
 
 
 def host(url) -> "F.Column":
