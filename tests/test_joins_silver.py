@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import silver as sv
@@ -75,6 +76,26 @@ def test_latest_by_key_takes_newest_ingest(spark):
     assert out == {"A": "new", "B": "only"}
 
 
+def test_wanted_columns_are_those_of_the_same_rows(spark):
+    rows = [(f"K{i % 40}", "2026-07-01" if i % 3 else None, i % 5, chr(97 + i % 7) if i % 11 else None, i, i % 4 > 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, d string, a int, b string, c int, _ok boolean")
+    whole = {r.k: r.asDict() for r in sv.latest_by_key(df, "k", ["d"], keep=F.col("_ok")).collect()}
+    for wanted in ([], ["k"], ["b"], ["d", "a"], ["c"]):
+        out = sv.latest_by_key(df, "k", ["d"], keep=F.col("_ok"), columns=wanted)
+        assert out.columns == ["k"] + [c for c in ("d", "a", "b", "c") if c in wanted]
+        assert {r.k: r.asDict() for r in out.collect()} == {k: {c: v for c, v in r.items() if c == "k" or c in wanted} for k, r in whole.items()}
+    with pytest.raises(ValueError, match="no such columns"):
+        sv.latest_by_key(df, "k", ["d"], columns=["x"])
+
+
+def test_sku_validity_shuffles_only_what_it_reads(spark, sf):
+    from __spark_entry__ import queries
+
+    plan = queries()["sku_validity"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    best = next(x for x in plan.splitlines() if "max(" in x)
+    assert "produto_id" in best and "quantidade" not in best.split("max(")[1] and "preco_unitario" not in best.split("max(")[1]
+
+
 def test_quarantine_plus_trusted_equals_input(spark, sf):
     for t in ("crm_atendimento", "crm_itens_pedido", "crm_pedidos"):
         b = layers.bronze(spark, sf, t)

@@ -21,12 +21,21 @@ def table_profile(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     df, name = c.drop(REASONS), spec.name
     keys = (c.select(F.col(spec.key).alias("_k"), (F.col(REASONS) == "").alias("_ok"))
             .groupBy("_k").agg(F.max("_ok").alias("_ok")).where("_ok AND _k IS NOT NULL"))
+    return _described(keys, df, name)
+
+
+def seed_profile(seed: DataFrame, name: str) -> DataFrame:
+    """The same of a typed seed, all of whose rows are silver rows."""
+    return _described(seed, seed, name)
+
+
+def _described(rows: DataFrame, columns_of: DataFrame, name: str) -> DataFrame:
     cols = F.array(*[F.struct(F.lit(f.name).alias("coluna"), F.lit(i + 1).alias("posicao"),
                               F.lit(f.dataType.simpleString()).alias("tipo"))
-                     for i, f in enumerate(df.schema.fields)])
-    return (keys.agg(F.count(F.lit(1)).alias("total_linhas"))
-              .select(F.lit(name).alias("tabela"), F.explode(cols).alias("_c"), "total_linhas")
-              .select("tabela", "_c.coluna", "_c.posicao", "_c.tipo", "total_linhas"))
+                     for i, f in enumerate(columns_of.schema.fields)])
+    return (rows.agg(F.count(F.lit(1)).alias("total_linhas"))
+            .select(F.lit(name).alias("tabela"), F.explode(cols).alias("_c"), "total_linhas")
+            .select("tabela", "_c.coluna", "_c.posicao", "_c.tipo", "total_linhas"))
 
 
 def daily_volume(bronze: DataFrame, name: str) -> DataFrame:

@@ -85,7 +85,7 @@ def trusted(bronze: DataFrame, spec: TableSpec, on_error: str = "quarantine") ->
 
 
 def latest_by_key(df: DataFrame, key: str, order: list[str] | None = None,
-                  keep: Column | None = None) -> DataFrame:
+                  keep: Column | None = None, columns: list[str] | None = None) -> DataFrame:
     """One row per non-null ``key``: the greatest by ``order``, then by all columns.
 
     Ingest columns come first in the order, so the newest arrival wins; the
@@ -94,12 +94,20 @@ def latest_by_key(df: DataFrame, key: str, order: list[str] | None = None,
     key holding a third of all rows costs one row per input partition.
     ``keep`` restricts the candidates inside the aggregate (rows failing it
     are ignored; keys with no candidate disappear) without a pre-filter that
-    Catalyst would push under the projection and evaluate twice.
+    Catalyst would push under the projection and evaluate twice. ``columns``
+    names the columns that the reader wants beside the key: the greatest row's
+    leading columns are the greatest leading columns, so what stands behind the
+    last wanted one is neither compared nor shuffled, and the row is the same.
     """
     rest = [c for c in df.columns if c != key]
     order = [c for c in (order or []) if c in rest]
     ordered = order + [c for c in rest if c not in order]
-    candidate = F.struct(*[F.col(c) for c in ordered])
+    if columns is not None:
+        if unknown := set(columns) - {key, *rest}:
+            raise ValueError(f"no such columns: {sorted(unknown)}")
+        last = max((ordered.index(c) for c in columns if c != key), default=-1)
+        ordered, rest = ordered[:max(len(order), last + 1)], [c for c in rest if c in columns]
+    candidate = F.struct(*[F.col(c) for c in ordered] or [F.lit(True)])
     if keep is not None:
         candidate = F.when(keep, candidate)
     # Grouping by (hash(key), key) gives the sort-based aggregate a long sort
@@ -110,14 +118,17 @@ def latest_by_key(df: DataFrame, key: str, order: list[str] | None = None,
     return best.select(key, *[F.col(f"_best.{c}").alias(c) for c in rest])
 
 
-def silver(bronze: DataFrame, spec: TableSpec, on_error: str = "quarantine") -> DataFrame:
-    """Trusted, typed, one row per business key: the latest by ingest stamp (where stored), then landing day."""
+def silver(bronze: DataFrame, spec: TableSpec, on_error: str = "quarantine", columns: list[str] | None = None) -> DataFrame:
+    """Trusted, typed, one row per business key: the latest by ingest stamp (where stored), then landing day.
+
+    With ``columns`` only the key and those, of the same rows.
+    """
     c = cleanse(bronze, spec, on_error)
     cols = [x for x in c.columns if x != REASONS]
     order = [x for x in (INGESTED_AT, SILVER_PARTITION_COLUMN) if x in cols]
     out = latest_by_key(c.select(*cols, (F.col(REASONS) == "").alias("_ok")),
-                        spec.key, order, keep=F.col("_ok"))
-    return out.select(*cols)
+                        spec.key, order, keep=F.col("_ok"), columns=cols if columns is None else columns)
+    return out.select(*[x for x in cols if columns is None or x == spec.key or x in columns])
 
 
 def quarantine(bronze: DataFrame, spec: TableSpec, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -43,8 +43,9 @@ def B(spark, d, t):
     return layers.bronze(spark, d, t)
 
 
-def S(spark, d, t):
-    return layers.silver(spark, d, t)
+def S(spark, d, t, *columns):
+    """Silver rows; with ``columns`` only the key and those, which is all that is compared and shuffled."""
+    return layers.silver(spark, d, t, list(columns) or None)
 
 
 def SEED(spark, d, n):
@@ -202,7 +203,7 @@ RECONCILE_SQL = """SELECT f.fatura_id, f.pedido_id, p.valor_total, f.valor_fatur
 
 
 def reconciliation(spark, d):
-    return gold.reconcile_invoices(S(spark, d, "financeiro_faturas"), S(spark, d, "crm_pedidos"),
+    return gold.reconcile_invoices(S(spark, d, "financeiro_faturas", "pedido_id", "valor_faturado", "data_faturamento"), S(spark, d, "crm_pedidos", "valor_total"),
                                    hot_keys(spark, d, "financeiro_faturas", "pedido_id"))
 
 
@@ -214,7 +215,7 @@ def q_reconcile_invoices(spark, d):
 @query("reconcile_orphans", """SELECT fatura_id, pedido_id, valor_faturado, data_faturamento
  FROM sv_financeiro_faturas f WHERE NOT EXISTS (SELECT 1 FROM sv_crm_pedidos p WHERE p.pedido_id = f.pedido_id)""")
 def q_reconcile_orphans(spark, d):
-    return gold.reconcile_orphans(S(spark, d, "financeiro_faturas"), S(spark, d, "crm_pedidos"),
+    return gold.reconcile_orphans(S(spark, d, "financeiro_faturas", "pedido_id", "valor_faturado", "data_faturamento"), S(spark, d, "crm_pedidos", "pedido_id"),
                                   hot_keys(spark, d, "financeiro_faturas", "pedido_id"))
 
 
@@ -249,13 +250,13 @@ QUALITY_SQL = """SELECT centro_producao_id, produto_id, count(*) AS total_lotes,
 
 @query("production_quality", QUALITY_SQL)
 def q_production_quality(spark, d):
-    return gold.production_quality(S(spark, d, "erp_lotes_producao"))
+    return gold.production_quality(S(spark, d, "erp_lotes_producao", "centro_producao_id", "produto_id", "status_qc"))
 
 
 @query("worst_quality_groups", f"""SELECT * FROM ({QUALITY_SQL})
  ORDER BY taxa_rejeicao DESC, centro_producao_id, produto_id LIMIT 20""")
 def q_worst_quality_groups(spark, d):
-    return gold.worst_quality_groups(gold.production_quality(S(spark, d, "erp_lotes_producao")))
+    return gold.worst_quality_groups(gold.production_quality(S(spark, d, "erp_lotes_producao", "centro_producao_id", "produto_id", "status_qc")))
 
 
 # ---- audit rules (O1-O3, T8, Q8, K11) -----------------------------------------
@@ -279,9 +280,9 @@ COLD_SQL = """SELECT remessa_id, veiculo_id, produto_id, nome_produto, exige_cad
 
 
 def cold_chain_df(spark, d):
-    return rules.cold_chain(S(spark, d, "tms_remessas"), S(spark, d, "erp_notas_expedicao"),
-                            S(spark, d, "erp_lotes_producao"), SEED(spark, d, "erp_produtos"),
-                            SEED(spark, d, "tms_veiculos"), S(spark, d, "tms_leituras_temperatura"),
+    return rules.cold_chain(S(spark, d, "tms_remessas", "nota_expedicao_id", "veiculo_id"), S(spark, d, "erp_notas_expedicao", "lote_id"),
+                            S(spark, d, "erp_lotes_producao", "produto_id"), SEED(spark, d, "erp_produtos"),
+                            SEED(spark, d, "tms_veiculos"), S(spark, d, "tms_leituras_temperatura", "remessa_id", "temperatura_celsius"),
                             hot_keys(spark, d, "erp_notas_expedicao", "lote_id"))
 
 
@@ -313,7 +314,7 @@ SKU_SQL = """SELECT i.item_pedido_id, i.pedido_id, i.produto_id,
 
 @query("sku_validity", SKU_SQL)
 def q_sku_validity(spark, d):
-    return rules.sku_validity(S(spark, d, "crm_itens_pedido"), SEED(spark, d, "erp_produtos"))
+    return rules.sku_validity(S(spark, d, "crm_itens_pedido", "pedido_id", "produto_id"), SEED(spark, d, "erp_produtos"))
 
 
 STOCK_SQL = """SELECT posicao_id, lote_id, centro_distribuicao_id, quantidade, data_posicao,
@@ -337,7 +338,7 @@ def q_out_of_range_readings(spark, d):
  count(*) FILTER (WHERE c.data_entrega_real <> r.data_entrega_prevista) / count(*) AS taxa_diferente
  FROM sv_tms_comprovantes_entrega c JOIN sv_tms_remessas r USING (remessa_id) GROUP BY c.status_entrega""")
 def q_delivery_date_drift(spark, d):
-    return rules.delivery_date_drift(S(spark, d, "tms_comprovantes_entrega"), S(spark, d, "tms_remessas"))
+    return rules.delivery_date_drift(S(spark, d, "tms_comprovantes_entrega", "remessa_id", "status_entrega", "data_entrega_real"), S(spark, d, "tms_remessas", "data_entrega_prevista"))
 
 
 GOLD_SUMMARY_SQL = f"""
@@ -368,8 +369,8 @@ def q_gold_summary(spark, d):
 
 def gold_summary_df(spark, d):
     return gold.gold_summary(reconciliation(spark, d), otif_df(spark, d),
-                             gold.production_quality(S(spark, d, "erp_lotes_producao")), cold_chain_df(spark, d),
-                             rules.sku_validity(S(spark, d, "crm_itens_pedido"), SEED(spark, d, "erp_produtos")),
+                             gold.production_quality(S(spark, d, "erp_lotes_producao", "centro_producao_id", "produto_id", "status_qc")), cold_chain_df(spark, d),
+                             rules.sku_validity(S(spark, d, "crm_itens_pedido", "pedido_id", "produto_id"), SEED(spark, d, "erp_produtos")),
                              rules.negative_stock(S(spark, d, "erp_posicoes_estoque")))
 
 
@@ -852,7 +853,7 @@ def hot_lots(spark, d):
  count(*) FILTER (WHERE NOT coalesce(c.status_conta = 'recebido' AND c.data_recebimento IS NOT NULL, false)) AS faturas_em_aberto
  FROM sv_financeiro_contas_receber c JOIN sv_financeiro_faturas f USING (fatura_id) GROUP BY 1""")
 def q_dso(spark, d):
-    return kp.dso(S(spark, d, "financeiro_faturas"), S(spark, d, "financeiro_contas_receber"))
+    return kp.dso(S(spark, d, "financeiro_faturas", "data_faturamento"), S(spark, d, "financeiro_contas_receber", "fatura_id", "data_recebimento", "status_conta"))
 
 
 @query("reconciled_pct", f"""SELECT strftime(data_faturamento, '%Y-%m') AS mes, count(*) AS faturas,
@@ -879,7 +880,7 @@ def q_delivery_without_pod(spark, d):
 @query("invoice_before_delivery", """SELECT fatura_id, remessa_id, data_faturamento FROM sv_financeiro_faturas f
  WHERE NOT EXISTS (SELECT 1 FROM sv_tms_comprovantes_entrega c WHERE c.pod_confirmado AND c.remessa_id = f.remessa_id)""")
 def q_invoice_before_delivery(spark, d):
-    return kp.invoice_before_delivery(S(spark, d, "financeiro_faturas"), S(spark, d, "tms_comprovantes_entrega"))
+    return kp.invoice_before_delivery(S(spark, d, "financeiro_faturas", "remessa_id", "data_faturamento"), S(spark, d, "tms_comprovantes_entrega", "remessa_id", "pod_confirmado"))
 
 
 @query("blocked_customer_orders", """SELECT pedido_id, cliente_id, data_pedido, valor_total, status_pedido
@@ -892,7 +893,7 @@ def q_blocked_customer_orders(spark, d):
  CASE WHEN l.lote_id IS NULL THEN 'lote_inexistente' WHEN l.status_qc = 'aprovado' THEN 'liberado' ELSE 'nao_liberado' END AS categoria
  FROM sv_erp_notas_expedicao n LEFT JOIN sv_erp_lotes_producao l ON l.lote_id = n.lote_id""")
 def q_unreleased_lot_dispatch(spark, d):
-    return kp.unreleased_lot_dispatch(S(spark, d, "erp_notas_expedicao"), S(spark, d, "erp_lotes_producao"),
+    return kp.unreleased_lot_dispatch(S(spark, d, "erp_notas_expedicao", "lote_id"), S(spark, d, "erp_lotes_producao", "status_qc"),
                                       hot_lots(spark, d))
 
 
@@ -910,7 +911,7 @@ def q_fefo_compliance(spark, d):
     b = B(spark, d, "erp_notas_expedicao").select(
         clean.clean_text("centro_distribuicao_id").alias("centro_distribuicao_id"),
         clean.parse_date("data_expedicao").alias("data_expedicao"))
-    return kp.fefo_compliance(S(spark, d, "erp_notas_expedicao"), S(spark, d, "erp_lotes_producao"),
+    return kp.fefo_compliance(S(spark, d, "erp_notas_expedicao"), S(spark, d, "erp_lotes_producao", "produto_id", "status_qc", "data_validade"),
                               S(spark, d, "erp_posicoes_estoque"), hot_lots(spark, d), kp.centre_days_hot(b))
 
 
@@ -920,7 +921,7 @@ def q_fefo_compliance(spark, d):
  max(datediff('day', p.data_pedido, n.data_expedicao)) AS ciclo_maximo_dias
  FROM sv_erp_notas_expedicao n JOIN sv_crm_pedidos p USING (pedido_id) GROUP BY 1""")
 def q_pick_cycle_time(spark, d):
-    return kp.pick_cycle_time(S(spark, d, "erp_notas_expedicao"), S(spark, d, "crm_pedidos"))
+    return kp.pick_cycle_time(S(spark, d, "erp_notas_expedicao", "pedido_id", "centro_distribuicao_id", "data_expedicao"), S(spark, d, "crm_pedidos", "data_pedido"))
 
 
 @query("transit_time_by_route", """SELECT r.rota_id, t.regiao_destino,
@@ -930,7 +931,7 @@ def q_pick_cycle_time(spark, d):
  FROM sv_tms_comprovantes_entrega c JOIN sv_tms_remessas r USING (remessa_id) LEFT JOIN sd_tms_rotas t USING (rota_id)
  GROUP BY 1, 2, 3""")
 def q_transit_time_by_route(spark, d):
-    return kp.transit_time_by_route(S(spark, d, "tms_remessas"), S(spark, d, "tms_comprovantes_entrega"),
+    return kp.transit_time_by_route(S(spark, d, "tms_remessas", "rota_id", "data_expedicao"), S(spark, d, "tms_comprovantes_entrega", "remessa_id", "data_entrega_real"),
                                     SEED(spark, d, "tms_rotas"))
 
 
@@ -939,19 +940,19 @@ def q_transit_time_by_route(spark, d):
  c.data_entrega_real > r.data_entrega_prevista AS violou_sla
  FROM sv_tms_comprovantes_entrega c JOIN sv_tms_remessas r USING (remessa_id)""")
 def q_sla_breach(spark, d):
-    return kp.sla_breach(S(spark, d, "tms_comprovantes_entrega"), S(spark, d, "tms_remessas"))
+    return kp.sla_breach(S(spark, d, "tms_comprovantes_entrega", "remessa_id", "data_entrega_real"), S(spark, d, "tms_remessas", "data_entrega_prevista"))
 
 
 @query("orders_by_region", """SELECT coalesce(c.regiao, 'desconhecida') AS regiao, count(*) AS pedidos,
  sum(p.valor_total) AS valor_total FROM sv_crm_pedidos p LEFT JOIN sd_crm_clientes c USING (cliente_id) GROUP BY 1""")
 def q_orders_by_region(spark, d):
-    return kp.orders_by_region(S(spark, d, "crm_pedidos"), SEED(spark, d, "crm_clientes"))
+    return kp.orders_by_region(S(spark, d, "crm_pedidos", "cliente_id", "valor_total"), SEED(spark, d, "crm_clientes"))
 
 
 @query("orders_by_representative", """SELECT p.representante_id, r.nome_representante, count(*) AS pedidos,
  sum(p.valor_total) AS valor_total FROM sv_crm_pedidos p LEFT JOIN sd_crm_representantes r USING (representante_id) GROUP BY 1, 2""")
 def q_orders_by_representative(spark, d):
-    return kp.orders_by_representative(S(spark, d, "crm_pedidos"), SEED(spark, d, "crm_representantes"))
+    return kp.orders_by_representative(S(spark, d, "crm_pedidos", "representante_id", "valor_total"), SEED(spark, d, "crm_representantes"))
 
 
 @query("due_date_check", """SELECT c.conta_receber_id, c.fatura_id, c.data_vencimento,
@@ -959,7 +960,7 @@ def q_orders_by_representative(spark, d):
  c.data_vencimento = CAST(f.data_faturamento + 30 AS DATE) AS vencimento_confere
  FROM sv_financeiro_contas_receber c LEFT JOIN sv_financeiro_faturas f USING (fatura_id)""")
 def q_due_date_check(spark, d):
-    return kp.due_date_check(S(spark, d, "financeiro_contas_receber"), S(spark, d, "financeiro_faturas"))
+    return kp.due_date_check(S(spark, d, "financeiro_contas_receber", "fatura_id", "data_vencimento"), S(spark, d, "financeiro_faturas", "data_faturamento"))
 
 
 @query("complaints_per_lot", """SELECT c.lote_id, c.reclamacoes, l.quantidade_produzida,
@@ -970,7 +971,7 @@ def q_due_date_check(spark, d):
        WHERE tipo_interacao = 'reclamacao' AND lote_id IS NOT NULL GROUP BY 1) c
  LEFT JOIN sv_erp_lotes_producao l USING (lote_id)""")
 def q_complaints_per_lot(spark, d):
-    return kp.complaints_per_lot(S(spark, d, "crm_atendimento"), S(spark, d, "erp_lotes_producao"))
+    return kp.complaints_per_lot(S(spark, d, "crm_atendimento", "lote_id", "tipo_interacao"), S(spark, d, "erp_lotes_producao", "quantidade_produzida"))
 
 
 @query("lot_trace", """SELECT n.lote_id, n.nota_expedicao_id, r.remessa_id, n.pedido_id, p.cliente_id
@@ -978,9 +979,9 @@ def q_complaints_per_lot(spark, d):
  LEFT JOIN sv_tms_remessas r ON r.nota_expedicao_id = n.nota_expedicao_id
  LEFT JOIN sv_crm_pedidos p ON p.pedido_id = n.pedido_id""")
 def q_lot_trace(spark, d):
-    rejected = S(spark, d, "erp_lotes_producao").where(F.col("status_qc") == "reprovado")
-    return kp.lot_trace(rejected, S(spark, d, "erp_notas_expedicao"), S(spark, d, "tms_remessas"),
-                        S(spark, d, "crm_pedidos"), hot_lots(spark, d))
+    rejected = S(spark, d, "erp_lotes_producao", "status_qc").where(F.col("status_qc") == "reprovado")
+    return kp.lot_trace(rejected, S(spark, d, "erp_notas_expedicao", "pedido_id", "lote_id"), S(spark, d, "tms_remessas", "nota_expedicao_id"),
+                        S(spark, d, "crm_pedidos", "cliente_id"), hot_lots(spark, d))
 
 
 @query("lot_release_time", """SELECT lote_id, centro_producao_id, produto_id, status_qc,
@@ -992,13 +993,13 @@ def q_lot_release_time(spark, d):
 @query("billable_deliveries", """SELECT c.remessa_id, r.pedido_id, c.comprovante_id, c.data_entrega_real
  FROM sv_tms_comprovantes_entrega c JOIN sv_tms_remessas r USING (remessa_id) WHERE c.pod_confirmado""")
 def q_billable_deliveries(spark, d):
-    return kp.billable_deliveries(S(spark, d, "tms_comprovantes_entrega"), S(spark, d, "tms_remessas"))
+    return kp.billable_deliveries(S(spark, d, "tms_comprovantes_entrega", "remessa_id", "data_entrega_real", "pod_confirmado"), S(spark, d, "tms_remessas", "pedido_id"))
 
 
 @query("lot_cold_flag", """SELECT l.lote_id, l.produto_id, p.exige_cadeia_fria
  FROM sv_erp_lotes_producao l LEFT JOIN sd_erp_produtos p USING (produto_id)""")
 def q_lot_cold_flag(spark, d):
-    return kp.lot_cold_flag(S(spark, d, "erp_lotes_producao"), SEED(spark, d, "erp_produtos"))
+    return kp.lot_cold_flag(S(spark, d, "erp_lotes_producao", "produto_id"), SEED(spark, d, "erp_produtos"))
 
 
 # ---- quality reports (Q1, Q5, Q6) -------------------------------------------------
@@ -1017,12 +1018,23 @@ def _profile_sql(t):
             f"FROM (VALUES {vals}) v(coluna, posicao, tipo)")
 
 
-@query("table_profile", " UNION ALL ".join(_profile_sql(t) for t in EVENT_TABLES))
+def _seed_profile_sql(n):
+    spec = SEEDS[n]
+    vals = ", ".join(f"('{c}', {i + 1}, '{'boolean' if c in spec.booleans else 'bigint' if c in spec.integers else 'string'}')"
+                     for i, c in enumerate(spec.columns))
+    return (f"SELECT '{n}' AS tabela, coluna, posicao, tipo, (SELECT count(*) FROM sd_{n}) AS total_linhas "
+            f"FROM (VALUES {vals}) v(coluna, posicao, tipo)")
+
+
+@query("table_profile", " UNION ALL ".join([_profile_sql(t) for t in EVENT_TABLES] + [_seed_profile_sql(n) for n in SEEDS]))
 def q_table_profile(spark, d):
+    """All silver tables, the seeds among them."""
     out = None
     for t in EVENT_TABLES:
         p = qa.table_profile(B(spark, d, t), EVENT_TABLES[t])
         out = p if out is None else out.unionByName(p)
+    for n in SEEDS:
+        out = out.unionByName(qa.seed_profile(SEED(spark, d, n), n))
     return out
 
 

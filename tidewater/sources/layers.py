@@ -20,8 +20,8 @@ def bronze(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return fixtures.bronze_view(spark, sf_dir, table)
 
 
-def silver(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return sv.silver(bronze(spark, sf_dir, table), EVENT_TABLES[table])
+def silver(spark: SparkSession, sf_dir: str, table: str, columns: list[str] | None = None) -> DataFrame:
+    return sv.silver(bronze(spark, sf_dir, table), EVENT_TABLES[table], columns=columns)
 
 
 def seed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
