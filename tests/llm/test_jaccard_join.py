@@ -94,3 +94,27 @@ def test_components_of_chains_and_hubs(spark):
     pairs = [(k, k + 1) for k in range(30)] + [(100, 100 + k) for k in range(1, 40)] + [(500, 501)]
     got = {r["node"]: r["comp"] for r in m.components(spark.createDataFrame(pairs, "a long, b long"), "t").collect()}
     assert got == {**{k: 0 for k in range(31)}, **{100 + k: 100 for k in range(40)}, 500: 500, 501: 500}
+
+
+def test_components_of_random_forests_and_hubs(spark):
+    rng = np.random.default_rng(8)
+    ids = rng.permutation(10**6)[:600].astype(np.int64) - 500_000
+    pairs = [(int(ids[rng.integers(0, k)]), int(ids[k])) for k in range(1, 300)]            # one tree
+    pairs += [(int(ids[k]), int(ids[300])) for k in range(301, 500)] * 2                    # a hub, every edge twice
+    pairs += [(int(ids[k]), int(ids[k])) for k in range(500, 520)]                          # loops say nothing
+    low = {int(i): int(ids[:300].min()) for i in ids[:300]} | {int(i): int(ids[300:500].min()) for i in ids[300:500]}
+    df = spark.createDataFrame(pairs, "a long, b long")
+    assert {r["node"]: r["comp"] for r in m.components(df, "t").collect()} == low
+    assert m.components(df.where("a = b"), "t").count() == 0
+
+
+def test_bitmap_grows_with_its_keys_and_gives_way(spark, monkeypatch, tmp_path):
+    keys, rest = list(range(0, 60_000, 2)), list(range(1, 60_000, 2))
+    df = spark.range(60_000).selectExpr("id", "xxhash64(id) AS key")
+    df.where("id % 2 = 0").write.parquet(str(tmp_path / "keys"))
+    maybe, _ = m._maybe_in(spark.read.parquet(str(tmp_path / "keys")))
+    got = {r["id"] for r in df.where(maybe).collect()}
+    assert got >= set(keys) and len(got & set(rest)) < len(rest) * 0.08
+    monkeypatch.setattr(m, "MAX_FILTER", 1 << 10)
+    maybe, bitmap = m._maybe_in(spark.read.parquet(str(tmp_path / "keys")))
+    assert bitmap is None and df.where(maybe).count() == 60_000

@@ -39,7 +39,8 @@ TARGET_RECALL = 0.999           # of pairs exactly at the threshold
 SMALL = 200                     # sets in a bucket that is searched whole
 CHUNK = 800                     # texts on one side of an exact comparison
 DEPTH = 3
-FILTER_BITS = 1 << 24           # of the bitmap that keeps texts of no candidate out of a shuffle: 2 MB at any input size
+FILTER_BITS = 16                # per candidate, of the bitmap that keeps texts of no candidate out of a shuffle
+MAX_FILTER = 1 << 27            # bits of a bitmap, 16 MB: beyond 8 million candidates all texts are shuffled
 SCREEN = THRESHOLD - 3.5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / T)
 
 
@@ -229,27 +230,26 @@ def _chunked(rows: DataFrame, group: str, size: str, limit: int) -> DataFrame:
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, comp) for the nodes of (a, b) edges; comp is the component's smallest node.
 
-    Alternates large-star and small-star steps on written tables until nothing
-    changes. Each step is an aggregate and a join, so hubs are combined before
-    they are shuffled.
+    Edges point from the greater node ``a`` to the smaller ``b``. A round moves
+    every edge to the least neighbour of its ``b`` and then joins the neighbours
+    of every ``a`` to the least of them, until the edges are stars: no ``b``
+    points on and no ``a`` points twice. Least neighbours are combined before
+    they are shuffled, and written: a join then is of two plain shuffles, which
+    Spark splits where a hub's edges are many.
     """
     spark = edges.sparkSession
     now = written(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    before = None
     while True:
-        state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == before:
-            break
-        before = state
-        both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
-            low.select("a", F.col("m").alias("b"))).distinct()
-        now = written(spark, small, name)
-    return now.groupBy("a").agg(F.min("b").alias("comp")).withColumnRenamed("a", "node").unionByName(
-        now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
+        low = written(spark, now.groupBy("a").agg(F.min("b").alias("m")), name)
+        large = written(spark, now.join(low.withColumnRenamed("a", "b"), "b", "left").select(
+            "a", F.coalesce("m", "b").alias("b"), F.col("m").isNotNull().alias("moved")), name)
+        n, moved = large.agg(F.count(F.lit(1)), F.count_if("moved")).first()
+        if not moved and n == low.count():
+            return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(
+                now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
+        low = written(spark, large.groupBy("a").agg(F.min("b").alias("m")), name)
+        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        now = written(spark, small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), name)
 
 
 def exact_links(sets: list, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
@@ -311,23 +311,28 @@ def _verified(groups: DataFrame) -> DataFrame:
 
 
 def _maybe_in(keys: DataFrame):
-    """A function of a key column that is true for every key in ``keys`` and few others (a bitmap of fixed size)."""
-    bit = F.pmod("key", F.lit(FILTER_BITS))
-    words = (keys.groupBy(F.floor(bit / 64).cast("int").alias("w"))
-             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(key, {FILTER_BITS}) % 64 AS int))")).alias("v")))
-    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in words.toLocalIterator():           # FILTER_BITS / 64 rows at most
-        bitmap[r["w"]] = r["v"]
+    """(condition, broadcast): true for every ``key`` in the written table ``keys`` and for few others.
+
+    A bitmap that grows with the keys up to ``MAX_FILTER`` bits; beyond them
+    the condition is true for every row and there is no broadcast.
+    """
+    bits = 1 << max(20, (FILTER_BITS * max(keys.count(), 1) - 1).bit_length())
+    if bits > MAX_FILTER:
+        return F.lit(True), None
+    words = (keys.groupBy(F.floor(F.pmod("key", F.lit(bits)) / 64).cast("int").alias("w"))
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(key, {bits}) % 64 AS int))")).alias("v"))).toArrow()
+    bitmap = np.zeros(bits // 64, np.int64)     # bits / 64 rows at most
+    bitmap[words["w"].to_numpy()] = words["v"].to_numpy()
     fixed = share(keys.sparkSession, bitmap)
 
     @F.pandas_udf("boolean")
     def maybe(keys: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bits = shared(fixed)
+        bitmap = shared(fixed)
         for key in keys:
-            at = key.to_numpy() % FILTER_BITS
-            yield pd.Series((bits[at // 64] >> (at % 64)) & 1 == 1)
+            at = key.to_numpy() % bits
+            yield pd.Series((bitmap[at // 64] >> (at % 64)) & 1 == 1)
 
-    return maybe
+    return maybe("key"), fixed
 
 
 def similar_classes(docs: DataFrame) -> DataFrame:
@@ -368,9 +373,12 @@ def similar_classes(docs: DataFrame) -> DataFrame:
     sizes = candidate.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
     chosen = written(spark, candidate.join(sizes, "comp").join(reps.select("node", "key"), "node"), "chosen")
     # The text of one row per candidate node; rows with equal keys are equal.
-    texts = (base.where(_maybe_in(chosen)("key")).join(chosen, "key").dropDuplicates(["key"])
+    maybe, bitmap = _maybe_in(chosen)
+    texts = (base.where(maybe).join(chosen, "key").dropDuplicates(["key"])
              .select("comp", "n", "node", "text"))
     found = written(spark, _verified(_chunked(texts, "comp", "n", CHUNK)), "verified")
+    if bitmap is not None:
+        bitmap.unpersist()
     links = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     classes = components(found.where("b IS NOT NULL").select("a", "b"), "links")
     ids = rows.groupBy("node").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
