@@ -35,6 +35,13 @@ def test_brazilian_numbers(spark):
     assert got[5:] == [None] * len(NULLS)
 
 
+def test_money_is_not_rounded(spark):
+    texts = ["4000,014", "0,999", "1.250,5000", "4000,01", "-3,005"]
+    assert one(spark, clean.parse_number, texts) == [None, None, Decimal("1250.50"), Decimal("4000.01"), None]
+    assert one(spark, clean.parse_number_bad, texts) == [True, True, False, False, True]
+    assert one(spark, clean.parse_measure, ["0,999"]) == [0.999]
+
+
 @pytest.mark.parametrize("bad", ["abc", "1250.5", "1_000", "nan", "inf", "1d", "1.25,0"])
 def test_numbers_guard_rejects(spark, bad):
     assert one(spark, clean.parse_number_bad, [bad]) == [True]

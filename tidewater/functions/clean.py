@@ -27,6 +27,8 @@ TIMESTAMP_PATTERN = (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 # Brazilian number layout. Thousands with '.', decimals with ','.
 # Either grouped thousands or a plain digit run, optional sign and decimals.
 BR_NUMBER_PATTERN = r"^[+-]?([0-9]{1,3}(\.[0-9]{3})*|[0-9]+)(,[0-9]+)?$"
+#: Money: a third decimal that isn't zero would be rounded away, so it makes the value a bad one.
+MONEY_PATTERN = r"^[+-]?([0-9]{1,3}(\.[0-9]{3})*|[0-9]+)(,[0-9]{1,2}0*)?$"
 
 # Accented letters and their plain forms (same length, in order).
 ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑÝ"
@@ -85,7 +87,7 @@ def date_from_stripped(s: Column) -> Column:
 
 def number_from_stripped(s: Column, to: str = MONEY_TYPE) -> Column:
     canonical = F.translate(s, ",.", ".")        # ',' -> '.', thousands '.' dropped
-    return F.when(s.rlike(BR_NUMBER_PATTERN), canonical.try_cast(to))
+    return F.when(s.rlike(MONEY_PATTERN if to == MONEY_TYPE else BR_NUMBER_PATTERN), canonical.try_cast(to))
 
 
 def integer_from_stripped(s: Column) -> Column:

@@ -8,7 +8,7 @@ query written separately in another engine. Nothing here runs on Spark.
 
 from __future__ import annotations
 
-from ..functions.clean import BR_NUMBER_PATTERN, NULL_SPELLINGS
+from ..functions.clean import BR_NUMBER_PATTERN, MONEY_PATTERN, NULL_SPELLINGS
 from ..spec import EVENT_TABLES, SILVER_PARTITION_COLUMN, TableSpec
 
 # ---- fixture text helpers --------------------------------------------------
@@ -185,7 +185,7 @@ def c_date(x: str) -> str:
 
 def c_money(x: str) -> str:
     s = strip(x)
-    return (f"(CASE WHEN NOT {nv(x)} AND regexp_full_match({s}, '{BR_NUMBER_PATTERN}') THEN "
+    return (f"(CASE WHEN NOT {nv(x)} AND regexp_full_match({s}, '{MONEY_PATTERN}') THEN "
             f"TRY_CAST(replace(replace({s}, '.', ''), ',', '.') AS DECIMAL(18,2)) END)")
 
 
