@@ -15,7 +15,7 @@ repeated rows and empty tables are handled as the operators' docstrings say.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import table, written
@@ -49,10 +49,18 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from tidewater.llm import mixing
 
-    # The key tells texts under one id, or under none, apart.
-    sized = docs.select(F.struct(*docs.columns).alias("_doc"), F.xxhash64("doc_id", "text").alias("doc_id"), "source",
-                        mixing.word_count(F.col("text")).alias("size"))
-    return mixing.repeat_documents(mixing.with_targets(sized)).select("_doc.*")
+    # The key tells texts under one id, or under none, apart. Words are counted once and mixed without the texts.
+    text, source = F.col("text"), F.col("source")
+    key = F.xxhash64("doc_id", text, source, text.isNull(), source.isNull())
+    sizes = written(spark, docs.select(key.alias("doc_id"), "source", mixing.word_count(text).alias("size")), "sizes")
+    mixed = written(spark, mixing.mix(sizes), "mixed")
+    # Rows of one key are equal to the mix: what they appear together is dealt out evenly.
+    times = (mixing.document_repeats(mixed).groupBy(F.col("doc_id").alias("_k")).agg(F.count(F.lit(1)).alias("_rows"), F.sum("times").alias("_times"))
+             .where("_times > 0"))
+    number = F.row_number().over(Window.partitionBy("_k").orderBy("_doc.lang", "_doc.n_chars"))
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), key.alias("_k")).withColumn("_i", number).join(times, "_k")
+    own = F.expr("CAST(_times div _rows + CASE WHEN _i <= _times % _rows THEN 1 ELSE 0 END AS INT)")
+    return rows.select("_doc", F.explode(F.array_repeat(F.lit(0), own)).alias("_t")).select("_doc.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

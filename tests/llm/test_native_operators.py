@@ -74,6 +74,33 @@ def test_kept_words_of_whole_documents_meet_the_targets(spark):
     assert same_rows(docs.drop("taken")) == same_rows(mixing.repeat_documents(mixing.with_targets(df.repartition(5))))
 
 
+def test_whole_documents_follow_the_words_taken(spark, sf):
+    """A document of which the mix takes nothing doesn't appear, one taken once or twice appears as often; in the pipeline too."""
+    import corpus_pipeline
+    rng = np.random.default_rng(6)
+    words = {k: int(n) for k, n in enumerate(rng.integers(1, 9, 2400))}
+    source = {k: "abccccdddd"[k % 10] for k in words}
+    docs = spark.createDataFrame([(k, "w " * n, "en", source[k], 2 * n) for k, n in words.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = mixing.mix(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))).toPandas().set_index("doc_id")
+    assert ((mixed.taken == 0).sum() > 100) and ((mixed.taken == mixed["size"]).sum() > 100)
+    kept = mixing.repeat_documents(spark.createDataFrame(mixed.reset_index())).toPandas().doc_id.value_counts()
+    whole = mixed[mixed.taken % mixed["size"] == 0]
+    assert all(kept.get(k, 0) == r.taken // r["size"] for k, r in whole.iterrows())
+    out = corpus_pipeline.mix(spark, docs, sf).toPandas()
+    for s in "abcd":
+        assert abs(sum(words[k] for k in out.doc_id if source[k] == s) - mixed.taken[mixed.source == s].sum()) <= 8
+
+
+def test_pipeline_takes_its_documents_from_the_mix(spark, sf, monkeypatch):
+    import corpus_pipeline
+    real = mixing.mix
+    odd = lambda docs, *a, **k: real(docs, *a, **k).withColumn("taken", F.when(F.col("size") % 2 == 1, 2 * F.col("size")).otherwise(0).cast("long"))
+    monkeypatch.setattr(mixing, "mix", odd)
+    rows = [(k, "w " * n, "en", "a", 2 * n) for k, n in enumerate([3, 4, 5, 6, 7, 7])] + [(None, "x y z", "en", None, 5)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert same_rows(corpus_pipeline.mix(spark, docs, sf)) == sorted(map(str, same_rows(docs.where("n_chars not in (8, 12)")) * 2))
+
+
 def test_quotas_are_highest_quotients(spark):
     targets = [("a", 0, 1000, 53.2), ("b", 1, 500, 20.1), ("c", 2, 300, 11.7), ("d", 3, 9, 9.0)]
     df = spark.createDataFrame(targets, "source string, place long, source_size long, target double")

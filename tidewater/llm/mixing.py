@@ -25,6 +25,7 @@ LIMIT = 2                       # a target stops at this multiple of its source
 MIX_SHARDS = 8
 BLOCKS = 256                    # blocks in the smallest positive target
 SEED = 20240607
+ONE = 1 << 20                   # of a document: shares of documents are multiples of 1/ONE
 BUCKET_DIGITS = 2               # hex digits of the seeded order that make a bucket, at least
 BUCKET_ROWS = 500_000           # expected rows of a bucket, at most: more digits for more rows
 WORD = r"[^\x20\x09-\x0D]+"
@@ -125,29 +126,33 @@ def mix(docs: DataFrame, key: str = "doc_id", seed: int = SEED) -> DataFrame:
 
 
 def with_targets(docs: DataFrame) -> DataFrame:
-    """``docs`` (with ``source`` and a long ``size``) plus source_size and target: all that ``repeat_documents`` needs."""
+    """``docs`` (with ``source`` and a long ``size``) plus source_size and target; ``repeat_documents`` mixes such rows first."""
     plan = source_targets(docs.select("source", "size")).select(F.col("source").alias("_src"), "source_size", "target")
     return docs.drop("source_size", "target").join(plan, F.expr("source <=> _src")).drop("_src")
 
 
-def repeat_documents(mixed: DataFrame, key: str = "doc_id", seed: int = SEED) -> DataFrame:
-    """Rows with source_size and target as whole documents: a row appears once, twice or not at all.
-
-    Systematic sampling per source, longest documents first and in seeded order
-    among equals: with a ratio of target to source_size, the first i documents
-    appear floor(i * ratio + offset) times, the offset seeded per source in
-    [0, 1). As sizes only fall along the order, the kept words of a source stay
-    within one of its longest documents of the target, and meet it on average
-    over the offsets; documents need not be short against anything. Rows of
-    size 0 go.
+def document_repeats(mixed: DataFrame, key: str = "doc_id", seed: int = SEED) -> DataFrame:
+    """Rows of a mix plus ``times``: how often the whole document appears, from the words of it that the mix takes.
+
+    A row's share is taken / size. Per source, longest documents first and in
+    seeded order among equals, the first i rows appear floor(their shares +
+    offset) times together, the offset seeded per source in [0, 1). So a row of
+    which nothing is taken never appears, one taken whole or twice appears once
+    or twice; as sizes only fall along the order, the kept words of a source
+    stay within one of its longest documents of the words taken, and meet them
+    on average over the offsets. Shares are whole multiples of 1/ONE, summed
+    exactly in any order. Rows without ``taken`` are mixed first; rows of size 0
+    appear 0 times.
     """
-    rows = mixed.where("size > 0")
+    if "taken" not in mixed.columns:
+        return document_repeats(mix(mixed, key, seed), key, seed).select(*mixed.columns, "times")
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
     digits = max(0, math.ceil(math.log(max(mixed.count(), 1) / BUCKET_ROWS, 16)))
-    keyed = (rows.select(F.struct(*mixed.columns).alias("_row"), "source", "size", (F.col("target") / F.col("source_size")).alias("_ratio"), order.alias("_o"))
+    share = F.expr(f"CASE WHEN size > 0 THEN taken * {ONE}L div size ELSE 0L END")
+    keyed = (mixed.select(F.struct(*mixed.columns).alias("_row"), "source", "size", share.alias("_n"), order.alias("_o"))
              .withColumn("_b", F.substring("_o", 1, digits)))
-    # Running numbers in three steps: sizes of a source, buckets of a size, rows of a bucket.
-    buckets = keyed.groupBy("source", "size", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    # Running shares in three steps: sizes of a source, buckets of a size, rows of a bucket.
+    buckets = keyed.groupBy("source", "size", "_b").agg(F.sum("_n").alias("_n"))
     sizes = buckets.groupBy("source", "size").agg(F.sum("_n").alias("_n"))
     longer = sizes.select(F.col("source").alias("_zs"), F.col("size").alias("_zz"),
                           (F.sum("_n").over(Window.partitionBy("source").orderBy(F.col("size").desc())) - F.col("_n")).alias("_longer"))
@@ -155,9 +160,15 @@ def repeat_documents(mixed: DataFrame, key: str = "doc_id", seed: int = SEED) ->
                             (F.sum("_n").over(Window.partitionBy("source", "size").orderBy("_b")) - F.col("_n")).alias("_before"))
     starts = (inside.join(longer, F.expr("_src <=> _zs AND _sz = _zz"))
               .select("_src", "_sz", "_sb", (F.col("_longer") + F.col("_before")).alias("_start")))
-    number = F.row_number().over(Window.partitionBy("source", "size", "_b").orderBy("_o"))
-    offset = F.pmod(F.xxhash64(F.lit(seed), F.col("source")), F.lit(1 << 20)) / (1 << 20)
-    placed = (keyed.withColumn("_i", number).join(starts, F.expr("source <=> _src AND size = _sz AND _b = _sb"))
-              .withColumn("_i", F.col("_start") + F.col("_i")).withColumn("_u", offset))
-    times = F.expr("CAST(floor(_i * _ratio + _u) - floor((_i - 1) * _ratio + _u) AS INT)")
-    return placed.select("_row", F.explode(F.array_repeat(F.lit(0), times)).alias("_t")).select("_row.*")
+    upto = F.sum("_n").over(Window.partitionBy("source", "size", "_b").orderBy("_o", "_n").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    offset = F.pmod(F.xxhash64(F.lit(seed), F.col("source")), F.lit(ONE))
+    placed = (keyed.withColumn("_upto", upto).join(starts, F.expr("source <=> _src AND size = _sz AND _b = _sb"))
+              .withColumn("_end", F.col("_start") + F.col("_upto") + offset))
+    times = F.expr(f"CAST(_end div {ONE}L - (_end - _n) div {ONE}L AS INT)")
+    return placed.select("_row.*", times.alias("times"))
+
+
+def repeat_documents(mixed: DataFrame, key: str = "doc_id", seed: int = SEED) -> DataFrame:
+    """Rows of a mix as whole documents: a row appears once, twice or not at all, by :func:`document_repeats`."""
+    rows = document_repeats(mixed.select(F.struct(*mixed.columns).alias("_doc"), *[c for c in mixed.columns if c in {key, "source", "size", "taken"}]), key, seed)
+    return rows.select("_doc", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("_t")).select("_doc.*")
