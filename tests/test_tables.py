@@ -50,6 +50,23 @@ def test_buckets_follow_the_bytes(spark, monkeypatch):
     assert {r.k: r.v for r in tb.read_table(spark, path).collect()} == plain and tb.read_table(spark, path).count() == len(plain)
 
 
+def test_a_task_writes_a_piece_of_one_bucket(spark, monkeypatch):
+    monkeypatch.setattr(tb, "BUCKET_BYTES", 400_000)
+    monkeypatch.setattr(tb, "WRITER_BYTES", 30_000)
+    rows = lambda lo, hi, v: spark.range(lo, hi).selectExpr("concat('k', id) AS k", f"{v} AS v", "sha2(string(id), 256) AS w")
+    for write in (lambda p: tb.upsert(spark, rows(0, 15_000, 1), p, "k"), lambda p: tb.replace(spark, rows(0, 15_000, 1), p, "k"),
+                  lambda p: [tb.upsert(spark, rows(0, 9000, 0), p, "k"), tb.upsert(spark, rows(500, 15_000, 1), p, "k"), tb.upsert(spark, rows(0, 500, 1), p, "k")]):
+        path = fresh_path(spark, "t")
+        write(path)
+        m, files = tb._manifest(spark, path), {}
+        for b, x in m["baldes"].items():
+            files[b] = [n for n in tb.list_names(spark, f"{path}/versoes/{x['pasta']}/{tb.BUCKET}={b}") if n.startswith("part-")]
+            assert len(files[b]) >= 0.5 * x["bytes"] / tb.WRITER_BYTES
+        tasks = [(m["baldes"][b]["pasta"], n[:10]) for b in files for n in files[b]]
+        assert len(files) > 3 and len(tasks) == len(set(tasks))
+        assert tb.read_table(spark, path).where("v = 1").count() == tb.read_table(spark, path).select("k").distinct().count() == 15_000
+
+
 def test_replace_by_key_keeps_the_buckets(spark, monkeypatch):
     monkeypatch.setattr(tb, "BUCKET_BYTES", 20_000)
     path = fresh_path(spark, "t")
