@@ -129,3 +129,13 @@ def test_fefo_null_parts_match_nothing(spark):
                                 "lote_id string, centro_distribuicao_id string, quantidade long, data_posicao date")
     got = {r.nota_expedicao_id: r.situacao for r in fefo_compliance(notas, lotes, pos, [], []).collect()}
     assert got == {"N1": "sem_posicao_estoque", "N2": "conforme"}
+
+
+def test_gold_summary_shuffles_a_shared_table_once(spark, sf):
+    """Shipments and lots are each read by two KPIs: one aggregate over each serves both."""
+    from __spark_entry__ import queries
+
+    df = queries()["kpi_plausibility"](spark, sf)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") >= 2
