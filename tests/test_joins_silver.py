@@ -44,6 +44,13 @@ def test_salted_lookup_join_equals_plain_join(spark):
             assert sorted(map(tuple, got.select(*cols).collect()), key=str) == sorted(map(tuple, want.select(*cols).collect()), key=str), (share, how)
 
 
+def test_hot_keys_may_be_a_list(spark):
+    f, d = _fact(spark), _dim(spark)
+    for hot in ([], ["HOT", "K1"]):
+        got = lookup_join(f, d, "k", "left", hot).select("id", "k", "v")
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, f.join(d, "k", "left").select("id", "k", "v").collect()), key=str)
+
+
 def test_two_hundred_hot_keys_make_no_large_task(spark):
     """Each of 200 keys holds more than a fair partition's share; no task of the join gets twice the median."""
     spark.conf.set("spark.sql.shuffle.partitions", "64")
