@@ -213,6 +213,16 @@ def test_merkle_small_tables(spark, n):
         assert tree.root == root and sorted(shown(proofs(tree)), key=str) == sorted(plain, key=str)
 
 
+def test_merkle_descent_gathers_no_level_for_a_broadcast(spark):
+    from tidewater.llm.merkle import build, proofs
+
+    rows = [(i, f"s{i % 20 * (i % 3 > 0)}", h(str(i))) for i in range(1500)]         # two levels of sources, up to three of leaves
+    got = proofs(build(spark.createDataFrame(rows, "doc_id long, source string, leaf string")))
+    assert sorted(shown(got), key=str) == sorted(plain_proofs(rows)[1], key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_merkle_oracle(spark, oracle, sf):
     from tidewater.llm.queries import ORACLE, QUERIES
 

@@ -12,7 +12,8 @@ child, the children that were not selected become a segment of the path, and
 the segments are reversed at the end. Requests that share their digits so far
 travel as one row (a node), so the root is no hot key, and only nodes with a
 request below them are followed; the last record of a path serves its up to
-``FAN`` requests in one join.
+``FAN`` requests in one join. No level is gathered in the driver for a
+broadcast.
 """
 
 from __future__ import annotations
@@ -115,12 +116,18 @@ def _segment(children: str, pos: str) -> Column:
                     F.array_join(F.slice(children, F.col(pos) + 2, F.lit(FAN)), "").alias("r"))
 
 
+def _meet(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join whose sides are shuffled and merged. Spark counts an array as one element and a level as no larger than the one
+    above it; a broadcast chosen by such a size would bring a whole level, with its paths, to the driver."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _down(state: DataFrame, records: DataFrame, wanted: DataFrame, on: list[str], keep: list[str]) -> DataFrame:
     """One digit further: look the digests up, select the children with a request below, note the others."""
-    opened = (state.join(records, "digest").select(*keep, "place", "path", "children", F.posexplode("children").alias("pos", "child"))
+    opened = (_meet(state, records, "digest").select(*keep, "place", "path", "children", F.posexplode("children").alias("pos", "child"))
               .select(*keep, (F.col("place") * FAN + F.col("pos")).alias("place"), F.col("child").alias("digest"),
                       F.concat("path", F.array(_segment("children", "pos"))).alias("path")))
-    return opened.join(wanted, on, "left_semi")
+    return _meet(opened, wanted, on, "left_semi")
 
 
 def proofs(tree: Manifest, requests: DataFrame | None = None) -> DataFrame:
@@ -142,7 +149,9 @@ def proofs(tree: Manifest, requests: DataFrame | None = None) -> DataFrame:
     for k in range(len(tree.top) - 1, -1, -1):
         wanted = runs.select(F.shiftright("s", BITS * k).alias("place")).distinct()
         state = _down(state, tree.top[k], wanted, ["place"], [])
-    state = state.withColumnRenamed("place", "s").join(tree.sources.select("s", "height", "subroot"), "s")
+        if k:
+            state = written(spark, state, "merkle-down")
+    state = _meet(state.withColumnRenamed("place", "s"), tree.sources.select("s", "height", "subroot"), "s")
     state = written(spark, state.select("s", "height", "subroot", F.lit(0).cast("long").alias("place"), "digest", "path"), "merkle-top")
     at = None
     for k in range(len(tree.below) - 1, 0, -1):         # heights above a run
@@ -150,14 +159,16 @@ def proofs(tree: Manifest, requests: DataFrame | None = None) -> DataFrame:
         at = here if at is None else at.unionByName(here)
         wanted = runs.select("s", F.shiftright("run", BITS * (k - 1)).alias("place")).distinct()
         at = _down(at, tree.below[k], wanted, ["s", "place"], ["s", "height", "subroot"])
+        if k > 1:           # a plan of one level at a time; the last level, which has a row per run, goes on unwritten
+            at = written(spark, at, "merkle-down")
     # A run's record, or the lone leaf of a source, which is its subroot.
     ends = state.where("height = 0").withColumn("children", F.array("digest"))
     if tree.below:
         runs_here = state.where("height = 1")
         at = runs_here if at is None else at.unionByName(runs_here)
-        ends = ends.unionByName(at.join(tree.below[0], "digest"), allowMissingColumns=True)
+        ends = ends.unionByName(_meet(at, tree.below[0], "digest"), allowMissingColumns=True)
     ends = ends.select("s", F.col("place").alias("run"), "height", "subroot", "children", "path")
-    found = (requests.withColumn("run", F.shiftright("rank", BITS)).join(ends, ["s", "run"])
+    found = (_meet(requests.withColumn("run", F.shiftright("rank", BITS)), ends, ["s", "run"])
              .withColumn("_pos", (F.col("rank") % FAN).cast("int")).where(F.col("_pos") < F.size("children")))
     whole = F.when(F.col("height") > 0, F.concat("path", F.array(_segment("children", "_pos")))).otherwise(F.col("path"))
     return found.select("s", "rank", *[F.col(f"_own.`{c}`") for c in columns], "subroot", F.reverse(whole).alias("path"))
